@@ -61,12 +61,13 @@ def price_change_flag(df: DataFrame, keys: Sequence[str], order_col: str, price_
 
 def keep_last(df: DataFrame, keys: Sequence[str], order_cols: Sequence[str]) -> DataFrame:
     """One row per key - the last by ``order_cols`` (explicit tie-break,
-    Q14).  ``row_number`` is computed per key partition after a hash
-    shuffle on the key; for the small reference tables this sits behind a
-    broadcast, for facts the key has many values."""
-    w = Window.partitionBy(*keys).orderBy(*[F.col(c).desc_nulls_last() for c in order_cols])
-    return (df.withColumn("_rn", F.row_number().over(w))
-            .where(F.col("_rn") == 1).drop("_rn"))
+    Q14).  Written as ``max_by`` over a struct of the row, so it is a plain
+    aggregate: partial-aggregated before the shuffle, and a hot key is
+    reduced map side instead of being sorted in one task."""
+    rest = [c for c in df.columns if c not in keys]
+    order = F.struct(*[F.col(c) for c in order_cols])
+    agg = df.groupBy(*keys).agg(F.max_by(F.struct(*[F.col(c) for c in rest]), order).alias("_r"))
+    return agg.select(*keys, *[F.col(f"_r.{c}").alias(c) for c in rest]).select(*df.columns)
 
 
 def last_per_group(df: DataFrame, keys: Sequence[str], order_col: str,

@@ -1,3 +1,3 @@
 """Named queries; importing this package registers them in ``catalog``."""
 
-from . import basics  # noqa: F401
+from . import basics, standardize_q  # noqa: F401
