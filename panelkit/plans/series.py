@@ -60,3 +60,14 @@ def weekly_segment_features(obs: DataFrame) -> DataFrame:
            .agg(F.avg("price_eur_per_l").alias("price")))
     feats = add_series_features(seg, ["country", "grade"], "week_start", "price")
     return zscore(feats, "price", "z_price", ddof=0, by=["country", "grade"])
+
+
+def interpolated_weekly(obs: DataFrame, keys=("market", "grade"),
+                        price_col: str = "price_eur_per_l") -> DataFrame:
+    """A5: Sunday-week mean per series on a gap-free grid spanning the
+    series' own first..last week, gaps filled by linear interpolation."""
+    from ..operators.fill import densify, interpolate_linear
+    keys = list(keys)
+    weekly = group_week_mean(obs, keys, "date", [price_col]).withColumnRenamed(price_col, "price")
+    dense = densify(weekly, keys, ["price"], "week_start")
+    return interpolate_linear(dense, "price", keys, "week_start", out="price_interp")
