@@ -163,21 +163,32 @@ def numeric_ranges(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 
 
 def describe(df: DataFrame, cols: Sequence[str], exact: bool = True) -> DataFrame:
-    """Count, mean, sample std, min, quartiles, max per column - one
-    aggregate pass for all columns, then unpivoted.
+    """Count, mean, sample std, min, quartiles, max per column.
 
-    ``exact`` uses ``percentile`` (pandas' linear interpolation); at scale
-    pass ``exact=False`` for the mergeable sketch ``percentile_approx``.
+    Moments come from one aggregate pass for all columns.  ``exact``
+    quartiles (pandas' linear interpolation) use ``exact_quantiles``, which
+    never gathers a column into one task; ``exact=False`` uses the
+    mergeable sketch ``percentile_approx`` in the same pass.
     """
+    from .quantiles import exact_quantiles
     stats = []
     for c in cols:
-        if exact:
-            q = F.percentile(F.col(c), [0.25, 0.5, 0.75])
-        else:
+        fields = [F.lit(c).alias("column_name"), F.count(c).alias("count"),
+                  F.avg(c).alias("mean"), F.stddev_samp(c).alias("std"),
+                  F.min(c).cast("double").alias("min"), F.max(c).cast("double").alias("max")]
+        if not exact:
             q = F.percentile_approx(F.col(c), [0.25, 0.5, 0.75], 10000)
-        stats.append(F.struct(F.lit(c).alias("column_name"), F.count(c).alias("count"),
-                              F.avg(c).alias("mean"), F.stddev_samp(c).alias("std"),
-                              F.min(c).cast("double").alias("min"),
-                              q[0].alias("p25"), q[1].alias("p50"), q[2].alias("p75"),
-                              F.max(c).cast("double").alias("max")))
-    return df.agg(F.array(*stats).alias("_s")).selectExpr("inline(_s)")
+            fields += [q[0].alias("p25"), q[1].alias("p50"), q[2].alias("p75")]
+        stats.append(F.struct(*fields))
+    moments = df.agg(F.array(*stats).alias("_s")).selectExpr("inline(_s)")
+    if not exact:
+        return moments.select("column_name", "count", "mean", "std", "min", "p25", "p50",
+                              "p75", "max")
+    quarts = None
+    for c in cols:
+        q = exact_quantiles(df, c, [0.25, 0.5, 0.75]).select(
+            F.lit(c).alias("column_name"), F.col("q_0").alias("p25"),
+            F.col("q_1").alias("p50"), F.col("q_2").alias("p75"))
+        quarts = q if quarts is None else quarts.unionByName(q)
+    return (moments.join(quarts, "column_name")
+            .select("column_name", "count", "mean", "std", "min", "p25", "p50", "p75", "max"))
