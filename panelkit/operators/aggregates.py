@@ -79,8 +79,8 @@ COST_DRIVERS = {
     "ppi_plastic_bottles": 0.1,
     "ppi_steel": 0.1,
 }
-# The notebook's three-driver variant.
-COST_DRIVERS_FIXED = {"ocean_proxy": 0.4, "diesel_usd_per_gal": 0.3, "ppi_glass": 0.3}
+# The notebook's three-driver variant (no renormalisation).
+COST_DRIVERS_FIXED = {"ocean_idx": 0.4, "diesel_usd_per_gal": 0.3, "pack_cost": 0.3}
 
 
 def cost_pressure(df: DataFrame, out: str = "cost_pressure",
@@ -124,6 +124,23 @@ def cost_pressure(df: DataFrame, out: str = "cost_pressure",
     return with_c.withColumn(out, result).drop(*aggs.keys())
 
 
+def cost_pressure_fixed(df: DataFrame, out: str = "cost_pressure",
+                        weights: Mapping[str, float] | None = None) -> DataFrame:
+    """E23 notebook variant: fixed weights, population z-scores, no
+    usability test; a zero std gives NULL (pandas would give inf/NaN)."""
+    weights = dict(weights or COST_DRIVERS_FIXED)
+    aggs = {}
+    for c in weights:
+        aggs[f"_m_{c}"] = F.avg(c)
+        aggs[f"_s_{c}"] = F.stddev_pop(c)
+    with_c = with_constants(df, aggs)
+    total = None
+    for c, w in weights.items():
+        term = F.lit(w) * zscore_expr(c, F.col(f"_m_{c}"), F.col(f"_s_{c}"), zero_to=None)
+        total = term if total is None else total + term
+    return with_c.withColumn(out, total).drop(*aggs.keys())
+
+
 def error_metrics(df: DataFrame, keys: Sequence[str], pred: str, actual: str) -> DataFrame:
     """MAE, RMSE, MAPE (zero actuals skipped) and n per group."""
     err = F.col(pred) - F.col(actual)

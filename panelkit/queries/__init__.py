@@ -1,3 +1,3 @@
 """Named queries; importing this package registers them in ``catalog``."""
 
-from . import basics, features_q, macros_q, panel_q, standardize_q  # noqa: F401
+from . import basics, features_q, macros_q, panel_q, series_q, standardize_q  # noqa: F401

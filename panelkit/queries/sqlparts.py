@@ -56,3 +56,54 @@ def rr(expr: str, digits: int = 6) -> str:
 
 def r(expr: str, alias: str, digits: int = 6) -> str:
     return f"{rr(expr, digits)} AS {alias}"
+
+
+def cost_pressure_sql(src: str, weights: dict, renormalise: bool = True,
+                      name: str = "cp") -> str:
+    """CTE ``name``: every row of ``src`` plus ``cost_pressure``."""
+    cols = list(weights)
+    stats = ", ".join(
+        f"count({c}) AS n_{i}, count(*) FILTER (WHERE {c} = 0) AS z0_{i}, "
+        f"avg({c}) AS m_{i}, stddev_pop({c}) AS s_{i}" for i, c in enumerate(cols))
+    usable = [f"(n_{i} > 0 AND z0_{i} < rows_)" for i in range(len(cols))]
+    total = " + ".join(f"CASE WHEN {u} THEN {weights[c]} ELSE 0.0 END"
+                       for u, c in zip(usable, cols))
+    terms = []
+    for i, c in enumerate(cols):
+        z = f"(CASE WHEN s_{i} = 0 OR s_{i} IS NULL THEN 0.0 ELSE ({c} - m_{i}) / s_{i} END)"
+        w = f"({weights[c]} / ({total}))" if renormalise else f"{weights[c]}"
+        terms.append(f"CASE WHEN {usable[i]} THEN {z} * {w} ELSE 0.0 END")
+    anyu = " OR ".join(usable)
+    return f"""
+{name}_stats AS (SELECT count(*) AS rows_, {stats} FROM {src}),
+{name} AS (
+  SELECT t.*, CASE WHEN {anyu} THEN {' + '.join(terms)} ELSE 0.0 END AS cost_pressure
+  FROM {src} t, {name}_stats)"""
+
+
+def cost_pressure_fixed_sql(src: str, weights: dict, name: str = "cpf") -> str:
+    cols = list(weights)
+    stats = ", ".join(f"avg({c}) AS m_{i}, stddev_pop({c}) AS s_{i}" for i, c in enumerate(cols))
+    terms = " + ".join(f"{weights[c]} * (({c} - m_{i}) / NULLIF(s_{i}, 0))"
+                       for i, c in enumerate(cols))
+    return f"""
+{name}_stats AS (SELECT {stats} FROM {src}),
+{name} AS (SELECT t.*, {terms} AS cost_pressure FROM {src} t, {name}_stats)"""
+
+
+def interp_parts_sql(col: str, part: str, order: str, pos: str = "pos") -> str:
+    """Select-list items feeding ``interp_sql`` (F10) for one column."""
+    p = f"PARTITION BY {part} " if part else ""
+    bw = f"OVER ({p}ORDER BY {order} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
+    aw = f"OVER ({p}ORDER BY {order} ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)"
+    known = f"CASE WHEN {col} IS NOT NULL THEN {pos} END"
+    return (f"last_value({col} IGNORE NULLS) {bw} AS pv_{col}, "
+            f"last_value({known} IGNORE NULLS) {bw} AS pp_{col}, "
+            f"first_value({col} IGNORE NULLS) {aw} AS nv_{col}, "
+            f"first_value({known} IGNORE NULLS) {aw} AS np_{col}")
+
+
+def interp_sql(col: str, pos: str = "pos") -> str:
+    return (f"CASE WHEN {col} IS NOT NULL THEN {col} WHEN pv_{col} IS NULL THEN NULL "
+            f"WHEN nv_{col} IS NULL THEN pv_{col} "
+            f"ELSE pv_{col} + (nv_{col} - pv_{col}) * ({pos} - pp_{col}) / (np_{col} - pp_{col}) END")
