@@ -75,30 +75,121 @@ def backtest(series: DataFrame, keys: Sequence[str], features: Sequence[str], y:
                         models.select(*keys, "alpha"), keys)
 
 
+def _betacf(a: float, b: float, x: float) -> float:
+    """Continued fraction of the regularised incomplete beta function."""
+    qab, qap, qam = a + b, a + 1.0, a - 1.0
+    c, d = 1.0, 1.0 - qab * x / qap
+    d = 1.0 / (d if abs(d) > 1e-300 else 1e-300)
+    h = d
+    for m in range(1, 400):
+        m2 = 2 * m
+        aa = m * (b - m) * x / ((qam + m2) * (a + m2))
+        d = 1.0 + aa * d
+        d = 1.0 / (d if abs(d) > 1e-300 else 1e-300)
+        c = 1.0 + aa / c if abs(1.0 + aa / c) > 1e-300 else 1e-300
+        h *= d * c
+        aa = -(a + m) * (qab + m) * x / ((a + m2) * (qap + m2))
+        d = 1.0 + aa * d
+        d = 1.0 / (d if abs(d) > 1e-300 else 1e-300)
+        c = 1.0 + aa / c if abs(1.0 + aa / c) > 1e-300 else 1e-300
+        delta = d * c
+        h *= delta
+        if abs(delta - 1.0) < 1e-15:
+            break
+    return h
+
+
+def t_two_sided_p(t: float, dof: float) -> float:
+    """Two-sided p-value of Student's t (regularised incomplete beta)."""
+    import math
+    if not math.isfinite(t):
+        return 0.0 if abs(t) == float("inf") else float("nan")
+    x = dof / (dof + t * t)
+    a, b = dof / 2.0, 0.5
+    lbeta = math.lgamma(a) + math.lgamma(b) - math.lgamma(a + b)
+    front = math.exp(a * math.log(x) + b * math.log1p(-x) - lbeta) if 0 < x < 1 else 0.0
+    if x <= 0:
+        return 0.0
+    if x >= 1:
+        return 1.0
+    if x < (a + 1) / (a + b + 2):
+        return front * _betacf(a, b, x) / a
+    return 1.0 - front * _betacf(b, a, 1.0 - x) / b
+
+
 def ols_drivers(df: DataFrame, formula: str) -> DataFrame:
-    """M5: OLS with categorical terms via MLlib (``RFormula`` drops the
-    alphabetically first level, like the reference formula), returning the
-    coefficient table (term, coef, std_error, t_value, p_value).  The
-    normal equations are aggregated distributed; only the coefficient table
-    (one row per term) is built on the driver."""
+    """M5: OLS with categorical terms (``RFormula`` drops the alphabetically
+    first level, like the reference formula) and a coefficient table
+    (term, coef, std_error, t_value, p_value, r2).
+
+    The Gram matrix [X 1 y]'[X 1 y] is one distributed tree aggregate
+    (``RowMatrix.computeGramianMatrix``); the (p+2)^2 result is solved on
+    the driver with the pseudo-inverse, so collinear dummies (market
+    within country) give the minimum-norm solution as statsmodels does.
+    """
+    import numpy as np
     from pyspark.ml.feature import RFormula
-    from pyspark.ml.regression import LinearRegression
+    from pyspark.ml.functions import vector_to_array
+    from pyspark.mllib.linalg.distributed import RowMatrix
     rf = RFormula(formula=formula, stringIndexerOrderType="alphabetDesc", handleInvalid="skip")
     prepared = rf.fit(df).transform(df).select("features", "label")
-    lr = LinearRegression(solver="normal", regParam=0.0, fitIntercept=True)
-    fitted = lr.fit(prepared)
     attrs = prepared.schema["features"].metadata.get("ml_attr", {}).get("attrs", {})
     names = {}
     for group in attrs.values():
         for a in group:
             names[a["idx"]] = a["name"]
-    summ = fitted.summary
-    coefs = list(fitted.coefficients) + [fitted.intercept]
-    terms = [names.get(i, f"x{i}") for i in range(len(coefs) - 1)] + ["Intercept"]
-    rows = list(zip(terms, [float(c) for c in coefs],
-                    [float(v) for v in summ.coefficientStandardErrors],
-                    [float(v) for v in summ.tValues], [float(v) for v in summ.pValues]))
-    spark = df.sparkSession
-    return spark.createDataFrame(rows, "term string, coef double, std_error double, "
-                                       "t_value double, p_value double").withColumn(
-        "r2", F.lit(float(summ.r2)))
+    rows = prepared.select(F.concat(vector_to_array("features"), F.array(F.lit(1.0)),
+                                    F.array(F.col("label"))).alias("v"))
+    gram = RowMatrix(rows.rdd.map(lambda r: r["v"])).computeGramianMatrix().toArray()
+    k = gram.shape[0] - 1
+    xtx, xty, yty = gram[:k, :k], gram[:k, k], gram[k, k]
+    n = xtx[k - 1, k - 1]
+    pinv = np.linalg.pinv(xtx)
+    beta = pinv @ xty
+    rank = np.linalg.matrix_rank(xtx)
+    rss = float(yty - 2 * beta @ xty + beta @ xtx @ beta)
+    dof = n - rank
+    sigma2 = rss / dof
+    se = np.sqrt(np.clip(np.diag(pinv) * sigma2, 0.0, None))
+    ybar = xty[k - 1] / n
+    tss = yty - n * ybar * ybar
+    r2 = 1.0 - rss / tss
+    terms = [names.get(i, f"x{i}") for i in range(k - 1)] + ["Intercept"]
+    out = []
+    for name, b, s in zip(terms, beta, se):
+        t = float(b / s) if s > 0 else float("nan")
+        out.append((name, float(b), float(s), t,
+                    float(t_two_sided_p(t, float(dof))) if s > 0 else float("nan")))
+    return (df.sparkSession.createDataFrame(
+        out, "term string, coef double, std_error double, t_value double, p_value double")
+        .withColumn("r2", F.lit(float(r2))).withColumn("n_obs", F.lit(int(n))))
+
+
+def grid_search(series: DataFrame, keys: Sequence[str], features: Sequence[str], y: str,
+                holdout: int = 12, alphas: Sequence[float] = ALPHAS) -> DataFrame:
+    """M7: candidates = ridge at every alpha (all fitted from one moment
+    pass and one eigen-solve per segment) plus the naive last-week
+    forecast; each scored on the hold-out, failures (NULL scores) skipped,
+    best MAE kept per segment (ties -> first candidate)."""
+    from ..operators.ridge import _dot, eigen_solve, feature_vector, moments
+    keys = list(keys)
+    w = Window.partitionBy(*keys).orderBy(F.col("week_start").desc())
+    d = series.where(F.col(y).isNotNull()).withColumn("_rk", F.row_number().over(w))
+    train_rows, test_rows = d.where(F.col("_rk") > holdout), d.where(F.col("_rk") <= holdout)
+    eig = eigen_solve(moments(train_rows, keys, features, y), keys, len(features), alphas)
+    t = join_on_keys(test_rows.select(*keys, feature_vector(features).alias("x"),
+                                      F.col(y).alias("y"), F.col("lag1week").alias("naive")),
+                     eig.select(*keys, "alphas", "coefs", "intercepts"), keys)
+    cands = F.expr(f"""transform(sequence(0, size(alphas) - 1), i -> named_struct(
+        'cand', i, 'candidate', concat('ridge_alpha_', cast(alphas[i] as string)),
+        'pred', intercepts[i] + {_dot('coefs[i]', 'x')}))""")
+    ridge = t.select(*keys, "y", F.inline(cands))
+    naive = t.select(*keys, "y", F.lit(len(alphas)).alias("cand"),
+                     F.lit("naive_last_week").alias("candidate"), F.col("naive").alias("pred"))
+    scored = error_metrics(ridge.unionByName(naive), keys + ["cand", "candidate"], "pred", "y")
+    best = (scored.where(F.col("mae").isNotNull()).groupBy(*keys)
+            .agg(F.min(F.struct("mae", "cand", "candidate", "rmse", "n")).alias("b"),
+                 F.count(F.lit(1)).alias("n_candidates")))
+    return best.select(*keys, F.col("b.candidate").alias("best_candidate"),
+                       F.col("b.mae").alias("mae"), F.col("b.rmse").alias("rmse"),
+                       F.col("b.n").alias("n_holdout"), "n_candidates")
