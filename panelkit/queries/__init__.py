@@ -1,3 +1,4 @@
 """Named queries; importing this package registers them in ``catalog``."""
 
-from . import basics, features_q, macros_q, models_q, panel_q, series_q, standardize_q  # noqa: F401
+from . import (basics, features_q, forecast_q, macros_q, models_q, panel_q,  # noqa: F401
+               series_q, standardize_q)
