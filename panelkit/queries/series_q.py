@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..catalog import register
+from ..session import cut_lineage
 from ..operators.aggregates import COST_DRIVERS, COST_DRIVERS_FIXED, cost_pressure
 from ..operators.segments import segment_gate
 from ..operators.windows import rolling_mean, series_window
@@ -88,7 +89,11 @@ PROC_DOUBLES = ["price_usd_per_l", "cost_pressure", "lag1week", "lag2week", "rol
 
 
 def processed(spark, sf_dir):
-    return preprocess(features(spark, sf_dir))
+    """The weekly ``processed`` table, materialised once (reliable
+    checkpoint in the shared checkpoint folder): model fitting, LOO,
+    evaluation and forecasting each read it several times, and it is small
+    (one row per series and week)."""
+    return cut_lineage(preprocess(features(spark, sf_dir)))
 
 
 @register("lag_rolling", PROCESSED_SQL + "\nSELECT " + ", ".join(

@@ -50,8 +50,11 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
-        spark.sparkContext.setCheckpointDir(configured)
+        if spark.sparkContext.getCheckpointDir() is None:
+            spark.sparkContext.setCheckpointDir(configured)
         return configured
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
     path = tempfile.mkdtemp(prefix="panelkit-ckpt-")
     spark.conf.set("spark.checkpoint.dir", path)
     spark.sparkContext.setCheckpointDir(path)
