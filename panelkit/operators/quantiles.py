@@ -17,6 +17,7 @@ found with bounded memory per task:
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
@@ -31,9 +32,17 @@ def exact_quantiles(df: DataFrame, col: str, probs: Sequence[float],
     step = 1.0 / buckets
     cuts = vals.agg(F.percentile_approx("v", [step * i for i in range(1, buckets)], 10 * buckets)
                     .alias("cuts"))
-    # bucket id = number of cut points <= v (cuts are sorted)
-    vb = vc.crossJoin(F.broadcast(cuts)).select(
-        "v", "c", F.size(F.filter("cuts", lambda x: x <= F.col("v"))).alias("b"))
+    # bucket id = number of cut points <= v, by binary search over the
+    # sorted cut array (O(log buckets) per distinct value)
+    steps = int(math.ceil(math.log2(buckets))) + 1
+    upper_bound = F.expr(f"""aggregate(sequence(1, {steps}), named_struct('lo', 0, 'hi', size(cuts)),
+        (s, i) -> IF(s.lo < s.hi,
+                     IF(element_at(cuts, CAST((s.lo + s.hi) div 2 AS INT) + 1) <= v,
+                        named_struct('lo', CAST((s.lo + s.hi) div 2 AS INT) + 1, 'hi', s.hi),
+                        named_struct('lo', s.lo, 'hi', CAST((s.lo + s.hi) div 2 AS INT))),
+                     s),
+        s -> s.lo)""")
+    vb = vc.crossJoin(F.broadcast(cuts)).select("v", "c", upper_bound.alias("b"))
     totals = vb.groupBy("b").agg(F.sum("c").alias("bc"))
     # offsets over <= `buckets` rows: a single small partition is bounded.
     wo = Window.orderBy("b").rowsBetween(Window.unboundedPreceding, -1)
