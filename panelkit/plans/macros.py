@@ -45,3 +45,42 @@ def macro_grid(long: DataFrame, series: Sequence[str] = MACRO_SERIES,
     filled = dense.withColumn("value", ffill("value", ["series"], week_col))
     wide = wide_by_week(filled, series, week_col)
     return wide.withColumn("week_start_ms", epoch_millis(F.col(week_col)))
+
+
+# Accepted FX headers (USD per EUR), in order; ``usdeur`` is
+# the inverse quote.
+FX_ALIASES = ["value", "eurusd", "eur_usd"]
+PPI_COLS = ["ppi_glass", "ppi_plastic_bottles", "ppi_steel"]
+
+
+def normalize_fx(fx: DataFrame) -> DataFrame:
+    """H3: (week_start, usd_per_eur) from whichever FX column a feed has -
+    renamed alias, or ``1 / usdeur`` (zero rate -> NULL, Q20), or a NULL
+    placeholder when none is present."""
+    cols = fx.columns
+    if "usd_per_eur" in cols:
+        rate = F.col("usd_per_eur")
+    else:
+        alias = next((c for c in FX_ALIASES if c in cols), None)
+        if alias:
+            rate = F.col(alias)
+        elif "usdeur" in cols:
+            rate = F.try_divide(F.lit(1.0), F.col("usdeur"))
+        else:
+            rate = F.lit(None).cast("double")
+    return fx.select("week_start", rate.cast("double").alias("usd_per_eur"))
+
+
+def normalize_series(df: DataFrame, name: str) -> DataFrame:
+    """H3 for brent / diesel: a ``value`` column is renamed to ``name``."""
+    if name not in df.columns and "value" in df.columns:
+        df = df.withColumnRenamed("value", name)
+    return df.select("week_start", name)
+
+
+def normalize_ppi(ppi: DataFrame) -> DataFrame:
+    """H4 for PPI: absent PPI columns become NULL placeholders."""
+    for c in PPI_COLS:
+        if c not in ppi.columns:
+            ppi = ppi.withColumn(c, F.lit(None).cast("double"))
+    return ppi.select("week_start", *PPI_COLS)

@@ -1,4 +1,4 @@
 """Named queries; importing this package registers them in ``catalog``."""
 
-from . import (basics, features_q, forecast_q, insights_q, macros_q, models_q,  # noqa: F401
-               panel_q, series_q, standardize_q)
+from . import (basics, coverage_q, features_q, forecast_q, insights_q, macros_q,  # noqa: F401
+               models_q, panel_q, series_q, standardize_q)
