@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from ..operators.aggregates import cost_pressure_fixed, group_week_mean
 from ..operators.fill import densify, interpolate_linear
 from ..operators.windows import price_change_flag
+from ..session import cut_lineage
 
 
 def weekly_overall(features: DataFrame, price_col: str = "base_usd_per_l") -> DataFrame:
@@ -20,7 +21,9 @@ def weekly_overall(features: DataFrame, price_col: str = "base_usd_per_l") -> Da
     mean per Sunday-labelled week, gap-free grid, linear interpolation."""
     df = features.where(F.col(price_col).isNotNull() & (F.col(price_col) > 0))
     df = cost_pressure_fixed(df)
-    weekly = group_week_mean(df, [], "week_start", [price_col, "cost_pressure"])
+    # one row per week: materialised once, since the grid and the join
+    # below both read it
+    weekly = cut_lineage(group_week_mean(df, [], "week_start", [price_col, "cost_pressure"]))
     dense = densify(weekly, [], [price_col, "cost_pressure"], "week_start")
     out = interpolate_linear(dense, price_col, [], "week_start")
     return interpolate_linear(out, "cost_pressure", [], "week_start")

@@ -48,10 +48,9 @@ def evaluate(processed: DataFrame, models: DataFrame) -> DataFrame:
 
 def quality_gate(metrics: DataFrame, models: DataFrame, threshold: float = 0.12) -> DataFrame:
     """M9: models registered only when the global MAE is within the
-    threshold (a one-row check joined to every model row)."""
-    g = (metrics.where(F.col("segment_type") == "global")
-         .select(F.col("mae").alias("global_mae")))
-    return (models.crossJoin(F.broadcast(g))
+    threshold (a scalar subquery read by every model row)."""
+    g = metrics.where(F.col("segment_type") == "global").select(F.max("mae"))
+    return (models.withColumn("global_mae", g.scalar())
             .withColumn("approved", F.col("global_mae") <= threshold))
 
 

@@ -6,6 +6,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..catalog import register
+from ..session import cut_lineage
 from ..operators.aggregates import error_metrics
 from ..operators.ridge import ALPHAS, moments
 from ..operators.segments import SEGMENT_KEYS
@@ -57,7 +58,7 @@ def notebook_series(spark, sf_dir):
     w = series_window(["series"], "week_start")
     from ..functions.calendar import calendar_parts
     parts = calendar_parts(F.col("week_start"))
-    return (wk.withColumns({
+    return cut_lineage(wk.withColumns({
         "lag1week": F.lag("base_usd_per_l", 1).over(w),
         "lag2week": F.lag("base_usd_per_l", 2).over(w),
         "rolling3": rolling_mean("base_usd_per_l", 3, w, strict=True),
