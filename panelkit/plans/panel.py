@@ -110,6 +110,12 @@ def build_weekly_panel(prices: DataFrame, macros: DataFrame, freight: DataFrame
     m = keep_last(m.select("week_start", *MACRO_COLS), ["week_start"], MACRO_COLS)
     p = p.join(F.broadcast(m), "week_start", "left")
     p = p.withColumn("price_usd_per_l", F.col("price_eur_per_l") * F.col("usd_per_eur"))
+    # Table-wide constants need only the price and the weekly macros, so
+    # their aggregate branch stops here (no freight / tariff joins, two
+    # columns read); its single row is broadcast back below.
+    consts = p.agg(F.avg("diesel_usd_per_gal").alias("_diesel_mean"),
+                   F.avg("price_usd_per_l").alias("_base_mean"),
+                   F.stddev_samp("price_usd_per_l").alias("_base_std"))
 
     if freight is not None and "fbx" in freight.columns:
         p = p.join(F.broadcast(ocean_proxy_table(m, freight)), "week_start", "left")
@@ -145,10 +151,7 @@ def build_weekly_panel(prices: DataFrame, macros: DataFrame, freight: DataFrame
                                     F.col("specific_usd_per_kg")),
     })
 
-    # Table-wide constants: one aggregate row, broadcast.
-    p = with_constants(p, {"_diesel_mean": F.avg("diesel_usd_per_gal"),
-                           "_base_mean": F.avg("base_usd_per_l"),
-                           "_base_std": F.stddev_samp("base_usd_per_l")})
+    p = p.crossJoin(F.broadcast(consts))
     p = p.withColumn("diesel_uplift", F.lit(DIESEL_UPLIFT_FACTOR)
                      * (F.col("diesel_usd_per_gal") - F.col("_diesel_mean")))
     landed = None
