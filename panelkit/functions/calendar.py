@@ -76,6 +76,24 @@ def to_timestamp_column(df, name: str) -> Column:
     return to_timestamp_multi(F.col(name), df.schema[name].dataType)
 
 
+def with_timestamp_strict(df, name: str, out: str | None = None):
+    """E2, column-level rule (Q11 ``strict_column=True``): if ANY value of a
+    text column is an epoch-ms number, the whole column is read as epoch-ms
+    and the other values become NULL; otherwise it is parsed as date text.
+    The decision is one aggregate row (a flag), broadcast back - no collect."""
+    out = out or name
+    if not is_string(df, name):
+        return df.withColumn(out, to_timestamp_column(df, name))
+    text = F.trim(F.col(name))
+    numeric = text.rlike(r"^-?[0-9]+(\.[0-9]+)?$")
+    flag = df.agg(F.max(numeric.cast("int")).alias("_any_ms"))
+    as_ms = F.when(numeric, F.timestamp_millis(to_double(text).cast("bigint")))
+    parsed = to_timestamp_multi(text)
+    return (df.crossJoin(F.broadcast(flag))
+            .withColumn(out, F.when(F.col("_any_ms") == 1, as_ms).otherwise(parsed))
+            .drop("_any_ms"))
+
+
 def epoch_millis(col) -> Column:
     """Timestamp -> epoch milliseconds."""
     return F.unix_millis(_c(col).cast("timestamp"))

@@ -150,3 +150,25 @@ def test_t_pvalue():
     from panelkit.plans.models import t_two_sided_p
     assert abs(t_two_sided_p(2.0, 10) - 0.07338803477074) < 1e-9
     assert abs(t_two_sided_p(1.959963984540054, 1e7) - 0.05) < 1e-5
+
+
+def test_multi_encoding_strict_column_q11(spark):
+    mixed = spark.createDataFrame([("1704067200000",), ("2024-01-01",), ("x",)], "s string")
+    got = [r["t"] for r in cal.with_timestamp_strict(mixed, "s", "t").collect()]
+    assert got == [dt.datetime(2024, 1, 1), None, None]
+    text_only = spark.createDataFrame([("2024-01-01",), ("x",)], "s string")
+    got = [r["t"] for r in cal.with_timestamp_strict(text_only, "s", "t").collect()]
+    assert got == [dt.datetime(2024, 1, 1), None]
+
+
+def test_flagship_plan_shape(spark):
+    """Partial aggregation before the shuffle, no Python in the plan, only
+    the needed columns read from lineitem."""
+    import __spark_entry__ as E
+    plan = E.entry(spark)._jdf.queryExecution().executedPlan().toString()
+    assert "partial_avg" in plan
+    assert "EvalPython" not in plan
+    scan = [ln for ln in plan.splitlines() if "lineitem.parquet" in ln][0]
+    assert "l_shipdate" in scan and "l_extendedprice" in scan
+    for unused in ["l_orderkey", "l_tax", "l_discount", "l_linestatus", "l_linenumber"]:
+        assert unused not in scan
