@@ -13,13 +13,29 @@ from ..operators.segments import SEGMENT_KEYS
 from .series import segment_features
 
 
+def last_row_history(processed: DataFrame) -> DataFrame:
+    """Q16 ``history='last'``: per (country, grade, week) the row of the
+    last market (explicit tie-break) instead of the mean over markets, as
+    the serving code keeps the last row per week."""
+    from ..operators.windows import keep_last
+    last = keep_last(processed.select("country", "grade", "week_start", "market",
+                                      "price_usd_per_l", "cost_pressure"),
+                     ["country", "grade", "week_start"], ["market"])
+    return last.select(F.lit("country_grade").alias("segment_type"), "country", "grade",
+                       "week_start", "price_usd_per_l", "cost_pressure")
+
+
 def forecast(processed: DataFrame, models: DataFrame, steps: int = 12,
              country: str | None = None, grade: str | None = None,
-             check_empty: bool = False) -> DataFrame:
+             check_empty: bool = False, history: str = "mean") -> DataFrame:
     """P10: recursive forecasts for every modelled segment (a request is a
     filter on the result); optional country / grade filters (F5) are
-    applied to the segment rows before the recursion."""
-    seg = segment_features(processed)
+    applied to the segment rows before the recursion.  ``history='last'``
+    starts the country x grade series from the last row per week (Q16)."""
+    if history == "last":
+        seg = last_row_history(processed)
+    else:
+        seg = segment_features(processed)
     if country is not None:
         seg = seg.where(F.col("country") == country)
     if grade is not None:

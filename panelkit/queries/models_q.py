@@ -8,12 +8,11 @@ from pyspark.sql import functions as F
 from ..catalog import register
 from ..session import cut_lineage
 from ..operators.aggregates import error_metrics
-from ..operators.ridge import ALPHAS, moments
+from ..operators.ridge import moments
 from ..operators.segments import SEGMENT_KEYS
 from ..operators.windows import FEATURES, rolling_mean, series_window
 from ..plans.exploration import weekly_overall
-from ..plans.models import (backtest, evaluate, grid_search, ols_drivers, quality_gate,
-                            segment_label, train)
+from ..plans.models import backtest, evaluate, grid_search, ols_drivers, quality_gate, train
 from ..plans.series import segment_features
 from .features_q import features
 from .series_q import SEGMENT_SQL, processed
@@ -126,5 +125,3 @@ def q_quality_gate(spark, sf_dir):
     return quality_gate(evaluate(p, models), models).select(
         "model_name", "segment_type", "country", "grade", "alpha", "global_mae", "approved")
 
-
-__all__ = ["segment_label", "ALPHAS"]

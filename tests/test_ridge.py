@@ -47,3 +47,18 @@ def test_ridge_loo_matches_brute_force(spark):
         np.testing.assert_allclose(m["coef"], coef, rtol=1e-6, atol=1e-8)
         assert abs(m["intercept"] - icpt) < 1e-6 * max(1, abs(icpt))
         assert abs(m["loo_rmse"] ** 2 - min(scores)) < 1e-8 * max(1, min(scores))
+
+
+def test_forecast_history_last_and_filters(spark):
+    import pytest
+    from panelkit.plans.forecast import forecast
+    from panelkit.plans.models import train
+    p = processed(spark, SF001)
+    models = train(p)
+    out = forecast(p, models, steps=3, history="last").collect()
+    assert out and all(r["segment_type"] == "country_grade" for r in out)
+    assert {r["step"] for r in out} == {1, 2, 3}
+    one = forecast(p, models, steps=2, country="EUROPE", grade="R", check_empty=True).collect()
+    assert one and all(r["country"] in ("EUROPE", None) for r in one)
+    with pytest.raises(ValueError):
+        forecast(p, models, steps=2, country="NOWHERE", check_empty=True)
