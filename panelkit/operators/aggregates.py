@@ -186,11 +186,12 @@ def describe(df: DataFrame, cols: Sequence[str], exact: bool = True) -> DataFram
     """Count, mean, sample std, min, quartiles, max per column.
 
     Moments come from one aggregate pass for all columns.  ``exact``
-    quartiles (pandas' linear interpolation) use ``exact_quantiles``, which
-    never gathers a column into one task; ``exact=False`` uses the
+    quartiles (pandas' linear interpolation) use ``exact_quantiles_multi``
+    (one scan for all columns, never a column gathered into one task);
+    ``exact=False`` uses the
     mergeable sketch ``percentile_approx`` in the same pass.
     """
-    from .quantiles import exact_quantiles
+    from .quantiles import exact_quantiles_multi
     stats = []
     for c in cols:
         fields = [F.lit(c).alias("column_name"), F.count(c).alias("count"),
@@ -204,11 +205,8 @@ def describe(df: DataFrame, cols: Sequence[str], exact: bool = True) -> DataFram
     if not exact:
         return moments.select("column_name", "count", "mean", "std", "min", "p25", "p50",
                               "p75", "max")
-    quarts = None
-    for c in cols:
-        q = exact_quantiles(df, c, [0.25, 0.5, 0.75]).select(
-            F.lit(c).alias("column_name"), F.col("q_0").alias("p25"),
-            F.col("q_1").alias("p50"), F.col("q_2").alias("p75"))
-        quarts = q if quarts is None else quarts.unionByName(q)
-    return (moments.join(quarts, "column_name")
+    quarts = exact_quantiles_multi(df, cols, [0.25, 0.5, 0.75]).select(
+        "column_name", F.col("q_0").alias("p25"), F.col("q_1").alias("p50"),
+        F.col("q_2").alias("p75"))
+    return (moments.join(quarts, "column_name", "left")
             .select("column_name", "count", "mean", "std", "min", "p25", "p50", "p75", "max"))

@@ -24,34 +24,48 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def exact_quantiles(df: DataFrame, col: str, probs: Sequence[float],
-                    buckets: int = 1000) -> DataFrame:
-    """One row: ``q_<i>`` for every probability in ``probs`` (NULLs ignored)."""
-    vals = df.select(F.col(col).cast("double").alias("v")).where(F.col("v").isNotNull())
-    vc = vals.groupBy("v").agg(F.count(F.lit(1)).alias("c"))
-    step = 1.0 / buckets
-    cuts = vals.agg(F.percentile_approx("v", [step * i for i in range(1, buckets)], 10 * buckets)
-                    .alias("cuts"))
-    # bucket id = number of cut points <= v, by binary search over the
-    # sorted cut array (O(log buckets) per distinct value)
-    steps = int(math.ceil(math.log2(buckets))) + 1
-    upper_bound = F.expr(f"""aggregate(sequence(1, {steps}), named_struct('lo', 0, 'hi', size(cuts)),
+def _upper_bound(cuts: str, v: str, buckets: int) -> F.Column:
+    """Number of sorted cut points <= v, by binary search (O(log buckets))."""
+    steps = int(math.ceil(math.log2(max(buckets, 2)))) + 1
+    mid = "CAST((s.lo + s.hi) div 2 AS INT)"
+    return F.expr(f"""aggregate(sequence(1, {steps}), named_struct('lo', 0, 'hi', size({cuts})),
         (s, i) -> IF(s.lo < s.hi,
-                     IF(element_at(cuts, CAST((s.lo + s.hi) div 2 AS INT) + 1) <= v,
-                        named_struct('lo', CAST((s.lo + s.hi) div 2 AS INT) + 1, 'hi', s.hi),
-                        named_struct('lo', s.lo, 'hi', CAST((s.lo + s.hi) div 2 AS INT))),
+                     IF(element_at({cuts}, {mid} + 1) <= {v},
+                        named_struct('lo', {mid} + 1, 'hi', s.hi),
+                        named_struct('lo', s.lo, 'hi', {mid})),
                      s),
         s -> s.lo)""")
-    vb = vc.crossJoin(F.broadcast(cuts)).select("v", "c", upper_bound.alias("b"))
-    totals = vb.groupBy("b").agg(F.sum("c").alias("bc"))
-    # offsets over <= `buckets` rows: a single small partition is bounded.
-    wo = Window.orderBy("b").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select("b", F.coalesce(F.sum("bc").over(wo), F.lit(0)).alias("off"),
-                            F.sum("bc").over(Window.partitionBy()).alias("n"))
-    wl = Window.partitionBy("b").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
-    ranked = (vb.join(F.broadcast(offsets), "b")
+
+
+def exact_quantiles_multi(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
+                          buckets: int = 1000) -> DataFrame:
+    """Exact quantiles of several columns from ONE scan: the columns are
+    unpivoted to (column_name, value), and every step below is keyed by
+    column_name as well.  One row per column: ``column_name, q_0, q_1, ...``
+    (NULLs ignored; a column without values gets NULLs)."""
+    pairs = F.array(*[F.struct(F.lit(c).alias("k"), F.col(c).cast("double").alias("v"))
+                      for c in cols])
+    vals = (df.select(F.inline(pairs)).where(F.col("v").isNotNull()))
+    # 1. equal values collapse (partial aggregation: a hot value is one row)
+    vc = vals.groupBy("k", "v").agg(F.count(F.lit(1)).alias("c"))
+    # 2. bucket boundaries per column from the mergeable sketch
+    step = 1.0 / buckets
+    cuts = vals.groupBy("k").agg(
+        F.percentile_approx("v", [step * i for i in range(1, buckets)], 10 * buckets).alias("cuts"))
+    # one row per column: bounded by the number of profiled columns
+    vb = vc.join(F.broadcast(cuts), "k").select("k", "v", "c",
+                                                 _upper_bound("cuts", "v", buckets).alias("b"))
+    # 3. bucket totals -> offsets (at most `buckets` rows per column)
+    totals = vb.groupBy("k", "b").agg(F.sum("c").alias("bc"))
+    wo = Window.partitionBy("k").orderBy("b").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = totals.select("k", "b", F.coalesce(F.sum("bc").over(wo), F.lit(0)).alias("off"),
+                            F.sum("bc").over(Window.partitionBy("k")).alias("n"))
+    # 4. global rank range of every distinct value
+    wl = Window.partitionBy("k", "b").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
+    ranked = (vb.join(F.broadcast(offsets), ["k", "b"])
               .withColumn("hi_rank", F.col("off") + F.sum("c").over(wl) - 1)
               .withColumn("lo_rank", F.col("hi_rank") - F.col("c") + 1))
+    # 5. order statistics at floor(h) / ceil(h), linear interpolation
     picks = []
     for i, q in enumerate(probs):
         h = (F.col("n") - 1) * F.lit(float(q))
@@ -60,6 +74,13 @@ def exact_quantiles(df: DataFrame, col: str, probs: Sequence[float],
             F.max(F.when((F.col("lo_rank") <= lo) & (lo <= F.col("hi_rank")), F.col("v"))).alias("a"),
             F.max(F.when((F.col("lo_rank") <= hi) & (hi <= F.col("hi_rank")), F.col("v"))).alias("z"),
             F.max(h - lo).alias("f")).alias(f"_p{i}"))
-    row = ranked.agg(*picks)
-    return row.select(*[(F.col(f"_p{i}.a") + (F.col(f"_p{i}.z") - F.col(f"_p{i}.a"))
+    row = ranked.groupBy("k").agg(*picks)
+    return row.select(F.col("k").alias("column_name"),
+                      *[(F.col(f"_p{i}.a") + (F.col(f"_p{i}.z") - F.col(f"_p{i}.a"))
                          * F.col(f"_p{i}.f")).alias(f"q_{i}") for i in range(len(probs))])
+
+
+def exact_quantiles(df: DataFrame, col: str, probs: Sequence[float],
+                    buckets: int = 1000) -> DataFrame:
+    """One row: ``q_<i>`` for every probability in ``probs`` (NULLs ignored)."""
+    return exact_quantiles_multi(df, [col], probs, buckets).drop("column_name")
