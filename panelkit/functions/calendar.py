@@ -89,7 +89,8 @@ def with_timestamp_strict(df, name: str, out: str | None = None):
     flag = df.agg(F.max(numeric.cast("int")).alias("_any_ms"))
     as_ms = F.when(numeric, F.timestamp_millis(to_double(text).cast("bigint")))
     parsed = to_timestamp_multi(text)
-    return (df.crossJoin(F.broadcast(flag))
+    from ..operators.joins import attach_row
+    return (attach_row(df, flag)
             .withColumn(out, F.when(F.col("_any_ms") == 1, as_ms).otherwise(parsed))
             .drop("_any_ms"))
 

@@ -12,6 +12,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .joins import attach_row
+
 
 def week_grid(bounds: DataFrame, keys: Sequence[str], lo: str = "lo", hi: str = "hi",
               week_col: str = "week_start") -> DataFrame:
@@ -32,7 +34,7 @@ def densify(df: DataFrame, keys: Sequence[str], value_cols: Sequence[str],
     if global_span:
         span = df.agg(F.min(week_col).alias("lo"), F.max(week_col).alias("hi"))
         series = df.select(*keys).distinct() if keys else None
-        bounds = series.crossJoin(F.broadcast(span)) if keys else span
+        bounds = attach_row(series, span) if keys else span
     else:
         bounds = df.groupBy(*keys).agg(F.min(week_col).alias("lo"), F.max(week_col).alias("hi"))
     grid = week_grid(bounds, keys, week_col=week_col)

@@ -15,7 +15,7 @@ def join_on_keys(left: DataFrame, right: DataFrame, keys: Sequence[str],
     columns are dropped so the result has one copy of each key."""
     keys = list(keys)
     if not keys:
-        return left.crossJoin(right)
+        return attach_row(left, right)
     r = right.select(*[right[k].alias(f"_rk_{k}") for k in keys],
                      *[c for c in right.columns if c not in keys])
     cond = None
@@ -23,3 +23,13 @@ def join_on_keys(left: DataFrame, right: DataFrame, keys: Sequence[str],
         c = left[k].eqNullSafe(r[f"_rk_{k}"])
         cond = c if cond is None else cond & c
     return left.join(r, cond, how).drop(*[f"_rk_{k}" for k in keys])
+
+
+def attach_row(df: DataFrame, one_row: DataFrame) -> DataFrame:
+    """Attach the columns of a ONE-row table (global constants) to every row:
+    a broadcast hash join on a literal key.  The small side has one row by
+    construction (a global aggregate), so no pair of data rows is formed."""
+    from pyspark.sql import functions as F
+    small = one_row.withColumn("_one_row_key", F.lit(1))
+    return (df.withColumn("_one_row_key", F.lit(1))
+            .join(F.broadcast(small), "_one_row_key").drop("_one_row_key"))

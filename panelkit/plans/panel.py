@@ -7,7 +7,7 @@ possible codes) after the per-prefix keep-last - each of these sides has a
 size bound that does not grow with the price data, so they are broadcast
 explicitly and the panel is built without shuffling the price rows.  The
 table-wide means and std (diesel mean, z_base) are one global aggregate,
-attached with a one-row broadcast cross join.
+attached as a one-row broadcast.
 """
 
 from __future__ import annotations
@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from ..functions.calendar import monday_week
 from ..functions.coerce import upper_key
 from ..operators.aggregates import with_constants
+from ..operators.joins import attach_row
 from ..operators.windows import keep_last
 from ..sources.headers import ordered_projection
 from .standardize import DENSITY
@@ -151,7 +152,7 @@ def build_weekly_panel(prices: DataFrame, macros: DataFrame, freight: DataFrame
                                     F.col("specific_usd_per_kg")),
     })
 
-    p = p.crossJoin(F.broadcast(consts))
+    p = attach_row(p, consts)
     p = p.withColumn("diesel_uplift", F.lit(DIESEL_UPLIFT_FACTOR)
                      * (F.col("diesel_usd_per_gal") - F.col("_diesel_mean")))
     landed = None
