@@ -35,9 +35,15 @@ class Query:
 REGISTRY: dict[str, Query] = {}
 
 
+# Beyond this magnitude a double has no 6th decimal left to round, and the
+# scaled value would not fit the 64-bit result of ``floor``: keep x as is.
+ROUND_LIMIT = 1e12
+
+
 def stable_round(col, digits: int = DIGITS):
     scale = float(10 ** digits)
-    return F.floor(col * F.lit(scale) + F.lit(0.5001)).cast("double") / F.lit(scale)
+    scaled = F.floor(col * F.lit(scale) + F.lit(0.5001)).cast("double") / F.lit(scale)
+    return F.when(F.abs(col) < F.lit(ROUND_LIMIT), scaled).otherwise(col)
 
 
 def round_doubles(df: DataFrame, digits: int = DIGITS) -> DataFrame:
