@@ -11,6 +11,7 @@ from .sqlparts import MACRO_OBS, MONDAY, OBS, SUNDAY, r, with_
 SIX = ["usd_per_eur", "brent_usd_per_bbl", "diesel_usd_per_gal",
        "ppi_glass", "ppi_plastic_bottles", "ppi_steel"]
 SIX_SQL = ", ".join(f"'{s}'" for s in SIX)
+PIVOT_RAW_SQL = ",\n       ".join(f"max(CASE WHEN series = '{s}' THEN value END) AS {s}" for s in SIX)
 PIVOT_SQL = ",\n       ".join(r(f"max(CASE WHEN series = '{s}' THEN value END)", s) for s in SIX)
 
 WEEKLY_LONG = f"""

@@ -9,7 +9,7 @@ from ..plans.macros import weekly_long, wide_by_week
 from ..plans.panel import PANEL_COLS, build_weekly_panel, ocean_proxy_table
 from ..plans.standardize import normalize_tariffs, standardize_freight, standardize_prices
 from ..sources import tables as T
-from .macros_q import PIVOT_SQL, SIX_SQL, WEEKLY_LONG
+from .macros_q import PIVOT_RAW_SQL, SIX_SQL, WEEKLY_LONG
 from .sqlparts import MACRO_OBS, OBS, r, with_
 from .standardize_q import CANON_GRADE_SQL
 
@@ -29,7 +29,7 @@ def weekly_panel(spark, sf_dir):
 
 
 MACROS_CTE = f"""
-macros AS (SELECT week_start, {PIVOT_SQL.replace('(floor((', '((').replace(') * 1e6 + 0.5001) / 1e6)', '))')}
+macros AS (SELECT week_start, {PIVOT_RAW_SQL}
            FROM wl WHERE series IN ({SIX_SQL}) GROUP BY week_start)"""
 
 FBX_CTE = """
