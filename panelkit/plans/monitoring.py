@@ -68,3 +68,14 @@ def retrain_candidates(errors: DataFrame, keys: Sequence[str]) -> DataFrame:
               .when(high, "error_level"))
     return (errors.withColumn("reason", reason).where(F.col("reason").isNotNull())
             .select(*keys, "mape_all", "mape_recent", "reason"))
+
+
+def file_availability(spark, path: str, fmt: str = "parquet") -> DataFrame:
+    """D2 on storage: number of data files and the newest modification time
+    under ``path``, from the scan's ``_metadata`` columns (one aggregate
+    row; no listing loop on the driver)."""
+    meta = spark.read.format(fmt).load(path).select("_metadata.file_path",
+                                                     "_metadata.file_modification_time")
+    return meta.agg(F.count_distinct("file_path").alias("n_files"),
+                    F.max("file_modification_time").alias("last_modified"),
+                    F.count(F.lit(1)).alias("n_rows"))

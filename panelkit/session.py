@@ -25,6 +25,20 @@ LOCAL_DEFAULTS = {
 }
 
 
+# Starting points for a large cluster (100 TB of input, ~1000 executors);
+# applied by the platform, not by ``get_spark``.  AQE coalesces the many
+# shuffle partitions down to the advisory size and splits skewed ones.
+CLUSTER_HINTS = {
+    "spark.sql.shuffle.partitions": "20000",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "512m",
+    "spark.sql.files.maxPartitionBytes": "512m",
+    "spark.sql.autoBroadcastJoinThreshold": "64m",
+    "spark.checkpoint.dir": "<shared storage path>",
+}
+
+
 def get_spark(master: str | None = None, shuffle_partitions: int = 8,
               app_name: str = "panelkit") -> SparkSession:
     """Return the active session or build a local one with our defaults."""

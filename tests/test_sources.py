@@ -90,3 +90,11 @@ def test_panel_plan_broadcasts_dimensions(spark):
     plan = qe.executedPlan().toString()
     assert plan.count("BroadcastHashJoin") >= 3
     assert "Window [" not in qe.optimizedPlan().toString()
+
+
+def test_file_availability(spark):
+    from panelkit.plans.monitoring import file_availability
+    root = scratch()
+    spark.range(10).repartition(3).write.parquet(f"{root}/t")
+    r = file_availability(spark, f"{root}/t").first()
+    assert r["n_files"] == 3 and r["n_rows"] == 10 and r["last_modified"] is not None
