@@ -7,10 +7,12 @@ the columns it needs, so the Parquet scans read those columns alone.
 
 Join strategy: ``nation`` and ``region`` are fixed-size dimension tables
 (25 and 5 rows by the TPC-H specification), so they are broadcast
-explicitly.  ``supplier`` and ``part`` grow with the scale factor; they are
-*not* hinted, so Spark broadcasts them only when the size estimate is under
-``spark.sql.autoBroadcastJoinThreshold`` (checked at plan time and again by
-AQE at run time) and sort-merge joins them otherwise.
+explicitly.  ``supplier`` and ``part`` grow with the scale factor: their
+narrow projections are counted and broadcast only under
+``joins.BROADCAST_MAX_ROWS``; beyond that they are sort-merge joined (AQE
+splits skewed partitions).  Without the check Spark's size estimate of the
+supplier x nation x region chain (a product of the inputs) is far too high,
+and AQE ended up broadcasting the line items instead.
 """
 
 from __future__ import annotations
@@ -19,6 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.coerce import hs4_from_code
+from ..operators.joins import sized_broadcast
 
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem",
           "events", "documents", "embeddings", "pages", "benchmark", "labels",
@@ -65,8 +68,8 @@ def price_observations(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = read_table(spark, sf_dir, "lineitem",
                     ["l_partkey", "l_suppkey", "l_quantity", "l_extendedprice",
                      "l_returnflag", "l_shipdate"])
-    part = read_table(spark, sf_dir, "part", ["p_partkey", "p_type", "p_brand"])
-    geo = supplier_geo(spark, sf_dir)
+    part = sized_broadcast(read_table(spark, sf_dir, "part", ["p_partkey", "p_type", "p_brand"]))
+    geo = sized_broadcast(supplier_geo(spark, sf_dir))
     return (li.join(geo, li.l_suppkey == geo.s_suppkey)
             .join(part, li.l_partkey == part.p_partkey)
             .select(F.col("l_shipdate").alias("date"), "country", "market",
