@@ -109,9 +109,9 @@ def build_weekly_panel(prices: DataFrame, macros: DataFrame, freight: DataFrame
     for c in MACRO_COLS:
         if c not in m.columns:
             m = m.withColumn(c, F.lit(None).cast("double"))
-    # The weekly inputs are tiny but read several times (main join, ocean
-    # proxy, constants): materialise each once so the large sources they
-    # come from are scanned once.
+    # The weekly macro table is tiny but read three times (main join, ocean
+    # proxy, constants), each time pruned differently so no exchange is
+    # reused: materialise it once so its large source is scanned once.
     m = cut_lineage(keep_last(m.select("week_start", *MACRO_COLS), ["week_start"], MACRO_COLS))
     p = p.join(F.broadcast(m), "week_start", "left")
     p = p.withColumn("price_usd_per_l", F.col("price_eur_per_l") * F.col("usd_per_eur"))
@@ -123,7 +123,7 @@ def build_weekly_panel(prices: DataFrame, macros: DataFrame, freight: DataFrame
                    F.stddev_samp("price_usd_per_l").alias("_base_std"))
 
     if freight is not None and "fbx" in freight.columns:
-        p = p.join(F.broadcast(cut_lineage(ocean_proxy_table(m, freight))), "week_start", "left")
+        p = p.join(F.broadcast(ocean_proxy_table(m, freight)), "week_start", "left")
     else:
         p = p.withColumn("ocean_proxy", F.lit(None).cast("double"))
     p = p.withColumns({"ocean_idx": F.col("ocean_proxy"),
@@ -138,8 +138,7 @@ def build_weekly_panel(prices: DataFrame, macros: DataFrame, freight: DataFrame
                         F.coalesce(F.col("specific_usd_per_kg"), F.lit(0.0))
                         .alias("specific_usd_per_kg"),
                         F.col("grade").alias("_tgrade")))
-    t = cut_lineage(keep_last(t, ["hs_prefix"], ["_tgrade", "adval_pct", "specific_usd_per_kg"])
-                    .drop("_tgrade"))
+    t = keep_last(t, ["hs_prefix"], ["_tgrade", "adval_pct", "specific_usd_per_kg"]).drop("_tgrade")
     p = p.join(F.broadcast(t), "hs_prefix", "left")
     p = p.withColumns({
         "adval_pct": F.coalesce(F.col("adval_pct"), F.lit(0.0)),

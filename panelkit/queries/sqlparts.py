@@ -51,8 +51,7 @@ def with_(*ctes: str) -> str:
 
 def rr(expr: str, digits: int = 6) -> str:
     """Same stable rounding as ``catalog.stable_round``."""
-    return (f"(CASE WHEN abs({expr}) < 1e12 THEN floor(({expr}) * 1e{digits} + 0.5001) / 1e{digits}"
-            f" ELSE ({expr}) END)")
+    return f"(round_even(({expr}) * 1e{digits} + 0.0001, 0) / 1e{digits} + 0.0)"
 
 
 def r(expr: str, alias: str, digits: int = 6) -> str:

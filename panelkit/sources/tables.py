@@ -62,14 +62,27 @@ def brand_hs4(col) -> F.Column:
     return F.lpad(hs4_from_code(F.col(col)), 4, "0")
 
 
+_BROADCAST_DECISIONS: dict[tuple[str, str], bool] = {}
+
+
+def _dimension(spark: SparkSession, sf_dir: str, name: str, df: DataFrame) -> DataFrame:
+    """``sized_broadcast`` with the decision remembered per table path for
+    the session (a plan-time choice, not data), so the count runs once."""
+    key = (sf_dir.rstrip("/"), name)
+    if key not in _BROADCAST_DECISIONS:
+        _BROADCAST_DECISIONS[key] = sized_broadcast(df) is not df
+    return F.broadcast(df) if _BROADCAST_DECISIONS[key] else df
+
+
 def price_observations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Typed price observations, one per line item: date, country, market,
     grade, price_eur_per_l, pack, hs_prefix."""
     li = read_table(spark, sf_dir, "lineitem",
                     ["l_partkey", "l_suppkey", "l_quantity", "l_extendedprice",
                      "l_returnflag", "l_shipdate"])
-    part = sized_broadcast(read_table(spark, sf_dir, "part", ["p_partkey", "p_type", "p_brand"]))
-    geo = sized_broadcast(supplier_geo(spark, sf_dir))
+    part = _dimension(spark, sf_dir, "part",
+                      read_table(spark, sf_dir, "part", ["p_partkey", "p_type", "p_brand"]))
+    geo = _dimension(spark, sf_dir, "supplier", supplier_geo(spark, sf_dir))
     return (li.join(geo, li.l_suppkey == geo.s_suppkey)
             .join(part, li.l_partkey == part.p_partkey)
             .select(F.col("l_shipdate").alias("date"), "country", "market",
