@@ -16,14 +16,12 @@ def _c(col) -> Column:
 
 def null_if_nan(col) -> Column:
     """NaN -> NULL (pandas treats both as missing; Spark ``avg`` does not)."""
-    c = _c(col)
-    return F.when(~F.isnan(c), c)
+    return F.nanvl(_c(col), F.lit(None).cast("double"))
 
 
 def to_double(col) -> Column:
     """``to_numeric(errors='coerce')`` - bad text and NaN become NULL."""
-    v = _c(col).try_cast("double")
-    return F.when(~F.isnan(v), v)
+    return F.nanvl(_c(col).try_cast("double"), F.lit(None).cast("double"))
 
 
 def nan_to_null(df: DataFrame) -> DataFrame:

@@ -35,6 +35,7 @@ CLUSTER_HINTS = {
     "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "512m",
     "spark.sql.files.maxPartitionBytes": "512m",
     "spark.sql.autoBroadcastJoinThreshold": "64m",
+    "spark.executor.extraJavaOptions": "-XX:-DontCompileHugeMethods",
     "spark.checkpoint.dir": "<shared storage path>",
 }
 
@@ -51,6 +52,9 @@ def get_spark(master: str | None = None, shuffle_partitions: int = 8,
         builder = builder.config(key, value)
     builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     builder = builder.config("spark.driver.memory", os.environ.get("PANELKIT_DRIVER_MEM", "16g"))
+    if os.environ.get("PANELKIT_JIT_HUGE", "1") == "1":
+        # let the JIT compile large generated methods (wide projections)
+        builder = builder.config("spark.driver.extraJavaOptions", "-XX:-DontCompileHugeMethods")
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark
