@@ -22,6 +22,8 @@ LOCAL_DEFAULTS = {
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # remove reliable checkpoint files once their DataFrame is garbage collected
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
@@ -36,6 +38,7 @@ CLUSTER_HINTS = {
     "spark.sql.files.maxPartitionBytes": "512m",
     "spark.sql.autoBroadcastJoinThreshold": "64m",
     "spark.executor.extraJavaOptions": "-XX:-DontCompileHugeMethods",
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     "spark.checkpoint.dir": "<shared storage path>",
 }
 
