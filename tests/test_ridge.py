@@ -62,3 +62,23 @@ def test_forecast_history_last_and_filters(spark):
     assert one and all(r["country"] in ("EUROPE", None) for r in one)
     with pytest.raises(ValueError):
         forecast(p, models, steps=2, country="NOWHERE", check_empty=True)
+
+
+def test_monthly_table_and_planning_order(spark):
+    from panelkit.plans.forecast import (forecast, monthly_forecast, planning_scenario,
+                                         steps_for_months)
+    from panelkit.plans.models import train
+    p = processed(spark, SF001)
+    models = train(p)
+    weekly = forecast(p, models, steps=steps_for_months(2))
+    monthly = monthly_forecast(weekly, 2).collect()
+    per_seg = {}
+    for r in monthly:
+        per_seg.setdefault((r["segment_type"], r["country"], r["grade"]), []).append(r)
+    assert per_seg and all(len(v) == 2 for v in per_seg.values())
+    assert all(r["confidence_interval_lower"] <= r["predicted_price_usd_per_liter"]
+               <= r["confidence_interval_upper"] for r in monthly)
+    plan = planning_scenario(p, models, ["EUROPE", "ASIA"], "R", 15).collect()
+    keys = [(r["country"], r["date"]) for r in plan]
+    assert keys == sorted(keys) and {r["country"] for r in plan} <= {"EUROPE", "ASIA"}
+    assert {r["step"] for r in plan} == {1, 2, 3}
