@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelkit.llm import simhash, toxicity
+from panelkit.llm import decontam, mixing, simhash, tokens, toxicity
 from panelkit.llm.common import table, written
 
 
@@ -26,9 +26,27 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     return simhash.drop_near_copies(docs)
 
 
+def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents in which a benchmark item occurs within its edit budget go."""
+    return decontam.drop_leaks(docs, table(spark, sf_dir, "benchmark", "item_id", "text"))
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every document as often as the mix takes it, shard by shard."""
+    return mixing.mixed_documents(docs)
+
+
+def token_files(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token files of the mix; doc_id, start, n_tokens and ids_crc32 read back from them."""
+    return tokens.token_files(docs)
+
+
 STAGES = [
     ("toxicity", drop_toxic),
     ("SimHash near-dedup", drop_near_copies),
+    ("benchmark decontamination", drop_leaks),
+    ("mixing sources to target weights", mix_sources),
+    ("token-ID / binary output", token_files),
 ]
 
 #: Model fitting, XXH64 fingerprints and the tokenizer are beyond SQL; see tests/llm.
