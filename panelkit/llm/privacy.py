@@ -56,7 +56,7 @@ def digits(value: Column) -> Column:
 
 def luhn(number: Column) -> Column:
     """Whether the digits of a number pass the Luhn test."""
-    each = F.transform(F.split(F.reverse(number), "(?!^)"), lambda d, i: F.when(
+    each = F.transform(F.split(F.reverse(number), "(?<=.)(?=.)"), lambda d, i: F.when(
         i % 2 == 0, d.cast("int")).otherwise((d.cast("int") * 2) - F.when(d.cast("int") > 4, 9).otherwise(0)))
     return F.aggregate(each, F.lit(0), lambda a, d: a + d) % 10 == 0
 
@@ -171,9 +171,10 @@ def term_spans(docs: DataFrame, terms: DataFrame) -> DataFrame:
     rows = docs.where("text IS NOT NULL").select("doc_id", "text", F.xxhash64("text").alias("h"))
     words = F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(WORD), F.lit(0)))
     hits = (rows.select("doc_id", "h", F.explode(words).alias("term")).join(terms, "term")
-            .groupBy("doc_id", "h").agg(F.map_from_entries(F.collect_set(F.struct("term", "disclosure"))).alias("terms")))
-    key = (rows["doc_id"].eqNullSafe(hits["doc_id"])) & (rows["h"] == hits["h"])
-    once = rows.join(hits, key).select(rows["doc_id"], rows["h"], "text", "terms").dropDuplicates(["doc_id", "h"])
+            .groupBy(F.col("doc_id").alias("hit_id"), F.col("h").alias("hit_h"))
+            .agg(F.map_from_entries(F.collect_set(F.struct("term", "disclosure"))).alias("terms")))
+    once = (rows.join(hits, F.col("doc_id").eqNullSafe(F.col("hit_id")) & (F.col("h") == F.col("hit_h")))
+            .select("doc_id", "h", "text", "terms").dropDuplicates(["doc_id", "h"]))
     pattern = F.concat(F.lit(r"(?iu)(?<!\p{L})(?:"), F.array_join(F.map_keys("terms"), "|"), F.lit(r")(?!\p{L})"))
     found = once.select("doc_id", "h", "terms", located(F.col("text"), pattern).alias("found"))
     return found.select("doc_id", "h", F.transform("found", lambda s: F.struct(
@@ -192,10 +193,10 @@ def sanitise(docs: DataFrame, min_contexts: int = MIN_CONTEXTS, generalise_at: f
     """
     found = written(base_spans(docs), "privacy-spans")
     terms = written(disclosing_terms(docs, found, min_contexts, generalise_at), "privacy-terms")
-    extra = term_spans(docs, terms)
+    extra = term_spans(docs, terms).withColumnsRenamed({"doc_id": "hit_id", "h": "hit_h"})
     base = found.select("doc_id", "h", "spans")
-    joined = base.join(extra, base["doc_id"].eqNullSafe(extra["doc_id"]) & (base["h"] == extra["h"]), "left").select(
-        base["doc_id"], base["h"], "spans", "term_spans", "terms")
+    joined = base.join(extra, F.col("doc_id").eqNullSafe(F.col("hit_id")) & (F.col("h") == F.col("hit_h")), "left").select(
+        "doc_id", "h", "spans", "term_spans", "terms")
     free = F.filter("term_spans", lambda t: ~F.exists(
         "spans", lambda s: (t["start"] < s["end"]) & (s["start"] < t["end"])))
     spans = ordered(F.concat("spans", F.coalesce(free, F.array().cast(f"array<{SPAN}>"))))

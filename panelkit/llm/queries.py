@@ -31,9 +31,11 @@ def listed(spans: Column) -> Column:
 
 def span_digests(rows: DataFrame, kinds: tuple[str, ...]) -> DataFrame:
     """Counts of the base kinds, the digest of their spans, and all spans as text."""
-    counts = [F.size(F.filter("spans", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{k}") for k in kinds]
+    def count(kind: str) -> Column:
+        return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
     base = F.filter("spans", lambda s: s["kind"].isin(*kinds))
-    return rows.select("doc_id", *counts, F.sha2(listed(base), 256).alias("base_sha256"),
+    return rows.select("doc_id", *map(count, kinds), F.sha2(listed(base), 256).alias("base_sha256"),
                        listed(F.col("spans")).alias("spans"))
 
 
@@ -51,7 +53,7 @@ SQL["op1_quality"] = rf"""
 WITH d AS (
   SELECT row_number() OVER () AS k, doc_id, coalesce(text, '') AS text,
          regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words,
-         list_filter(string_split(coalesce(text, ''), chr(10)), l -> regexp_matches(l, '[^\x20\x09-\x0D]')) AS lines
+         list_filter(string_split(coalesce(text, ''), chr(10)), lambda l: regexp_matches(l, '[^\x20\x09-\x0D]')) AS lines
   FROM documents),
 g AS (
   SELECT k, i, array_to_string(words[i:i + 4], ' ') AS gram
@@ -60,11 +62,11 @@ r AS (SELECT k, i FROM (SELECT k, i, count(*) OVER (PARTITION BY k, gram) AS c F
 c AS (SELECT k, count(DISTINCT p) AS n FROM (SELECT k, unnest(range(i, i + 5)) AS p FROM r) GROUP BY k),
 m AS (
   SELECT d.k, doc_id, len(words)::BIGINT AS n_words,
-         coalesce(list_sum(list_transform(words, w -> length(w))), 0)::BIGINT AS word_chars,
+         coalesce(list_sum(list_transform(words, lambda w: length(w))), 0)::BIGINT AS word_chars,
          length(regexp_replace(text, '[^#*$%&|<>]', '', 'g'))::BIGINT AS n_symbols,
          (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines,
          coalesce(c.n, 0)::BIGINT AS n_repeat_words, len(lines) AS n_lines,
-         len(list_filter(words, w -> upper(w) = w AND lower(w) <> w)) AS n_shout
+         len(list_filter(words, lambda w: upper(w) = w AND lower(w) <> w)) AS n_shout
   FROM d LEFT JOIN c ON c.k = d.k),
 f AS (
   SELECT *, CASE WHEN n_words < {quality.MIN_WORDS} THEN 1 ELSE 0 END

@@ -69,7 +69,6 @@ def base_spans(text: str, maybe_hex: bool = True) -> list[Span]:
 
 # ---- features -----------------------------------------------------------------------
 
-SHAPES = ((re.compile("[a-z\xdf-\xff]"), "a"), (re.compile("[A-Z\xc0-\xde]"), "A"), (re.compile("[0-9]"), "0"))
 KEYWORD = re.compile(r"pass|pwd|secret|token|key|cred|auth|bearer", re.I)
 
 
@@ -84,21 +83,38 @@ def entropy(token: str) -> float:
 
 def shape(token: str) -> str:
     """Classes of characters in order of appearance, runs folded, first eight."""
-    folded = re.sub(r"[^\W\d_]+", lambda m: "A" if m[0].isupper() else "a" if m[0].islower() else "Aa", token)
+    folded = re.sub(r"[^\W\d_]+", lambda m: case(m[0]), token)
     folded = re.sub(r"\d+", "0", folded)
     return re.sub(r"((?:Aa|A|a|0){1,3})\1+", r"\1+", folded)[:8]
 
 
+def case(letters: str) -> str:
+    return "a" if letters.islower() else "A" if letters.isupper() else "Aa"
+
+
+def plain_class(token: str) -> tuple[str, int] | None:
+    """Shape and size class of a word of letters, with marks around it; None for any other token.
+    Words of one class have the same features."""
+    core = token.strip("\"'.,;:=()")
+    if not core.isalpha() or KEYWORD.search(core):
+        return None
+    return token.replace(core, case(core), 1)[:8], min(len(token).bit_length(), 8)
+
+
 def describe(token: str) -> tuple[list[int], list[int]]:
     """Feature ids of a token for itself and for its neighbours."""
-    word = token.strip("\"'.,;:=()").lower()
-    size = min(len(token).bit_length(), 8)
-    kind = shape(token)
-    key = bool(KEYWORD.search(token))
-    digits = sum(c.isdigit() for c in token)
-    own = [f"s:{kind}", f"n:{size}", f"k:{key}", f"d:{min(digits, 9)}", f"e:{int(2 * entropy(token))}",
-           f"r:{int(4 * digits / len(token))}", f"q:{'=' in token}{':' in token}", f"p:{token[:4]}"]
-    near = [f"s:{kind[:4]}", f"k:{key}", f"w:{word if key or len(word) < 3 else ''}"]
+    plain = plain_class(token)
+    if plain:
+        kind, size = plain
+        own = [f"s:{kind}", f"n:{size}", "k:False", "d:0", "e:word", "r:0", f"q:{'=' in token}{':' in token}", "p:word"]
+        near = [f"s:{kind[:4]}", "k:False", "w:"]
+    else:
+        word, kind, key = token.strip("\"'.,;:=()").lower(), shape(token), bool(KEYWORD.search(token))
+        digits = sum(c.isdigit() for c in token)
+        own = [f"s:{kind}", f"n:{min(len(token).bit_length(), 8)}", f"k:{key}", f"d:{min(digits, 9)}",
+               f"e:{int(2 * entropy(token))}", f"r:{int(4 * digits / len(token))}",
+               f"q:{'=' in token}{':' in token}", f"p:{token[:4]}"]
+        near = [f"s:{kind[:4]}", f"k:{key}", f"w:{word if key else ''}"]
     return [number(f) for f in own], [number(f) for f in near]
 
 
@@ -121,9 +137,10 @@ class Field:
 
     def lead(self) -> float:
         """A lead of "outside" that no neighbouring tags can make up for."""
-        t = self.move
-        return max(t[a, y] + t[y, b] - t[a, OUT] - t[OUT, b]
-                   for y in (BEGIN, INSIDE) for a in range(3) for b in range(3)) + 1e-9
+        gain = self.move[:, [BEGIN, INSIDE]] - self.move[:, [OUT]]  # moves into the tag
+        back = self.move[[BEGIN, INSIDE]] - self.move[[OUT]]  # moves out of it
+        into, out = np.maximum(gain.max(0), 0), np.maximum(back.max(1), 0)  # 0: at an edge of the text
+        return float((into + out).max()) + 1e-9
 
 
 def viterbi(scores: np.ndarray, move: np.ndarray, left: int | None = None, right: int | None = None) -> list[int]:
@@ -150,21 +167,31 @@ class Tagger:
         self.clear()
 
     def clear(self) -> None:
-        self.rows: dict[bytes, int] = {}
+        self.rows: dict[bytes, int] = {}  # of tokens
+        self.classes: dict[tuple, int] = {}  # of plain words
+        self.size = 0
         self.table = np.zeros((1024, 9))
         self.flags = np.zeros((1024, 3), bool)  # has a digit, has = or :, holds a long hex run
 
     def add(self, token: bytes) -> int:
-        i = len(self.rows)
+        text, f = token.decode(), self.field
+        long_hex = len(token) >= 24 and bool(LONG_HEX.search(text))
+        key = plain_class(text)
+        key = key and (*key, long_hex)
+        if key in self.classes:
+            self.rows[token] = self.classes[key]
+            return self.rows[token]
+        i, self.size = self.size, self.size + 1
         if i == len(self.table):
             self.table = np.vstack([self.table, np.zeros_like(self.table)])
             self.flags = np.vstack([self.flags, np.zeros_like(self.flags)])
-        text, f = token.decode(), self.field
         own, near = describe(text)
         # as itself; what it adds to the next token; what it adds to the previous one
         self.table[i] = np.concatenate([f.own[own].sum(0), f.prev[near].sum(0), f.next[near].sum(0)])
-        self.flags[i] = any(c.isdigit() for c in text), "=" in text or ":" in text, bool(LONG_HEX.search(text))
+        self.flags[i] = any(c.isdigit() for c in text), "=" in text or ":" in text, long_hex
         self.rows[token] = i
+        if key:
+            self.classes[key] = i
         return i
 
     def look_up(self, tokens: list[bytes]) -> np.ndarray:
@@ -225,8 +252,8 @@ class Tagger:
 # ---- fitting ------------------------------------------------------------------------
 
 def sample_windows(text: str, limit: int = 4) -> list[tuple[list[str], list[int], list[int]]]:
-    """Windows of (tokens, tags, file features): around the pattern's spans, or one window at a
-    hashed place of a text without any."""
+    """Windows of (tokens, tags, file features): around the pattern's spans, or, in a text without
+    any, at a hashed place and around the token with most digits."""
     places = [m.span() for m in re.finditer(WORD, text)]
     if not places:
         return []
@@ -244,8 +271,8 @@ def sample_windows(text: str, limit: int = 4) -> list[tuple[list[str], list[int]
     file = file_features(len(tokens), sum(any(c.isdigit() for c in t) for t in tokens),
                          sum("=" in t or ":" in t for t in tokens))
     if not centres:
-        a = xxhash.xxh32_intdigest(text) % len(tokens)
-        centres = [(a, a + 1)]
+        digits = [sum(c.isdigit() for c in t) for t in tokens]
+        centres = [(a, a + 1) for a in (xxhash.xxh32_intdigest(text) % len(tokens), int(np.argmax(digits)))]
     out = []
     for a, b in centres[:limit]:
         a, b = max(0, a - CONTEXT), min(len(tokens), b + CONTEXT)

@@ -36,7 +36,8 @@ BLOCK_IDS = 1 << 20
 CACHE = 400_000
 
 MAGIC = b"VLC1"
-HEAD = struct.Struct("<4sIQQQ")
+HEAD = "<4sIQQQ"
+HEAD_SIZE = struct.calcsize(HEAD)
 
 
 # ---- tokenizing ---------------------------------------------------------------------
@@ -174,16 +175,16 @@ def unpack(control: bytes, data: bytes, n: int) -> np.ndarray:
 
 def block(lengths: list[int], ranks: np.ndarray, before: int) -> bytes:
     control, data = pack(ranks)
-    return b"".join([HEAD.pack(MAGIC, len(lengths), len(ranks), len(control), before),
+    return b"".join([struct.pack(HEAD, MAGIC, len(lengths), len(ranks), len(control), before),
                      np.array(lengths, "<u4").tobytes(), control, data])
 
 
 def unblock(raw: bytes) -> tuple[np.ndarray, np.ndarray, int]:
     """(document lengths, ranks, numbers before the block in its file)."""
-    magic, docs, n, n_control, before = HEAD.unpack_from(raw)
+    magic, docs, n, n_control, before = struct.unpack_from(HEAD, raw)
     if magic != MAGIC:
         raise ValueError("not a token block")
-    a = HEAD.size
+    a = HEAD_SIZE
     b = a + 4 * docs
     lengths = np.frombuffer(raw, "<u4", docs, a)
     return lengths, unpack(raw[b:b + n_control], raw[b + n_control:], n), before
@@ -245,9 +246,9 @@ def read_tokens(spark, path: str) -> DataFrame:
 
     def total(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            yield pd.DataFrame({"file": pdf["file"], "n": [HEAD.unpack(h)[2] for h in pdf["head"]]})
+            yield pd.DataFrame({"file": pdf["file"], "n": [struct.unpack(HEAD, h)[2] for h in pdf["head"]]})
 
-    heads = blocks.select("file", F.expr(f"substring(block, 1, {HEAD.size})").alias("head"))
+    heads = blocks.select("file", F.expr(f"substring(block, 1, {HEAD_SIZE})").alias("head"))
     files = heads.mapInPandas(total, "file int, n long").groupBy("file").agg(F.sum("n").alias("n"))
     order = W.orderBy("file").rowsBetween(W.unboundedPreceding, -1)  # one row per file
     offsets = files.select("file", F.coalesce(F.sum("n").over(order), F.lit(0)).alias("offset"))
