@@ -32,8 +32,9 @@ TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 END_ID = 0
 #: Numbers in a block, about; a longer document makes its own block.
 BLOCK_IDS = 1 << 20
-#: Entries of a worker's word cache; a full cache is emptied, which changes no result.
-CACHE = 400_000
+#: Entries of a worker's caches of words and of their parts; a full one is emptied, which
+#: changes no result.
+WORDS, PARTS = 600_000, 900_000
 
 MAGIC = b"VLC1"
 HEAD = "<4sIQQQ"
@@ -52,80 +53,114 @@ MARK = "!\"#$%&()*+,\\-./:;<=>?@\\[\\\\\\]^_`{|}~"
 STRETCH = re.compile(
     f" ?[{LATIN}]+(?=[{SPACE}{MARK}]|$)| ?[{MARK}]+(?=[{SPACE}{LATIN}]|$)"
     f"| ?[^{SPACE}]+|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]+")
-NEWLINE_FREE = re.compile(f" ?[^{SPACE}]+")
+#: Stretches that the pre-tokenizer leaves whole.
+WHOLE = re.compile(f" ?(?:[{LATIN}]+|[{MARK}]+)")
+#: White space that it may join across the spaces at which a text is split.
+LONG_SPACE = re.compile(f"[{SPACE}]{{3}}|[{SPACE}]{{2}}$")
+ODD_SPACE = re.compile(f"(?![ \n])[{SPACE}]")
+
+
+def byte_letters() -> list[str]:
+    """The letter by which a byte-level vocabulary writes each byte: itself where it can be
+    printed, else the next free code point from 256 on."""
+    printed = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    rest = [b for b in range(256) if b not in printed]
+    letter = {b: chr(b) for b in printed} | {b: chr(256 + i) for i, b in enumerate(rest)}
+    return [letter[b] for b in range(256)]
+
+
+LETTER = byte_letters()
 
 
 class Encoder:
-    """The tokenizers library with the ids of each stretch of text kept for a while: encoding a
-    text equals joining the ids of its stretches (see the tests)."""
+    """The tokenizers library with the ids of words and of their parts kept for a while: encoding
+    a text equals joining the ids of its parts (see the tests).  Ids are bytes of ``dtype``."""
 
     def __init__(self, path: str = TOKENIZER):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self.library = Tokenizer.from_file(path)
+        self.model = self.library.model
         self.special = [t.content for t in self.library.get_added_tokens_decoder().values()]
-        self.cache: dict[str, bytes] = {}
-        self.newline = self.library.encode("\n", add_special_tokens=False).ids
-
-    def learn(self, stretches: list[str]) -> None:
-        """Encode many stretches in one call, set apart by line breaks."""
-        plain = [s for s in stretches if NEWLINE_FREE.fullmatch(s)]
-        for s in set(stretches).difference(plain):
-            self.cache[s] = self.encode_whole(s)
-        if plain:
-            ids = np.array(self.library.encode_batch_fast(["\n".join(plain)], add_special_tokens=False)[0].ids, "<u4")
-            cuts = np.flatnonzero(ids == self.newline[0])
-            starts, ends = [0, *(cuts + 1).tolist()], [*cuts.tolist(), len(ids)]
-            raw = ids.tobytes()
-            for s, a, b in zip(plain, starts, ends, strict=True):
-                self.cache[s] = raw[4 * a:4 * b]
+        self.dtype = "<u2" if self.library.get_vocab_size() <= 1 << 16 else "<u4"
+        self.words: dict[str, bytes] = {}
+        self.parts: dict[str, bytes] = {}
 
-    def encode_whole(self, text: str) -> bytes:
-        return np.array(self.library.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+    def pack(self, ids: list[int]) -> bytes:
+        return np.array(ids, self.dtype).tobytes()
 
-    def encode(self, texts: list[str | None]) -> list[bytes]:
-        """Ids of each text (NULL: none) as little-endian unsigned 32-bit integers."""
-        out = []
-        for text in texts:
-            if not text:
-                out.append(b"")
-            elif any(s in text for s in self.special):
-                out.append(self.encode_whole(text))
+    def encode_whole(self, text: str) -> bytes:
+        return self.pack(self.library.encode(text, add_special_tokens=False).ids)
+
+    def part(self, stretch: str) -> bytes:
+        got = self.parts.get(stretch)
+        if got is None:
+            if WHOLE.fullmatch(stretch):
+                letters = "".join([LETTER[b] for b in stretch.encode()])
+                got = self.pack([t.id for t in self.model.tokenize(letters)])
             else:
-                found = STRETCH.findall(text)
-                new = set(found).difference(self.cache)
-                if new:
-                    if len(self.cache) >= CACHE:
-                        self.cache.clear()
-                        new = set(found)
-                    self.learn(list(new))
-                out.append(b"".join(map(self.cache.__getitem__, found)))
-        return out
+                got = self.encode_whole(stretch)
+            if len(self.parts) >= PARTS:
+                self.parts.clear()
+            self.parts[stretch] = got
+        return got
+
+    def join(self, text: str) -> bytes:
+        found = STRETCH.findall(text)
+        return self.part(found[0]) if len(found) == 1 else b"".join(map(self.part, found))
+
+    def encode_one(self, text: str | None) -> bytes:
+        if not text:
+            return b""
+        if any(s in text for s in self.special):
+            return self.encode_whole(text)
+        # words with the space before them left out, or with the line break before them
+        first, *words = text.replace("\n", " \n").split(" ")
+        if words.count("") + words.count("\n") > 1 or words and words[-1] in ("", "\n"):
+            if LONG_SPACE.search(text):
+                return self.join(text)
+        if len(self.words) >= WORDS:
+            self.words.clear()
+        kept = self.words
+        got = list(map(kept.get, words))
+        if None in got:
+            for i, ids in enumerate(got):
+                if ids is None:
+                    w = words[i]
+                    if w not in kept:
+                        if ODD_SPACE.search(w):
+                            return self.join(text)
+                        kept[w] = self.join(w if w[:1] == "\n" else " " + w)
+                    got[i] = kept[w]
+        if ODD_SPACE.search(first):
+            return self.join(text)
+        return (self.join(first) if first else b"") + b"".join(got)
 
+    def encode(self, texts: list[str | None]) -> list[bytes]:
+        return [self.encode_one(t) for t in texts]
 
-def tokenized(docs: DataFrame, path: str, tokenizer: str = TOKENIZER) -> np.ndarray:
-    """Write (doc_id, ids) of every text to ``path``; the counts of all ids, end ids included.
 
-    Ids are stored as unsigned 16-bit integers where they fit.
-    """
+def tokenized(docs: DataFrame, path: str, tokenizer: str = TOKENIZER) -> tuple[np.ndarray, str]:
+    """Write (doc_id, ids) of every text to ``path``; the ids that occur, end ids included, by
+    falling count, and the type of the written ids."""
     spark = docs.sparkSession
+    dtype = Encoder(tokenizer).dtype
 
     @F.pandas_udf("binary")
     def encode(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         encoder = Encoder(tokenizer)
         for texts in batches:
-            yield pd.Series([narrow(b) for b in encoder.encode(texts.tolist())], dtype=object)
+            yield pd.Series(encoder.encode(texts.tolist()), dtype=object)
 
     (docs.select(F.col("doc_id").cast("long"), encode(F.col("text")).alias("ids"))
      .write.option("compression", "zstd").parquet(path))
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        total = np.zeros(1, np.int64)
+        total = np.zeros(END_ID + 1, np.int64)
         for pdf in batches:
-            for raw in pdf["ids"]:
-                got = np.bincount(wide(raw), minlength=len(total))
-                got[:len(total)] += total
-                total = got
+            got = np.bincount(np.frombuffer(b"".join(pdf["ids"]), dtype), minlength=len(total))
+            got[:len(total)] += total
+            total = got
             total[END_ID] += len(pdf)
         seen = np.flatnonzero(total)
         yield pd.DataFrame({"id": seen, "n": total[seen]})
@@ -133,19 +168,7 @@ def tokenized(docs: DataFrame, path: str, tokenizer: str = TOKENIZER) -> np.ndar
     ids = spark.read.schema("doc_id long, ids binary").parquet(path).select("ids")
     rows = (ids.mapInPandas(count, "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
             .orderBy(F.desc("n"), "id").select("id").collect())  # at most the vocabulary
-    return np.array([r.id for r in rows], np.uint32)
-
-
-def narrow(ids: bytes) -> bytes:
-    """u4 ids as b'2' + u2 ids if all fit, else b'4' + u4 ids."""
-    a = np.frombuffer(ids, "<u4")
-    if not len(a) or a.max() < 1 << 16:
-        return b"2" + a.astype("<u2").tobytes()
-    return b"4" + ids
-
-
-def wide(raw: bytes) -> np.ndarray:
-    return np.frombuffer(raw, "<u2" if raw[:1] == b"2" else "<u4", offset=1).astype(np.int64)
+    return np.array([r.id for r in rows], np.uint32), dtype
 
 
 # ---- variable-length code -----------------------------------------------------------
@@ -199,7 +222,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str = TOKENIZER, block_i
     columns are ignored.
     """
     spark = docs.sparkSession
-    by_rank = tokenized(docs, f"{path}/raw", tokenizer)
+    by_rank, dtype = tokenized(docs, f"{path}/raw", tokenizer)
     spark.createDataFrame(pd.DataFrame({"rank": np.arange(len(by_rank)), "id": by_rank.astype(np.int64)}),
                           "rank long, id long").coalesce(1).write.parquet(f"{path}/ranks")
     rank = np.zeros(int(by_rank.max(initial=0)) + 1, np.uint32)
@@ -218,7 +241,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str = TOKENIZER, block_i
 
         for pdf in batches:
             for doc_id, raw in zip(pdf["doc_id"], pdf["ids"]):
-                one = np.append(wide(raw), END_ID)
+                one = np.append(np.frombuffer(raw, dtype), END_ID)
                 if held and waiting + len(one) > block_ids:
                     yield flush()
                     number, before, waiting = number + 1, before + waiting, 0
@@ -267,7 +290,7 @@ def read_tokens(spark, path: str) -> DataFrame:
                     "ids": [ids[a:b].tobytes() for a, b in zip(begins, ends)]})
 
     texts = F.col("doc_ids").cast("array<string>").alias("doc_ids")  # numpy has no NULL in integers
-    return blocks.join(offsets, "file").select(texts, "block", "offset").mapInPandas(
+    return blocks.join(F.broadcast(offsets), "file").select(texts, "block", "offset").mapInPandas(
         decode, "doc_id long, start long, n_tokens long, ids binary")
 
 
