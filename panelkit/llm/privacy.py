@@ -8,8 +8,8 @@ estimated from the whole corpus: with document frequencies df and N documents,
                              = log(N df(t, e) / (df(t) df(e))) / log(N / df(e))
 
 is 1 if the term occurs only beside the entity and 0 if it tells nothing.  A term counts as
-evidence only if it stood beside the entity in several *different* contexts, so copies of one
-passage prove nothing.  Terms at or above ``REMOVE_AT`` are removed, those at or above
+evidence only if it stood beside the entity in several contexts that share few other words, so
+exact and near copies of one passage prove nothing.  Terms at or above ``REMOVE_AT`` are removed, those at or above
 ``GENERALISE_AT`` are replaced by a placeholder, wherever they occur.
 
 Positions come without any loop over characters: the matches of a pattern and the stretches
@@ -27,7 +27,9 @@ from .common import written
 CONTEXT_WORDS, CONTEXT_CHARS = 5, 160
 #: Different contexts in which a term has to stand beside an entity.
 MIN_CONTEXTS = 3
-GENERALISE_AT, REMOVE_AT = 0.6, 0.9
+#: Share of different words among the other words of these contexts.
+MIN_VARIETY = 0.5
+GENERALISE_AT, REMOVE_AT = 0.9, 0.97
 
 KINDS = ("email", "ip", "card", "phone", "term")
 
@@ -149,10 +151,17 @@ def disclosing_terms(docs: DataFrame, found: DataFrame, min_contexts: int = MIN_
     mention = found.where(F.size("mentions") > 0).select(
         F.struct("doc_id", "h").alias("doc"), F.explode("mentions").alias("m")).select(
         "doc", "m.entity", "m.company", F.xxhash64("m.company").alias("context"))
-    beside = mention.select("doc", "entity", "context", F.explode(F.array_distinct("company")).alias("term"))
-    seen = beside.groupBy("entity", "term", "context").agg(F.count(F.lit(1)).alias("n"))
-    pairs = (seen.groupBy("entity", "term").agg(F.count(F.lit(1)).alias("contexts"), F.sum("n").alias("n_beside"))
-             .where(F.col("contexts") >= min_contexts))
+    words = F.array_distinct("company")
+    seen = (mention.select("entity", "context", words.alias("words"))
+            .groupBy("entity", "context").agg(F.count(F.lit(1)).alias("n"), F.first("words").alias("words")))
+    beside = seen.select("entity", "n", "words", F.explode("words").alias("term"))
+    # the other words of a context are at most twice CONTEXT_WORDS
+    others = (beside.select("entity", "term", F.explode("words").alias("other")).where("other <> term")
+              .groupBy("entity", "term", "other").agg(F.count(F.lit(1)).alias("times"))
+              .groupBy("entity", "term").agg((F.count(F.lit(1)) / F.sum("times")).alias("variety")))
+    pairs = (beside.groupBy("entity", "term").agg(F.count(F.lit(1)).alias("contexts"), F.sum("n").alias("n_beside"))
+             .where(F.col("contexts") >= min_contexts).join(others, ["entity", "term"])
+             .where(F.col("variety") >= MIN_VARIETY).select("entity", "term", "n_beside"))
     pairs = written(pairs, "privacy-pairs")
     words = F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(WORD), F.lit(0)))
     df_term = docs.select(F.explode(words).alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("df_term"))
@@ -200,10 +209,10 @@ def sanitise(docs: DataFrame, min_contexts: int = MIN_CONTEXTS, generalise_at: f
     free = F.filter("term_spans", lambda t: ~F.exists(
         "spans", lambda s: (t["start"] < s["end"]) & (s["start"] < t["end"])))
     spans = ordered(F.concat("spans", F.coalesce(free, F.array().cast(f"array<{SPAN}>"))))
-    level = lambda s: F.element_at("terms", F.lower(s["value"]))
-    action = F.transform(spans, lambda s: F.when(s["kind"] != "term", F.lit("remove")).when(
-        level(s) >= remove_at, F.lit("remove")).otherwise(F.lit("generalise")))
-    return joined.select("doc_id", "h", spans.alias("spans"), action.alias("actions"))
+    whole = joined.select("doc_id", "h", spans.alias("spans"), "terms")
+    action = F.transform("spans", lambda s: F.when(s["kind"] != "term", F.lit("remove")).when(
+        F.element_at("terms", F.lower(s["value"])) >= remove_at, F.lit("remove")).otherwise(F.lit("generalise")))
+    return whole.select("doc_id", "h", "spans", action.alias("actions"))
 
 
 def cleaned(text: Column, spans: Column, actions: Column) -> Column:

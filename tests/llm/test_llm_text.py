@@ -173,10 +173,11 @@ def test_private_query_on_edge_rows(spark):
 
 
 def test_disclosing_terms_are_found_and_copies_prove_nothing(spark):
-    filler = ["alpha", "beta", "gamma", "delta", "omega", "sigma"]
-    rows = [f"{filler[i]} one Zorblat writes ann@x.org two {filler[-i - 1]}" for i in range(5)]
+    fill = [f"{a}{b}" for a in ("al", "be", "ga", "de", "om", "si") for b in ("pha", "ta", "mma", "ga")]
+    rows = [f"{fill[4 * i]} {fill[4 * i + 1]} Zorblat {fill[4 * i + 2]} ann@x.org {fill[4 * i + 3]}" for i in range(5)]
     rows += ["same words Quibble same bob@y.org same words"] * 6
-    rows += [f"one two writes {w} same words" for w in filler * 6] + ["a late Zorblat alone"]
+    rows += [f"near copies show {w} Quabble today eve@z.org near copies show" for w in fill[:8]]
+    rows += [f"one two writes {w} same words" for w in fill * 3] + ["a late Zorblat alone"]
     docs = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")
     got = {r.doc_id: r for r in privacy.sanitise(docs).collect()}
     terms = {r.doc_id: [s.value for s in got[r.doc_id].spans if s.kind == "term"] for r in got.values()}
@@ -185,7 +186,7 @@ def test_disclosing_terms_are_found_and_copies_prove_nothing(spark):
     from pyspark.sql import functions as F
     clean = privacy.sanitise(docs).join(docs, "doc_id").where("doc_id = 0").select(
         privacy.cleaned(F.col("text"), F.col("spans"), F.col("actions"))).first()[0]
-    assert clean == "alpha one  writes  two sigma"
+    assert clean == "alpha alta <term> almma  alga"
 
 
 # ---- toxicity -----------------------------------------------------------------------
