@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import (DateType, NumericType, StringType,
                                TimestampNTZType, TimestampType)
 
-from .coerce import to_double
+from .coerce import parse_date_text, strip_ws, to_double
 
 
 def _c(col) -> Column:
@@ -39,14 +39,14 @@ def iso_week(col) -> Column:
 def iso_week_start(year, week) -> Column:
     """ISO (year, week) -> Monday.  Week outside 1..53 or a bad number
     gives NULL; week 53 of a 52-week year rolls into the next year (Q21)."""
-    y = to_double(_c(year)).cast("int")
-    w = to_double(_c(week)).cast("int")
-    jan4 = F.make_date(y, F.lit(1), F.lit(4))
-    start = F.date_add(F.to_date(F.date_trunc("week", jan4)), (w - 1) * 7)
-    return F.when((w >= 1) & (w <= 53), start)
+    y = to_double(_c(year)).try_cast("int")
+    w = to_double(_c(week)).try_cast("int")
+    known = y.between(1, 9999) & w.between(1, 53)
+    jan4 = F.make_date(F.when(known, y), F.lit(1), F.lit(4))
+    return F.date_add(F.to_date(F.date_trunc("week", jan4)), (F.when(known, w) - 1) * 7)
 
 
-def to_timestamp_multi(col, data_type=None) -> Column:
+def to_timestamp_multi(col, data_type=None, dayfirst: bool = False) -> Column:
     """Timestamp from a datetime, an epoch-ms number or text holding
     either epoch-ms digits or a date string.  Per-row ``coalesce`` (Q11)."""
     c = _c(col)
@@ -56,19 +56,12 @@ def to_timestamp_multi(col, data_type=None) -> Column:
         return c.cast("timestamp")
     if isinstance(data_type, NumericType):
         return F.timestamp_millis(c.cast("bigint"))
-    text = F.trim(c.cast("string"))
+    text = strip_ws(c.cast("string"))
     numeric = to_double(text)
-    parsed = F.coalesce(
-        F.try_to_timestamp(text, F.lit("yyyy-MM-dd HH:mm:ss")),
-        F.try_to_timestamp(text, F.lit("yyyy-MM-dd'T'HH:mm:ss")),
-        F.try_to_timestamp(text, F.lit("yyyy-MM-dd")),
-        F.try_to_timestamp(text, F.lit("yyyy/MM/dd")),
-        F.try_to_timestamp(text, F.lit("dd/MM/yyyy")),
-    )
     return F.coalesce(
         F.when(text.rlike(r"^-?[0-9]+(\.0+)?$"),
-               F.timestamp_millis(numeric.cast("bigint"))),
-        parsed)
+               F.timestamp_millis(numeric.try_cast("bigint"))),
+        parse_date_text(text, dayfirst=dayfirst))
 
 
 def to_timestamp_column(df, name: str) -> Column:
@@ -111,11 +104,5 @@ def calendar_parts(col) -> dict[str, Column]:
     }
 
 
-def shift_weeks(col, k) -> Column:
-    """Date moved by ``k`` weeks."""
-    step = 7 * k if isinstance(k, int) else F.lit(7) * _c(k)
-    return F.date_add(_c(col), step)
-
-
 def is_string(df, name: str) -> bool:
     return isinstance(df.schema[name].dataType, StringType)

@@ -20,8 +20,15 @@ def null_if_nan(col) -> Column:
 
 
 def to_double(col) -> Column:
-    """``to_numeric(errors='coerce')`` - bad text and NaN become NULL."""
-    return F.nanvl(_c(col).try_cast("double"), F.lit(None).cast("double"))
+    """``to_numeric(errors='coerce')`` - bad text and NaN become NULL.
+
+    The JVM's number syntax also has type suffixes (``12d``, ``5F``) and hexadecimal floats,
+    which are codes here, not numbers; ``inf`` ends in a suffix letter but is a number.
+    """
+    value, text = _c(col), F.lower(strip_ws(_c(col).cast("string")))
+    suffixed = F.right(text, F.lit(1)).isin("d", "f") & (F.right(text, F.lit(3)) != "inf")
+    number = F.nanvl(value.try_cast("double"), F.lit(None).cast("double"))
+    return F.when(~(suffixed | text.contains("x")), number)
 
 
 def nan_to_null(df: DataFrame) -> DataFrame:
@@ -73,14 +80,23 @@ def canon_grade(col) -> Column:
     return expr.otherwise(key)
 
 
-# Text formats tried, in order, when parsing a date string.
-# A text matches at most one of them in full, so the order only decides how
-# many parses a row costs: the common date-only form goes first.
-DATE_FORMATS = ["yyyy-MM-dd", "yyyy-MM-dd HH:mm:ss", "yyyy-MM-dd'T'HH:mm:ss",
-                "yyyy/MM/dd", "dd/MM/yyyy", "dd.MM.yyyy"]
+# Text forms of a date, tried in order; optional parts in brackets.  A text matches at most one
+# form of each group in full, so the order only decides how many parses a row costs.
+TIME = "HH:mm[:ss[.SSSSSSSSS]]"
+ISO_FORMATS = [f"yyyy-M-d[ {TIME}][XXX]", f"yyyy-M-d'T'{TIME}[XXX]", f"yyyy/M/d[ {TIME}]", "yyyyMMdd",
+               "MMM d, yyyy", "MMMM d, yyyy", "d MMM yyyy", "d MMMM yyyy"]
+MONTH_FIRST = [f"M/d/yyyy[ {TIME}]", f"M.d.yyyy[ {TIME}]", f"M-d-yyyy[ {TIME}]"]
+DAY_FIRST = [f"d/M/yyyy[ {TIME}]", f"d.M.yyyy[ {TIME}]", f"d-M-yyyy[ {TIME}]"]
+
+
+def date_formats(dayfirst: bool = False) -> list[str]:
+    """All forms; ``03/04/2024`` is 4 March unless ``dayfirst``, and a form that cannot be read
+    in the preferred order (``13/04/2024``) is read in the other."""
+    return ISO_FORMATS + (DAY_FIRST + MONTH_FIRST if dayfirst else MONTH_FIRST + DAY_FIRST)
 
 
-def parse_date_text(col, formats=None) -> Column:
-    """Date text -> timestamp, bad -> NULL, no time zone kept."""
+def parse_date_text(col, formats=None, dayfirst: bool = False) -> Column:
+    """Date text -> timestamp, bad -> NULL; a zone suffix is converted to the session's
+    zone, and no zone is kept."""
     text = strip_ws(_c(col).cast("string"))
-    return F.coalesce(*[F.try_to_timestamp(text, F.lit(f)) for f in (formats or DATE_FORMATS)])
+    return F.coalesce(*[F.try_to_timestamp(text, F.lit(f)) for f in (formats or date_formats(dayfirst))])

@@ -4,8 +4,7 @@ All grouped aggregates are plain ``groupBy().agg()``: Spark runs a partial
 (map-side) aggregate before the shuffle, so a hot key that holds a third of
 the rows still ships one partial row per map task, not its rows.
 Table-wide constants (means, standard deviations) are one global ``agg``
-whose single row is broadcast and joined back on a literal key - a
-one-row side has a proven size bound.
+whose single row is cross-joined back (broadcast: one row by construction).
 """
 
 from __future__ import annotations
@@ -41,8 +40,7 @@ def group_week_mean(df: DataFrame, keys: Sequence[str], date_col: str,
 def with_constants(df: DataFrame, aggs: Mapping[str, Column]) -> DataFrame:
     """A3: table-wide scalar aggregates attached to every row.  One global
     aggregate (partial-aggregated per task) whose single row is broadcast
-    and joined back on a literal key - the one-row side has a proven size
-    bound.  (Scalar subqueries via ``DataFrame.scalar()`` give the same
+    to all.  (Scalar subqueries via ``DataFrame.scalar()`` give the same
     result but measured up to 2x slower here.)"""
     from .joins import attach_row
     return attach_row(df, df.agg(*[c.alias(n) for n, c in aggs.items()]))
@@ -88,9 +86,13 @@ COST_DRIVERS_FIXED = {"ocean_idx": 0.4, "diesel_usd_per_gal": 0.3, "pack_cost":
 
 def cost_pressure(df: DataFrame, out: str = "cost_pressure",
                   weights: Mapping[str, float] | None = None,
-                  renormalise: bool = True) -> DataFrame:
+                  renormalise: bool = True, rows: str | None = None) -> DataFrame:
     """Weighted sum of population z-scores of the usable drivers.
 
+    ``rows`` names a column that says how many observations a row stands for
+    (after an aggregation); counts, means and standard deviations are then
+    those of the observations.
+
     A driver is usable when present in the schema, not all NULL and not all
     zero.  Usability is decided *inside the plan* from one aggregate row
     (count, non-zero count, mean, std per driver) - no collect - and the
@@ -102,13 +104,22 @@ def cost_pressure(df: DataFrame, out: str = "cost_pressure",
     present = [c for c in weights if c in df.columns]
     if not present:
         return df.withColumn(out, F.lit(0.0))
-    aggs = {"_rows": F.count(F.lit(1))}
+    stands = F.lit(1) if rows is None else F.col(rows)
+    aggs = {"_rows": F.sum(stands)}
     for c in present:
-        aggs[f"_n_{c}"] = F.count(c)
-        aggs[f"_z0_{c}"] = F.count_if(F.col(c) == 0)
-        aggs[f"_m_{c}"] = F.avg(c)
-        aggs[f"_s_{c}"] = F.stddev_pop(c)
+        aggs[f"_n_{c}"] = F.coalesce(F.sum(F.when(F.col(c).isNotNull(), stands)), F.lit(0))
+        aggs[f"_z0_{c}"] = F.coalesce(F.sum(F.when(F.col(c) == 0, stands)), F.lit(0))
+        aggs[f"_m_{c}"] = F.avg(c) if rows is None else F.try_divide(
+            F.sum(F.col(c) * stands), F.sum(F.when(F.col(c).isNotNull(), stands)))
+        if rows is None:
+            aggs[f"_s_{c}"] = F.stddev_pop(c)
     with_c = with_constants(df, aggs)
+    if rows is not None:  # squares about the means, which are known now
+        squares = {f"_s_{c}": F.sqrt(F.try_divide(
+            F.sum((F.col(c) - F.col(f"_m_{c}")) * (F.col(c) - F.col(f"_m_{c}")) * stands),
+            F.sum(F.when(F.col(c).isNotNull(), stands)))) for c in present}
+        with_c = with_constants(with_c, squares)
+        aggs |= squares
     usable = {c: (F.col(f"_n_{c}") > 0) & (F.col(f"_z0_{c}") < F.col("_rows")) for c in present}
     total = None
     for c in present:
@@ -145,7 +156,7 @@ def cost_pressure_fixed(df: DataFrame, out: str = "cost_pressure",
 
 
 def error_metrics(df: DataFrame, keys: Sequence[str], pred: str, actual: str) -> DataFrame:
-    """MAE, RMSE, MAPE (zero actuals skipped) and n per group."""
+    """MAE, RMSE, MAPE (zero actuals skipped; 0 if all are) and n per group."""
     err = F.col(pred) - F.col(actual)
     ape = F.when(F.col(actual) != 0, F.abs(F.try_divide(err, F.col(actual))) * 100)
     return (df.where(F.col(pred).isNotNull() & F.col(actual).isNotNull())
@@ -153,7 +164,7 @@ def error_metrics(df: DataFrame, keys: Sequence[str], pred: str, actual: str) ->
             .agg(F.count(F.lit(1)).alias("n"),
                  F.avg(F.abs(err)).alias("mae"),
                  F.sqrt(F.avg(err * err)).alias("rmse"),
-                 F.avg(ape).alias("mape")))
+                 F.coalesce(F.avg(ape), F.lit(0.0)).alias("mape")))
 
 
 def null_counts(df: DataFrame, cols: Sequence[str]) -> DataFrame:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 
 def join_on_keys(left: DataFrame, right: DataFrame, keys: Sequence[str],
@@ -26,25 +27,6 @@ def join_on_keys(left: DataFrame, right: DataFrame, keys: Sequence[str],
 
 
 def attach_row(df: DataFrame, one_row: DataFrame) -> DataFrame:
-    """Attach the columns of a ONE-row table (global constants) to every row:
-    a broadcast hash join on a literal key.  The small side has one row by
-    construction (a global aggregate), so no pair of data rows is formed."""
-    from pyspark.sql import functions as F
-    small = one_row.withColumn("_one_row_key", F.lit(1))
-    return (df.withColumn("_one_row_key", F.lit(1))
-            .join(F.broadcast(small), "_one_row_key").drop("_one_row_key"))
-
-
-# Dimension sides up to this many rows are broadcast (a few tens of MB for
-# the narrow projections used here); larger ones are left to sort-merge /
-# AQE.
-BROADCAST_MAX_ROWS = 2_000_000
-
-
-def sized_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Broadcast hint behind a size check: the side is counted (one cheap
-    aggregate job on a narrow projection) and hinted only when it has at
-    most ``max_rows`` rows; otherwise it is returned unhinted, so Spark
-    shuffles both sides (with AQE skew-join splitting)."""
-    from pyspark.sql import functions as F
-    return F.broadcast(df) if df.count() <= max_rows else df
+    """Attach the columns of a ONE-row table (global constants) to every row: a cross join with
+    a broadcast side that is one row by construction (a global aggregate)."""
+    return df.crossJoin(F.broadcast(one_row))

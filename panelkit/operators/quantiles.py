@@ -1,86 +1,59 @@
-"""Exact quantiles without gathering a column into one task.
-
-``percentile`` (exact) buffers every value of a group in one task; over a
-whole table that is the whole column.  Here the exact order statistics are
-found with bounded memory per task:
-
-1. collapse equal values: ``groupBy(value).count()`` (partial-aggregated,
-   so a value that fills a third of the table becomes one row);
-2. cut the value range into ~``buckets`` ranges with the mergeable sketch
-   ``percentile_approx`` (a small array, broadcast as a literal-free join);
-3. per bucket total counts (``buckets`` rows) -> bucket offsets;
-4. running count inside each bucket (window partitioned by bucket), plus
-   the bucket offset = global rank range of every distinct value;
-5. pick the values at ranks floor(h) and ceil(h), h = (n-1)*q, and
-   interpolate linearly (pandas / DuckDB ``quantile_cont``).
+"""Exact quantiles without gathering a column into one task and without shuffling its values.
+
+1. One scan with the mergeable sketch ``percentile_approx`` gives, for each wanted quantile, a
+   bracket of values that holds the wanted ranks for certain (the sketch's rank error is known).
+2. A second scan counts, map side, the values below each bracket and each distinct value inside
+   it: only the share of the values that the sketch leaves open (a few in ``accuracy``) moves.
+3. Ranks inside the bracket start at the count below it; the order statistics at floor(h) and
+   ceil(h), h = (n - 1) q, are interpolated linearly (pandas / DuckDB ``quantile_cont``).
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-
-def _upper_bound(cuts: str, v: str, buckets: int) -> F.Column:
-    """Number of sorted cut points <= v, by binary search (O(log buckets))."""
-    steps = int(math.ceil(math.log2(max(buckets, 2)))) + 1
-    mid = "CAST((s.lo + s.hi) div 2 AS INT)"
-    return F.expr(f"""aggregate(sequence(1, {steps}), named_struct('lo', 0, 'hi', size({cuts})),
-        (s, i) -> IF(s.lo < s.hi,
-                     IF(element_at({cuts}, {mid} + 1) <= {v},
-                        named_struct('lo', {mid} + 1, 'hi', s.hi),
-                        named_struct('lo', s.lo, 'hi', {mid})),
-                     s),
-        s -> s.lo)""")
+#: The sketch's rank error is at most n / ACCURACY.
+ACCURACY = 20_000
 
 
 def exact_quantiles_multi(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
-                          buckets: int = 1000) -> DataFrame:
-    """Exact quantiles of several columns from ONE scan: the columns are
-    unpivoted to (column_name, value), and every step below is keyed by
-    column_name as well.  One row per column: ``column_name, q_0, q_1, ...``
-    (NULLs ignored; a column without values gets NULLs)."""
-    pairs = F.array(*[F.struct(F.lit(c).alias("k"), F.col(c).cast("double").alias("v"))
-                      for c in cols])
-    vals = (df.select(F.inline(pairs)).where(F.col("v").isNotNull()))
-    # 1. equal values collapse (partial aggregation: a hot value is one row)
-    vc = vals.groupBy("k", "v").agg(F.count(F.lit(1)).alias("c"))
-    # 2. bucket boundaries per column from the mergeable sketch
-    step = 1.0 / buckets
-    cuts = vals.groupBy("k").agg(
-        F.percentile_approx("v", [step * i for i in range(1, buckets)], 10 * buckets).alias("cuts"))
-    # one row per column: bounded by the number of profiled columns
-    vb = vc.join(F.broadcast(cuts), "k").select("k", "v", "c",
-                                                 _upper_bound("cuts", "v", buckets).alias("b"))
-    # 3. bucket totals -> offsets (at most `buckets` rows per column)
-    totals = vb.groupBy("k", "b").agg(F.sum("c").alias("bc"))
-    wo = Window.partitionBy("k").orderBy("b").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select("k", "b", F.coalesce(F.sum("bc").over(wo), F.lit(0)).alias("off"),
-                            F.sum("bc").over(Window.partitionBy("k")).alias("n"))
-    # 4. global rank range of every distinct value
-    wl = Window.partitionBy("k", "b").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
-    ranked = (vb.join(F.broadcast(offsets), ["k", "b"])
-              .withColumn("hi_rank", F.col("off") + F.sum("c").over(wl) - 1)
-              .withColumn("lo_rank", F.col("hi_rank") - F.col("c") + 1))
-    # 5. order statistics at floor(h) / ceil(h), linear interpolation
-    picks = []
-    for i, q in enumerate(probs):
-        h = (F.col("n") - 1) * F.lit(float(q))
-        lo, hi = F.floor(h), F.ceil(h)
-        picks.append(F.struct(
-            F.max(F.when((F.col("lo_rank") <= lo) & (lo <= F.col("hi_rank")), F.col("v"))).alias("a"),
-            F.max(F.when((F.col("lo_rank") <= hi) & (hi <= F.col("hi_rank")), F.col("v"))).alias("z"),
-            F.max(h - lo).alias("f")).alias(f"_p{i}"))
-    row = ranked.groupBy("k").agg(*picks)
-    return row.select(F.col("k").alias("column_name"),
-                      *[(F.col(f"_p{i}.a") + (F.col(f"_p{i}.z") - F.col(f"_p{i}.a"))
-                         * F.col(f"_p{i}.f")).alias(f"q_{i}") for i in range(len(probs))])
-
-
-def exact_quantiles(df: DataFrame, col: str, probs: Sequence[float],
-                    buckets: int = 1000) -> DataFrame:
+                          accuracy: int = ACCURACY) -> DataFrame:
+    """Exact quantiles of several columns from two scans.  One row per column:
+    ``column_name, q_0, q_1, ...`` (NULLs ignored; a column without values is absent)."""
+    probs = [float(q) for q in probs]
+    margin = 3.0 / accuracy
+    edges = [min(max(q + side * margin, 0.0), 1.0) for q in probs for side in (-1, 1)]
+    pairs = F.array(*[F.struct(F.lit(c).alias("k"), F.col(c).cast("double").alias("v")) for c in cols])
+    vals = df.select(F.inline(pairs)).where(F.col("v").isNotNull())
+    sketch = vals.groupBy("k").agg(
+        F.count(F.lit(1)).alias("n"), F.min("v").alias("least"), F.max("v").alias("most"),
+        F.percentile_approx("v", edges, accuracy).alias("e"))
+    # one row per column and quantile; brackets next to an end reach to it, and few values
+    # (where the margin is less than a rank) are one bracket
+    few = F.col("n") <= accuracy
+    brackets = sketch.select("k", F.inline(F.array(*[
+        F.struct(F.lit(i).alias("p"), F.lit(q).alias("q"), F.col("n"),
+                 F.when(few | F.lit(q <= 2 * margin), F.col("least")).otherwise(F.col("e")[2 * i]).alias("lo"),
+                 F.when(few | F.lit(q >= 1 - 2 * margin), F.col("most")).otherwise(F.col("e")[2 * i + 1]).alias("hi"))
+        for i, q in enumerate(probs)])))
+    held = vals.join(F.broadcast(brackets), "k").where("v <= hi")
+    inside = F.when(F.col("v") >= F.col("lo"), F.col("v"))  # NULL: below the bracket
+    counts = held.groupBy("k", "p", "q", "n", inside.alias("v")).agg(F.count(F.lit(1)).alias("c"))
+    run = Window.partitionBy("k", "p").orderBy(F.col("v").asc_nulls_first()).rowsBetween(
+        Window.unboundedPreceding, 0)
+    ranked = counts.withColumn("upto", F.sum("c").over(run))
+    h = (F.col("n") - 1) * F.col("q")
+    at = lambda rank: F.max(F.when((F.col("upto") - F.col("c") <= rank) & (rank < F.col("upto")), F.col("v")))
+    picks = ranked.groupBy("k", "p").agg(at(F.floor(h)).alias("a"), at(F.ceil(h)).alias("z"),
+                                         F.max(h - F.floor(h)).alias("f"))
+    value = F.col("a") + (F.col("z") - F.col("a")) * F.col("f")
+    out = picks.groupBy("k").agg(*[F.max(F.when(F.col("p") == i, value)).alias(f"q_{i}") for i in range(len(probs))])
+    return out.withColumnRenamed("k", "column_name")
+
+
+def exact_quantiles(df: DataFrame, col: str, probs: Sequence[float], accuracy: int = ACCURACY) -> DataFrame:
     """One row: ``q_<i>`` for every probability in ``probs`` (NULLs ignored)."""
-    return exact_quantiles_multi(df, [col], probs, buckets).drop("column_name")
+    return exact_quantiles_multi(df, [col], probs, accuracy).drop("column_name")

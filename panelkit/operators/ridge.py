@@ -73,41 +73,37 @@ def eigen_solve(mom: DataFrame, keys: Sequence[str], p: int,
     keys = list(keys)
     schema = _eigen_schema([mom.schema[k] for k in keys])
 
+    pairs = [(i, j) for i in range(p) for j in range(i, p)]
+
     def solve(batches):
         for pdf in batches:
-            out = []
-            for _, r in pdf.iterrows():
-                a = np.zeros((p, p))
-                for i in range(p):
-                    for j in range(i, p):
-                        a[i, j] = a[j, i] = r[f"s{i}_{j}"]
-                b = np.array([r[f"t{i}"] for i in range(p)], dtype=float)
-                xbar = np.array([r[f"m{i}"] for i in range(p)], dtype=float)
-                lam, q = np.linalg.eigh(a)
-                lam = np.clip(lam, 0.0, None)
-                bt = q.T @ b
-                g, dinv, coefs, icpts = [], [], [], []
-                for al in alphas:
-                    inv = 1.0 / (lam + al)
-                    gi = bt * inv
-                    coef = q @ gi
-                    g.append(gi.tolist())
-                    dinv.append(inv.tolist())
-                    coefs.append(coef.tolist())
-                    icpts.append(float(r["ybar"] - xbar @ coef))
-                row = {k: r[k] for k in keys}
-                row.update(n=int(r["n"]), ybar=float(r["ybar"]), xbar=xbar.tolist(),
-                           qt=q.T.tolist(), bt=bt.tolist(), lam=lam.tolist(), alphas=alphas,
-                           g=g, dinv=dinv, coefs=coefs, intercepts=icpts)
-                out.append(row)
-            yield pd.DataFrame(out, columns=schema.fieldNames())
+            m = len(pdf)
+            a = np.zeros((m, p, p))
+            for i, j in pairs:
+                a[:, i, j] = a[:, j, i] = pdf[f"s{i}_{j}"]
+            b = pdf[[f"t{i}" for i in range(p)]].to_numpy(float)
+            xbar = pdf[[f"m{i}" for i in range(p)]].to_numpy(float)
+            ybar = pdf["ybar"].to_numpy(float)
+            lam, q = np.linalg.eigh(a)  # all segments of the batch at once
+            lam = np.clip(lam, 0.0, None)
+            bt = np.einsum("mji,mj->mi", q, b)
+            dinv = 1.0 / (lam[:, None, :] + np.array(alphas)[None, :, None])
+            g = bt[:, None, :] * dinv
+            coefs = np.einsum("mij,maj->mai", q, g)
+            icpts = ybar[:, None] - np.einsum("mi,mai->ma", xbar, coefs)
+            rows = {k: pdf[k] for k in keys}
+            rows |= {"n": pdf["n"], "ybar": ybar, "xbar": xbar.tolist(), "qt": q.transpose(0, 2, 1).tolist(),
+                     "bt": bt.tolist(), "lam": lam.tolist(), "alphas": [alphas] * m, "g": g.tolist(),
+                     "dinv": dinv.tolist(), "coefs": coefs.tolist(), "intercepts": icpts.tolist()}
+            yield pd.DataFrame(rows, columns=schema.fieldNames())
 
     return mom.mapInPandas(solve, schema)
 
 
 def loo_errors(df: DataFrame, eig: DataFrame, keys: Sequence[str], features: Sequence[str],
                y: str) -> DataFrame:
-    """Step 3: mean squared leave-one-out error per (segment, alpha index)."""
+    """Step 3: mean squared leave-one-out error per (segment, alpha index), with that model, so
+    that the solve need not run again for the chosen one."""
     keys = list(keys)
     rows = df.where(F.col(y).isNotNull()).select(
         *keys, feature_vector(features).alias("x"), F.col(y).cast("double").alias("y"))
@@ -115,11 +111,12 @@ def loo_errors(df: DataFrame, eig: DataFrame, keys: Sequence[str], features: Seq
     zt = f"transform(qt, v -> {_dot('v', 'zip_with(x, xbar, (a, b) -> a - b)')})"
     j = j.withColumn("zt", F.expr(zt)).withColumn("zt2", F.expr("transform(zt, v -> v * v)"))
     per_alpha = F.expr(f"""transform(sequence(0, size(alphas) - 1), i -> named_struct(
-        'ai', i,
+        'ai', i, 'alpha', alphas[i], 'intercept', intercepts[i], 'coef', coefs[i],
         'e2', pow((y - (ybar + {_dot('zt', 'g[i]')}))
                   / (1D - (1D / n + {_dot('zt2', 'dinv[i]')})), 2)))""")
-    e = j.select(*keys, F.inline(per_alpha))
-    return e.groupBy(*keys, "ai").agg(F.avg("e2").alias("loo_mse"))
+    e = j.select(*keys, "n", F.inline(per_alpha))
+    model = F.struct("n", "alpha", "intercept", "coef")  # the same on every row of (segment, alpha)
+    return e.groupBy(*keys, "ai").agg(F.avg("e2").alias("loo_mse"), F.first(model).alias("model"))
 
 
 def fit_ridge(df: DataFrame, keys: Sequence[str], features: Sequence[str], y: str,
@@ -138,15 +135,13 @@ def fit_ridge(df: DataFrame, keys: Sequence[str], features: Sequence[str], y: st
     eig = eigen_solve(mom, keys, len(features), alphas)
     if loo:
         errs = loo_errors(df, eig, keys, features, y)
-        best = errs.groupBy(*keys).agg(F.min(F.struct("loo_mse", "ai")).alias("b"))
-        chosen = best.select(*keys, F.col("b.ai").alias("ai"), F.col("b.loo_mse").alias("loo_mse"))
+        best = errs.groupBy(*keys).agg(F.min(F.struct("loo_mse", "ai", "model")).alias("b"))
+        chosen = best.select(*keys, "b.model.*", F.col("b.loo_mse").alias("loo_mse"))
     else:
-        chosen = eig.select(*keys, F.lit(0).alias("ai"), F.lit(None).cast("double").alias("loo_mse"))
-    m = join_on_keys(eig, chosen, keys)
-    return m.select(
-        *keys, "n", F.expr("alphas[ai]").alias("alpha"),
-        F.expr("intercepts[ai]").alias("intercept"), F.expr("coefs[ai]").alias("coef"),
-        F.array(*[F.lit(c) for c in features]).alias("features"),
+        chosen = eig.select(*keys, "n", F.expr("alphas[0]").alias("alpha"), F.expr("intercepts[0]").alias("intercept"),
+                            F.expr("coefs[0]").alias("coef"), F.lit(None).cast("double").alias("loo_mse"))
+    return chosen.select(
+        *keys, "n", "alpha", "intercept", "coef", F.array(*[F.lit(c) for c in features]).alias("features"),
         F.sqrt("loo_mse").alias("loo_rmse"))
 
 

@@ -55,12 +55,3 @@ def segment_gate(df: DataFrame, price_col: str = "price_usd_per_l",
             .groupBy(*keys).agg(F.count(F.lit(1)).alias("n_weeks"))
             .withColumn("eligible", F.col("n_weeks") >= min_rows))
 
-
-def gate_rows(df: DataFrame, price_col: str = "price_usd_per_l",
-              min_rows: int = MIN_ROWS_PER_MODEL, keys=SEGMENT_KEYS) -> DataFrame:
-    """Keep the priced rows of segments with at least ``min_rows`` weeks,
-    using a partitioned window count (no join back)."""
-    w = Window.partitionBy(*keys)
-    priced = df.where(F.col(price_col).isNotNull())
-    return (priced.withColumn("_n", F.count(F.lit(1)).over(w))
-            .where(F.col("_n") >= min_rows).drop("_n"))

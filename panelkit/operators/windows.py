@@ -70,19 +70,8 @@ def keep_last(df: DataFrame, keys: Sequence[str], order_cols: Sequence[str]) ->
     return agg.select(*keys, *[F.col(f"_r.{c}").alias(c) for c in rest]).select(*df.columns)
 
 
-def last_per_group(df: DataFrame, keys: Sequence[str], order_col: str,
-                   value_cols: Sequence[str]) -> DataFrame:
-    """Values of the newest row per group via ``max_by`` - a plain
-    aggregate, so it is map-side combined (no sort of the whole group)."""
-    packed = F.struct(*[F.col(c) for c in value_cols])
-    out = (df.groupBy(*keys)
-           .agg(F.max(order_col).alias(order_col),
-                F.max_by(packed, F.col(order_col)).alias("_last")))
-    return out.select(*keys, order_col, *[F.col(f"_last.{c}").alias(c) for c in value_cols])
-
-
-def tail_rows(df: DataFrame, keys: Sequence[str], order_col: str, n: int,
-              flag: str = "is_holdout") -> DataFrame:
-    """K2: mark the last ``n`` rows of each series (the hold-out)."""
-    w = Window.partitionBy(*keys).orderBy(F.col(order_col).desc())
-    return df.withColumn(flag, F.row_number().over(w) <= n)
+def keep_last_rows(df: DataFrame, keys: Sequence[str], order_cols: Sequence[str]) -> DataFrame:
+    """W5 for tables with few rows per key (facts), where combining map side saves nothing:
+    one shuffle and one sort, instead of ``max_by``'s sort on either side of the shuffle."""
+    w = Window.partitionBy(*keys).orderBy(*[F.col(c).desc_nulls_last() for c in order_cols])
+    return df.withColumn("_rank", F.row_number().over(w)).where(F.col("_rank") == 1).drop("_rank")

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from ..operators.forecast import recursive_forecast
 from ..operators.segments import SEGMENT_KEYS
+from ..sources.files import select_model
 from .series import segment_features
 
 
@@ -27,11 +28,15 @@ def last_row_history(processed: DataFrame) -> DataFrame:
 
 def forecast(processed: DataFrame, models: DataFrame, steps: int = 12,
              country: str | None = None, grade: str | None = None,
-             check_empty: bool = False, history: str = "mean") -> DataFrame:
+             check_empty: bool = False, history: str = "mean",
+             model_name: str | None = None) -> DataFrame:
     """P10: recursive forecasts for every modelled segment (a request is a
     filter on the result); optional country / grade filters (F5) are
     applied to the segment rows before the recursion.  ``history='last'``
-    starts the country x grade series from the last row per week (Q16)."""
+    starts the country x grade series from the last row per week (Q16).
+
+    ``model_name`` applies that one model (say ``global_ridge``) to every requested history,
+    whether or not the segment has a model of its own; an unknown name raises."""
     if history == "last":
         seg = last_row_history(processed)
     else:
@@ -42,6 +47,9 @@ def forecast(processed: DataFrame, models: DataFrame, steps: int = 12,
         seg = seg.where(F.col("grade") == grade)
     if check_empty and seg.limit(1).count() == 0:
         raise ValueError("No rows found for the requested country / grade")
+    if model_name is not None:
+        one = select_model(models, model_name).select("intercept", "coef", "loo_rmse", "model_name").limit(1)
+        models = seg.select(*SEGMENT_KEYS).distinct().crossJoin(F.broadcast(one))  # one row
     out = recursive_forecast(seg, models, SEGMENT_KEYS, steps)
     return out.select(*SEGMENT_KEYS, F.col("model_name").alias("model_used"), "step",
                       F.date_format("week_start", "yyyy-MM-dd").alias("week_start"),

@@ -43,8 +43,8 @@ def market_comparison(series: DataFrame, key: str = "country", value: str = "pri
                                F.stddev_pop(value).alias("_sd"))
     change = F.try_divide(F.col("current_price") - F.col("average_price_period"),
                           F.col("average_price_period")) * 100
-    trend = (F.when(change > TREND_THRESHOLD, "rising")
-             .when(change < -TREND_THRESHOLD, "falling").otherwise("stable"))
+    trend = (F.when(change > TREND_THRESHOLD, "increasing")
+             .when(change < -TREND_THRESHOLD, "decreasing").otherwise("stable"))
     return (agg.withColumn("price_change_percent", change).withColumn("trend", trend)
             .withColumn("volatility", F.try_divide(F.col("_sd"), F.col("average_price_period")))
             .drop("_sd"))
@@ -62,6 +62,24 @@ def market_insights(comparison: DataFrame, key: str = "country") -> DataFrame:
         F.count(F.lit(1)).alias("n_markets"))
 
 
+def price_change(series: DataFrame, country: str | None = None, value: str = "price_usd_per_l",
+                 weeks: int = PERIOD_WEEKS) -> DataFrame:
+    """T3's price block: per country (or of one) the mean price of the last ``weeks`` weeks, that
+    of the ``weeks`` before, the change in percent and its direction."""
+    s = series if country is None else series.where(F.col("country") == country)
+    rec = _recent(s, ["country"], value, 2 * weeks)
+    agg = rec.groupBy("country").agg(
+        F.avg(F.when(F.col("_rk") <= weeks, F.col(value))).alias("current_price"),
+        F.avg(F.when(F.col("_rk") > weeks, F.col(value))).alias("previous_price"))
+    change = F.try_divide(F.col("current_price") - F.col("previous_price"), F.col("previous_price")) * 100
+    return agg.withColumn("change_percent", change).withColumn("direction", _direction(F.col("change_percent")))
+
+
+def _direction(change) -> F.Column:
+    return (F.when(F.abs(change) < STABLE_BELOW, "stable")
+            .when(change > 0, "increasing").otherwise("decreasing"))
+
+
 def price_drivers(weekly: DataFrame, weeks: int = PERIOD_WEEKS) -> DataFrame:
     """Per driver, mean of the last ``weeks`` weeks vs the ``weeks``
     before, change %, impact and direction, ranked by |change|.
@@ -85,8 +103,7 @@ def price_drivers(weekly: DataFrame, weeks: int = PERIOD_WEEKS) -> DataFrame:
     out = out.withColumns({
         "impact": F.when(a >= IMPACT_HIGH, "High").when(a >= IMPACT_MEDIUM, "Medium")
         .otherwise("Low"),
-        "direction": F.when(a < STABLE_BELOW, "stable")
-        .when(F.col("change_percent") > 0, "increasing").otherwise("decreasing")})
+        "direction": _direction(F.col("change_percent"))})
     rank_w = Window.orderBy(F.abs(F.col("change_percent")).desc_nulls_last(), F.col("factor"))
     return out.withColumn("rank", F.row_number().over(rank_w))
 

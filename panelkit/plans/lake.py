@@ -13,8 +13,10 @@ current layer, never a recomputation from the raw tables.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..sources import files as S
 from ..sources import tables as T
@@ -35,14 +37,29 @@ class LakePaths:
         return f"{self.root.rstrip('/')}/{name}"
 
 
-def build_lake(spark: SparkSession, sf_dir: str, root: str, snapshot: str,
-               steps: int = 12) -> dict[str, str]:
-    """Run P1-P10 for one snapshot; returns the written locations."""
+def macro_series(spark: SparkSession, roots: dict[str, str], snapshot: str) -> DataFrame:
+    """Long (series, date, value) rows of each series' newest snapshot that has any; a series
+    falls back on its own, and one without any snapshot is absent."""
+    found = S.read_series_snapshots(spark, roots, as_of=snapshot)
+    parts = [df.select(F.lit(name).alias("series"), "date", "value") for name, df in found.items() if df is not None]
+    if not parts:
+        raise FileNotFoundError(f"no snapshot of any of {sorted(roots)}")
+    return reduce(DataFrame.unionByName, parts)
+
+
+def build_lake(spark: SparkSession, sf_dir: str, root: str, snapshot: str, steps: int = 12,
+               price_csv_dir: str | None = None, series_roots: dict[str, str] | None = None) -> dict[str, str]:
+    """Run P1-P10 for one snapshot; returns the written locations.
+
+    ``price_csv_dir``: take the prices from the newest landed CSV there; ``series_roots``: take
+    the macro series from their own snapshot folders.  An empty layer is an error (F12).
+    """
     paths = LakePaths(root)
     out = {}
 
     def put(name, df, sort_cols=()):
-        S.write_snapshot(df, paths.layer(name), snapshot, sort_cols=sort_cols)
+        if not S.write_snapshot(df, paths.layer(name), snapshot, sort_cols=sort_cols):
+            raise ValueError(f"{name} has no rows for {snapshot}")
         out[name] = paths.layer(name)
 
     def get(name):
@@ -50,10 +67,12 @@ def build_lake(spark: SparkSession, sf_dir: str, root: str, snapshot: str,
             "snapshot_date")
 
     # raw -> processed layer
-    put("processed/eu_prices", standardize_prices(T.price_sheet(spark, sf_dir)), ["date"])
+    sheet = S.read_newest_csv(spark, price_csv_dir) if price_csv_dir else T.price_sheet(spark, sf_dir)
+    put("processed/eu_prices", standardize_prices(sheet), ["date"])
     put("processed/fbx", standardize_freight(T.freight_sheet(spark, sf_dir)), ["week_start"])
-    put("processed/tariffs", normalize_tariffs(T.tariff_sheet(spark, sf_dir)))
-    long = weekly_long(T.macro_observations(spark, sf_dir))
+    put("processed/tariffs", normalize_tariffs(T.tariff_sheet(spark, sf_dir), keep_order=True))
+    long = weekly_long(macro_series(spark, series_roots, snapshot) if series_roots
+                       else T.macro_observations(spark, sf_dir))
     put("processed/macros_weekly", wide_by_week(long), ["week_start"])
     put("processed/macros_grid", macro_grid(long), ["week_start"])
 

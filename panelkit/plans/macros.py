@@ -50,7 +50,6 @@ def macro_grid(long: DataFrame, series: Sequence[str] = MACRO_SERIES,
 # Accepted FX headers (USD per EUR), in order; ``usdeur`` is
 # the inverse quote.
 FX_ALIASES = ["value", "eurusd", "eur_usd"]
-PPI_COLS = ["ppi_glass", "ppi_plastic_bottles", "ppi_steel"]
 
 
 def normalize_fx(fx: DataFrame) -> DataFrame:
@@ -69,18 +68,3 @@ def normalize_fx(fx: DataFrame) -> DataFrame:
         else:
             rate = F.lit(None).cast("double")
     return fx.select("week_start", rate.cast("double").alias("usd_per_eur"))
-
-
-def normalize_series(df: DataFrame, name: str) -> DataFrame:
-    """H3 for brent / diesel: a ``value`` column is renamed to ``name``."""
-    if name not in df.columns and "value" in df.columns:
-        df = df.withColumnRenamed("value", name)
-    return df.select("week_start", name)
-
-
-def normalize_ppi(ppi: DataFrame) -> DataFrame:
-    """H4 for PPI: absent PPI columns become NULL placeholders."""
-    for c in PPI_COLS:
-        if c not in ppi.columns:
-            ppi = ppi.withColumn(c, F.lit(None).cast("double"))
-    return ppi.select("week_start", *PPI_COLS)

@@ -7,14 +7,18 @@ that small table back to the weekly segment rows.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import math
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..operators.aggregates import error_metrics
+from ..operators.forecast import recursive_forecast
 from ..operators.joins import join_on_keys
-from ..operators.ridge import ALPHAS, fit_ridge, model_name, predict
+from ..operators.ridge import ALPHAS, eigen_solve, fit_ridge, model_name, moments, predict
 from ..operators.segments import MIN_ROWS_PER_MODEL, SEGMENT_KEYS
 from ..operators.windows import FEATURES
 from .series import segment_features
@@ -59,7 +63,8 @@ def backtest(series: DataFrame, keys: Sequence[str], features: Sequence[str], y:
              ) -> DataFrame:
     """M6: hold out the last ``holdout`` rows of every series, fit on the
     rest (plain ridge at ``alpha``, or RidgeCV over ``loo_alphas``), score
-    the held-out rows: MAE / RMSE per series."""
+    the held-out rows: MAE / RMSE per series.  As in the exploration it follows, a held-out
+    row's rolling means contain its own price; ``grid_search`` scores without that leak."""
     keys = list(keys)
     w = Window.partitionBy(*keys).orderBy(F.col("week_start").desc())
     d = series.where(F.col(y).isNotNull()).withColumn("_rk", F.row_number().over(w))
@@ -74,118 +79,121 @@ def backtest(series: DataFrame, keys: Sequence[str], features: Sequence[str], y:
                         models.select(*keys, "alpha"), keys)
 
 
-def _betacf(a: float, b: float, x: float) -> float:
-    """Continued fraction of the regularised incomplete beta function."""
-    qab, qap, qam = a + b, a + 1.0, a - 1.0
-    c, d = 1.0, 1.0 - qab * x / qap
-    d = 1.0 / (d if abs(d) > 1e-300 else 1e-300)
-    h = d
-    for m in range(1, 400):
-        m2 = 2 * m
-        aa = m * (b - m) * x / ((qam + m2) * (a + m2))
-        d = 1.0 + aa * d
-        d = 1.0 / (d if abs(d) > 1e-300 else 1e-300)
-        c = 1.0 + aa / c if abs(1.0 + aa / c) > 1e-300 else 1e-300
-        h *= d * c
-        aa = -(a + m) * (qab + m) * x / ((a + m2) * (qap + m2))
-        d = 1.0 + aa * d
-        d = 1.0 / (d if abs(d) > 1e-300 else 1e-300)
-        c = 1.0 + aa / c if abs(1.0 + aa / c) > 1e-300 else 1e-300
-        delta = d * c
-        h *= delta
-        if abs(delta - 1.0) < 1e-15:
-            break
-    return h
-
-
-def t_two_sided_p(t: float, dof: float) -> float:
-    """Two-sided p-value of Student's t (regularised incomplete beta)."""
-    import math
+def student_p(t: float, dof: int) -> float:
+    """Two-sided p-value of Student's t for whole degrees of freedom, from the finite series in
+    the angle atan(t / sqrt(dof)); beyond a million degrees the normal limit."""
     if not math.isfinite(t):
-        return 0.0 if abs(t) == float("inf") else float("nan")
-    x = dof / (dof + t * t)
-    a, b = dof / 2.0, 0.5
-    lbeta = math.lgamma(a) + math.lgamma(b) - math.lgamma(a + b)
-    front = math.exp(a * math.log(x) + b * math.log1p(-x) - lbeta) if 0 < x < 1 else 0.0
-    if x <= 0:
-        return 0.0
-    if x >= 1:
-        return 1.0
-    if x < (a + 1) / (a + b + 2):
-        return front * _betacf(a, b, x) / a
-    return 1.0 - front * _betacf(b, a, 1.0 - x) / b
-
-
-def ols_drivers(df: DataFrame, formula: str) -> DataFrame:
-    """M5: OLS with categorical terms (``RFormula`` drops the alphabetically
-    first level, like the reference formula) and a coefficient table
-    (term, coef, std_error, t_value, p_value, r2).
-
-    The Gram matrix [X 1 y]'[X 1 y] is one distributed tree aggregate
-    (``RowMatrix.computeGramianMatrix``); the (p+2)^2 result is solved on
-    the driver with the pseudo-inverse, so collinear dummies (market
-    within country) give the minimum-norm solution as statsmodels does.
+        return 0.0 if math.isinf(t) else float("nan")
+    if dof > 1_000_000:
+        return math.erfc(abs(t) / math.sqrt(2.0))
+    angle = math.atan2(abs(t), math.sqrt(dof))
+    # terms cos^2k times (1*3*5../2*4*6..) for even, (2*4../3*5..) for odd degrees
+    k = np.arange(1, (dof - dof % 2) // 2) if dof % 2 == 0 else np.arange(1, (dof - 1) // 2)
+    ratio = (2 * k - 1) / (2 * k) if dof % 2 == 0 else 2 * k / (2 * k + 1)
+    series = 1.0 + float(np.cumprod(ratio * math.cos(angle) ** 2).sum())
+    if dof % 2 == 0:
+        inside = math.sin(angle) * series
+    elif dof == 1:
+        inside = 2 * angle / math.pi
+    else:
+        inside = 2 / math.pi * (angle + math.sin(angle) * math.cos(angle) * series)
+    return min(max(1.0 - inside, 0.0), 1.0)
+
+
+OLS_SCHEMA = ("term string, coef double, std_error double, t_value double, p_value double, "
+              "r2 double, n_obs long")
+
+
+def ols_drivers(df: DataFrame, y: str, numeric: Sequence[str], categorical: Sequence[str]) -> DataFrame:
+    """M5: least squares with an intercept and dummy terms (the alphabetically first level of
+    each category is the base) and a coefficient table.
+
+    Rows are reduced to cells of equal regressors (n, sum of y, sum of y^2, combined map side)
+    and cells to partial cross-products by numpy in their tasks; (p+2)^2 sums per partition are
+    added up and one small row is solved in a task with the pseudo-inverse, so collinear dummies
+    (market within country) give the minimum-norm solution.  Only the categories' levels are
+    read when the plan is made.
     """
-    import numpy as np
-    from pyspark.ml.feature import RFormula
-    from pyspark.ml.functions import vector_to_array
-    from pyspark.mllib.linalg.distributed import RowMatrix
-    rf = RFormula(formula=formula, stringIndexerOrderType="alphabetDesc", handleInvalid="skip")
-    prepared = rf.fit(df).transform(df).select("features", "label")
-    attrs = prepared.schema["features"].metadata.get("ml_attr", {}).get("attrs", {})
-    names = {}
-    for group in attrs.values():
-        for a in group:
-            names[a["idx"]] = a["name"]
-    rows = prepared.select(F.concat(vector_to_array("features"), F.array(F.lit(1.0)),
-                                    F.array(F.col("label"))).alias("v"))
-    gram = RowMatrix(rows.rdd.map(lambda r: r["v"])).computeGramianMatrix().toArray()
-    k = gram.shape[0] - 1
-    xtx, xty, yty = gram[:k, :k], gram[:k, k], gram[k, k]
-    n = xtx[k - 1, k - 1]
-    pinv = np.linalg.pinv(xtx)
-    beta = pinv @ xty
-    rank = np.linalg.matrix_rank(xtx)
-    rss = float(yty - 2 * beta @ xty + beta @ xtx @ beta)
-    dof = n - rank
-    sigma2 = rss / dof
-    se = np.sqrt(np.clip(np.diag(pinv) * sigma2, 0.0, None))
-    ybar = xty[k - 1] / n
-    tss = yty - n * ybar * ybar
-    r2 = 1.0 - rss / tss
-    terms = [names.get(i, f"x{i}") for i in range(k - 1)] + ["Intercept"]
-    out = []
-    for name, b, s in zip(terms, beta, se):
-        t = float(b / s) if s > 0 else float("nan")
-        out.append((name, float(b), float(s), t,
-                    float(t_two_sided_p(t, float(dof))) if s > 0 else float("nan")))
-    return (df.sparkSession.createDataFrame(
-        out, "term string, coef double, std_error double, t_value double, p_value double")
-        .withColumn("r2", F.lit(float(r2))).withColumn("n_obs", F.lit(int(n))))
+    used = df.dropna(subset=[y, *numeric, *categorical])
+    levels = {c: sorted(r[0] for r in used.select(c).distinct().collect())[1:] for c in categorical}
+    terms = [*numeric, *[f"{c}_{v}" for c in categorical for v in levels[c]], "Intercept"]
+    p = len(terms)
+    cells = used.groupBy(*numeric, *categorical).agg(
+        F.count(F.lit(1)).alias("n"), F.sum(y).alias("s"), F.sum(F.col(y) * F.col(y)).alias("ss"))
+
+    def products(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        total = np.zeros((p + 1, p + 1))
+        for pdf in batches:
+            dummies = [(pdf[c] == v).to_numpy(float) for c in categorical for v in levels[c]]
+            x = np.column_stack([pdf[list(numeric)].to_numpy(float), *dummies, np.ones(len(pdf))])
+            total[:p, :p] += x.T @ (x * pdf["n"].to_numpy(float)[:, None])
+            total[:p, p] += x.T @ pdf["s"].to_numpy(float)
+            total[p, p] += pdf["ss"].sum()
+        i, j = np.indices(total.shape)
+        yield pd.DataFrame({"i": i.ravel(), "j": j.ravel(), "v": total.ravel()})
+
+    def solve(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        entries = pd.concat(list(batches))
+        gram = np.zeros((p + 1, p + 1))
+        gram[entries["i"], entries["j"]] = entries["v"]
+        xtx, xty, yty = gram[:p, :p], gram[:p, p], gram[p, p]
+        n = xtx[p - 1, p - 1]
+        if not n:
+            return
+        inverse = np.linalg.pinv(xtx, hermitian=True)
+        beta = inverse @ xty
+        dof = int(n - np.linalg.matrix_rank(xtx, hermitian=True))
+        rss = float(yty - 2 * beta @ xty + beta @ xtx @ beta)
+        error = np.sqrt(np.clip(np.diag(inverse) * rss / max(dof, 1), 0.0, None))
+        t = np.divide(beta, error, out=np.full(p, np.nan), where=error > 0)
+        yield pd.DataFrame({
+            "term": terms, "coef": beta, "std_error": error, "t_value": t,
+            "p_value": [student_p(float(v), dof) for v in t],
+            "r2": 1.0 - rss / float(yty - xty[p - 1] ** 2 / n), "n_obs": int(n)})
+
+    # (p + 2)^2 entries in one task
+    gram = cells.mapInPandas(products, "i int, j int, v double").groupBy("i", "j").agg(F.sum("v").alias("v"))
+    return gram.coalesce(1).mapInPandas(solve, OLS_SCHEMA)
+
+
+NAIVE, SEASONAL, DRIFT = "naive_last_week", "seasonal_naive_52", "drift"
 
 
 def grid_search(series: DataFrame, keys: Sequence[str], features: Sequence[str], y: str,
                 holdout: int = 12, alphas: Sequence[float] = ALPHAS) -> DataFrame:
-    """M7: candidates = ridge at every alpha (all fitted from one moment
-    pass and one eigen-solve per segment) plus the naive last-week
-    forecast; each scored on the hold-out, failures (NULL scores) skipped,
-    best MAE kept per segment (ties -> first candidate)."""
-    from ..operators.ridge import _dot, eigen_solve, feature_vector, moments
+    """M7: candidates = ridge at every alpha (one moment pass and one eigen-solve per segment),
+    last week, the same week a year before, and drift.  Each forecasts the held-out weeks from
+    the training rows alone - the ridges recursively, their own forecasts feeding the lags - and
+    is scored on the weeks that exist; failures (NULL scores) are skipped, the best MAE is kept
+    per segment (ties -> first candidate)."""
     keys = list(keys)
     w = Window.partitionBy(*keys).orderBy(F.col("week_start").desc())
     d = series.where(F.col(y).isNotNull()).withColumn("_rk", F.row_number().over(w))
     train_rows, test_rows = d.where(F.col("_rk") > holdout), d.where(F.col("_rk") <= holdout)
     eig = eigen_solve(moments(train_rows, keys, features, y), keys, len(features), alphas)
-    t = join_on_keys(test_rows.select(*keys, feature_vector(features).alias("x"),
-                                      F.col(y).alias("y"), F.col("lag1week").alias("naive")),
-                     eig.select(*keys, "alphas", "coefs", "intercepts"), keys)
-    cands = F.expr(f"""transform(sequence(0, size(alphas) - 1), i -> named_struct(
-        'cand', i, 'candidate', concat('ridge_alpha_', cast(alphas[i] as string)),
-        'pred', intercepts[i] + {_dot('coefs[i]', 'x')}))""")
-    ridge = t.select(*keys, "y", F.inline(cands))
-    naive = t.select(*keys, "y", F.lit(len(alphas)).alias("cand"),
-                     F.lit("naive_last_week").alias("candidate"), F.col("naive").alias("pred"))
-    scored = error_metrics(ridge.unionByName(naive), keys + ["cand", "candidate"], "pred", "y")
+    ridges = eig.select(*keys, F.lit(None).cast("double").alias("loo_rmse"), F.inline(F.expr(
+        "transform(sequence(0, size(alphas) - 1), i -> named_struct('model_name', cast(i as string), "
+        "'intercept', intercepts[i], 'coef', coefs[i]))")))
+    # a series may skip weeks, so its hold-out may span more weeks than rows
+    ahead = recursive_forecast(train_rows, ridges, keys, 2 * holdout, price_col=y)
+    number = F.col("model_name").cast("int")
+    label = F.concat(F.lit("ridge_alpha_"), F.element_at(F.array(*[F.lit(str(a)) for a in alphas]), number + 1))
+    actual = test_rows.select(*keys, "week_start", F.col(y).alias("y"))
+    ridge = join_on_keys(actual, ahead.select(*keys, "week_start", number.alias("cand"),
+                                              label.alias("candidate"), F.col("forecast").alias("pred")),
+                         [*keys, "week_start"])
+    ends = train_rows.groupBy(*keys).agg(
+        F.max_by(y, "week_start").alias("last"), F.min_by(y, "week_start").alias("first"),
+        F.max("week_start").alias("end"), F.min("week_start").alias("begin"))
+    slope = F.try_divide(F.col("last") - F.col("first"), F.datediff("end", "begin"))
+    year_ago = train_rows.select(*keys, F.date_add("week_start", 364).alias("week_start"), F.col(y).alias("year_ago"))
+    base = join_on_keys(join_on_keys(actual, ends, keys), year_ago, [*keys, "week_start"], "left")
+    simple = base.select(*keys, "week_start", "y", F.inline(F.array(*[
+        F.struct(F.lit(len(alphas) + i).alias("cand"), F.lit(name).alias("candidate"), pred.alias("pred"))
+        for i, (name, pred) in enumerate([
+            (NAIVE, F.col("last")), (SEASONAL, F.col("year_ago")),
+            (DRIFT, F.col("last") + slope * F.datediff("week_start", "end"))])])))
+    scored = error_metrics(ridge.unionByName(simple), keys + ["cand", "candidate"], "pred", "y")
     best = (scored.where(F.col("mae").isNotNull()).groupBy(*keys)
             .agg(F.min(F.struct("mae", "cand", "candidate", "rmse", "n")).alias("b"),
                  F.count(F.lit(1)).alias("n_candidates")))

@@ -49,21 +49,22 @@ def recent_errors(series: DataFrame, keys: Sequence[str], pred: str, actual: str
         F.avg(F.when(F.col("_rk") <= weeks, F.abs(F.col(pred) - F.col(actual)))).alias("mae_recent"))
 
 
-def monitor_summary(fresh: DataFrame, errors: DataFrame) -> DataFrame:
+def monitor_summary(fresh: DataFrame, errors: DataFrame, alert: float = MAPE_ALERT) -> DataFrame:
     """D3: check rows (freshness per source, recent MAPE per series) ->
     counts and an overall WARNING / OK status (one row)."""
     checks = (fresh.select(F.col("is_fresh").alias("ok"))
-              .unionByName(errors.select((F.col("mape_recent") <= MAPE_ALERT).alias("ok"))))
+              .unionByName(errors.select((F.col("mape_recent") <= alert).alias("ok"))))
     return (checks.agg(F.count(F.lit(1)).alias("n_checks"),
                        F.count_if(~F.coalesce(F.col("ok"), F.lit(False))).alias("n_alerts"))
             .withColumn("status", F.when(F.col("n_alerts") > 0, "WARNING").otherwise("OK")))
 
 
-def retrain_candidates(errors: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Segments whose recent error grew past ``RETRAIN_RATIO`` times
+def retrain_candidates(errors: DataFrame, keys: Sequence[str], ratio: float = RETRAIN_RATIO,
+                       alert: float = MAPE_ALERT) -> DataFrame:
+    """Segments whose recent error grew past ``ratio`` times
     their overall error or past the alert level, with the reason."""
-    grew = F.col("mape_recent") > F.col("mape_all") * RETRAIN_RATIO
-    high = F.col("mape_recent") > MAPE_ALERT
+    grew = F.col("mape_recent") > F.col("mape_all") * ratio
+    high = F.col("mape_recent") > alert
     reason = (F.when(grew & high, "error_growth_and_level").when(grew, "error_growth")
               .when(high, "error_level"))
     return (errors.withColumn("reason", reason).where(F.col("reason").isNotNull())
@@ -71,11 +72,9 @@ def retrain_candidates(errors: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def file_availability(spark, path: str, fmt: str = "parquet") -> DataFrame:
-    """D2 on storage: number of data files and the newest modification time
-    under ``path``, from the scan's ``_metadata`` columns (one aggregate
-    row; no listing loop on the driver)."""
-    meta = spark.read.format(fmt).load(path).select("_metadata.file_path",
-                                                     "_metadata.file_modification_time")
-    return meta.agg(F.count_distinct("file_path").alias("n_files"),
-                    F.max("file_modification_time").alias("last_modified"),
-                    F.count(F.lit(1)).alias("n_rows"))
+    """D2 on storage: number of data files and the newest modification time under ``path`` (listed
+    by the file source, no content read) and the row count."""
+    files = (spark.read.format("binaryFile").option("pathGlobFilter", f"*.{fmt}").option("recursiveFileLookup", True)
+             .load(path).agg(F.count(F.lit(1)).alias("n_files"), F.max("modificationTime").alias("last_modified")))
+    rows = spark.read.format(fmt).load(path).agg(F.count(F.lit(1)).alias("n_rows"))
+    return files.crossJoin(F.broadcast(rows))  # one row each

@@ -22,7 +22,6 @@ from ..functions.coerce import upper_key
 from ..operators.aggregates import with_constants
 from ..operators.joins import attach_row
 from ..operators.windows import keep_last
-from ..session import cut_lineage
 from ..sources.headers import ordered_projection
 from .standardize import DENSITY
 
@@ -42,6 +41,7 @@ DIESEL_UPLIFT_FACTOR = 0.15
 MACRO_COLS = ["usd_per_eur", "brent_usd_per_bbl", "diesel_usd_per_gal", "ppi_glass",
               "ppi_plastic_bottles", "ppi_steel"]
 
+# The panel's columns, in order.
 PANEL_COLS = [
     "week_start", "snapshot_date", "country", "iso2", "market", "grade",
     "grade_norm", "hs_prefix", "pack",
@@ -86,6 +86,23 @@ def duty_expr(base: Column, adval: Column, specific: Column) -> Column:
     return F.when(base.isNotNull(), adval / 100.0 * base + specific * DENSITY)
 
 
+def join_tariffs(p: DataFrame, tariffs: DataFrame, row_order: str = "row_order") -> DataFrame:
+    """The tariff of a row's HS code and grade, else the code's last tariff row (by
+    ``row_order`` where the tariffs carry it).  Both sides have at most one row per HS-4 code
+    (10,000) and grade, so they are broadcast."""
+    rates = ["adval_pct", "specific_usd_per_kg"]
+    t = tariffs.select(F.trim(F.col("hs_prefix")).alias("hs_prefix"), upper_key(F.col("grade")).alias("_tgrade"),
+                       *[F.coalesce(F.col(c), F.lit(0.0)).alias(f"_{c}") for c in rates],
+                       *([row_order] if row_order in tariffs.columns else []))
+    order = [row_order] if row_order in t.columns else ["_adval_pct", "_specific_usd_per_kg"]
+    exact = keep_last(t.where(F.col("_tgrade").isNotNull()), ["hs_prefix", "_tgrade"], order).select(
+        "hs_prefix", F.col("_tgrade").alias("grade_norm"), F.struct(*[f"_{c}" for c in rates]).alias("_exact"))
+    whole = keep_last(t, ["hs_prefix"], order).select("hs_prefix", F.struct(*[f"_{c}" for c in rates]).alias("_any"))
+    p = p.join(F.broadcast(exact), ["hs_prefix", "grade_norm"], "left").join(F.broadcast(whole), "hs_prefix", "left")
+    found = F.coalesce("_exact", "_any")
+    return p.withColumns({c: found[f"_{c}"] for c in rates}).drop("_exact", "_any")
+
+
 def build_weekly_panel(prices: DataFrame, macros: DataFrame, freight: DataFrame | None,
                        tariffs: DataFrame, snapshot: str,
                        grade_to_hs: Mapping[str, str] | None = None) -> DataFrame:
@@ -109,10 +126,9 @@ def build_weekly_panel(prices: DataFrame, macros: DataFrame, freight: DataFrame
     for c in MACRO_COLS:
         if c not in m.columns:
             m = m.withColumn(c, F.lit(None).cast("double"))
-    # The weekly macro table is tiny but read three times (main join, ocean
-    # proxy, constants), each time pruned differently so no exchange is
-    # reused: materialise it once so its large source is scanned once.
-    m = cut_lineage(keep_last(m.select("week_start", *MACRO_COLS), ["week_start"], MACRO_COLS))
+    # Read three times (main join, ocean proxy, constants): callers hand in a
+    # stored table, so that its source is scanned once.
+    m = keep_last(m.select("week_start", *MACRO_COLS), ["week_start"], MACRO_COLS)
     p = p.join(F.broadcast(m), "week_start", "left")
     p = p.withColumn("price_usd_per_l", F.col("price_eur_per_l") * F.col("usd_per_eur"))
     # Table-wide constants need only the price and the weekly macros, so
@@ -133,13 +149,7 @@ def build_weekly_panel(prices: DataFrame, macros: DataFrame, freight: DataFrame
     p = p.withColumn("grade_norm", upper_key(F.col("grade")))
     if "hs_prefix" not in p.columns:
         p = p.withColumn("hs_prefix", map_lookup(F.col("grade_norm"), grade_to_hs or GRADE_TO_HS))
-    t = (tariffs.select(F.trim(F.col("hs_prefix")).alias("hs_prefix"),
-                        F.coalesce(F.col("adval_pct"), F.lit(0.0)).alias("adval_pct"),
-                        F.coalesce(F.col("specific_usd_per_kg"), F.lit(0.0))
-                        .alias("specific_usd_per_kg"),
-                        F.col("grade").alias("_tgrade")))
-    t = keep_last(t, ["hs_prefix"], ["_tgrade", "adval_pct", "specific_usd_per_kg"]).drop("_tgrade")
-    p = p.join(F.broadcast(t), "hs_prefix", "left")
+    p = join_tariffs(p, tariffs)
     p = p.withColumns({
         "adval_pct": F.coalesce(F.col("adval_pct"), F.lit(0.0)),
         "specific_usd_per_kg": F.coalesce(F.col("specific_usd_per_kg"), F.lit(0.0)),

@@ -11,12 +11,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.calendar import monday_week, sunday_week_label
 from ..operators.aggregates import cost_pressure, group_week_mean, zscore
 from ..operators.segments import SEGMENT_KEYS, segment_series
 from ..operators.windows import add_series_features
 from ..sources.headers import ensure_columns
 
 SERIES_KEYS = ["country", "market", "grade"]
+PROCESSED_COLS = ["week_start", "price_usd_per_l", "cost_pressure", "lag1week", "lag2week",
+                  "rolling3", "rolling10", "month", "dayofweek", "quarter", "sin_week", *SERIES_KEYS]
 
 
 def preprocess(features: DataFrame, with_cost_pressure: bool = True) -> DataFrame:
@@ -28,7 +31,7 @@ def preprocess(features: DataFrame, with_cost_pressure: bool = True) -> DataFram
         if {"price_eur_per_l", "usd_per_eur"}.issubset(df.columns):
             df = df.withColumn("price_usd_per_l", F.col("price_eur_per_l") * F.col("usd_per_eur"))
         else:
-            raise ValueError("No price column found")
+            raise ValueError("the features have neither a USD price nor a EUR price with an exchange rate")
     df = ensure_columns(df, {k: F.lit("ALL") for k in SERIES_KEYS})
     if with_cost_pressure:
         df = cost_pressure(df)
@@ -36,9 +39,32 @@ def preprocess(features: DataFrame, with_cost_pressure: bool = True) -> DataFram
     date_col = "week_start" if "week_start" in df.columns else "date"
     weekly = group_week_mean(df, SERIES_KEYS, date_col, ["price_usd_per_l", "cost_pressure"])
     feats = add_series_features(weekly, SERIES_KEYS, "week_start", "price_usd_per_l")
-    return feats.select("week_start", "price_usd_per_l", "cost_pressure", "lag1week",
-                        "lag2week", "rolling3", "rolling10", "month", "dayofweek", "quarter",
-                        "sin_week", *SERIES_KEYS)
+    return feats.select(*PROCESSED_COLS)
+
+
+def weekly_prices(prices: DataFrame) -> DataFrame:
+    """The core-usable price rows reduced to one row per (country, market, grade, Monday week):
+    ``n_rows`` and the mean price.  The only shuffle of the facts that ``preprocess`` needs."""
+    usable = prices.dropna(subset=[*SERIES_KEYS, "date", "price_eur_per_l"])
+    return (usable.groupBy(*SERIES_KEYS, monday_week("date").alias("week_start"))
+            .agg(F.count(F.lit(1)).alias("n_rows"), F.avg("price_eur_per_l").alias("price_eur_per_l")))
+
+
+def weekly_drivers(macros: DataFrame, freight: DataFrame) -> DataFrame:
+    """One row per week: exchange rate and cost drivers, the ocean proxy included."""
+    from .panel import MACRO_COLS, ocean_proxy_table
+    return macros.select("week_start", *MACRO_COLS).join(
+        ocean_proxy_table(macros, freight), "week_start", "full_outer")
+
+
+def preprocess_weekly(weekly: DataFrame, drivers: DataFrame) -> DataFrame:
+    """P7 from the weekly reduction.  Everything but the price depends on the week alone, so the
+    mean over a week's rows is the week's value; constants over the feature rows weigh each
+    weekly row by the rows it stands for.  Equals ``preprocess`` of the full feature table."""
+    df = (weekly.join(F.broadcast(drivers), "week_start", "left")  # one row per calendar week
+          .withColumn("price_usd_per_l", F.col("price_eur_per_l") * F.col("usd_per_eur")))
+    df = cost_pressure(df, rows="n_rows").withColumn("week_start", sunday_week_label("week_start"))
+    return add_series_features(df, SERIES_KEYS, "week_start", "price_usd_per_l").select(*PROCESSED_COLS)
 
 
 def segment_features(processed: DataFrame, types=None, price_col: str = "price_usd_per_l",

@@ -10,7 +10,7 @@ from ..operators.joins import join_on_keys
 from ..operators.segments import SEGMENT_KEYS
 from ..plans.macros import normalize_fx, weekly_long
 from ..sources import tables as T
-from ..sources.headers import distinct_values
+from ..sources.headers import distinct_labels
 from .features_q import FEAT_SQL, features
 from .macros_q import WEEKLY_LONG
 from .models_q import seg_rows
@@ -36,12 +36,8 @@ SELECT 'market', market FROM obs WHERE market IS NOT NULL GROUP BY 2
 UNION ALL
 SELECT 'grade', grade FROM obs WHERE grade IS NOT NULL GROUP BY 2""")
 def q_distinct_labels(spark, sf_dir):
-    """H8: sorted distinct non-NULL labels of country, market and grade."""
-    obs = T.price_observations(spark, sf_dir).select("country", "market", "grade")
-    parts = [distinct_values(obs, c).select(F.lit(c).alias("column_name"),
-                                            F.col(c).alias("label"))
-             for c in ["country", "market", "grade"]]
-    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+    """H8: distinct non-NULL labels of country, market and grade, from one scan."""
+    return distinct_labels(T.price_observations(spark, sf_dir), ["country", "market", "grade"])
 
 
 # flag -> (columns, "all" / "any" of them non-NULL)

@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..catalog import register
-from ..session import cut_lineage
 from ..operators.aggregates import coverage, describe, null_counts, numeric_ranges
 from ..plans.features import (KEY_FIELDS, MODEL_COLS, PROFILE_FIELDS, RANGE_FIELDS,
                               build_features, model_features)
@@ -97,8 +96,7 @@ def q_numeric_ranges(spark, sf_dir):
 def q_distribution_profile(spark, sf_dir):
     """describe() of price, landed price and z_base (exact quartiles,
     computed without gathering a column into one task)."""
-    cols = cut_lineage(features(spark, sf_dir).select(*PROFILE_FIELDS))
-    return describe(cols, PROFILE_FIELDS, exact=True)
+    return describe(features(spark, sf_dir).select(*PROFILE_FIELDS), PROFILE_FIELDS, exact=True)
 
 
 @register("null_counts", PANEL_CTES + "\n" + _union(

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..catalog import register
 from ..plans.insights import (DRIVER_LABELS, country_risk, market_comparison, market_insights,
-                              price_drivers)
+                              price_change, price_drivers)
 from ..plans.monitoring import freshness, monitor_summary, recent_errors, retrain_candidates
 from ..operators.segments import SEGMENT_KEYS
 from ..sources import tables as T
@@ -39,8 +39,8 @@ mc2 AS (SELECT country, current_price, average_price_period,
 SELECT country, {r('current_price', 'current_price')},
        {r('average_price_period', 'average_price_period')},
        {r('price_change_percent', 'price_change_percent')},
-       CASE WHEN price_change_percent > 2.0 THEN 'rising'
-            WHEN price_change_percent < -2.0 THEN 'falling' ELSE 'stable' END AS trend,
+       CASE WHEN price_change_percent > 2.0 THEN 'increasing'
+            WHEN price_change_percent < -2.0 THEN 'decreasing' ELSE 'stable' END AS trend,
        {r('volatility', 'volatility')}
 FROM mc2""")
 def q_market_comparison(spark, sf_dir):
@@ -61,9 +61,46 @@ def q_market_insights(spark, sf_dir):
     return market_insights(market_comparison(country_series(spark, sf_dir)))
 
 
-def driver_weekly(spark, sf_dir):
-    return features(spark, sf_dir).groupBy("week_start").agg(
-        *[F.avg(c).alias(c) for c, _ in DRIVER_LABELS])
+@register("price_change", SEGMENT_SQL + f""",
+cs AS (SELECT country, week_start, price_usd_per_l AS p FROM segp WHERE segment_type = 'country'),
+rk AS (SELECT *, row_number() OVER (PARTITION BY country ORDER BY week_start DESC) AS rk FROM cs),
+pc AS (SELECT country, avg(CASE WHEN rk <= 12 THEN p END) AS current_price,
+              avg(CASE WHEN rk > 12 THEN p END) AS previous_price FROM rk WHERE rk <= 24 GROUP BY country),
+pch AS (SELECT *, (current_price - previous_price) / previous_price * 100 AS change_percent FROM pc)
+SELECT country, {r('current_price', 'current_price')}, {r('previous_price', 'previous_price')},
+       {r('change_percent', 'change_percent')},
+       CASE WHEN abs(change_percent) < 3.0 THEN 'stable' WHEN change_percent > 0 THEN 'increasing'
+            ELSE 'decreasing' END AS direction
+FROM pch""")
+def q_price_change(spark, sf_dir):
+    """Mean price of the last 12 weeks against the 12 before, per country."""
+    return price_change(country_series(spark, sf_dir))
+
+
+DRIVER_COUNTRY = "EUROPE"
+
+
+@register("price_drivers_country", FEAT_SQL + """,
+dw AS (SELECT week_start, """ + ", ".join(f"avg({c}) AS {c}" for c, _ in DRIVER_LABELS) + f"""
+       FROM feat WHERE country = '{DRIVER_COUNTRY}' GROUP BY week_start),
+drk AS (SELECT *, row_number() OVER (ORDER BY week_start DESC) AS rk FROM dw),
+dlong AS (""" + "\n  UNION ALL ".join(
+    f"SELECT rk, '{label}' AS factor, {c} AS value FROM drk" for c, label in DRIVER_LABELS) + f"""),
+dagg AS (SELECT factor, avg(CASE WHEN rk <= 12 THEN value END) AS current_value,
+                avg(CASE WHEN rk > 12 AND rk <= 24 THEN value END) AS previous_value
+         FROM dlong GROUP BY factor)
+SELECT factor, {r('current_value', 'current_value')}, {r('previous_value', 'previous_value')},
+       {r('(current_value - previous_value) / previous_value * 100', 'change_percent')} FROM dagg""")
+def q_price_drivers_country(spark, sf_dir):
+    """T3 with its country argument: drivers over the weeks in which that country has prices."""
+    return price_drivers(driver_weekly(spark, sf_dir, DRIVER_COUNTRY)).select(
+        "factor", "current_value", "previous_value", "change_percent")
+
+
+def driver_weekly(spark, sf_dir, country=None):
+    rows = features(spark, sf_dir)
+    rows = rows if country is None else rows.where(F.col("country") == country)
+    return rows.groupBy("week_start").agg(*[F.avg(c).alias(c) for c, _ in DRIVER_LABELS])
 
 
 DRIVER_SQL = FEAT_SQL + """,

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..catalog import register
 from ..session import cut_lineage
 from ..operators.aggregates import error_metrics
-from ..operators.ridge import moments
+from ..operators.ridge import ALPHAS, moments
 from ..operators.segments import SEGMENT_KEYS
 from ..operators.windows import FEATURES, rolling_mean, series_window
 from ..plans.exploration import weekly_overall
@@ -74,14 +74,17 @@ def q_ridge_fixed_alpha(spark, sf_dir):
                     "base_usd_per_l", holdout=12, alpha=1.0)
 
 
+OLS_NUMERIC = ["ocean_idx", "diesel_usd_per_gal", "ppi_glass", "ppi_plastic_bottles", "ppi_steel",
+               "pack_cost", "duty_rate"]
+OLS_CATEGORICAL = ["country", "grade", "market"]
+
+
 @register("ols_drivers")
 def q_ols_drivers(spark, sf_dir):
     """M5: OLS of the base price on drivers with country/grade/market terms."""
     f = features(spark, sf_dir).where(F.col("base_usd_per_l").isNotNull()
                                       & (F.col("base_usd_per_l") > 0))
-    formula = ("base_usd_per_l ~ ocean_idx + diesel_usd_per_gal + ppi_glass + "
-               "ppi_plastic_bottles + ppi_steel + pack_cost + duty_rate + country + grade + market")
-    return ols_drivers(f, formula)
+    return ols_drivers(f, "base_usd_per_l", OLS_NUMERIC, OLS_CATEGORICAL)
 
 
 @register("naive_metrics", SEGMENT_SQL + f"""
@@ -110,6 +113,13 @@ def q_backtest_12w(spark, sf_dir):
                     holdout=12, alpha=1.0)
 
 
+@register("backtest_200w")
+def q_backtest_200w(spark, sf_dir):
+    """M6: RidgeCV with the seasonal sine on the weekly overall series, last 200 weeks held out."""
+    return backtest(notebook_series(spark, sf_dir), ["series"], NOTEBOOK_FEATURES + ["sin_week"],
+                    "base_usd_per_l", holdout=200, loo_alphas=ALPHAS)
+
+
 @register("grid_search")
 def q_grid_search(spark, sf_dir):
     """M7: every (segment, candidate) scored on the 12-week hold-out; the

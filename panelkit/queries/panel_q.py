@@ -8,6 +8,7 @@ from ..catalog import register
 from ..plans.macros import weekly_long, wide_by_week
 from ..plans.panel import PANEL_COLS, build_weekly_panel, ocean_proxy_table
 from ..plans.standardize import normalize_tariffs, standardize_freight, standardize_prices
+from ..session import cut_lineage
 from ..sources import tables as T
 from .macros_q import PIVOT_RAW_SQL, SIX_SQL, WEEKLY_LONG
 from .sqlparts import MACRO_OBS, OBS, r, with_
@@ -20,12 +21,14 @@ def panel_inputs(spark, sf_dir):
     prices = standardize_prices(T.price_sheet(spark, sf_dir))
     macros = wide_by_week(weekly_long(T.macro_observations(spark, sf_dir)))
     freight = standardize_freight(T.freight_sheet(spark, sf_dir))
-    tariffs = normalize_tariffs(T.tariff_sheet(spark, sf_dir))
+    tariffs = normalize_tariffs(T.tariff_sheet(spark, sf_dir), keep_order=True)
     return prices, macros, freight, tariffs
 
 
 def weekly_panel(spark, sf_dir):
-    return build_weekly_panel(*panel_inputs(spark, sf_dir), snapshot=SNAPSHOT)
+    """The panel over all price rows; the weekly macro table (one row per week) is stored first."""
+    prices, macros, freight, tariffs = panel_inputs(spark, sf_dir)
+    return build_weekly_panel(prices, cut_lineage(macros), freight, tariffs, snapshot=SNAPSHOT)
 
 
 MACROS_CTE = f"""

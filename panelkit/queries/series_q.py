@@ -10,8 +10,10 @@ from ..operators.aggregates import COST_DRIVERS, COST_DRIVERS_FIXED, cost_pressu
 from ..operators.segments import segment_gate
 from ..operators.windows import rolling_mean, series_window
 from ..plans.exploration import weekly_overall, weekly_price_flags
-from ..plans.series import SERIES_KEYS, preprocess, segment_features
+from ..plans.series import (SERIES_KEYS, preprocess_weekly, segment_features, weekly_drivers,
+                            weekly_prices)
 from .features_q import FEAT_SQL, features
+from .panel_q import panel_inputs
 from .sqlparts import (SUNDAY, cost_pressure_fixed_sql, cost_pressure_sql, interp_parts_sql,
                        interp_sql, r)
 
@@ -88,21 +90,14 @@ PROC_DOUBLES = ["price_usd_per_l", "cost_pressure", "lag1week", "lag2week", "rol
                 "rolling10", "sin_week"]
 
 
-# The feature columns preprocess reads (cost-pressure drivers, price, keys).
-PROCESS_INPUT = ["week_start", "country", "market", "grade", "price_usd_per_l", "ocean_proxy",
-                 "diesel_usd_per_gal", "ppi_glass", "ppi_plastic_bottles", "ppi_steel"]
-
-
 def processed(spark, sf_dir):
-    """The weekly ``processed`` table, materialised once (reliable
-    checkpoint in the shared checkpoint folder): model fitting, LOO,
-    evaluation and forecasting each read it several times, and it is small
-    (one row per series and week).  Its input - the ten feature columns it
-    needs - is checkpointed too, so the panel joins run once although the
-    cost pressure needs a table-wide aggregate before the weekly one, as
-    the reference's own jobs hand over through stored tables."""
-    feats = cut_lineage(features(spark, sf_dir).select(*PROCESS_INPUT))
-    return cut_lineage(preprocess(feats))
+    """The weekly ``processed`` table.  Price rows are scanned once and reduced to weekly rows;
+    that reduction, the weekly drivers and the result (each read several times, none larger
+    than series x weeks) are materialised in the shared checkpoint folder."""
+    prices, macros, freight, _ = panel_inputs(spark, sf_dir)
+    weekly = cut_lineage(weekly_prices(prices))
+    drivers = cut_lineage(weekly_drivers(cut_lineage(macros), freight))
+    return cut_lineage(preprocess_weekly(weekly, drivers))
 
 
 @register("lag_rolling", PROCESSED_SQL + "\nSELECT " + ", ".join(

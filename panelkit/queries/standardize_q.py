@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..catalog import register
-from ..operators.windows import keep_last
+from ..operators.windows import keep_last_rows
 from ..plans.standardize import normalize_tariffs, standardize_freight, standardize_prices
 from ..sources import tables as T
 from ..sources.files import parse_series_payloads
@@ -66,7 +66,7 @@ def q_dedup_keep_last(spark, sf_dir):
     part key and price as explicit tie-breaks (line numbers repeat)."""
     li = T.read_table(spark, sf_dir, "lineitem",
                       ["l_orderkey", "l_linenumber", "l_partkey", "l_shipdate", "l_extendedprice"])
-    out = keep_last(li, ["l_orderkey"],
+    out = keep_last_rows(li, ["l_orderkey"],
                     ["l_shipdate", "l_linenumber", "l_partkey", "l_extendedprice"])
     return out.withColumn("l_extendedprice", F.round("l_extendedprice", 2))
 

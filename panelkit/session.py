@@ -54,7 +54,7 @@ def get_spark(master: str | None = None, shuffle_partitions: int = 8,
     for key, value in LOCAL_DEFAULTS.items():
         builder = builder.config(key, value)
     builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
-    builder = builder.config("spark.driver.memory", os.environ.get("PANELKIT_DRIVER_MEM", "16g"))
+    builder = builder.config("spark.driver.memory", os.environ.get("PANELKIT_DRIVER_MEM", "8g"))
     if os.environ.get("PANELKIT_JIT_HUGE", "1") == "1":
         # let the JIT compile large generated methods (wide projections)
         builder = builder.config("spark.driver.extraJavaOptions", "-XX:-DontCompileHugeMethods")

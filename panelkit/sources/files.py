@@ -9,6 +9,8 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StringType, StructField, StructType
@@ -25,47 +27,76 @@ def read_csv_text(spark: SparkSession, path: str) -> DataFrame:
 
 
 # S3 ------------------------------------------------------------------------
-def snapshot_dates(spark: SparkSession, root: str) -> DataFrame:
-    """Distinct snapshot dates present under ``root`` (partition metadata)."""
-    return spark.read.parquet(root).select("snapshot_date").distinct()
+SNAPSHOT_DIR = "snapshot_date="
+
+
+def snapshot_dates(spark: SparkSession, root: str) -> list[str]:
+    """Snapshot dates present under ``root``, newest first: one directory listing, no data read."""
+    jvm = spark._jvm
+    path = jvm.org.apache.hadoop.fs.Path(root)
+    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    names = [s.getPath().getName() for s in fs.listStatus(path) if s.isDirectory()]
+    return sorted((n[len(SNAPSHOT_DIR):] for n in names if n.startswith(SNAPSHOT_DIR)), reverse=True)
 
 
 def read_latest_snapshot(spark: SparkSession, root: str, as_of: str | None = None,
                          skip_empty: bool = True) -> tuple[str, DataFrame]:
-    """Resolve the newest snapshot (optionally not after ``as_of``) and read
-    it with a literal partition filter, so only that directory is scanned.
+    """Resolve the newest snapshot (optionally not after ``as_of``) and read its directory only.
 
     With ``skip_empty`` a snapshot with no rows falls back to the previous
     one (the reference's fallback); only one row per candidate is read.
     """
-    dates = snapshot_dates(spark, root)
-    if as_of is not None:
-        dates = dates.where(F.col("snapshot_date") <= F.lit(as_of))
-    # One small row per snapshot directory: bounded by the number of runs.
-    candidates = [str(r[0]) for r in dates.orderBy(F.col("snapshot_date").desc()).collect()]
-    full = spark.read.parquet(root)
-    for snap in candidates:
-        df = full.where(F.col("snapshot_date") == F.lit(snap))
+    for snap in snapshot_dates(spark, root):
+        if as_of is not None and snap > as_of:
+            continue
+        reader = spark.read.option("basePath", root)
+        try:
+            df = reader.parquet(f"{root}/{SNAPSHOT_DIR}{snap}")
+        except AnalysisException:  # a directory without any data file
+            continue
         if not skip_empty or df.limit(1).count() > 0:
             return snap, df
     raise FileNotFoundError(f"No non-empty snapshot under {root}")
 
 
+def read_series_snapshots(spark: SparkSession, roots: dict[str, str],
+                          as_of: str | None = None) -> dict[str, DataFrame | None]:
+    """Newest non-empty snapshot of each series; each falls back on its own, and a series
+    without any is None."""
+    found = {}
+    for name, root in roots.items():
+        try:
+            found[name] = read_latest_snapshot(spark, root, as_of)[1]
+        except (FileNotFoundError, Py4JJavaError):
+            found[name] = None
+    return found
+
+
 # S4 ------------------------------------------------------------------------
 def newest_file(spark: SparkSession, directory: str,
                 suffixes: Iterable[str] = (".csv",)) -> str | None:
-    """Newest file by modification time among those with a suffix, from the
-    scan's ``_metadata`` columns (one aggregate row reaches the driver)."""
+    """Newest file by modification time among those with a suffix, empty files included: a
+    directory listing, no content read (a scan would leave empty files out)."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(directory)
+    files = path.getFileSystem(spark._jsc.hadoopConfiguration()).listFiles(path, True)
     best = None
-    for suf in suffixes:
-        meta = (spark.read.format("text").option("pathGlobFilter", f"*{suf}")
-                .option("recursiveFileLookup", True).load(directory)
-                .select("_metadata.file_path", "_metadata.file_modification_time"))
-        row = meta.agg(F.max_by("file_path", "file_modification_time").alias("p"),
-                       F.max("file_modification_time").alias("t")).first()
-        if row and row["p"] is not None and (best is None or row["t"] > best[1]):
-            best = (row["p"], row["t"])
-    return best[0] if best else None
+    while files.hasNext():
+        f = files.next()
+        name = f.getPath().toString()
+        if name.endswith(tuple(suffixes)) and (best is None or (f.getModificationTime(), name) > best):
+            best = (f.getModificationTime(), name)
+    return best[1] if best else None
+
+
+def read_newest_csv(spark: SparkSession, directory: str) -> DataFrame:
+    """S4 + S2: the newest landed CSV sheet; an error if there is none or it has no rows."""
+    path = newest_file(spark, directory)
+    if path is None:
+        raise FileNotFoundError(f"No CSV file under {directory}")
+    sheet = read_csv_text(spark, path)
+    if not sheet.columns or sheet.limit(1).count() == 0:
+        raise ValueError(f"{path} has no rows")
+    return sheet
 
 
 # S5 ------------------------------------------------------------------------

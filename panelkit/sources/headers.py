@@ -65,6 +65,7 @@ def intersect_projection(df: DataFrame, wanted: Iterable[str]) -> DataFrame:
     return df.select(*[c for c in wanted if c in df.columns])
 
 
-def distinct_values(df: DataFrame, col: str) -> DataFrame:
-    """H8: sorted distinct non-NULL values of one column."""
-    return df.select(col).where(F.col(col).isNotNull()).distinct().orderBy(col)
+def distinct_labels(df: DataFrame, cols: Iterable[str]) -> DataFrame:
+    """H8 for several columns in one scan: (column_name, label)."""
+    pairs = F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).cast("string").alias("label")) for c in cols])
+    return df.select(F.inline(pairs)).where(F.col("label").isNotNull()).distinct()

@@ -7,12 +7,11 @@ the columns it needs, so the Parquet scans read those columns alone.
 
 Join strategy: ``nation`` and ``region`` are fixed-size dimension tables
 (25 and 5 rows by the TPC-H specification), so they are broadcast
-explicitly.  ``supplier`` and ``part`` grow with the scale factor: their
-narrow projections are counted and broadcast only under
-``joins.BROADCAST_MAX_ROWS``; beyond that they are sort-merge joined (AQE
-splits skewed partitions).  Without the check Spark's size estimate of the
-supplier x nation x region chain (a product of the inputs) is far too high,
-and AQE ended up broadcasting the line items instead.
+explicitly.  ``supplier`` and ``part`` grow with the scale factor and carry no
+hint: Spark broadcasts their narrow projections under the byte threshold and
+sort-merge joins them beyond it (AQE splits skewed partitions).  The line items
+meet ``supplier`` before the nations, so that no chain of joins inflates the
+size estimate of the small side.
 """
 
 from __future__ import annotations
@@ -20,8 +19,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.coerce import hs4_from_code
-from ..operators.joins import sized_broadcast
+from ..functions.coerce import hs4_from_code, nan_to_null
 
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem",
           "events", "documents", "embeddings", "pages", "benchmark", "labels",
@@ -34,15 +32,12 @@ def read_table(spark: SparkSession, sf_dir: str, name: str, cols=None) -> DataFr
     return df.select(*cols) if cols else df
 
 
-def supplier_geo(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """supplier -> (market = nation name, country = region name)."""
+def nation_geo(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """nation -> (market = nation name, country = region name); 25 rows."""
     nation = read_table(spark, sf_dir, "nation", ["n_nationkey", "n_name", "n_regionkey"])
     region = read_table(spark, sf_dir, "region", ["r_regionkey", "r_name"])
-    geo = nation.join(F.broadcast(region), nation.n_regionkey == region.r_regionkey)
-    supp = read_table(spark, sf_dir, "supplier", ["s_suppkey", "s_nationkey"])
-    return (supp.join(F.broadcast(geo), supp.s_nationkey == geo.n_nationkey)
-            .select("s_suppkey", F.col("r_name").alias("country"),
-                    F.col("n_name").alias("market")))
+    return (nation.join(F.broadcast(region), nation.n_regionkey == region.r_regionkey)
+            .select("n_nationkey", F.col("r_name").alias("country"), F.col("n_name").alias("market")))
 
 
 # Part type -> pack material (anything else keeps the default pack).
@@ -62,30 +57,19 @@ def brand_hs4(col) -> F.Column:
     return F.lpad(hs4_from_code(F.col(col)), 4, "0")
 
 
-_BROADCAST_DECISIONS: dict[tuple[str, str], bool] = {}
-
-
-def _dimension(spark: SparkSession, sf_dir: str, name: str, df: DataFrame) -> DataFrame:
-    """``sized_broadcast`` with the decision remembered per table path for
-    the session (a plan-time choice, not data), so the count runs once."""
-    key = (sf_dir.rstrip("/"), name)
-    if key not in _BROADCAST_DECISIONS:
-        _BROADCAST_DECISIONS[key] = sized_broadcast(df) is not df
-    return F.broadcast(df) if _BROADCAST_DECISIONS[key] else df
-
-
 def price_observations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Typed price observations, one per line item: date, country, market,
     grade, price_eur_per_l, pack, hs_prefix."""
     li = read_table(spark, sf_dir, "lineitem",
                     ["l_partkey", "l_suppkey", "l_quantity", "l_extendedprice",
                      "l_returnflag", "l_shipdate"])
-    part = _dimension(spark, sf_dir, "part",
-                      read_table(spark, sf_dir, "part", ["p_partkey", "p_type", "p_brand"]))
-    geo = _dimension(spark, sf_dir, "supplier", supplier_geo(spark, sf_dir))
-    return (li.join(geo, li.l_suppkey == geo.s_suppkey)
-            .join(part, li.l_partkey == part.p_partkey)
-            .select(F.col("l_shipdate").alias("date"), "country", "market",
+    part = read_table(spark, sf_dir, "part", ["p_partkey", "p_type", "p_brand"])
+    supp = read_table(spark, sf_dir, "supplier", ["s_suppkey", "s_nationkey"])
+    geo = nation_geo(spark, sf_dir)
+    rows = (li.join(supp, li.l_suppkey == supp.s_suppkey)
+            .join(F.broadcast(geo), supp.s_nationkey == geo.n_nationkey)
+            .join(part, li.l_partkey == part.p_partkey))
+    return nan_to_null(rows.select(F.col("l_shipdate").alias("date"), "country", "market",
                     F.col("l_returnflag").alias("grade"),
                     F.try_divide(F.col("l_extendedprice"), F.col("l_quantity"))
                     .alias("price_eur_per_l"),
@@ -137,9 +121,9 @@ def macro_observations(spark: SparkSession, sf_dir: str) -> DataFrame:
         cond = (pr == "4-NOT SPECIFIED") & (st == status)
         series = series.when(cond, F.lit(name))
         value = value.when(cond, tp / F.lit(PPI_DIVISOR))
-    return (o.select(series.alias("series"), F.col("o_orderdate").alias("date"),
-                     value.alias("value"))
-            .where(F.col("series").isNotNull()))
+    return nan_to_null(o.select(series.alias("series"), F.col("o_orderdate").alias("date"),
+                                value.alias("value"))
+                       .where(F.col("series").isNotNull()))
 
 
 def freight_sheet(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -133,7 +133,7 @@ def test_exact_quantiles_match_numpy(spark):
     import numpy as np
     vals = [float(x) for x in np.random.default_rng(1).normal(size=2000).round(2)] + [7.0] * 900
     df = spark.createDataFrame([(v,) for v in vals], "x double")
-    got = exact_quantiles(df, "x", [0.25, 0.5, 0.75, 0.9], buckets=50).first()
+    got = exact_quantiles(df, "x", [0.25, 0.5, 0.75, 0.9], accuracy=50).first()
     exp = np.quantile(vals, [0.25, 0.5, 0.75, 0.9])
     assert all(abs(got[i] - exp[i]) < 1e-12 for i in range(4))
 
@@ -147,9 +147,11 @@ def test_freshness_d1(spark, days, fresh):
 
 
 def test_t_pvalue():
-    from panelkit.plans.models import t_two_sided_p
-    assert abs(t_two_sided_p(2.0, 10) - 0.07338803477074) < 1e-9
-    assert abs(t_two_sided_p(1.959963984540054, 1e7) - 0.05) < 1e-5
+    from panelkit.plans.models import student_p
+    assert abs(student_p(2.0, 10) - 0.07338803477074) < 1e-9
+    assert abs(student_p(2.0, 9) - 0.07655363) < 1e-6 and abs(student_p(1.0, 1) - 0.5) < 1e-12
+    assert abs(student_p(1.959963984540054, 10**7) - 0.05) < 1e-5
+    assert abs(student_p(-2.5, 3) - student_p(2.5, 3)) < 1e-15 and student_p(float("inf"), 5) == 0.0
 
 
 def test_multi_encoding_strict_column_q11(spark):
