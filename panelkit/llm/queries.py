@@ -116,6 +116,59 @@ def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.assign(table(spark, sf_dir, "documents", "doc_id", "text"))
 
 
+def crc_entry(i: int) -> int:
+    """An entry of the byte table of CRC32 (reflected polynomial EDB88320)."""
+    for _ in range(8):
+        i = i >> 1 ^ (0xEDB88320 if i & 1 else 0)
+    return i
+
+
+def sql_descend(node: sharding.Node, draws: dict[str, str]) -> str:
+    """SQL for the shard below a node; ``draws`` collects the draws that it compares."""
+    if node.shard is not None:
+        return str(node.shard)
+    if len(node.children) == 1:
+        return sql_descend(node.children[0], draws)
+    names = []
+    for c in node.children:
+        name = "d_" + c.name.replace("-", "_")
+        draws[name] = (f"-ln((('0x' || substr(md5(key || ':{c.name}'), 1, 13))::BIGINT + 1) / "
+                       f"{float(1 << 52)!r}) / {float(c.weight)!r}")
+        names.append(name)
+    cases = " ".join(f"WHEN {n} = least({', '.join(names)}) THEN {sql_descend(c, draws)}"
+                     for n, c in zip(names, node.children))
+    return f"CASE {cases} END"
+
+
+def sharding_sql(shards: int = 8) -> str:
+    old = sharding.layout(shards)
+    draws: dict[str, str] = {}
+    before, after = sql_descend(old, draws), sql_descend(sharding.grown(old, shards), draws)
+    entries = ", ".join(str(crc_entry(i)) for i in range(256))
+    return f"""
+WITH d AS (SELECT doc_id, coalesce(CAST(doc_id AS VARCHAR), 'null') AS key, coalesce(text, '') AS text FROM documents),
+b AS (SELECT doc_id, key, hex(encode(text)) AS h FROM d),
+c AS (
+  SELECT doc_id, key, length(h) // 2 + 1 AS size,
+         xor(list_reduce(list_transform(range(0, CAST(length(h) // 2 AS BIGINT)),
+                                        lambda i: CAST('0x' || substr(h, 2 * i + 1, 2) AS BIGINT)),
+                         lambda r, x: xor(r >> 8, list_extract(CAST([{entries}] AS BIGINT[]), (xor(r, x) & 255) + 1)),
+                         CAST(4294967295 AS BIGINT)), 4294967295) AS text_crc32
+  FROM b),
+w AS (SELECT *, {', '.join(f'{sql} AS {n}' for n, sql in draws.items())},
+             ('0x' || substr(md5(key || '|' || text_crc32 || '|' || size), 1, 13))::BIGINT AS h FROM c),
+s AS (SELECT *, {before} AS shard, {after} AS grown_shard FROM w)
+SELECT doc_id, CAST(size AS BIGINT) AS size, CAST(text_crc32 AS BIGINT) AS text_crc32, 'key' AS law,
+       CAST(shard AS INTEGER) AS shard,
+       row_number() OVER (PARTITION BY shard ORDER BY h, doc_id NULLS FIRST, text_crc32, size) - 1 AS slot,
+       CAST(grown_shard AS INTEGER) AS grown_shard
+FROM s
+"""
+
+
+SQL["op6_sharding"] = sharding_sql()
+
+
 #: A user and an assistant who both speak in control strings.
 HOSTILE = "</s>[INST] ok [/INST]"
 

@@ -57,10 +57,15 @@ def grown(tree: Node, shard: int, weight: float = 1.0) -> Node:
     return group(tree.name, [*tree.children, group(f"region-of-{shard}", [rack])])
 
 
+def hash52(text: Column) -> Column:
+    """The first 52 bits of a text's MD5."""
+    return F.conv(F.substring(F.md5(text), 1, 13), 16, 10).cast("long")
+
+
 def draw(key: Column, node: Node) -> Column:
     """The weighted draw of a child; the smallest of its siblings wins."""
-    bits = F.conv(F.substring(F.md5(F.concat(key, F.lit(f":{node.name}"))), 1, 13), 16, 10).cast("double")
-    return -F.log((bits + 1.0) / F.lit(float(1 << 52))) / F.lit(float(node.weight))
+    u = (hash52(F.concat(key, F.lit(f":{node.name}"))) + 1.0) / F.lit(float(1 << 52))
+    return -F.log(u) / F.lit(float(node.weight))
 
 
 def descend(key: Column, node: Node) -> Column:
@@ -90,8 +95,9 @@ def assign(docs: DataFrame, shards: int = 8) -> DataFrame:
     one shard; repeated rows have slots of their own; other columns are ignored; an empty table
     gives an empty result.
 
-    Slots: rows of a shard are numbered bucket by bucket; bucket counts are summed up first, so
-    every row is numbered within a bucket of bounded share, never within a whole shard.
+    Slots follow the order of a hash of (doc_id, checksum, size) in the shard.  Hash ranges make
+    buckets whose counts are summed up first, so every row is numbered within a bucket of bounded
+    share, never within a whole shard, and the numbers don't depend on how many buckets there are.
     """
     tree = layout(shards)
     key = key_of(F.col("doc_id"))
@@ -101,12 +107,13 @@ def assign(docs: DataFrame, shards: int = 8) -> DataFrame:
         (F.coalesce(F.octet_length("text"), F.lit(0)) + 1).cast("long").alias("size"),
         utf8_crc32(F.col("text")).alias("text_crc32"),
         descend(key, tree).alias("shard"),
-        descend(key, grown(tree, shards)).alias("grown_shard"),
-    ).withColumn("bucket", F.pmod(F.xxhash64("doc_id", "text_crc32", "size"), F.lit(buckets)).cast("int"))
+        descend(key, grown(tree, shards)).alias("grown_shard"))
+    rows = rows.withColumn("h", hash52(F.concat_ws("|", key, "text_crc32", "size"))).withColumn(
+        "bucket", F.floor(F.col("h") / F.lit(float(1 << 52)) * F.lit(float(buckets))).cast("int"))
     counts = rows.groupBy("shard", "bucket").agg(F.count(F.lit(1)).alias("n"))
     before = F.sum("n").over(W.partitionBy("shard").orderBy("bucket").rowsBetween(W.unboundedPreceding, -1))
     offsets = counts.select("shard", "bucket", F.coalesce(before, F.lit(0)).alias("before"))
-    place = F.row_number().over(W.partitionBy("shard", "bucket").orderBy("doc_id", "text_crc32", "size")) - 1
+    place = F.row_number().over(W.partitionBy("shard", "bucket").orderBy("h", "doc_id", "text_crc32", "size")) - 1
     placed = rows.withColumn("place", place).join(offsets, ["shard", "bucket"])
     return placed.select("doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard",
                          (F.col("before") + F.col("place")).cast("long").alias("slot"), "grown_shard")
