@@ -6,7 +6,7 @@
 2.  Quotas: every source's documents are hashed into blocks of about ``BLOCK_DOCS`` documents
     and its blocks are put in a permuted (hashed) order.  A target of r passes takes every block
     floor(r) times and, once more, the first blocks of the order up to the target; of the one
-    block in which the target falls, single documents are taken greedily while they fit.  So the
+    block in which the target falls, single documents are taken to come nearest to it.  So the
     quota of block draws of each source is an exact number.
 3.  The splitting tree deals these draws to the output shards: a node with quotas q and s
     shards gives its left half a multivariate-hypergeometric draw of its share and the right half
@@ -104,13 +104,29 @@ def plan(sizes: DataFrame, weights: tuple[float, ...] = WEIGHTS, max_epochs: int
 
 
 def fill(pdf: pd.DataFrame) -> pd.DataFrame:
-    """Of the one cut block of a source: its documents in hashed order while they fit."""
+    """Of the one cut block of a source: its documents in hashed order while they fit, then the
+    one addition or exchange that brings the words nearest to the room."""
     pdf = pdf.sort_values(["h", "doc_id", "rid"], kind="stable")
-    room, taken = float(pdf["room"].iloc[0]), []
-    for size in pdf["size"]:
-        taken.append(0 < size <= room)
-        room -= size if taken[-1] else 0
-    return pd.DataFrame({"rid": pdf["rid"].to_numpy()[np.array(taken, bool)]})
+    size, room = pdf["size"].to_numpy(np.int64), float(pdf["room"].iloc[0])
+    taken = np.zeros(len(size), bool)
+    for i, n in enumerate(size.tolist()):
+        if 0 < n <= room:
+            taken[i] = True
+            room -= n
+    rest = np.flatnonzero(~taken & (size > 0))
+    if len(rest):
+        rest = rest[np.argsort(size[rest], kind="stable")]
+        out = np.append(np.flatnonzero(taken), -1)  # -1: nothing goes
+        wish = np.where(out >= 0, size[out], 0) + room
+        at = np.searchsorted(size[rest], wish)
+        near = np.stack([np.clip(at - 1, 0, len(rest) - 1), np.clip(at, 0, len(rest) - 1)])
+        gap = np.abs(size[rest][near] - wish)
+        k, j = np.unravel_index(gap.argmin(), gap.shape)
+        if gap[k, j] < room:
+            taken[rest[near[k, j]]] = True
+            if out[j] >= 0:
+                taken[out[j]] = False
+    return pd.DataFrame({"rid": pdf["rid"].to_numpy()[taken]})
 
 
 def copies(sizes: DataFrame, weights: tuple[float, ...] = WEIGHTS, max_epochs: int = MAX_EPOCHS,

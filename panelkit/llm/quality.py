@@ -21,8 +21,8 @@ WINDOW = 5
 #: Shares are compared as 100 * part > percent * whole, in whole numbers.
 MIN_WORDS = 10
 MAX_REPEAT_PERCENT = 20
-MAX_SYMBOLS_PER_100_WORDS = 50
-MAX_DUP_LINE_PERCENT = 30
+MAX_SYMBOLS_PER_100_WORDS = 20
+MAX_DUP_LINE_PERCENT = 50
 MAX_SHOUT_PERCENT = 60
 MAX_CHARS_PER_WORD = 40
 

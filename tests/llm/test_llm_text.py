@@ -103,7 +103,7 @@ def test_pruned_viterbi_equals_full():
 
 
 def test_field_learns_and_scan_keeps_base_spans(spark):
-    docs = table(spark, SF001, "documents", "doc_id", "text")
+    docs = table(spark, SF01, "documents", "doc_id", "text")
     field = secrets.fit(docs)
     got = {r.doc_id: r.spans for r in secrets.scan(docs, field).collect()}
     extra = 0
@@ -115,8 +115,7 @@ def test_field_learns_and_scan_keeps_base_spans(spark):
     tagger = secrets.Tagger(field)
     text = "ener tion erly the password=9f8e7d6c5b4a3f2e1d and then of the"
     tokens = text.encode().split()
-    assert tagger.tags(tagger.scores(tokens)[0]) == [(4, 5)] or (4, 5) in [
-        (a, b) for a, b in tagger.tags(tagger.scores(tokens)[0])]
+    assert tagger.tags(tagger.scores(tokens)[0]) == [(4, 5)]
 
 
 def test_secrets_on_edge_rows(spark):
