@@ -17,6 +17,7 @@ from __future__ import annotations
 import os
 import re
 import struct
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -82,12 +83,13 @@ class Encoder:
         self.library = Tokenizer.from_file(path)
         self.model = self.library.model
         self.special = [t.content for t in self.library.get_added_tokens_decoder().values()]
-        self.dtype = "<u2" if self.library.get_vocab_size() <= 1 << 16 else "<u4"
+        self.code = "H" if self.library.get_vocab_size() <= 1 << 16 else "I"
+        self.dtype = "<u2" if self.code == "H" else "<u4"
         self.words: dict[str, bytes] = {}
         self.parts: dict[str, bytes] = {}
 
     def pack(self, ids: list[int]) -> bytes:
-        return np.array(ids, self.dtype).tobytes()
+        return array(self.code, ids).tobytes()
 
     def encode_whole(self, text: str) -> bytes:
         return self.pack(self.library.encode(text, add_special_tokens=False).ids)
@@ -96,7 +98,10 @@ class Encoder:
         got = self.parts.get(stretch)
         if got is None:
             if WHOLE.fullmatch(stretch):
-                letters = "".join([LETTER[b] for b in stretch.encode()])
+                if stretch.isascii():
+                    letters = stretch.replace(" ", LETTER[32])
+                else:
+                    letters = "".join([LETTER[b] for b in stretch.encode()])
                 got = self.pack([t.id for t in self.model.tokenize(letters)])
             else:
                 got = self.encode_whole(stretch)
