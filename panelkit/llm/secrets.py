@@ -25,10 +25,13 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from panelkit.session import cut_lineage
+
 from .common import WORD
 
-#: Documents of each sort (with and without a fixed match) the field is fitted on, at most.
-SAMPLE_DOCS = 1_500
+#: Documents that the windows for fitting are taken from, about; windows of each sort (with and
+#: without a secret), at most.
+SAMPLE_DOCS, SAMPLE_WINDOWS = 20_000, 2_000
 #: Tokens on either side of a sampled place.
 CONTEXT = 8
 #: Hashed feature ids.
@@ -344,26 +347,26 @@ def log_sum(x: np.ndarray, axis: int) -> np.ndarray:
     return np.log(np.exp(x - top).sum(axis)) + top.squeeze(axis)
 
 
-def fit(docs: DataFrame, sample_docs: int = SAMPLE_DOCS) -> Field:
-    """The field fitted on the windows of at most ``sample_docs`` texts with and as many without
-    a fixed match (smallest hash first); only windows reach the driver."""
-    text = F.col("text")
-    marked = (text.rlike(r"(?i)(?:password|passwd|secret|token|api_?key)[\"']?\x20*[:=]")
-              | text.contains("AKIA") | text.rlike("[0-9a-f]{24}"))
-    rows = docs.where("text IS NOT NULL").select("text", F.xxhash64("text").alias("h")).withColumn("marked", marked)
+def fit(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, sample_windows_: int = SAMPLE_WINDOWS) -> Field:
+    """The field fitted on a hashed share of about ``sample_docs`` documents (all, if there are
+    fewer), of these on at most ``sample_windows_`` windows with a secret and as many without;
+    only windows reach the driver."""
+    known = docs.where("text IS NOT NULL")
+    share = min(1.0, sample_docs / max(known.count(), 1))
+    h = F.xxhash64("doc_id", "text")
+    chosen = known.select("text", h.alias("h")).where(
+        F.pmod("h", F.lit(1 << 20)) < F.lit(math.ceil(share * (1 << 20))))
 
     def windows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            for text in pdf["text"]:
-                got = sample_windows(text)
-                yield pd.DataFrame({"tokens": [w[0] for w in got], "tags": [w[1] for w in got], "file": [w[2] for w in got]})
+            rows = [(h, any(w[1]), *w) for h, text in zip(pdf["h"], pdf["text"]) for w in sample_windows(text)]
+            yield pd.DataFrame(rows, columns=["h", "secret", "tokens", "tags", "file"])
 
+    cut = cut_lineage(chosen.mapInPandas(
+        windows, "h long, secret boolean, tokens array<string>, tags array<int>, file array<int>"))
     found = []
-    for m in (True, False):
-        chosen = rows.where(F.col("marked") == m).orderBy("h").limit(sample_docs)
-        found += chosen.select("text").mapInPandas(
-            windows, "tokens array<string>, tags array<int>, file array<int>").collect()
-    found.sort(key=lambda r: (r.tokens, r.tags))
+    for secret in (True, False):
+        found += cut.where(F.col("secret") == secret).orderBy("h", "tokens").limit(sample_windows_).collect()
     return fit_field([(list(r.tokens), list(r.tags), list(r.file)) for r in found])
 
 
