@@ -53,7 +53,7 @@ NOTEBOOK_FEATURES = ["lag1week", "lag2week", "rolling3", "rolling10", "month", "
 
 def notebook_series(spark, sf_dir):
     """The notebook's overall weekly series with strict rolling windows."""
-    wk = weekly_overall(features(spark, sf_dir)).withColumn("series", F.lit("overall"))
+    wk = weekly_overall(features(spark, sf_dir), store=cut_lineage).withColumn("series", F.lit("overall"))
     w = series_window(["series"], "week_start")
     from ..functions.calendar import calendar_parts
     parts = calendar_parts(F.col("week_start"))

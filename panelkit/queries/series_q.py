@@ -53,7 +53,7 @@ SELECT week_start, {r('base_usd_per_l', 'base_usd_per_l')}, {r('cost_pressure',
 FROM overall""")
 def q_cost_pressure_fixed(spark, sf_dir):
     """E23 fixed weights + A5: the notebook's interpolated weekly series."""
-    return weekly_overall(features(spark, sf_dir))
+    return weekly_overall(features(spark, sf_dir), store=cut_lineage)
 
 
 @register("price_change_flag", OVERALL_SQL + f""",
@@ -65,7 +65,7 @@ SELECT week_start, {r('base_usd_per_l', 'base_usd_per_l')}, {r('cost_pressure',
 FROM d""")
 def q_price_change_flag(spark, sf_dir):
     """Weekly first difference and the > 0.05 rise flag."""
-    return weekly_price_flags(features(spark, sf_dir))
+    return weekly_price_flags(features(spark, sf_dir), store=cut_lineage)
 
 
 PROCESSED_SQL = CP_SQL + f""",
