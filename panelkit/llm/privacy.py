@@ -8,8 +8,9 @@ estimated from the whole corpus: with document frequencies df and N documents,
                              = log(N df(t, e) / (df(t) df(e))) / log(N / df(e))
 
 is 1 if the term occurs only beside the entity and 0 if it tells nothing.  A term counts as
-evidence only if it stood beside the entity in several contexts that share few other words, so
-exact and near copies of one passage prove nothing.  Terms at or above ``REMOVE_AT`` are removed, those at or above
+evidence only if ``MIN_CONTEXTS`` of the contexts in which it stood beside the entity pairwise share
+few other words: exact and near copies of one passage count as one context, and however many there
+are, they hide no others.  Terms at or above ``REMOVE_AT`` are removed, those at or above
 ``GENERALISE_AT`` are replaced by a placeholder, wherever they occur.
 
 Positions come without any loop over characters: the matches of a pattern and the stretches
@@ -25,10 +26,12 @@ from .common import written
 
 #: Words on either side of an entity that count as its company, taken from so many characters.
 CONTEXT_WORDS, CONTEXT_CHARS = 5, 160
-#: Different contexts in which a term has to stand beside an entity.
+#: Independent contexts in which a term has to stand beside an entity.
 MIN_CONTEXTS = 3
-#: Share of different words among the other words of these contexts.
-MIN_VARIETY = 0.5
+#: Contexts are independent if they share at most this part of the other words of the shorter one.
+MAX_SHARED = 0.5
+#: Slices into which the contexts of one entity and term are dealt.
+SLICES = 16
 GENERALISE_AT, REMOVE_AT = 0.9, 0.97
 
 KINDS = ("email", "ip", "card", "phone", "term")
@@ -141,6 +144,36 @@ def base_spans(docs: DataFrame) -> DataFrame:
         entity(s).alias("entity"), company(F.col("text"), s).alias("company"))).alias("mentions"))
 
 
+def shared_part(a: Column, b: Column) -> Column:
+    """The part of the shorter word list that both have; an empty list proves nothing."""
+    short = F.least(F.size(a), F.size(b))
+    return F.when(short > 0, F.size(F.array_intersect(a, b)) / short).otherwise(1.0)
+
+
+def independent(contexts: DataFrame, wanted: int) -> DataFrame:
+    """(entity, term) of which ``wanted`` contexts (distinct ``words`` besides the term) pairwise
+    share at most ``MAX_SHARED``.
+
+    The next context is each time the one that shares least with those chosen, and the first
+    is the one farthest from an arbitrary context; so more copies of a context change nothing.
+    Every round is one aggregate that combines map side; no group of contexts meets in a task.
+    """
+    keys, order = ["entity", "term"], F.xxhash64("words")
+    rows = written(contexts.select(*keys, "words", F.pmod(order, F.lit(SLICES)).cast("int").alias("slice")), "privacy-contexts")
+    chosen = rows.groupBy(*keys).agg(F.array(F.min_by("words", order)).alias("chosen"))
+    for i in range(wanted):
+        dealt = chosen.select(*keys, "chosen", F.explode(F.sequence(F.lit(0), F.lit(SLICES - 1))).alias("slice"))
+        near = F.array_max(F.transform("chosen", lambda c: shared_part(F.col("words"), c)))
+        best = (rows.join(dealt, [*keys, "slice"]).withColumn("near", near).groupBy(*keys)
+                .agg(F.min_by(F.struct("words", "near", "chosen"), F.struct("near", order)).alias("best")))
+        if i == 0:
+            chosen = best.select(*keys, F.array("best.words").alias("chosen"))
+        else:
+            chosen = best.where(F.col("best.near") <= MAX_SHARED).select(
+                *keys, F.concat("best.chosen", F.array("best.words")).alias("chosen"))
+    return chosen.select(*keys)
+
+
 def disclosing_terms(docs: DataFrame, found: DataFrame, min_contexts: int = MIN_CONTEXTS,
                      generalise_at: float = GENERALISE_AT) -> DataFrame:
     """(term, disclosure): terms whose strongest entity they reveal to ``generalise_at`` or more.
@@ -155,13 +188,8 @@ def disclosing_terms(docs: DataFrame, found: DataFrame, min_contexts: int = MIN_
     seen = (mention.select("entity", "context", words.alias("words"))
             .groupBy("entity", "context").agg(F.count(F.lit(1)).alias("n"), F.first("words").alias("words")))
     beside = seen.select("entity", "n", "words", F.explode("words").alias("term"))
-    # the other words of a context are at most twice CONTEXT_WORDS
-    others = (beside.select("entity", "term", F.explode("words").alias("other")).where("other <> term")
-              .groupBy("entity", "term", "other").agg(F.count(F.lit(1)).alias("times"))
-              .groupBy("entity", "term").agg((F.count(F.lit(1)) / F.sum("times")).alias("variety")))
     pairs = (beside.groupBy("entity", "term").agg(F.count(F.lit(1)).alias("contexts"), F.sum("n").alias("n_beside"))
-             .where(F.col("contexts") >= min_contexts).join(others, ["entity", "term"])
-             .where(F.col("variety") >= MIN_VARIETY).select("entity", "term", "n_beside"))
+             .where(F.col("contexts") >= min_contexts).select("entity", "term", "n_beside"))
     pairs = written(pairs, "privacy-pairs")
     words = F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(WORD), F.lit(0)))
     df_term = docs.select(F.explode(words).alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("df_term"))
@@ -172,7 +200,13 @@ def disclosing_terms(docs: DataFrame, found: DataFrame, min_contexts: int = MIN_
     content = F.log(F.col("n_docs") / F.col("df_entity"))
     pmi = F.log(F.col("n_docs") * both / (F.col("df_term").cast("double") * F.col("df_entity")))
     value = F.when(content > 0, pmi / content).otherwise(0.0)
-    return scored.groupBy("term").agg(F.max(value).alias("disclosure")).where(F.col("disclosure") >= generalise_at)
+    strong = scored.select("entity", "term", value.alias("disclosure")).where(F.col("disclosure") >= generalise_at)
+    strong = written(strong, "privacy-strong")
+    dealt = strong.select("entity", "term", F.explode(F.sequence(F.lit(0), F.lit(SLICES - 1))).alias("slice"))
+    contexts = beside.withColumn("slice", F.pmod(F.xxhash64("words"), F.lit(SLICES)).cast("int")).join(
+        dealt, ["entity", "term", "slice"]).select("entity", "term", F.array_remove("words", F.col("term")).alias("words"))
+    return (strong.join(independent(contexts, min_contexts), ["entity", "term"])
+            .groupBy("term").agg(F.max("disclosure").alias("disclosure")))
 
 
 def term_spans(docs: DataFrame, terms: DataFrame) -> DataFrame:

@@ -188,6 +188,27 @@ def test_disclosing_terms_are_found_and_copies_prove_nothing(spark):
     assert clean == "alpha alta <term> almma  alga"
 
 
+def private_terms(spark, rows):
+    docs = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")
+    return {s.value for r in privacy.sanitise(docs).collect() for s in r.spans if s.kind == "term"}
+
+
+def test_more_evidence_and_copies_hide_no_term(spark):
+    random.seed(17)
+    words = ["".join(p) for p in itertools.product("bdgklmn", "aeiou", "rstvz")]
+
+    def mail(term, name):
+        w = random.sample(words, 8)
+        return f"{' '.join(w[:4])} {term} {name}@x.org {' '.join(w[4:])}"
+
+    rows = [mail("Zorblat", "ann") for _ in range(400)]
+    rows += [mail("Quibble", "bob") for _ in range(50)]
+    rows += [f"near copies show {w} Quibble bob@x.org near copies show again" for w in words[:100]]
+    rows += [f"other copies tell {w} Snoffle eve@x.org other copies tell again" for w in words]
+    rows += [" ".join(random.sample(words, 5)) for _ in range(600)]
+    assert private_terms(spark, rows) == {"Zorblat", "Quibble"}
+
+
 # ---- toxicity -----------------------------------------------------------------------
 
 @pytest.fixture(scope="module")
