@@ -28,7 +28,7 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in which a benchmark item occurs within its edit budget go."""
-    return decontam.drop_leaks(docs, table(spark, sf_dir, "benchmark", "item_id", "text"))
+    return decontam.drop_leaks(docs, table(spark, sf_dir, "benchmark", "item_id", "text"), inside=True)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -4,7 +4,9 @@ A test item of m characters may occur in a document with up to k = floor(rate *
 Cut into k + 1 pieces, at least one piece then occurs unchanged: exact piece hits (one pass of
 an Aho-Corasick automaton over each text) propose places, and Myers' bit-parallel distance
 verifies them.  Texts and items are compared lower-cased, with ASCII punctuation and white
-space folded to single spaces.
+space folded to single spaces.  Short items take the same path with ``inside``, as the query and
+the pipeline do; a chance hit in the middle of longer words is none, so such a match has to begin
+and end at a word boundary.  Scripts written without spaces have boundaries everywhere.
 
 The benchmark is dealt into blocks of bounded size; each block's automaton is broadcast and
 meets all documents in one narrow pass, so documents are never shuffled and a larger benchmark
@@ -14,6 +16,8 @@ means more passes, not a larger broadcast.
 from __future__ import annotations
 
 import math
+import re
+import unicodedata
 from collections.abc import Iterator
 from functools import reduce
 
@@ -24,7 +28,8 @@ from pyspark.sql import functions as F
 
 #: Edits allowed per character of an item.
 ERROR_RATE = 0.05
-#: Items shorter than this after folding match only a document that is nothing else.
+#: Items shorter than this after folding match only whole words of a document (``inside``) or only
+#: a document that is nothing else.
 MIN_CHARS = 32
 #: Characters of benchmark text in one automaton, about; a single longer item makes its own block.
 BLOCK_CHARS = 2_000_000
@@ -84,18 +89,60 @@ def begin_of(pattern: str, text: str, end: int, distance: int) -> int:
     return end - myers(pattern[::-1], text[low:end][::-1], anchored=True)[1]
 
 
+#: Scripts written without spaces: Thai, Lao, Myanmar, Khmer, kana, Han and its extensions.
+UNSPACED = re.compile("[\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3005-\u3007\u3040-\u30ff\u31f0-\u31ff\u3400-\u4dbf"
+                      "\u4e00-\u9fff\uf900-\ufaff\uff66-\uff9f\U00020000-\U0003ffff]")
+
+
+def boundary(text: str, at: int) -> bool:
+    """Whether no word goes on across this place."""
+    if not 0 < at < len(text):
+        return True
+    return any(not (c.isalnum() or unicodedata.category(c)[0] == "M") or UNSPACED.match(c) for c in text[at - 1:at + 1])
+
+
+def best_words(pattern: str, text: str, low: int, high: int, k: int) -> tuple[int, int, int] | None:
+    """(distance, start, end) of the nearest match within ``k`` that begins and ends at word
+    boundaries of the text between ``low`` and ``high``; the first of equal ones."""
+    best, m = None, len(pattern)
+    for a in range(low, high):
+        if boundary(text, a):
+            for b in range(max(a + 1, a + m - k), min(a + m + k, high) + 1):
+                if boundary(text, b):
+                    d = distance(pattern, text[a:b], k)
+                    if d <= k and (best is None or d < best[0]):
+                        best = (d, a, b)
+        if best and not best[0]:
+            break
+    return best
+
+
+def distance(a: str, b: str, k: int) -> int:
+    """Edit distance of two whole strings; exact up to ``k``."""
+    if a == b or k == 0:
+        return int(a != b)
+    row = list(range(len(b) + 1))
+    for i, c in enumerate(a, 1):
+        new = [i]
+        for j, d in enumerate(b, 1):
+            new.append(min(row[j] + 1, new[j - 1] + 1, row[j - 1] + (c != d)))
+        row = new
+    return row[-1]
+
+
 class Matcher:
     """The automaton over the pieces of one block of items."""
 
     def __init__(self, items: list[tuple[int | None, str]], rate: float = ERROR_RATE,
-                 min_chars: int = MIN_CHARS):
+                 min_chars: int = MIN_CHARS, inside: bool = False):
+        self.min_chars = min_chars
         self.items, self.whole = [], {}
         owners: dict[str, list[tuple[int, int]]] = {}
         for item_id, text in items:
             text = fold(text)
             if not text:
                 continue
-            if len(text) < min_chars:
+            if len(text) < min_chars and not inside:
                 self.whole.setdefault(text, []).append(item_id)
                 continue
             k = budget(text, rate)
@@ -126,10 +173,16 @@ class Matcher:
             best = None
             for low, high in windows(sorted(set(begins)), len(pattern), k):
                 low, high = max(0, low), min(len(folded), high)
+                if len(pattern) < self.min_chars:
+                    match = best_words(pattern, folded, low, high, k)
+                    best = match if match and (best is None or match[0] < best[0]) else best
+                    continue
                 found, end = myers(pattern, folded[low:high])
                 if found <= k and (best is None or found < best[0]):
                     best = (found, low + end)
-            if best:
+            if best and len(best) == 3:
+                out.append((item_id, *best))
+            elif best:
                 out.append((item_id, best[0], begin_of(pattern, folded, best[1], best[0]), best[1]))
         return out
 
@@ -159,26 +212,26 @@ def blocks(benchmark: DataFrame, block_chars: int = BLOCK_CHARS) -> Iterator[lis
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame, rate: float = ERROR_RATE,
-          min_chars: int = MIN_CHARS, block_chars: int = BLOCK_CHARS) -> DataFrame:
+          min_chars: int = MIN_CHARS, block_chars: int = BLOCK_CHARS, inside: bool = False) -> DataFrame:
     """One row per document row and item found in it: distance, start and end in the folded text.
 
     NULL and empty texts and items match nothing; an item shorter than ``min_chars`` matches
-    only texts that are nothing but the item; items with equal id and text count once; repeated
+    whole words within its budget if ``inside`` is set, else only texts that are nothing but the item; items with equal id and text count once; repeated
     document rows give repeated result rows; empty tables give an empty result.
     """
     found = []
     for block in blocks(benchmark, block_chars):
-        hits = hit_column(docs, Matcher(block, rate, min_chars))
+        hits = hit_column(docs, Matcher(block, rate, min_chars, inside))
         found.append(docs.select("doc_id", F.explode(hits).alias("hit")).select(
             "doc_id", *(F.col("hit")[i].alias(c) for i, c in enumerate(("item_id", "distance", "start", "end")))))
     return reduce(DataFrame.unionAll, found)
 
 
 def drop_leaks(docs: DataFrame, benchmark: DataFrame, rate: float = ERROR_RATE,
-               min_chars: int = MIN_CHARS, block_chars: int = BLOCK_CHARS) -> DataFrame:
+               min_chars: int = MIN_CHARS, block_chars: int = BLOCK_CHARS, inside: bool = False) -> DataFrame:
     """The rows of ``docs`` in which no item is found."""
     for block in blocks(benchmark, block_chars):
-        docs = docs.where(F.size(hit_column(docs, Matcher(block, rate, min_chars))) == 0)
+        docs = docs.where(F.size(hit_column(docs, Matcher(block, rate, min_chars, inside))) == 0)
     return docs
 
 

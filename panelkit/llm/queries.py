@@ -212,7 +212,7 @@ def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every benchmark item found in a document within its edit budget: doc_id, item_id,
     distance, start and end in the folded text."""
     return decontam.leaks(table(spark, sf_dir, "documents", "doc_id", "text"),
-                          table(spark, sf_dir, "benchmark", "item_id", "text"))
+                          table(spark, sf_dir, "benchmark", "item_id", "text"), inside=True)
 
 
 @query

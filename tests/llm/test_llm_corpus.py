@@ -166,6 +166,35 @@ def test_decontamination_blocks_and_edge_rows(spark):
     assert decontam.drop_leaks(docs, bench.limit(0)).count() == len(ROWS)
 
 
+def test_short_items_are_found_inside_documents(spark, tmp_path):
+    bench = spark.createDataFrame([(1, "Who wrote Faust?"), (2, "富士山の高さは何メートルですか"), (3, "the capital of peru is lima"),
+                                   (4, "art"), (5, "who wrote faust")], "item_id long, text string")
+    docs = spark.createDataFrame([
+        (1, "Quiz. Who wrote Faust? Goethe."), (2, "次の問題:富士山の高さは何メートルですかと聞いた"), (3, "x The capital of Peru js Lima, y"),
+        (4, "who wrote fausts"), (5, "a party started"), (6, "modern art, though"), (7, None)], "doc_id long, text string")
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    bench.write.parquet(f"{tmp_path}/benchmark.parquet")
+    got = queries.op9_decontamination(spark, str(tmp_path)).collect()
+    assert {(r.doc_id, r.item_id, r.distance) for r in got} == {(1, 1, 0), (1, 5, 0), (2, 2, 0), (3, 3, 1), (6, 4, 0)}
+    assert {tuple(r)[3:] for r in got if r.doc_id == 1} == {(5, 20)}
+    import corpus_pipeline
+    assert sorted(r.doc_id for r in corpus_pipeline.drop_leaks(spark, docs, str(tmp_path)).collect()) == [4, 5, 7]
+
+
+def test_short_items_against_full_edit_distance():
+    random.seed(18)
+    for _ in range(400):
+        item = " ".join("".join(random.choices("ab", k=random.randint(1, 4))) for _ in range(random.randint(3, 9)))[:31].strip()
+        x = list(item)
+        x[random.randrange(len(x))] = random.choice(["", "c", "a", " "])
+        doc = decontam.fold("".join(random.choices("ab ", k=20)) + random.choice([" ", "", "c"]) + "".join(x) + random.choice([" ", ""]) + "".join(
+            random.choices("ab ", k=20)))
+        k, ends = decontam.budget(item), [i for i in range(len(doc) + 1) if i in (0, len(doc)) or " " in doc[i - 1:i + 1]]
+        want = min((decontam.distance(item, doc[a:b], 99), a, b) for a in ends for b in ends if a < b)
+        got = decontam.Matcher([(1, item)], inside=True).search(doc)
+        assert got == ([(1, *want)] if want[0] <= k else []), (item, doc)
+
+
 # ---- mixing -------------------------------------------------------------------------
 
 def reshared(sizes, weights=(1, 2, 3), cap=3):
