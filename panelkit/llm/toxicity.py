@@ -2,8 +2,9 @@
 
 Writers hide words by look-alike symbols (``1d10t``), spacing (``i d i o t``) and repetition
 (``idiooot``).  Each such passage is a lattice of characters: every observed symbol may stand
-for one of a few letters, separators inside a spaced-out run may be dropped or kept, a run of
-three or more equal letters may stand for one or two.  A character trigram model counted over
+for one of a few letters, separators inside a spaced-out run (of letters and look-alikes) may be dropped or kept, a run of
+three or more equal letters may stand for one or two.  Tokens are cut at brackets, quotes, hyphens
+and slashes first, and each part has its own lattice.  A character trigram model counted over
 ALL documents weighs the paths and Viterbi takes the best.  Text without such passages has a
 single path and is left as it is.  Restored words, and their beginnings (which catch inflected
 forms that no label shows), then feed a sparse logistic model learned from the labels.
@@ -40,6 +41,8 @@ SEPARATORS = " .*_-"
 
 #: Channel costs (negative log probabilities).
 SUBSTITUTED, DROPPED, COLLAPSED, KEPT_SYMBOL = 1.0, 0.5, 0.7, 6.0
+#: Cost of reading a "(" that begins a passage as a bracket.
+BRACKET = 2.0
 
 # ---- character language model -------------------------------------------------------
 
@@ -98,10 +101,17 @@ def log_model(counts: np.ndarray) -> np.ndarray:
 # ---- lattice and Viterbi ------------------------------------------------------------
 
 RUN = re.compile(r"(.)\1\1")
-SPACED = re.compile(r"\b[^\W\d_](?:[ .*_-][^\W\d_]){3,}\b")
+#: Single letters and look-alikes with a separator between them; punctuation that may as well be
+#: meant as such ends no run, and what may be a bracket or a sign begins none.
+SPACED = re.compile(r"(?<!\w)(?:[^\W\d_]|[013457890@$!€])(?:[ .*_-](?:[^\W\d_]|[013457890@$!|+(€])){2,}"
+                    r"[ .*_-](?:[^\W\d_]|[013457890@$€])(?!\w)")
 LEET = re.compile(r"[013457890@$!|+(€]")
 LEET_WORD = re.compile(r"[^\W_@$!|+(€]*(?:[@$!|+(€][^\W_@$!|+(€]*)*")
 LETTER = re.compile(r"[^\W\d_]")
+#: Brackets, quotes, hyphens, slashes and marks of emphasis, at which tokens are cut; a "(" only
+#: if the token closes it, else it may stand for a letter.
+CUT = re.compile("[\\[\\]{}<>)\"'`´*_~/\\\\\u00ab\u00bb\u2010-\u201f\u2039\u203a\u300c-\u300f-]+")
+PAIR = re.compile(r"\(([^()]*)\)")
 #: Lower-case hexadecimal strings are keys and digests, not words.
 DIGEST = re.compile(r"[0-9a-f]{8,}$")
 
@@ -116,6 +126,8 @@ def lattice(passage: str, spaced: bool) -> list[list[tuple[str, float]]]:
         elif c in LOOKALIKE:
             readings = [(x * k, SUBSTITUTED + (k != n) * COLLAPSED) for x in LOOKALIKE[c]
                         for k in {n, min(n, 2), 1}]
+            if c == "(" and not out:
+                readings.append(("", BRACKET))
             out.append([*readings, (c * n, KEPT_SYMBOL)])
         elif n >= 3 and c.isalpha():
             out.append([(c * k, COLLAPSED) for k in (1, 2)])
@@ -143,21 +155,33 @@ def viterbi(steps: list[list[tuple[str, float]]], model: np.ndarray) -> str:
     return min(states.values())[1].strip()
 
 
+def unspaced(text: str, model: np.ndarray) -> str:
+    """The text with its spaced-out runs decoded; runs of digits and signs alone stay."""
+    return SPACED.sub(lambda m: viterbi(lattice(m[0], True), model)
+                      if len(set(m[0])) > 3 and LETTER.search(m[0]) else m[0], text)
+
+
 def restore(text: str, model: np.ndarray) -> str:
     """The lower-cased text with its obfuscated passages decoded."""
-    text = text.lower()
-    text = SPACED.sub(lambda m: viterbi(lattice(m[0], True), model) if len(set(m[0])) > 3 else m[0], text)
-    return " ".join(restore_word(w, model) for w in text.split())
+    return " ".join(restore_word(w, model) for w in unspaced(text.lower(), model).split())
 
 
 def restore_word(word: str, model: np.ndarray) -> str:
     core = word.strip(".,;:?\"'")
     if core.isalpha():
-        return viterbi(lattice(core, False), model) if RUN.search(core) else core
-    if (LEET.search(core) and LETTER.search(core) and LEET_WORD.fullmatch(core)
-            and not DIGEST.match(core)):
-        return viterbi(lattice(core, False), model)
-    return word
+        return restore_part(core, model)
+    parts = [p for p in (x.strip(".,;:?") for x in CUT.split(PAIR.sub(r"[\1]", core))) if p]
+    plain = [restore_part(p, model) for p in parts]
+    return " ".join(plain) if plain != parts else word
+
+
+def restore_part(part: str, model: np.ndarray) -> str:
+    if part.isalpha():
+        return viterbi(lattice(part, False), model) if RUN.search(part) else part
+    if (LEET.search(part) and LETTER.search(part) and LEET_WORD.fullmatch(part)
+            and not DIGEST.match(part)):
+        return viterbi(lattice(part, False), model)
+    return part
 
 
 LETTERS = re.compile(r"[^\W\d_]+")
@@ -182,10 +206,7 @@ class Reader:
 
     def features(self, text: str | None) -> set:
         """Distinct features of a text (numbers, if a vocabulary is wanted)."""
-        text = (text or "").lower()
-        if SPACED.search(text):
-            text = SPACED.sub(lambda m: viterbi(lattice(m[0], True), self.model)
-                              if len(set(m[0])) > 3 else m[0], text)
+        text = unspaced((text or "").lower(), self.model)
         out: set = set()
         cache = self.cache
         for token in set(text.split()):

@@ -224,6 +224,15 @@ def test_restoration(model, hidden, word):
     assert toxicity.restore(hidden, model) == word
 
 
+@pytest.mark.parametrize("hidden,word", [
+    ("1 d 1 0 t", "idiot"), ("i d 1 o t", "idiot"), ("m-0-r-0-n", "moron"), ("$ t u p 1 d", "stupid"), ("i d i o t !", "idiot !"),
+    ("(1d10t)", "idiot"), ("[1d10t]", "idiot"), ("*1d10t*", "idiot"), ("\u201c1d10t\u201d,", "idiot"), ("(1d10t", "idiot"),
+    ("1d10t-like", "idiot like"), ("moron/1d10t", "moron idiot"), ("(idiooot)", "idiot"), ("idiooot-like", "idiot like"),
+    ("(l0wn", "clown"), ("1 0 4 5 7", "1 0 4 5 7"), ("10-4-0-1-3", "10-4-0-1-3"), ("don't", "don't"), ("well-known (f)", "well-known (f)")])
+def test_restoration_of_mixed_and_wrapped_words(model, hidden, word):
+    assert toxicity.restore(hidden, model) == word
+
+
 def test_viterbi_against_enumeration(model):
     random.seed(8)
     for _ in range(60):
