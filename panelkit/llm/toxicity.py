@@ -261,7 +261,7 @@ def candidate_features(train: DataFrame, lm, limit: int = FEATURES) -> list[str]
     n, k = F.col("n").cast("double"), F.col("k").cast("double")
     gain = (F.when(k > 0, k * F.log(k / (n * rate))).otherwise(0.0)
             + F.when(n > k, (n - k) * F.log((n - k) / (n * (1 - rate)))).otherwise(0.0))
-    top = counts.where(k / n > 2 * rate).orderBy(gain.desc(), "f").limit(limit)
+    top = counts.where(k / n > rate).orderBy(gain.desc(), "f").limit(limit)
     return [r.f for r in top.collect()]
 
 

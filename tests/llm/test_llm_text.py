@@ -268,3 +268,16 @@ def test_toxicity_edge_rows(spark):
     assert toxicity.scores(docs.select("doc_id", "text").limit(0), labels).count() == 0
     some = spark.createDataFrame([(1, 1), (1, None), (None, 1), (2, 0), (9, 0)], "doc_id long, toxic int")
     assert toxicity.scores(docs.select("doc_id", "text"), some).count() == len(ROWS)
+
+
+@pytest.mark.parametrize("share", [0.4, 0.7, 0.9])
+def test_mostly_toxic_labels_still_teach(spark, share):
+    random.seed(19)
+    words = ["".join(p) for p in itertools.product("bdgklmn", "aeiou", "rstvz", "aeiou")]
+    rows = [(i, i < 1000 * share, random.sample(words, 12)) for i in range(1000)]
+    rows = [(i, int(y), " ".join(w + [random.choice(["idiot", "moron", "clown"])] * y)) for i, y, w in rows]
+    docs = spark.createDataFrame([(i, t) for i, _, t in rows], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, y) for i, y, _ in rows], "doc_id long, toxic int")
+    toxic = {i: y for i, y, _ in rows}
+    got = toxicity.scores(docs, labels).where(toxicity.held_out()).collect()
+    assert sum(r.predicted == toxic[r.doc_id] for r in got) >= 0.95 * len(got)
