@@ -1,15 +1,15 @@
 """Personal data: fixed patterns and information-theoretic sanitisation, in DataFrame operations only.
 
-Entities (addresses and numbers that the patterns find) are to be protected.  A term that keeps
-company with an entity reveals it even where the entity itself is cut out.  How strongly is
+Entities (addresses and numbers that the patterns find) are to be protected.  A term that occurs
+in an entity's documents, anywhere outside the patterns' spans, reveals it even where the entity itself is cut out.  How strongly is
 estimated from the whole corpus: with document frequencies df and N documents,
 
     disclosure(term, entity) = PMI(term, entity) / IC(entity)
                              = log(N df(t, e) / (df(t) df(e))) / log(N / df(e))
 
-is 1 if the term occurs only beside the entity and 0 if it tells nothing.  A term counts as
-evidence only if ``MIN_CONTEXTS`` of the contexts in which it stood beside the entity pairwise share
-few other words: exact and near copies of one passage count as one context, and however many there
+is 1 if the term occurs only with the entity and 0 if it tells nothing.  A term counts as
+evidence only if ``MIN_CONTEXTS`` of the documents that hold both pairwise share few other words (by
+a sketch of their words): exact and near copies of one document count as one, and however many there
 are, they hide no others.  Terms at or above ``REMOVE_AT`` are removed, those at or above
 ``GENERALISE_AT`` are replaced by a placeholder, wherever they occur.
 
@@ -24,11 +24,11 @@ from pyspark.sql import functions as F
 
 from .common import written
 
-#: Words on either side of an entity that count as its company, taken from so many characters.
-CONTEXT_WORDS, CONTEXT_CHARS = 5, 160
-#: Independent contexts in which a term has to stand beside an entity.
+#: Words of a document, those of smallest hash, by which it is compared to others.
+SKETCH = 16
+#: Independent documents in which a term has to occur with an entity.
 MIN_CONTEXTS = 3
-#: Contexts are independent if they share at most this part of the other words of the shorter one.
+#: Documents are independent if their sketches share at most this part of the other words of the shorter one.
 MAX_SHARED = 0.5
 #: Slices into which the contexts of one entity and term are dealt.
 SLICES = 16
@@ -122,26 +122,23 @@ def entity(span: Column) -> Column:
         span["kind"] == "ip", span["value"]).otherwise(digits(span["value"])))
 
 
-def company(text: Column, span: Column) -> Column:
-    """The words beside a span, in order; digits, as parts of other entities, are no words."""
-    first = F.greatest(F.lit(1), span["start"].cast("int") + 1 - CONTEXT_CHARS)
-    left = F.substring(text, first, span["start"].cast("int") + 1 - first)
-    right = F.substring(text, span["end"].cast("int") + 1, F.lit(CONTEXT_CHARS))
-    before = F.regexp_extract_all(F.lower(left), F.lit(WORD), F.lit(0))
-    after = F.regexp_extract_all(F.lower(right), F.lit(WORD), F.lit(0))
-    n = F.size(before)
-    return F.concat(F.slice(before, F.greatest(F.lit(1), n - CONTEXT_WORDS + 1), F.lit(CONTEXT_WORDS)),
-                    F.slice(after, F.lit(1), F.lit(CONTEXT_WORDS)))
+def distinct_words(text: Column) -> Column:
+    return F.array_distinct(F.regexp_extract_all(F.lower(text), F.lit(WORD), F.lit(0)))
 
 
 def base_spans(docs: DataFrame) -> DataFrame:
-    """doc_id, h (hash of the text) and the patterns' spans, each with its company."""
+    """doc_id, h (hash of the text) and the patterns' spans; of rows with spans also their distinct
+    entities, the distinct words outside the spans and those that occur only inside."""
     text = F.coalesce("text", F.lit(""))
     spans = F.concat(*[pattern_spans(F.col("text"), k) for k in PATTERNS])
     rows = docs.select("doc_id", text.alias("text")).select(
         "doc_id", "text", F.xxhash64("text").alias("h"), ordered(spans).alias("spans"))
-    return rows.select("doc_id", "h", "spans", F.transform("spans", lambda s: F.struct(
-        entity(s).alias("entity"), company(F.col("text"), s).alias("company"))).alias("mentions"))
+    blank = F.transform("spans", lambda s: s.withField("kind", F.lit("")))
+    outside = cleaned(F.col("text"), blank, F.array_repeat(F.lit("generalise"), F.size("spans")))
+    held = F.size("spans") > 0
+    rows = rows.select("doc_id", "text", "h", "spans", F.when(held, distinct_words(outside)).alias("words"))
+    return rows.select("doc_id", "h", "spans", F.array_distinct(F.transform("spans", entity)).alias("entities"), "words",
+                       F.when(held, F.array_except(distinct_words(F.col("text")), "words")).alias("inner"))
 
 
 def shared_part(a: Column, b: Column) -> Column:
@@ -151,7 +148,7 @@ def shared_part(a: Column, b: Column) -> Column:
 
 
 def independent(contexts: DataFrame, wanted: int) -> DataFrame:
-    """(entity, term) of which ``wanted`` contexts (distinct ``words`` besides the term) pairwise
+    """(entity, term) of which ``wanted`` contexts (distinct sketches ``words`` besides the term) pairwise
     share at most ``MAX_SHARED``.
 
     The next context is each time the one that shares least with those chosen, and the first
@@ -179,32 +176,35 @@ def disclosing_terms(docs: DataFrame, found: DataFrame, min_contexts: int = MIN_
     """(term, disclosure): terms whose strongest entity they reveal to ``generalise_at`` or more.
 
     ``found`` is the materialised result of ``base_spans``.  Word counts are summed map side and
-    meet the candidate terms as one row per word, so no document rows are joined.
+    meet the candidate terms as one row per word.  All four counts are of rows of ``docs``; only rows
+    with an entity of ``min_contexts`` rows are joined, dealt into slices.
     """
-    mention = found.where(F.size("mentions") > 0).select(
-        F.struct("doc_id", "h").alias("doc"), F.explode("mentions").alias("m")).select(
-        "doc", "m.entity", "m.company", F.xxhash64("m.company").alias("context"))
-    words = F.array_distinct("company")
-    seen = (mention.select("entity", "context", words.alias("words"))
-            .groupBy("entity", "context").agg(F.count(F.lit(1)).alias("n"), F.first("words").alias("words")))
-    beside = seen.select("entity", "n", "words", F.explode("words").alias("term"))
-    pairs = (beside.groupBy("entity", "term").agg(F.count(F.lit(1)).alias("contexts"), F.sum("n").alias("n_beside"))
-             .where(F.col("contexts") >= min_contexts).select("entity", "term", "n_beside"))
+    sketch = F.slice(F.array_sort(F.transform("words", lambda w: F.xxhash64(w))), 1, SKETCH)
+    held = found.where(F.size("spans") > 0).select(
+        "words", sketch.alias("sketch"), F.pmod(F.xxhash64("doc_id", "h"), F.lit(SLICES)).cast("int").alias("slice"),
+        F.explode("entities").alias("entity"))
+    every = F.explode(F.sequence(F.lit(0), F.lit(SLICES - 1))).alias("slice")
+    df_entity = written(held.groupBy("entity").agg(F.count(F.lit(1)).alias("df_entity"))
+                        .where(F.col("df_entity") >= min_contexts), "privacy-entities")
+    beside = held.join(df_entity.select("entity", every), ["entity", "slice"]).select(
+        "entity", "slice", "sketch", F.explode("words").alias("term"))
+    pairs = (beside.groupBy("entity", "term").agg(F.count(F.lit(1)).alias("both"))
+             .where(F.col("both") >= min_contexts))
     pairs = written(pairs, "privacy-pairs")
-    words = F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(WORD), F.lit(0)))
-    df_term = docs.select(F.explode(words).alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("df_term"))
-    df_entity = mention.select("doc", "entity").distinct().groupBy("entity").agg(F.count(F.lit(1)).alias("df_entity"))
+    # words that a row holds only inside spans are no terms there
+    counted = docs.select(F.explode(distinct_words(F.col("text"))).alias("term"), F.lit(1).alias("n")).unionAll(
+        found.select(F.explode("inner").alias("term"), F.lit(-1).alias("n")))
+    df_term = counted.groupBy("term").agg(F.sum("n").alias("df_term"))
     n = docs.agg(F.count(F.lit(1)).cast("double").alias("n_docs"))
     scored = pairs.join(df_term, "term").join(df_entity, "entity").crossJoin(F.broadcast(n))  # n is one row
-    both = F.least("n_beside", "df_term", "df_entity")
     content = F.log(F.col("n_docs") / F.col("df_entity"))
-    pmi = F.log(F.col("n_docs") * both / (F.col("df_term").cast("double") * F.col("df_entity")))
+    pmi = F.log(F.col("n_docs") * F.col("both") / (F.col("df_term").cast("double") * F.col("df_entity")))
     value = F.when(content > 0, pmi / content).otherwise(0.0)
     strong = scored.select("entity", "term", value.alias("disclosure")).where(F.col("disclosure") >= generalise_at)
     strong = written(strong, "privacy-strong")
-    dealt = strong.select("entity", "term", F.explode(F.sequence(F.lit(0), F.lit(SLICES - 1))).alias("slice"))
-    contexts = beside.withColumn("slice", F.pmod(F.xxhash64("words"), F.lit(SLICES)).cast("int")).join(
-        dealt, ["entity", "term", "slice"]).select("entity", "term", F.array_remove("words", F.col("term")).alias("words"))
+    other = F.array_remove("sketch", F.xxhash64("term"))
+    contexts = beside.join(strong.select("entity", "term", every), ["entity", "term", "slice"]).select(
+        "entity", "term", other.alias("words")).distinct()
     return (strong.join(independent(contexts, min_contexts), ["entity", "term"])
             .groupBy("term").agg(F.max("disclosure").alias("disclosure")))
 

@@ -209,6 +209,19 @@ def test_more_evidence_and_copies_hide_no_term(spark):
     assert private_terms(spark, rows) == {"Zorblat", "Quibble"}
 
 
+def test_terms_far_from_the_entity_and_many_mentions(spark):
+    random.seed(20)
+    words = ["".join(p) for p in itertools.product("bdgklmn", "aeiou", "rstvz")]
+
+    def some(n):
+        return " ".join(random.sample(words, n))
+
+    rows = [f"Zorblat {some(20)} signed by the usual office at ann@x.org" for _ in range(5)]
+    rows += [" ".join(f"{some(6)} Quibble bob@x.org {some(6)}." for _ in range(20))] + [f"{some(9)} bob@x.org" for _ in range(9)]
+    rows += [f"Quibble {some(9)}" for _ in range(4)] + [f"{some(9)} signed by the usual office at" for _ in range(80)]
+    assert private_terms(spark, rows) == {"Zorblat"}
+
+
 # ---- toxicity -----------------------------------------------------------------------
 
 @pytest.fixture(scope="module")
