@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontam, mixing, privacy, quality, secrets, sharding, simhash, tokens, toxicity
+from . import chat, decontam, mixing, privacy, quality, runs, secrets, sharding, simhash, tokens, toxicity
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -219,3 +219,43 @@ def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words that the mix takes of every document."""
     return mixing.taken_words(table(spark, sf_dir, "documents", "doc_id", "text", "source"))
+
+
+@query
+def op13_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Periodic runs of words of every document."""
+    found = runs.periodic_runs(table(spark, sf_dir, "documents", "doc_id", "text"), runs.planted)
+    return found.drop("runs")
+
+
+#: Equal words q places apart, joined by word, make islands; an island of m places is a stretch of m + q
+#: words with period q, and the shortest period of a stretch is its smallest.
+SQL["op13_runs"] = rf"""
+WITH d AS (
+  SELECT row_number() OVER () AS k, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w,
+         coalesce(CAST(doc_id AS VARCHAR), '') AS s FROM documents),
+h AS (
+  SELECT k, doc_id, w, len(w) AS n,
+         CASE WHEN s = '' THEN 1 ELSE
+         xor(list_reduce(list_transform(range(1, length(s) + 1), lambda i: ascii(substr(s, i, 1))::BIGINT),
+                         lambda r, x: xor(r >> 8, list_extract(CAST([{", ".join(str(crc_entry(i)) for i in range(256))}] AS BIGINT[]), (xor(r, x) & 255) + 1)),
+                         CAST(4294967295 AS BIGINT)), 4294967295) END AS h FROM d),
+g AS (SELECT *, CASE WHEN n > 0 THEN (h // 10) % n END AS a, (h // 10) % 8 AS z FROM h),
+p AS (SELECT *, 1 + (n - a) // (3 + z) AS p FROM g),
+t AS (
+  SELECT k, doc_id, n, CASE WHEN h % 10 = 0 AND n > 0
+    THEN list_concat(w[:a], list_transform(range(a, n), lambda i: w[a + (i - a) % p + 1])) ELSE w END AS w FROM p),
+x AS (SELECT k, unnest(range(0, n)) AS i, unnest(w) AS w FROM t),
+e AS (SELECT l.k, l.i, r.i - l.i AS q FROM x l JOIN x r ON r.k = l.k AND r.w = l.w AND r.i > l.i),
+f AS (SELECT k, q, i, i - row_number() OVER (PARTITION BY k, q ORDER BY i) AS island FROM e),
+s AS (SELECT k, q, min(i) AS s, max(i) + 1 + q AS e FROM f GROUP BY k, q, island HAVING count(*) + q >= greatest(12, 2 * q)),
+r AS (SELECT k, s, e - s AS length, min(q) AS q FROM s GROUP BY k, s, e),
+o AS (SELECT k, count(*) AS n_runs, arg_min(struct_pack(s := s, l := length, q := q), (-length, s, q)) AS m,
+             string_agg(s || ',' || length || ',' || q || chr(10), '' ORDER BY s, q) AS lines FROM r GROUP BY k),
+c AS (SELECT DISTINCT k, unnest(range(s + q, s + length)) AS i FROM r),
+j AS (SELECT x.k, string_agg(x.w, ' ' ORDER BY x.i) AS kept FROM x ANTI JOIN c ON c.k = x.k AND c.i = x.i GROUP BY x.k)
+SELECT t.doc_id, coalesce(o.n_runs, 0)::BIGINT AS n_runs, o.m.s::BIGINT AS start, o.m.l::BIGINT AS length, o.m.q::BIGINT AS period,
+       (1000 * o.m.l // o.m.q)::BIGINT AS exponent_milli, sha256(coalesce(o.lines, '')) AS runs_sha256,
+       sha256(coalesce(j.kept, '')) AS collapsed_sha256
+FROM t LEFT JOIN o ON o.k = t.k LEFT JOIN j ON j.k = t.k
+"""
