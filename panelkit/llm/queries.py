@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontam, mixing, privacy, quality, runs, secrets, sharding, simhash, tokens, toxicity
+from . import chat, decontam, mixing, privacy, quality, runs, secrets, sharding, simhash, tokens, topk, toxicity
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -221,6 +221,24 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.taken_words(table(spark, sf_dir, "documents", "doc_id", "text", "source"))
 
 
+@query
+def op12_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 5 vectors with the highest inner product for every 50th vector."""
+    return topk.search(table(spark, sf_dir, "embeddings", "vec_id", "embedding"), lambda id: id % 50 == 0)
+
+
+SQL["op12_topk"] = """
+WITH v AS (
+  SELECT row_number() OVER () AS k, vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS e FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+p AS (
+  SELECT q.k, q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.e, c.e) AS BIGINT) AS score
+  FROM v q JOIN v c ON c.k <> q.k WHERE q.vec_id % 50 = 0),
+r AS (SELECT *, row_number() OVER (PARTITION BY k ORDER BY score DESC, vec_id) AS rank FROM p)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM r WHERE rank <= 5
+"""
+
+
 @query
 def op13_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Periodic runs of words of every document."""

@@ -372,9 +372,9 @@ def periodic_runs(docs: DataFrame, change=as_they_are, tile: int = TILE) -> Data
                 out.append((doc_id, len(found), s, length, q, 1000 * length // q if found else None,
                             hashlib.sha256(lines.encode()).hexdigest(), hashlib.sha256(b" ".join(kept)).hexdigest(),
                             [{"start": a, "length": b, "period": c} for a, b, c in found]))
-            made = pd.DataFrame(out, columns=["doc_id", "n_runs", "start", "length", "period", "exponent_milli",
-                                              "runs_sha256", "collapsed_sha256", "runs"])
-            yield made.astype({c: "Int64" for c in ("doc_id", "start", "length", "period", "exponent_milli")})
+            numbers = ("doc_id", "n_runs", "start", "length", "period", "exponent_milli")
+            columns = dict(zip((*numbers, "runs_sha256", "collapsed_sha256", "runs"), zip(*out) if out else [()] * 9))
+            yield pd.DataFrame(columns | {c: pd.array(columns[c], "Int64") for c in numbers})
 
     repeated = held.select(F.col("doc_id").cast("string").alias("doc_id"), "text", "runs").mapInPandas(digest, FOUND)
     none = F.lit(None).cast("long")
