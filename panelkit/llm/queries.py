@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontam, mixing, privacy, quality, runs, secrets, sharding, simhash, tokens, topk, toxicity
+from . import chat, decontam, mixing, phrases, privacy, quality, runs, secrets, sharding, simhash, tokens, topk, toxicity
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -221,6 +221,42 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.taken_words(table(spark, sf_dir, "documents", "doc_id", "text", "source"))
 
 
+@query
+def op11_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The best collocations of every language."""
+    return phrases.collocations(table(spark, sf_dir, "documents", "lang", "text"))
+
+
+SQL["op11_phrases"] = rf"""
+WITH d AS (
+  SELECT coalesce(lang, 'und') AS lang,
+         unnest(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                   '[.,;:!?
+-]')) AS piece FROM documents),
+p AS (SELECT lang, regexp_extract_all(piece, '[^ 	]+') AS w FROM d),
+n AS (SELECT lang, sum(len(w))::HUGEINT AS n FROM p GROUP BY lang),
+g AS (SELECT lang, m, array_to_string(w[i:i + m - 1], ' ') AS phrase
+      FROM (SELECT lang, w, m, unnest(range(1, len(w) - m + 2)) AS i FROM p, (SELECT unnest(range(1, {phrases.MAX_WORDS + 1})) AS m) WHERE len(w) >= m)),
+f AS (SELECT lang, m, phrase, count(*)::HUGEINT AS f, string_split(phrase, ' ') AS w FROM g GROUP BY lang, m, phrase
+      HAVING count(*) >= {phrases.MIN_COUNT}),
+c AS (SELECT lang, m, phrase, f AS a, w, unnest(range(1, m)) AS k FROM f WHERE m > 1),
+s AS (SELECT c.lang, c.phrase, c.a, l.f AS l, r.f AS r, n.n, c.k, (1000 * c.a * n.n) // (l.f * r.f) AS score
+      FROM c JOIN n ON n.lang = c.lang
+      JOIN f l ON l.lang = c.lang AND l.m = c.k AND l.phrase = array_to_string(c.w[:c.k], ' ')
+      JOIN f r ON r.lang = c.lang AND r.m = c.m - c.k AND r.phrase = array_to_string(c.w[c.k + 1:], ' ')),
+t AS (SELECT *, row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) AS cut FROM s),
+i AS (SELECT DISTINCT lang, array_to_string(w[b:b + x - 1], ' ') AS phrase, f AS longer
+      FROM (SELECT lang, w, m, f, x, unnest(range(1, m - x + 2)) AS b
+            FROM f, (SELECT unnest(range(2, {phrases.MAX_WORDS})) AS x) WHERE x < m)),
+o AS (SELECT lang, phrase, max(longer) AS longer FROM i GROUP BY lang, phrase),
+z AS (SELECT t.lang, row_number() OVER (PARTITION BY t.lang ORDER BY t.score DESC, t.a DESC, t.phrase) AS rank,
+             t.phrase, t.a, t.l, t.r, t.n, t.score
+      FROM t LEFT JOIN o ON o.lang = t.lang AND o.phrase = t.phrase WHERE t.cut = 1 AND coalesce(100 * o.longer < 100 * t.a, true))
+SELECT lang, rank, phrase, a::BIGINT AS a, l::BIGINT AS l, r::BIGINT AS r, n::BIGINT AS n, score::BIGINT AS score
+FROM z WHERE rank <= {phrases.PER_LANG}
+"""
+
+
 @query
 def op12_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 5 vectors with the highest inner product for every 50th vector."""
