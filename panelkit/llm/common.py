@@ -42,5 +42,18 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+#: What a Python worker process keeps between its tasks: one object and its key.
+KEPT: dict[tuple, object] = {}
+
+
+def kept(key: tuple, make):
+    """``make()``, or what it gave this worker process for the same key before.  Only the newest
+    object stays, so what one stage has gathered does not weigh on the next."""
+    if key not in KEPT:
+        KEPT.clear()
+        KEPT[key] = make()
+    return KEPT[key]
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))

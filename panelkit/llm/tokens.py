@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import partitions, shared_path
+from .common import kept, partitions, shared_path
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 END_ID = 0
@@ -35,7 +35,7 @@ END_ID = 0
 BLOCK_IDS = 1 << 20
 #: Entries of a worker's caches of words and of their parts; a full one is emptied, which
 #: changes no result.
-WORDS, PARTS = 600_000, 900_000
+WORDS, PARTS = 400_000, 500_000
 
 MAGIC = b"VLC1"
 HEAD = "<4sIQQQ"
@@ -153,7 +153,7 @@ def tokenized(docs: DataFrame, path: str, tokenizer: str = TOKENIZER) -> tuple[n
 
     @F.pandas_udf("binary")
     def encode(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        encoder = Encoder(tokenizer)
+        encoder = kept(("encoder", tokenizer), lambda: Encoder(tokenizer))
         for texts in batches:
             yield pd.Series(encoder.encode(texts.tolist()), dtype=object)
 

@@ -13,6 +13,7 @@ forms that no label shows), then feed a sparse logistic model learned from the l
 from __future__ import annotations
 
 import re
+import uuid
 from collections import Counter
 from collections.abc import Iterator
 
@@ -21,6 +22,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import kept
+
 #: Labelled training rows the classifier is fitted on, at most (smallest hash of the id first).
 TRAIN_ROWS = 20_000
 #: Candidate features of the model: those with the strongest association to the label.
@@ -328,11 +331,12 @@ def scores(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> DataFr
     model, wanted, weights = fit(docs, labels, rows)
     used = {f: i for f, i in wanted.items() if weights[i] > 0}
     shared = docs.sparkSession.sparkContext.broadcast((model, used, weights))
+    fitted = uuid.uuid4().hex
 
     @F.pandas_udf("double")
     def score(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         model, used, weights = shared.value
-        reader = Reader(model, used)
+        reader = kept(("reader", fitted), lambda: Reader(model, used))
         for texts in batches:
             total = np.array([weights[list(reader.features(t))].sum() for t in texts], float) + weights[-1]
             yield pd.Series(1 / (1 + np.exp(-total)))
