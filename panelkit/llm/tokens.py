@@ -95,24 +95,20 @@ class Encoder:
         return self.pack(self.library.encode(text, add_special_tokens=False).ids)
 
     def part(self, stretch: str) -> bytes:
-        got = self.parts.get(stretch)
-        if got is None:
-            if WHOLE.fullmatch(stretch):
-                if stretch.isascii():
-                    letters = stretch.replace(" ", LETTER[32])
-                else:
-                    letters = "".join([LETTER[b] for b in stretch.encode()])
-                got = self.pack([t.id for t in self.model.tokenize(letters)])
-            else:
-                got = self.encode_whole(stretch)
-            if len(self.parts) >= PARTS:
-                self.parts.clear()
-            self.parts[stretch] = got
+        """Ids of a stretch not met before."""
+        if not WHOLE.fullmatch(stretch):
+            got = self.encode_whole(stretch)
+        else:
+            letters = stretch if stretch.isascii() else "".join([LETTER[b] for b in stretch.encode()])
+            got = array(self.code, [t.id for t in self.model.tokenize(letters.replace(" ", LETTER[32]))]).tobytes()
+        if len(self.parts) >= PARTS:
+            self.parts.clear()
+        self.parts[stretch] = got
         return got
 
     def join(self, text: str) -> bytes:
-        found = STRETCH.findall(text)
-        return self.part(found[0]) if len(found) == 1 else b"".join(map(self.part, found))
+        kept = self.parts.get
+        return b"".join([kept(s) or self.part(s) for s in STRETCH.findall(text)])
 
     def encode_one(self, text: str | None) -> bytes:
         if not text:
@@ -129,14 +125,17 @@ class Encoder:
         kept = self.words
         got = list(map(kept.get, words))
         if None in got:
+            if ODD_SPACE.search(text):
+                return self.join(text)
+            parts, part, stretches = self.parts.get, self.part, STRETCH.findall
             for i, ids in enumerate(got):
                 if ids is None:
                     w = words[i]
-                    if w not in kept:
-                        if ODD_SPACE.search(w):
-                            return self.join(text)
-                        kept[w] = self.join(w if w[:1] == "\n" else " " + w)
-                    got[i] = kept[w]
+                    ids = kept.get(w)
+                    if ids is None:
+                        found = stretches(w if w[:1] == "\n" else " " + w)
+                        ids = kept[w] = b"".join([parts(s) or part(s) for s in found])
+                    got[i] = ids
         if ODD_SPACE.search(first):
             return self.join(text)
         return (self.join(first) if first else b"") + b"".join(got)
