@@ -35,7 +35,7 @@ END_ID = 0
 BLOCK_IDS = 1 << 20
 #: Entries of a worker's caches of words and of their parts; a full one is emptied, which
 #: changes no result.
-WORDS, PARTS = 400_000, 500_000
+WORDS, PARTS = 600_000, 800_000
 
 MAGIC = b"VLC1"
 HEAD = "<4sIQQQ"
