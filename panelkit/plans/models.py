@@ -8,7 +8,7 @@ that small table back to the weekly segment rows.
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 
 import numpy as np
 import pandas as pd
@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..operators.aggregates import error_metrics
+from ..operators.arx import ORDERS, SEASON, arx_grid
 from ..operators.forecast import recursive_forecast
 from ..operators.joins import join_on_keys
 from ..operators.ridge import ALPHAS, eigen_solve, fit_ridge, model_name, moments, predict
@@ -159,10 +160,29 @@ def ols_drivers(df: DataFrame, y: str, numeric: Sequence[str], categorical: Sequ
 NAIVE, SEASONAL, DRIFT = "naive_last_week", "seasonal_naive_52", "drift"
 
 
+def arx_scores(series: DataFrame, keys: Sequence[str], y: str, x: str = "cost_pressure",
+               lists: Mapping[str, Sequence[int]] = ORDERS, holdout: int = 12, season: int = SEASON) -> DataFrame:
+    """M7 + K7: a row per segment and cell of the order grid with its model and its error over the
+    held-out weeks, which it forecasts recursively; a cell that cannot be fitted keeps NULL scores."""
+    keys = list(keys)
+    models, ahead = arx_grid(series, keys, y, x, lists, holdout, season)
+    scored = error_metrics(ahead, [*keys, "cell"], "forecast", "y").select(
+        *keys, "cell", F.col("n").alias("n_holdout"), "mae", "rmse")
+    return join_on_keys(models, scored, [*keys, "cell"], "left")
+
+
+def arx_label() -> F.Column:
+    """Name of a cell: arx(p,d)(P,D)52, with + where the driver takes part."""
+    return F.concat(F.lit("arx("), "p", F.lit(","), "d", F.lit(")("), "sp", F.lit(","), "sd", F.lit(f"){SEASON}"),
+                    F.when(F.col("x") == 1, "+").otherwise(""))
+
+
 def grid_search(series: DataFrame, keys: Sequence[str], features: Sequence[str], y: str,
-                holdout: int = 12, alphas: Sequence[float] = ALPHAS) -> DataFrame:
+                holdout: int = 12, alphas: Sequence[float] = ALPHAS,
+                orders: Mapping[str, Sequence[int]] = ORDERS, exogenous: str = "cost_pressure") -> DataFrame:
     """M7: candidates = ridge at every alpha (one moment pass and one eigen-solve per segment),
-    last week, the same week a year before, and drift.  Each forecasts the held-out weeks from
+    last week, the same week a year before, drift, and the cells of a grid of differenced
+    autoregressions with a driver (where the series has that column).  Each forecasts the held-out weeks from
     the training rows alone - the ridges recursively, their own forecasts feeding the lags - and
     is scored on the weeks that exist; failures (NULL scores) are skipped, the best MAE is kept
     per segment (ties -> first candidate)."""
@@ -194,6 +214,11 @@ def grid_search(series: DataFrame, keys: Sequence[str], features: Sequence[str],
             (NAIVE, F.col("last")), (SEASONAL, F.col("year_ago")),
             (DRIFT, F.col("last") + slope * F.datediff("week_start", "end"))])])))
     scored = error_metrics(ridge.unionByName(simple), keys + ["cand", "candidate"], "pred", "y")
+    if exogenous in series.columns:
+        cells = arx_scores(series, keys, y, exogenous, orders, holdout)
+        scored = scored.select(*keys, "cand", "candidate", "n", "mae", "rmse").unionByName(cells.select(
+            *keys, (F.col("cell") + len(alphas) + 3).alias("cand"), arx_label().alias("candidate"),
+            F.coalesce("n_holdout", F.lit(0)).alias("n"), "mae", "rmse"))
     best = (scored.where(F.col("mae").isNotNull()).groupBy(*keys)
             .agg(F.min(F.struct("mae", "cand", "candidate", "rmse", "n")).alias("b"),
                  F.count(F.lit(1)).alias("n_candidates")))

@@ -12,7 +12,7 @@ from ..operators.ridge import ALPHAS, moments
 from ..operators.segments import SEGMENT_KEYS
 from ..operators.windows import FEATURES, rolling_mean, series_window
 from ..plans.exploration import weekly_overall
-from ..plans.models import backtest, evaluate, grid_search, ols_drivers, quality_gate, train
+from ..plans.models import arx_scores, backtest, evaluate, grid_search, ols_drivers, quality_gate, train
 from ..plans.series import segment_features
 from .features_q import features
 from .series_q import SEGMENT_SQL, processed
@@ -127,6 +127,76 @@ def q_grid_search(spark, sf_dir):
     return grid_search(seg_rows(spark, sf_dir), SEGMENT_KEYS, FEATURES, "price_usd_per_l")
 
 
+ARX_ORDERS = {"p": [0, 1], "d": [1], "sp": [0, 1], "sd": [0, 1], "x": [0, 1]}
+
+
+def det3(m: list[list[str]]) -> str:
+    """Determinant of a 3 x 3 matrix of SQL expressions."""
+    (a, b, c), (d, e, f), (g, h, i) = m
+    return f"({a} * ({e} * {i} - {f} * {h}) - {b} * ({d} * {i} - {f} * {g}) + {c} * ({d} * {h} - {e} * {g}))"
+
+
+def cramer(col: int) -> str:
+    """Unknown ``col`` of the masked normal equations (a regressor left out has a row of the unit matrix)."""
+    names = ("a", "b", "c")
+    m = [[f"m_{x} * m_{y} * s_{min(x, y)}{max(x, y)}" + (f" + (1 - m_{x})" if x == y else "") for y in names] for x in names]
+    m = [[f"({e})" for e in row] for row in m]
+    top = [[f"(m_{x} * t_{x})" if j == col else m[i][j] for j in range(3)] for i, x in enumerate(names)]
+    return f"{det3(top)} / nullif({det3(m)}, 0)"
+
+
+ARX_SQL = SEGMENT_SQL.replace("WITH ", "WITH RECURSIVE ", 1) + f""",
+ar AS (SELECT segment_type, country, grade, week_start, price_usd_per_l AS y, coalesce(cost_pressure, 0.0) AS x,
+              row_number() OVER (PARTITION BY segment_type, country, grade ORDER BY week_start DESC) AS rk FROM segp),
+az AS (SELECT ar.*, v.sd, y - lag(y, 1) OVER o - v.sd * (lag(y, 52) OVER o - lag(y, 53) OVER o) AS z,
+              x - lag(x, 1) OVER o - v.sd * (lag(x, 52) OVER o - lag(x, 53) OVER o) AS w
+       FROM ar, (VALUES (0), (1)) v(sd) WINDOW o AS (PARTITION BY segment_type, country, grade, v.sd ORDER BY week_start)),
+zz AS (SELECT * REPLACE (CASE WHEN sd = 0 THEN y - y1 ELSE z END AS z, CASE WHEN sd = 0 THEN x - x1 ELSE w END AS w)
+       FROM (SELECT *, lag(y) OVER o AS y1, lag(x) OVER o AS x1 FROM az
+             WINDOW o AS (PARTITION BY segment_type, country, grade, sd ORDER BY week_start))),
+zl AS (SELECT *, lag(z, 1) OVER o AS a, lag(z, 52) OVER o AS b, w AS c FROM zz
+       WINDOW o AS (PARTITION BY segment_type, country, grade, sd ORDER BY week_start)),
+mo AS (SELECT segment_type, country, grade, sd, count(*) AS n, avg(z) AS mz, avg(a) AS ma, avg(b) AS mb, avg(c) AS mc,
+              covar_pop(a, a) AS s_aa, covar_pop(a, b) AS s_ab, covar_pop(a, c) AS s_ac, covar_pop(b, b) AS s_bb,
+              covar_pop(b, c) AS s_bc, covar_pop(c, c) AS s_cc, covar_pop(a, z) AS t_a, covar_pop(b, z) AS t_b, covar_pop(c, z) AS t_c
+       FROM zl WHERE rk > 12 AND z IS NOT NULL AND a IS NOT NULL AND b IS NOT NULL AND c IS NOT NULL GROUP BY ALL),
+gr AS (SELECT p, 1 AS d, sp, sd, x, CAST(((p * 2 + sp) * 2 + sd) * 2 + x AS INTEGER) AS cell, p AS m_a, sp AS m_b, x AS m_c
+       FROM (VALUES (0), (1)) p(p), (VALUES (0), (1)) q(sp), (VALUES (0), (1)) s(sd), (VALUES (0), (1)) t(x)),
+sg AS (SELECT DISTINCT segment_type, country, grade FROM ar WHERE rk > 12),
+ce AS (SELECT sg.*, gr.*, mo.* EXCLUDE (segment_type, country, grade, sd) FROM sg CROSS JOIN gr LEFT JOIN mo
+       ON mo.segment_type = sg.segment_type AND mo.country IS NOT DISTINCT FROM sg.country
+       AND mo.grade IS NOT DISTINCT FROM sg.grade AND mo.sd = gr.sd),
+so AS (SELECT *, CASE WHEN n > p + sp + x + 1 THEN {cramer(0)} END AS fa, CASE WHEN n > p + sp + x + 1 THEN {cramer(1)} END AS fb,
+              CASE WHEN n > p + sp + x + 1 THEN {cramer(2)} END AS fc FROM ce),
+mm AS (SELECT *, mz - fa * ma - fb * mb - fc * mc AS const FROM so),
+hi AS (SELECT segment_type, country, grade, sd, list(y ORDER BY week_start) FILTER (rk > 12) AS ys,
+              list(z ORDER BY week_start) FILTER (rk > 12) AS zs, list(w ORDER BY week_start) FILTER (rk <= 12) AS ws,
+              list(y ORDER BY week_start) FILTER (rk <= 12) AS act FROM zl GROUP BY ALL),
+rc AS (
+  SELECT mm.segment_type, mm.country, mm.grade, mm.cell, mm.sd, const, fa, fb, fc, 0 AS step, ws, act, ys[-110:] AS ys, zs[-110:] AS zs
+  FROM mm JOIN hi ON mm.segment_type = hi.segment_type AND mm.country IS NOT DISTINCT FROM hi.country
+    AND mm.grade IS NOT DISTINCT FROM hi.grade AND mm.sd = hi.sd WHERE const IS NOT NULL
+  UNION ALL
+  SELECT segment_type, country, grade, cell, sd, const, fa, fb, fc, step + 1, ws, act,
+         list_append(ys, f + ys[-1] + CASE WHEN sd = 1 THEN ys[-52] - ys[-53] ELSE 0 END), list_append(zs, f)
+  FROM (SELECT *, const + fa * zs[-1] + fb * zs[-52] + fc * ws[step + 1] AS f FROM rc WHERE step < len(ws)) t),
+fe AS (SELECT segment_type, country, grade, cell, ys[-1] - act[step] AS e FROM rc WHERE step > 0),
+er AS (SELECT segment_type, country, grade, cell, count(*) AS n_holdout, avg(abs(e)) AS mae, sqrt(avg(e * e)) AS rmse FROM fe GROUP BY ALL)"""
+
+
+@register("arx_grid", ARX_SQL + f"""
+SELECT mm.segment_type, mm.country, mm.grade, mm.cell, CAST(p AS INTEGER) AS p, CAST(d AS INTEGER) AS d, CAST(sp AS INTEGER) AS sp,
+       CAST(mm.sd AS INTEGER) AS sd, CAST(x AS INTEGER) AS x, n, {r('const', 'const')}, {r('fc', 'beta')}, n_holdout,
+       {r('mae', 'mae')}, {r('rmse', 'rmse')}
+FROM mm LEFT JOIN er ON mm.segment_type = er.segment_type AND mm.country IS NOT DISTINCT FROM er.country
+  AND mm.grade IS NOT DISTINCT FROM er.grade AND mm.cell = er.cell""")
+def q_arx_grid(spark, sf_dir):
+    """M7 / K7: 16 differenced autoregressions (five crossed lists) per segment: coefficients from one moment
+    pass and their errors over the last 12 weeks."""
+    return arx_scores(seg_rows(spark, sf_dir), SEGMENT_KEYS, "price_usd_per_l", lists=ARX_ORDERS).select(
+        *SEGMENT_KEYS, "cell", "p", "d", "sp", "sd", "x", "n", "const", "beta", "n_holdout", "mae", "rmse")
+
+
 @register("quality_gate")
 def q_quality_gate(spark, sf_dir):
     """M9: models approved when the global in-sample MAE <= 0.12."""
