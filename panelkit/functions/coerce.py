@@ -31,6 +31,13 @@ def to_double(col) -> Column:
     return F.when(~(suffixed | text.contains("x")), number)
 
 
+def computed_once(df: DataFrame, cols: dict[str, Column]) -> DataFrame:
+    """``df`` with the columns ``cols``, each computed once per row.  The optimiser copies a projected
+    expression into every filter, key and aggregate above it; it does not copy a generator's output."""
+    rest = [c for c in df.columns if c not in cols]
+    return df.select(*rest, F.inline(F.array(F.struct(*[v.alias(k) for k, v in cols.items()]))))
+
+
 def nan_to_null(df: DataFrame) -> DataFrame:
     """Apply ``null_if_nan`` to every floating column of ``df``."""
     cols = {f.name: null_if_nan(f.name) for f in df.schema.fields
@@ -89,6 +96,10 @@ MONTH_FIRST = [f"M/d/yyyy[ {TIME}]", f"M.d.yyyy[ {TIME}]", f"M-d-yyyy[ {TIME}]"]
 DAY_FIRST = [f"d/M/yyyy[ {TIME}]", f"d.M.yyyy[ {TIME}]", f"d-M-yyyy[ {TIME}]"]
 
 
+#: A plain ISO date.
+ISO_DATE = "^[0-9]{4}-[0-9]{2}-[0-9]{2}$"
+
+
 def date_formats(dayfirst: bool = False) -> list[str]:
     """All forms; ``03/04/2024`` is 4 March unless ``dayfirst``, and a form that cannot be read
     in the preferred order (``13/04/2024``) is read in the other."""
@@ -97,6 +108,7 @@ def date_formats(dayfirst: bool = False) -> list[str]:
 
 def parse_date_text(col, formats=None, dayfirst: bool = False) -> Column:
     """Date text -> timestamp, bad -> NULL; a zone suffix is converted to the session's
-    zone, and no zone is kept."""
+    zone, and no zone is kept.  Plain ISO dates, the usual case, are seen by their shape."""
     text = strip_ws(_c(col).cast("string"))
-    return F.coalesce(*[F.try_to_timestamp(text, F.lit(f)) for f in (formats or date_formats(dayfirst))])
+    plain = [] if formats else [F.when(text.rlike(ISO_DATE), text.try_cast("date").cast("timestamp"))]
+    return F.coalesce(*plain, *[F.try_to_timestamp(text, F.lit(f)) for f in (formats or date_formats(dayfirst))])

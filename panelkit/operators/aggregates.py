@@ -198,11 +198,16 @@ def describe(df: DataFrame, cols: Sequence[str], exact: bool = True) -> DataFram
 
     Moments come from one aggregate pass for all columns.  ``exact``
     quartiles (pandas' linear interpolation) use ``exact_quantiles_multi``
-    (one scan for all columns, never a column gathered into one task);
+    (never a column gathered into one task); its passes and that of the moments
+    read the profiled columns alone, which are stored first, so ``df`` is computed once.
     ``exact=False`` uses the
-    mergeable sketch ``percentile_approx`` in the same pass.
+    mergeable sketch ``percentile_approx`` in the same pass; ``states.profile_state`` keeps
+    mergeable states of parts instead.
     """
+    from ..session import stored
     from .quantiles import exact_quantiles_multi
+    if exact:
+        df = stored(df.select(*[F.col(c).cast("double").alias(c) for c in cols]), "profile")
     stats = []
     for c in cols:
         fields = [F.lit(c).alias("column_name"), F.count(c).alias("count"),

@@ -6,13 +6,13 @@ index likewise, and the tariff table at most one row per HS-4 code (10,000
 possible codes) after the per-prefix keep-last - each of these sides has a
 size bound that does not grow with the price data, so they are broadcast
 explicitly and the panel is built without shuffling the price rows.  The
-table-wide means and std (diesel mean, z_base) are one global aggregate,
-attached as a one-row broadcast.
+table-wide means and std (diesel mean, z_base) come from mergeable weekly
+states of the EUR price, attached as a one-row broadcast.
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -21,6 +21,7 @@ from ..functions.calendar import monday_week
 from ..functions.coerce import upper_key
 from ..operators.aggregates import with_constants
 from ..operators.joins import attach_row
+from ..operators.states import constant_state, mean_of, merged_moments, moment_state, scaled_state, std_of
 from ..operators.windows import keep_last
 from ..sources.headers import ordered_projection
 from .standardize import DENSITY
@@ -103,14 +104,43 @@ def join_tariffs(p: DataFrame, tariffs: DataFrame, row_order: str = "row_order")
     return p.withColumns({c: found[f"_{c}"] for c in rates}).drop("_exact", "_any")
 
 
+def price_week_state(prices: DataFrame, parts: Sequence[str] = ()) -> DataFrame:
+    """week_start (and the columns ``parts``), n_rows and the moment state of the EUR price of each
+    week's price rows."""
+    return prices.groupBy(*parts, monday_week("date").alias("week_start")).agg(
+        F.count(F.lit(1)).alias("n_rows"), moment_state("price_eur_per_l").alias("state"))
+
+
+def merged_week_states(states: DataFrame) -> DataFrame:
+    """One state per week from those of several snapshots or files."""
+    return states.groupBy("week_start").agg(F.sum("n_rows").alias("n_rows"), merged_moments("state").alias("state"))
+
+
+def panel_constants(week_state: DataFrame, macros: DataFrame) -> DataFrame:
+    """One row: the mean diesel price over price rows, mean and standard deviation of the USD price.
+    The exchange rate and the diesel price depend on the week alone, so a week's state scaled by its
+    rate is the state of its USD prices; no price row is read."""
+    weeks = week_state.join(F.broadcast(macros.select("week_start", "usd_per_eur", "diesel_usd_per_gal")),
+                            "week_start", "left")  # one row per calendar week
+    both = weeks.select(scaled_state("state", "usd_per_eur").alias("usd"),
+                        constant_state("diesel_usd_per_gal", "n_rows").alias("diesel"))
+    total = both.agg(merged_moments("usd").alias("usd"), merged_moments("diesel").alias("diesel"))
+    return total.select(mean_of("diesel").alias("_diesel_mean"), mean_of("usd").alias("_base_mean"),
+                        std_of("usd").alias("_base_std"))
+
+
 def build_weekly_panel(prices: DataFrame, macros: DataFrame, freight: DataFrame | None,
                        tariffs: DataFrame, snapshot: str,
-                       grade_to_hs: Mapping[str, str] | None = None) -> DataFrame:
+                       grade_to_hs: Mapping[str, str] | None = None,
+                       week_state: DataFrame | None = None) -> DataFrame:
     """P5.  ``prices``: standardised price rows (date, country, market, grade,
     price_eur_per_l, optional pack / hs_prefix).  ``macros``: weekly table
     with week_start and any of ``MACRO_COLS`` (one row per week).
     ``freight``: (week_start, fbx).  ``tariffs``: normalised tariffs.
 
+    ``week_state``: the prices' ``price_week_state`` where it is kept beside them (merged over
+    snapshots, say); by default it is computed from the prices' date and price columns.
+
     When ``prices`` carries ``hs_prefix`` it is used; otherwise the HS code
     comes from the canonical grade through ``grade_to_hs``.
     """
@@ -131,12 +161,7 @@ def build_weekly_panel(prices: DataFrame, macros: DataFrame, freight: DataFrame
     m = keep_last(m.select("week_start", *MACRO_COLS), ["week_start"], MACRO_COLS)
     p = p.join(F.broadcast(m), "week_start", "left")
     p = p.withColumn("price_usd_per_l", F.col("price_eur_per_l") * F.col("usd_per_eur"))
-    # Table-wide constants need only the price and the weekly macros, so
-    # their aggregate branch stops here (no freight / tariff joins, two
-    # columns read); its single row is broadcast back below.
-    consts = p.agg(F.avg("diesel_usd_per_gal").alias("_diesel_mean"),
-                   F.avg("price_usd_per_l").alias("_base_mean"),
-                   F.stddev_samp("price_usd_per_l").alias("_base_std"))
+    consts = panel_constants(price_week_state(prices) if week_state is None else week_state, m)
 
     if freight is not None and "fbx" in freight.columns:
         p = p.join(F.broadcast(ocean_proxy_table(m, freight)), "week_start", "left")

@@ -8,7 +8,7 @@ from ..catalog import register
 from ..plans.macros import weekly_long, wide_by_week
 from ..plans.panel import PANEL_COLS, build_weekly_panel, ocean_proxy_table
 from ..plans.standardize import normalize_tariffs, standardize_freight, standardize_prices
-from ..session import cut_lineage
+from ..session import cut_lineage, stored
 from ..sources import tables as T
 from .macros_q import PIVOT_RAW_SQL, SIX_SQL, WEEKLY_LONG
 from .sqlparts import MACRO_OBS, OBS, r, with_
@@ -26,9 +26,10 @@ def panel_inputs(spark, sf_dir):
 
 
 def weekly_panel(spark, sf_dir):
-    """The panel over all price rows; the weekly macro table (one row per week) is stored first."""
+    """The panel over all price rows.  The standardised prices are stored first, as the standardising job
+    does: the facts are parsed and joined once, and the weekly states read two columns of the store."""
     prices, macros, freight, tariffs = panel_inputs(spark, sf_dir)
-    return build_weekly_panel(prices, cut_lineage(macros), freight, tariffs, snapshot=SNAPSHOT)
+    return build_weekly_panel(stored(prices, "prices"), cut_lineage(macros), freight, tariffs, snapshot=SNAPSHOT)
 
 
 MACROS_CTE = f"""

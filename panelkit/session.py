@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -82,6 +83,17 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return path
 
 
+def stored(df, name: str = "stored"):
+    """``df`` as a Parquet table in the shared folder, read back: survives the loss of any executor and
+    keeps its columns prunable, which a checkpoint of rows does not.  The folder goes with the driver."""
+    spark = df.sparkSession
+    path = f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    df.write.parquet(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(folder)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def cut_lineage(df):
     """Reliable checkpoint (survives executor loss); never localCheckpoint."""
     checkpoint_dir(df.sparkSession)
