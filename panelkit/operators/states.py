@@ -89,6 +89,28 @@ def profile_of(states: DataFrame, keys: Sequence[str] = (), probs: Sequence[floa
                          std_of("moments").alias("std"), F.col("least").alias("min"), F.col("most").alias("max"), *quantiles)
 
 
+#: Nominal entries (as a power of two) of the sketches of distinct values: counts are exact below it, and
+#: off by ``DISTINCT_ERROR`` of the count, as a standard error, beyond.
+THETA_BITS = 13
+DISTINCT_ERROR = 1 / (2 ** THETA_BITS) ** 0.5
+
+
+def distinct_state(df: DataFrame, cols: Sequence[str], keys: Sequence[str] = ()) -> DataFrame:
+    """keys, column_name, n (values), sketch: a theta sketch of each column's distinct values per group, of
+    bounded size however many there are, from one pass."""
+    parts = [F.struct(F.lit(c).alias("column_name"), F.count(c).alias("n"),
+                      F.theta_sketch_agg(F.col(c).cast("string"), F.lit(THETA_BITS)).alias("sketch")) for c in cols]
+    return df.groupBy(*keys).agg(F.array(*parts).alias("_s")).select(*keys, F.inline("_s"))
+
+
+def merged_distinct(states: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
+    """keys, column_name, n, n_distinct: the estimate of the union of the parts; a value that many parts hold
+    counts once."""
+    union = states.groupBy(*keys, "column_name").agg(
+        F.sum("n").alias("n"), F.theta_union_agg("sketch", F.lit(THETA_BITS)).alias("sketch"))
+    return union.select(*keys, "column_name", "n", F.theta_sketch_estimate("sketch").alias("n_distinct"))
+
+
 def rank_errors(values: DataFrame, quantiles: DataFrame, cols: Sequence[str], probs: Sequence[float]) -> DataFrame:
     """column_name, p25_error, ...: how far, as a share of the values, the quantiles of one profile are from
     ranks that they could have (0: exact), counted over the values themselves in one pass."""

@@ -75,6 +75,6 @@ def file_availability(spark, path: str, fmt: str = "parquet") -> DataFrame:
     """D2 on storage: number of data files and the newest modification time under ``path`` (listed
     by the file source, no content read) and the row count."""
     files = (spark.read.format("binaryFile").option("pathGlobFilter", f"*.{fmt}").option("recursiveFileLookup", True)
-             .load(path).agg(F.count(F.lit(1)).alias("n_files"), F.max("modificationTime").alias("last_modified")))
+             .load(path).select("path", "modificationTime").agg(F.count(F.lit(1)).alias("n_files"), F.max("modificationTime").alias("last_modified")))
     rows = spark.read.format(fmt).load(path).agg(F.count(F.lit(1)).alias("n_rows"))
     return files.crossJoin(F.broadcast(rows))  # one row each

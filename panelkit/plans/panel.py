@@ -24,6 +24,7 @@ from ..operators.joins import attach_row
 from ..operators.states import constant_state, mean_of, merged_moments, moment_state, scaled_state, std_of
 from ..operators.windows import keep_last
 from ..sources.headers import ordered_projection
+from .macros import normalize_fx
 from .standardize import DENSITY
 
 # Packaging cost per litre by pack material, and its default.
@@ -132,12 +133,15 @@ def panel_constants(week_state: DataFrame, macros: DataFrame) -> DataFrame:
 def build_weekly_panel(prices: DataFrame, macros: DataFrame, freight: DataFrame | None,
                        tariffs: DataFrame, snapshot: str,
                        grade_to_hs: Mapping[str, str] | None = None,
-                       week_state: DataFrame | None = None) -> DataFrame:
+                       week_state: DataFrame | None = None, fx: DataFrame | None = None) -> DataFrame:
     """P5.  ``prices``: standardised price rows (date, country, market, grade,
     price_eur_per_l, optional pack / hs_prefix).  ``macros``: weekly table
     with week_start and any of ``MACRO_COLS`` (one row per week).
     ``freight``: (week_start, fbx).  ``tariffs``: normalised tariffs.
 
+    ``fx``: an exchange-rate feed of its own (week_start and any of the known quotes, one of them
+    inverse); its rate takes the place of the macros'.
+
     ``week_state``: the prices' ``price_week_state`` where it is kept beside them (merged over
     snapshots, say); by default it is computed from the prices' date and price columns.
 
@@ -153,6 +157,8 @@ def build_weekly_panel(prices: DataFrame, macros: DataFrame, freight: DataFrame
 
     # Macros: one row per week (keep-last guards against duplicate weeks).
     m = macros
+    if fx is not None:  # one row per calendar week on either side
+        m = m.drop("usd_per_eur").join(keep_last(normalize_fx(fx), ["week_start"], ["usd_per_eur"]), "week_start", "full_outer")
     for c in MACRO_COLS:
         if c not in m.columns:
             m = m.withColumn(c, F.lit(None).cast("double"))

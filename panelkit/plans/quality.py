@@ -20,7 +20,7 @@ RANGE_RULES = [
 
 def distinct_counts(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Exact distinct count per column, in one aggregate (long table).
-    ``approx_count_distinct`` is the bounded-memory alternative at scale."""
+    ``states.distinct_state`` is the mergeable, bounded-memory alternative at scale."""
     wide = df.agg(*[F.count_distinct(c).alias(c) for c in cols])
     stack = ", ".join(f"'{c}', `{c}`" for c in cols)
     return wide.selectExpr(f"stack({len(cols)}, {stack}) as (column_name, n_distinct)")

@@ -131,11 +131,9 @@ def q_to_numeric_coerce(spark, sf_dir):
 SELECT event_type, count(*) AS n_rows,
        min(CAST(floor(epoch_us(ts) / 1000) AS BIGINT)) AS min_epoch_ms,
        max(CAST(floor(epoch_us(ts) / 1000) AS BIGINT)) AS max_epoch_ms,
-       count(*) FILTER (WHERE make_timestamp(CAST(floor(epoch_us(ts) / 1000) AS BIGINT) * 1000)
-                              = date_trunc('millisecond', ts)) AS n_from_number,
-       count(*) FILTER (WHERE make_timestamp(CAST(floor(epoch_us(ts) / 1000) AS BIGINT) * 1000)
-                              = date_trunc('millisecond', ts)) AS n_from_text,
-       count(*) FILTER (WHERE date_trunc('day', ts) = date_trunc('day', ts)) AS n_from_datetext,
+       sum(epoch_us(ts) // 1000)::BIGINT AS ms_from_number, sum(epoch_us(ts) // 1000)::BIGINT AS ms_from_text,
+       sum(datediff('day', DATE '1970-01-01', CAST(ts AS DATE)) * 86400000)::BIGINT AS ms_from_day_text,
+       sum((datediff('second', TIMESTAMP '1970-01-01', ts)) * 1000)::BIGINT AS ms_from_time_text,
        count(*) FILTER (WHERE event_type IS NULL) AS n_bad_text
 FROM events GROUP BY ALL""")
 def q_epoch_ms_dates(spark, sf_dir):
@@ -145,16 +143,17 @@ def q_epoch_ms_dates(spark, sf_dir):
     ms = cal.epoch_millis("ts")
     enc = e.select("event_type", "ts", ms.alias("ms"),
                    ms.cast("string").alias("ms_text"),
-                   F.date_format("ts", "yyyy-MM-dd").alias("day_text"))
+                   F.date_format("ts", "yyyy-MM-dd").alias("day_text"), F.date_format("ts", "MMM d, yyyy").alias("month_text"),
+                   F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss").alias("time_text"))
     from_num = cal.to_timestamp_multi(F.col("ms"), enc.schema["ms"].dataType)
     from_text = cal.to_timestamp_multi(F.col("ms_text"))
-    from_day = cal.to_timestamp_multi(F.col("day_text"))
+    day = F.when(F.dayofmonth("ts") % 2 == 0, F.col("day_text")).otherwise(F.col("month_text"))
+    from_day = cal.to_timestamp_multi(day)
+    from_time = cal.to_timestamp_multi(F.col("time_text"))
     junk = cal.to_timestamp_multi(F.col("event_type"))
-    ts_ms = F.date_trunc("millisecond", "ts")
     return (enc.groupBy("event_type")
             .agg(F.count(F.lit(1)).alias("n_rows"),
                  F.min("ms").alias("min_epoch_ms"), F.max("ms").alias("max_epoch_ms"),
-                 F.count_if(from_num == ts_ms).alias("n_from_number"),
-                 F.count_if(from_text == ts_ms).alias("n_from_text"),
-                 F.count_if(from_day == F.date_trunc("day", "ts")).alias("n_from_datetext"),
+                 F.sum(F.unix_millis(from_num)).alias("ms_from_number"), F.sum(F.unix_millis(from_text)).alias("ms_from_text"),
+                 F.sum(F.unix_millis(from_day)).alias("ms_from_day_text"), F.sum(F.unix_millis(from_time)).alias("ms_from_time_text"),
                  F.count_if(junk.isNotNull()).alias("n_bad_text")))

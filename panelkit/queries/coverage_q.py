@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..catalog import register
@@ -9,24 +12,73 @@ from ..operators.aggregates import error_metrics
 from ..operators.joins import join_on_keys
 from ..operators.segments import SEGMENT_KEYS
 from ..plans.macros import normalize_fx, weekly_long
+from ..plans.monitoring import file_availability
+from ..plans.panel import build_weekly_panel
+from ..session import cut_lineage, stored
 from ..sources import tables as T
 from ..sources.headers import distinct_labels
 from .features_q import FEAT_SQL, features
 from .macros_q import WEEKLY_LONG
 from .models_q import seg_rows
+from .panel_q import PANEL_CTES, SNAPSHOT, panel_inputs
 from .series_q import SEGMENT_SQL
 from .sqlparts import MACRO_OBS, OBS, r, with_
 
 
-@register("fx_normalize", with_(MACRO_OBS, WEEKLY_LONG) + f"""
-SELECT week_start, {r('1.0 / (1.0 / value)', 'usd_per_eur')}
-FROM wl WHERE series = 'usd_per_eur'""")
-def q_fx_normalize(spark, sf_dir):
-    """H3: an inverse-quoted FX feed (``usdeur``) normalised back to
-    ``usd_per_eur``."""
+#: Headers under which a feed may bring its rate; ``usdeur`` is quoted the other way round, to 4 digits.
+FX_HEADERS = ["usd_per_eur", "value", "eurusd", "eur_usd", "usdeur", "other"]
+
+
+def fx_feed(spark, sf_dir, header):
+    """The weekly rate as a feed with that header would bring it; a quote of 0 in weeks 26."""
     wl = weekly_long(T.macro_observations(spark, sf_dir)).where(F.col("series") == "usd_per_eur")
-    inverse_feed = wl.select("week_start", F.try_divide(F.lit(1.0), F.col("value")).alias("usdeur"))
-    return normalize_fx(inverse_feed)
+    quote = F.col("value") if header != "usdeur" else F.when(F.weekofyear("week_start") == 26, 0.0).otherwise(
+        F.rint(F.lit(10000.0) / F.col("value")) / 10000.0)
+    return wl.select("week_start", quote.alias(header))
+
+
+QUOTED = """
+qt AS (SELECT week_start, value, CASE WHEN weekofyear(week_start) = 26 THEN 0.0 ELSE round_even(10000.0 / value, 0) / 10000.0 END AS q
+       FROM wl WHERE series = 'usd_per_eur')"""
+
+
+@register("fx_normalize", with_(MACRO_OBS, WEEKLY_LONG, QUOTED) + "\nUNION ALL\n".join(
+    f"SELECT '{h}' AS header, week_start, " + r({"usdeur": "1.0 / nullif(q, 0)", "other": "CAST(NULL AS DOUBLE)"}.get(h, "value"), "usd_per_eur")
+    + " FROM qt" for h in FX_HEADERS))
+def q_fx_normalize(spark, sf_dir):
+    """H3: the weekly rate from feeds under every known header, an inverse quote and an unknown header."""
+    parts = [normalize_fx(fx_feed(spark, sf_dir, h)).select(F.lit(h).alias("header"), "week_start", "usd_per_eur") for h in FX_HEADERS]
+    return reduce(DataFrame.unionByName, parts)
+
+
+@register("panel_inverse_fx", PANEL_CTES.replace("macros AS (SELECT", "macros0 AS (SELECT", 1).replace("fbx AS (SELECT", QUOTED.strip() + """,
+macros AS (SELECT coalesce(m.week_start, q.week_start) AS week_start, m.* EXCLUDE (week_start, usd_per_eur), 1.0 / nullif(q.q, 0) AS usd_per_eur
+           FROM macros0 m FULL OUTER JOIN qt q ON m.week_start = q.week_start),
+fbx AS (SELECT""", 1) + f"""
+SELECT week_start, count(*) AS n_rows, count(price_usd_per_l) AS n_priced, {r('avg(price_usd_per_l)', 'price_usd_per_l')},
+       {r('avg(duty_usd_per_l)', 'duty_usd_per_l')}, {r('avg(deliv_hat_usd_per_l)', 'deliv_hat_usd_per_l')},
+       {r('avg(z_base)', 'z_base')} FROM panel GROUP BY ALL""")
+def q_panel_inverse_fx(spark, sf_dir):
+    """P5 / H3: the panel job on an exchange-rate feed quoted the other way round, per week."""
+    prices, macros, freight, tariffs = panel_inputs(spark, sf_dir)
+    panel = build_weekly_panel(stored(prices, "prices"), cut_lineage(macros), freight, tariffs, snapshot=SNAPSHOT,
+                               fx=cut_lineage(fx_feed(spark, sf_dir, "usdeur")))
+    return panel.groupBy("week_start").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.count("price_usd_per_l").alias("n_priced"),
+        *[F.avg(c).alias(c) for c in ("price_usd_per_l", "duty_usd_per_l", "deliv_hat_usd_per_l", "z_base")])
+
+
+SOURCES = ["lineitem", "orders", "part", "events"]
+
+
+@register("source_availability", "\nUNION ALL\n".join(
+    f"SELECT '{t}' AS source, true AS has_files, count(*) AS n_rows, true AS dated FROM {t}" for t in SOURCES))
+def q_source_availability(spark, sf_dir):
+    """Whether each raw source has data files and a time of its last change, and its rows."""
+    parts = [file_availability(spark, f"{sf_dir}/{t}.parquet").select(
+        F.lit(t).alias("source"), (F.col("n_files") > 0).alias("has_files"), "n_rows",
+        F.col("last_modified").isNotNull().alias("dated")) for t in SOURCES]
+    return reduce(DataFrame.unionByName, parts)
 
 
 @register("distinct_labels", with_(OBS) + """

@@ -5,8 +5,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..catalog import register
-from ..operators.states import RANK_ERROR, merged_profiles, profile_of, profile_state, rank_errors
+from ..operators.states import (DISTINCT_ERROR, RANK_ERROR, THETA_BITS, distinct_state, merged_distinct, merged_profiles,
+                               profile_of, profile_state, rank_errors)
 from ..plans.features import PROFILE_FIELDS
+from ..plans.quality import distinct_counts
 from ..plans.panel import merged_week_states, panel_constants, price_week_state
 from ..session import stored
 from .features_q import FEAT_SQL, features
@@ -41,3 +43,21 @@ def q_profile_merged(spark, sf_dir):
     errors = rank_errors(rows, profile, PROFILE_FIELDS, PROBS)
     close = [(F.col(f"p{100 * q:g}_error") <= RANK_ERROR).alias(f"p{100 * q:g}_close") for q in PROBS]
     return profile.join(errors, "column_name").select("column_name", "count", "mean", "std", "min", "max", *close)
+
+
+DISTINCT_COLS = ["country", "market", "grade_norm", "week_start", "price_eur_per_l"]
+
+
+@register("distinct_merged", FEAT_SQL + "\n" + "\nUNION ALL\n".join(
+    f"SELECT '{c}' AS column_name, count({c}) AS n_values, count(DISTINCT {c}) AS n_distinct, true AS close FROM feat"
+    for c in DISTINCT_COLS))
+def q_distinct_merged(spark, sf_dir):
+    """Distinct values of the features from stored sketches per country, beside the exact counts; an estimate
+    is close if it is exact for few values and within four standard errors for many."""
+    rows = stored(features(spark, sf_dir).select(*DISTINCT_COLS), "distinct-rows")
+    estimate = merged_distinct(stored(distinct_state(rows, DISTINCT_COLS, ["country"]).drop("country"), "distinct-states"))
+    exact = distinct_counts(rows, DISTINCT_COLS)
+    off = F.abs(F.col("estimate") - F.col("n_distinct"))
+    limit = F.when(F.col("n_distinct") < 2 ** THETA_BITS, 0.5).otherwise(4 * DISTINCT_ERROR * F.col("n_distinct"))
+    return estimate.withColumnRenamed("n_distinct", "estimate").join(exact, "column_name").select(
+        "column_name", F.col("n").alias("n_values"), "n_distinct", (off <= limit).alias("close"))
