@@ -5,12 +5,14 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..catalog import register
+from ..operators.upsert import upsert, write_keyed
 from ..operators.states import (DISTINCT_ERROR, RANK_ERROR, THETA_BITS, distinct_state, merged_distinct, merged_profiles,
                                profile_of, profile_state, rank_errors)
 from ..plans.features import PROFILE_FIELDS
 from ..plans.quality import distinct_counts
 from ..plans.panel import merged_week_states, panel_constants, price_week_state
 from ..session import stored
+from ..sources import tables as T
 from .features_q import FEAT_SQL, features
 from .panel_q import PANEL_CTES, panel_inputs
 from .sqlparts import r
@@ -61,3 +63,24 @@ def q_distinct_merged(spark, sf_dir):
     limit = F.when(F.col("n_distinct") < 2 ** THETA_BITS, 0.5).otherwise(4 * DISTINCT_ERROR * F.col("n_distinct"))
     return estimate.withColumnRenamed("n_distinct", "estimate").join(exact, "column_name").select(
         "column_name", F.col("n").alias("n_values"), "n_distinct", (off <= limit).alias("close"))
+
+
+@register("tariff_upsert", f"""
+SELECT hs_prefix, arg_max(adval_pct, p_partkey) AS adval_pct, {r('arg_max(specific_usd_per_kg, p_partkey)', 'specific_usd_per_kg')},
+       max(p_partkey) AS row_order
+FROM (SELECT lpad(substr(regexp_replace(p_brand, '[^0-9]', '', 'g'), 1, 4), 4, '0') AS hs_prefix,
+             CAST(p_size AS DOUBLE) AS adval_pct, p_retailprice / 1000.0 AS specific_usd_per_kg, p_partkey FROM part)
+GROUP BY hs_prefix""")
+def q_tariff_upsert(spark, sf_dir):
+    """The tariff table from three sheets that came one after the other, merged into a stored keyed
+    table; the second brings old rows again."""
+    from ..operators.windows import keep_last
+    from ..plans.standardize import normalize_tariffs
+    keys, order = ["hs_prefix"], ["row_order"]
+    sheet = T.tariff_sheet(spark, sf_dir)
+    part = F.pmod("row_order", F.lit(3))
+    sheets = [normalize_tariffs(sheet.where(part == i), keep_order=True).drop("grade") for i in (0, 1, 2)]
+    name = write_keyed(keep_last(sheets[0], keys, order), keys)
+    name = upsert(spark, name, sheets[1].unionByName(sheets[0]), keys, order)
+    name = upsert(spark, name, sheets[2], keys, order)
+    return spark.table(name).select("hs_prefix", "adval_pct", "specific_usd_per_kg", "row_order")
