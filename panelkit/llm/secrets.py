@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import math
 import re
+import uuid
 from collections import Counter
 from collections.abc import Iterator
 
@@ -27,11 +28,11 @@ from pyspark.sql import functions as F
 
 from panelkit.session import cut_lineage
 
-from .common import WORD
+from .common import WORD, kept
 
 #: Documents that the windows for fitting are taken from, about; windows of each sort (with and
 #: without a secret), at most.
-SAMPLE_DOCS, SAMPLE_WINDOWS = 20_000, 2_000
+SAMPLE_DOCS, SAMPLE_WINDOWS = 20_000, 3_000
 #: Tokens on either side of a sampled place.
 CONTEXT = 8
 #: Hashed feature ids.
@@ -43,6 +44,9 @@ CACHE = 400_000
 
 OUT, BEGIN, INSIDE = 0, 1, 2
 KINDS = ("assign", "access", "hex", "crf")
+#: Characters of an added span at least, as many as the patterns ask of an assigned value.
+LEAST_ADDED = 6
+WRAPPING = "\"'`.,;:()[]{}<>*|"
 
 # ---- fixed patterns -----------------------------------------------------------------
 
@@ -95,6 +99,12 @@ def case(letters: str) -> str:
     return "a" if letters.islower() else "A" if letters.isupper() else "Aa"
 
 
+def changes(token: str) -> int:
+    """How often the class of character (small, capital, digit, other) changes along a token, up to 15."""
+    kinds = re.sub(r"\d", "0", re.sub(r"[^\W\d_]", lambda m: "a" if m[0].islower() else "A", token))
+    return min(sum(a != b and (a in "aA0" or b in "aA0") for a, b in zip(kinds, kinds[1:])), 15)
+
+
 def plain_class(token: str) -> tuple[str, int] | None:
     """Shape and size class of a word of letters, with marks around it; None for any other token.
     Words of one class have the same features."""
@@ -109,13 +119,15 @@ def describe(token: str) -> tuple[list[int], list[int]]:
     plain = plain_class(token)
     if plain:
         kind, size = plain
-        own = [f"s:{kind}", f"n:{size}", "k:False", "d:0", "e:word", "r:0", f"q:{'=' in token}{':' in token}", "p:word"]
+        own = [f"s:{kind}", f"n:{size}", "k:False", "d:0", "e:word", "r:0", "t:0", "u:0",
+               f"q:{'=' in token}{':' in token}", "p:word"]
         near = [f"s:{kind[:4]}", "k:False", "w:"]
     else:
         word, kind, key = token.strip("\"'.,;:=()").lower(), shape(token), bool(KEYWORD.search(token))
         digits = sum(c.isdigit() for c in token)
         own = [f"s:{kind}", f"n:{min(len(token).bit_length(), 8)}", f"k:{key}", f"d:{min(digits, 9)}",
                f"e:{int(2 * entropy(token))}", f"r:{int(4 * digits / len(token))}",
+               f"t:{changes(token)}", f"u:{int(8 * changes(token) / len(token))}",
                f"q:{'=' in token}{':' in token}", f"p:{token[:4]}"]
         near = [f"s:{kind[:4]}", f"k:{key}", f"w:{word if key else ''}"]
     return [number(f) for f in own], [number(f) for f in near]
@@ -246,40 +258,93 @@ class Tagger:
         places = [m.span() for m in re.finditer(WORD, text)]
         extra = []
         for a, b in tagged:
-            start, end = places[a][0], places[b - 1][1]
-            if all(end <= s or start >= e for s, _, e in base):
-                extra.append((start, 3, end))
+            run: list[int] = []
+            for i in range(a, b + 1):  # one beyond the run closes it
+                if i < b and all(places[i][1] <= s or places[i][0] >= e for s, _, e in base):
+                    run.append(i)
+                elif run:
+                    start, end = trimmed(text, places[run[0]][0], places[run[-1]][1])
+                    if end - start >= LEAST_ADDED:
+                        extra.append((start, 3, end))
+                    run = []
         return sorted(base + extra)
 
 
+def trimmed(text: str, start: int, end: int) -> tuple[int, int]:
+    """A span without the quotes, brackets and marks around it."""
+    body = text[start:end]
+    left = len(body) - len(body.lstrip(WRAPPING))
+    return (start + left, start + len(body.rstrip(WRAPPING))) if left < len(body) else (start, start)
+
+
 # ---- fitting ------------------------------------------------------------------------
 
-def sample_windows(text: str, limit: int = 4) -> list[tuple[list[str], list[int], list[int]]]:
-    """Windows of (tokens, tags, file features): around the pattern's spans, or, in a text without
-    any, at a hashed place and around the token with most digits."""
+LETTERS = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+SORTS = ("secret", "digits", "plain")
+#: Times that each way of disguise is used on a sampled secret, with other letters, words and lengths.
+DISGUISED = 4
+#: Words about secrets that the patterns do not know; a field feature sees them by ``KEYWORD``.
+CUES = ("pwd", "cred", "auth", "bearer", "key", "pass")
+
+
+def relettered(value: str, h: int, least: int = 16, most: int = 44) -> str:
+    """A value of ``least`` to ``most`` - 1 letters and digits in place of ``value``, by its hash."""
+    rng = np.random.default_rng([h, xxhash.xxh32_intdigest(value)])
+    alphabet = LETTERS[rng.choice([0, 26]):][:62]  # with or without capitals
+    return "".join(alphabet[i] for i in rng.integers(0, len(alphabet), rng.integers(least, most)))
+
+
+def disguises(tokens: list[str], value: str, h: int) -> Iterator[tuple[list[str], list[int]]]:
+    """A window's other words (``tokens``, None for the secret) with the secret written as no pattern reads it,
+    so that its shape and neighbours have to tell: alone, in other letters and lengths, behind an ordinary word
+    and a sign, behind a short prefix, near a word about secrets that the patterns do not know."""
+    at = tokens.index(None)
+    words = [t for t in tokens if t and t.isalpha()] or ["it"]
+    name, cue = words[h % len(words)], CUES[h // 7 % len(CUES)]
+    other, short, cut = relettered(value, h), relettered(value, h + 2, 10, 18), value[:10 + h % 10]
+    for body in ([value], [other], [f"{name}={other}"], [name + ":", other], [name, "=", other], [f'"{other}"'],
+                 [f"{name[:3]}{'_-'[h % 2]}{relettered(value, h + 1)}"], [short], [name + ":", short], [cue, other],
+                 [cue + ":", short], [f"{name}_{cue}", "=", short], [cue, name, cut], [cue, name, short]):
+        yield tokens[:at] + body + tokens[at + 1:], [0] * at + [0] * (len(body) - 1) + [BEGIN] + [0] * (len(tokens) - at - 1)
+
+
+def sample_windows(text: str, limit: int = 4) -> list[tuple[str, list[str], list[int], list[int]]]:
+    """Windows of (sort, tokens, tags, file features): around the first ``limit`` spans of the patterns, as they are
+    and with the keyword masked (``disguises``); or, in a text without any, at a hashed token and at a
+    hashed one of the tokens with a digit."""
     places = [m.span() for m in re.finditer(WORD, text)]
     if not places:
         return []
     tokens = [text[a:b] for a, b in places]
     starts = np.array([a for a, _ in places])
     tags = np.zeros(len(tokens), int)
-    centres = []
+    centres: dict[tuple[int, int], str] = {}
     for start, _, end in base_spans(text):
         a = int(np.searchsorted(starts, start, "right")) - 1
         b = int(np.searchsorted(starts, end, "left"))
         if not tags[a]:
             tags[a] = BEGIN
         tags[a + 1:b] = INSIDE
-        centres.append((a, b))
+        if not any(i <= a < j for i, j in centres):  # a value that two patterns read counts once
+            centres[a, b] = "secret"
     file = file_features(len(tokens), sum(any(c.isdigit() for c in t) for t in tokens),
                          sum("=" in t or ":" in t for t in tokens))
+    h = xxhash.xxh32_intdigest(text)
     if not centres:
-        digits = [sum(c.isdigit() for c in t) for t in tokens]
-        centres = [(a, a + 1) for a in (xxhash.xxh32_intdigest(text) % len(tokens), int(np.argmax(digits)))]
+        digits = [i for i, t in enumerate(tokens) if any(c.isdigit() for c in t)]
+        centres[h % len(tokens), h % len(tokens) + 1] = "plain"
+        if digits:
+            i = digits[h % len(digits)]
+            centres[i, i + 1] = "digits"
     out = []
-    for a, b in centres[:limit]:
-        a, b = max(0, a - CONTEXT), min(len(tokens), b + CONTEXT)
-        out.append((tokens[a:b], tags[a:b].tolist(), file))
+    for (a, b), sort in [*centres.items()][:limit]:
+        low, high = max(0, a - CONTEXT), min(len(tokens), b + CONTEXT)
+        out.append((sort, tokens[low:high], tags[low:high].tolist(), file))
+        if sort == "secret" and not tags[low:a].any() and not tags[b:high].any():
+            value = tokens[b - 1].strip(WRAPPING + "=")
+            value = re.split("[=:]", value)[-1].strip(WRAPPING) or value
+            hidden = tokens[low:a] + [None] + tokens[b:high]
+            out += [(sort, *d, file) for i in range(DISGUISED) for d in disguises(hidden, value, h + 7919 * i)]
     return out
 
 
@@ -349,8 +414,8 @@ def log_sum(x: np.ndarray, axis: int) -> np.ndarray:
 
 def fit(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, sample_windows_: int = SAMPLE_WINDOWS) -> Field:
     """The field fitted on a hashed share of about ``sample_docs`` documents (all, if there are
-    fewer), of these on at most ``sample_windows_`` windows with a secret and as many without;
-    only windows reach the driver."""
+    fewer), of these on at most 4 windows of a text and ``sample_windows_`` windows of each sort
+    (around a secret, around a token with a digit, around any token); only windows reach the driver."""
     known = docs.where("text IS NOT NULL")
     share = min(1.0, sample_docs / max(known.count(), 1))
     h = F.xxhash64("doc_id", "text")
@@ -359,14 +424,14 @@ def fit(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, sample_windows_: int =
 
     def windows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            rows = [(h, any(w[1]), *w) for h, text in zip(pdf["h"], pdf["text"]) for w in sample_windows(text)]
-            yield pd.DataFrame(rows, columns=["h", "secret", "tokens", "tags", "file"])
+            rows = [(h, *w) for h, text in zip(pdf["h"], pdf["text"]) for w in sample_windows(text)]
+            yield pd.DataFrame(rows, columns=["h", "sort", "tokens", "tags", "file"])
 
     cut = cut_lineage(chosen.mapInPandas(
-        windows, "h long, secret boolean, tokens array<string>, tags array<int>, file array<int>"))
+        windows, "h long, sort string, tokens array<string>, tags array<int>, file array<int>"))
     found = []
-    for secret in (True, False):
-        found += cut.where(F.col("secret") == secret).orderBy("h", "tokens").limit(sample_windows_).collect()
+    for sort in SORTS:
+        found += cut.where(F.col("sort") == sort).orderBy("h", "tokens").limit(sample_windows_).collect()
     return fit_field([(list(r.tokens), list(r.tags), list(r.file)) for r in found])
 
 
@@ -378,10 +443,11 @@ def scan(docs: DataFrame, field: Field | None = None) -> DataFrame:
     other columns are ignored; an empty table gives an empty result.
     """
     shared = docs.sparkSession.sparkContext.broadcast(field or fit(docs))
+    fitted = uuid.uuid4().hex
 
     @F.pandas_udf("array<struct<kind:string,start:bigint,end:bigint>>")
     def spans(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        tagger = Tagger(shared.value)
+        tagger = kept(("tagger", fitted), lambda: Tagger(shared.value))
         for texts in batches:
             yield pd.Series([[{"kind": KINDS[k], "start": a, "end": b} for a, k, b in tagger.spans(t)]
                              for t in texts], dtype=object)

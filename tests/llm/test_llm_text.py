@@ -118,6 +118,46 @@ def test_field_learns_and_scan_keeps_base_spans(spark):
     assert tagger.tags(tagger.scores(tokens)[0]) == [(4, 5)]
 
 
+def test_field_finds_secrets_that_no_pattern_reads(spark):
+    """320 secrets of eight kinds in clean texts; the field is fitted on documents that hold none of these kinds."""
+    field = secrets.fit(table(spark, SF01, "documents", "doc_id", "text"))
+    tagger = secrets.Tagger(field)
+    rng = random.Random(3)
+    base62 = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+    some = lambda n, letters=base62: "".join(rng.choices(letters, k=n))
+    kinds = [lambda: ("ghp_", some(36)), lambda: ("Bearer ", f"eyJ{some(30)}.{some(20)}"), lambda: ("pwd: ", some(14)),
+             lambda: ("auth=", some(24)), lambda: ("sk-proj-", some(32)), lambda: ("password is ", some(16, "0123456789abcdef")),
+             lambda: ("client_key = ", some(14)), lambda: ("xoxb-", f"{some(11, base62[52:])}-{some(24)}")]
+    prose = [r.text for r in table(spark, SF001, "documents").orderBy("doc_id").collect()
+             if r.text and len(r.text.split()) > 60 and not secrets.base_spans(r.text)]
+    found, added, wrong = [0] * 8, 0, 0
+    for i in range(320):
+        words = rng.choice(prose).split(" ")
+        at = rng.randrange(10, len(words) - 10)
+        lead, value = kinds[i % 8]()
+        text = " ".join([*words[:at], lead + value, *words[at:]])
+        start = text.index(lead + value) + len(lead)
+        spans = [(a, b) for a, k, b in tagger.spans(text) if k == 3]
+        found[i % 8] += any(a <= start and b >= start + len(value) for a, b in spans)
+        added += len(spans)
+        wrong += sum(b <= start - len(lead) or a >= start + len(value) for a, b in spans)
+    assert sum(found) >= 0.9 * 320 and min(found) >= 0.75 * 40, found
+    assert wrong <= 0.05 * added, (wrong, added)
+
+
+def test_tagged_runs_keep_what_no_pattern_covers():
+    """Tokens of a run outside the patterns' spans stay; marks around a span and lone signs do not."""
+    field = secrets.Field()
+    field.move[:] = 1.0
+    tagger = secrets.Tagger(field)
+    tagger.tags = lambda scores: [(1, 3)]
+    text = 'x password=abcdef0123 "Zx81kPq02LmN44", = y'
+    spans = tagger.spans(text)
+    assert [(k, text[a:b]) for a, k, b in spans] == [(0, "password=abcdef0123"), (3, "Zx81kPq02LmN44")]
+    tagger.tags = lambda scores: [(3, 4)]
+    assert [k for _, k, _ in tagger.spans(text)] == [0]
+
+
 def test_secrets_on_edge_rows(spark):
     docs = documents(spark)
     got = secrets.scan(docs, secrets.Field()).collect()
