@@ -3,8 +3,9 @@
 At every node of the tree a document draws one number per child, ``-ln(u) / weight`` with u from
 a hash of the document and the child's name, and descends to the smallest.  A child's draws
 depend on its own name and weight only, so a change of weights moves documents only between
-children of nodes on the way to the change: subtrees whose weights stay exchange nothing.  A new
-shard is hung under a new region, hence takes documents only into itself.
+children of nodes on the way to the change: subtrees whose weights stay exchange nothing.  A tree is
+founded with some shards in racks and regions; every later shard is hung under a region of its own,
+hence takes documents only into itself, however many came before it.
 
 All of it is column expressions; the only shuffles are of (id, size, checksum) rows for the
 slots, and no text is moved.
@@ -20,8 +21,10 @@ from pyspark.sql import functions as F
 
 from .common import partitions, utf8_crc32
 
-#: Shards of a rack and racks of a region in the default layout.
+#: Shards of a rack and racks of a region in a founded tree.
 RACK_SHARDS, REGION_RACKS = 2, 2
+#: Shards that a tree is founded with by default; a smaller tree is founded with one.
+FOUNDED = 8
 
 
 @dataclass(frozen=True)
@@ -43,7 +46,7 @@ def group(name: str, children: list[Node]) -> Node:
     return Node(name, sum(c.weight for c in children), tuple(children))
 
 
-def layout(shards: int, weights: list[float] | None = None) -> Node:
+def founded_tree(shards: int, weights: list[float] | None = None) -> Node:
     """Shards in order, RACK_SHARDS to a rack and REGION_RACKS racks to a region."""
     leaves = [leaf(i, weights[i] if weights else 1.0) for i in range(shards)]
     racks = [group(f"rack{i // RACK_SHARDS}", leaves[i:i + RACK_SHARDS]) for i in range(0, shards, RACK_SHARDS)]
@@ -57,6 +60,20 @@ def grown(tree: Node, shard: int, weight: float = 1.0) -> Node:
     return group(tree.name, [*tree.children, group(f"region-of-{shard}", [rack])])
 
 
+def layout(shards: int, weights: list[float] | None = None, founded: int | None = None) -> Node:
+    """A tree founded with ``founded`` shards and grown one by one to ``shards``.
+
+    So ``layout(n + 1)`` is ``grown(layout(n), n)`` for one and the same founding and n >= ``founded``:
+    names and weights of older nodes stay, whatever n is.
+    """
+    if founded is None:
+        founded = FOUNDED if shards >= FOUNDED else 1
+    tree = founded_tree(min(founded, shards), weights)
+    for shard in range(founded, shards):
+        tree = grown(tree, shard, weights[shard] if weights else 1.0)
+    return tree
+
+
 def hash52(text: Column) -> Column:
     """The first 52 bits of a text's MD5."""
     return F.conv(F.substring(F.md5(text), 1, 13), 16, 10).cast("long")
@@ -88,18 +105,22 @@ def key_of(doc_id) -> Column:
     return F.coalesce(doc_id.cast("string"), F.lit("null"))
 
 
-def assign(docs: DataFrame, shards: int = 8) -> DataFrame:
+def assign(docs: DataFrame, shards: int = 8, founded: int | None = None) -> DataFrame:
     """doc_id, size, text_crc32, law, shard, slot and grown_shard of every row of ``docs``.
 
+    ``grown_shard`` is the ``shard`` that the same founding gives with one more shard; rows move
+    only into that one.  By default trees of 8 shards and more are founded with 8, smaller ones
+    with one; growing across that size needs ``founded=1``.
+
     A NULL text has size 1 and the checksum of the empty text; NULL doc_ids share one key and so
-    one shard; repeated rows have slots of their own; other columns are ignored; an empty table
+    one shard (id and shard count alone decide), where slots go by content; repeated rows have slots of their own; other columns are ignored; an empty table
     gives an empty result.
 
     Slots follow the order of a hash of (doc_id, checksum, size) in the shard.  Hash ranges make
     buckets whose counts are summed up first, so every row is numbered within a bucket of bounded
     share, never within a whole shard, and the numbers don't depend on how many buckets there are.
     """
-    tree = layout(shards)
+    tree = layout(shards, founded=founded)
     key = key_of(F.col("doc_id"))
     buckets = 4 * partitions(docs.sparkSession)
     rows = docs.select(

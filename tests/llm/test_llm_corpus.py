@@ -294,6 +294,23 @@ def test_shards_query_and_edge_rows(spark):
     assert sharding.assign(documents(spark).limit(0)).count() == 0
 
 
+def test_growth_moves_rows_only_into_the_new_shard(spark):
+    keys = spark.range(5000).select(F.col("id").cast("string").alias("key"))
+    for founded, sizes in ((1, range(1, 21)), (8, range(8, 21)), (5, (5, 6, 13))):
+        trees = [sharding.layout(n, founded=founded) for n in sizes]
+        more = [sharding.layout(n + 1, founded=founded) for n in sizes]
+        rows = keys.select(*(sharding.descend(F.col("key"), t).alias(f"a{n}") for n, t in zip(sizes, trees)),
+                           *(sharding.descend(F.col("key"), t).alias(f"b{n}") for n, t in zip(sizes, more))).collect()
+        for n, t, m in zip(sizes, trees, more):
+            assert sharding.grown(t, n) == m
+            old, new = Counter(r[f"a{n}"] for r in rows), Counter(r[f"b{n}"] for r in rows)
+            assert all(r[f"b{n}"] in (r[f"a{n}"], n) for r in rows)
+            assert set(old) == set(range(n)) and all(abs(c - 5000 / (n + 1)) < 1000 / (n + 1) ** 0.5 for c in new.values())
+    docs = documents(spark)
+    now = Counter((r.doc_id, r.text_crc32, r.grown_shard) for r in sharding.assign(docs, 9).collect())
+    assert now == Counter((r.doc_id, r.text_crc32, r.shard) for r in sharding.assign(docs, 10).collect())
+
+
 def test_weights_and_confined_movement(spark):
     ids = spark.range(20_000).select(F.col("id").cast("string").alias("key"))
     old = sharding.layout(8)
