@@ -14,7 +14,10 @@ are, they hide no others.  Terms at or above ``REMOVE_AT`` are removed, those at
 ``GENERALISE_AT`` are replaced by a placeholder, wherever they occur.
 
 Positions come without any loop over characters: the matches of a pattern and the stretches
-between them alternate, so running sums of their lengths are the offsets.
+between them alternate, so running sums of their lengths are the offsets.  Running sums and maxima
+(``running``) are taken within chunks of about the square root of an array and then over the chunks,
+and texts are cut at positions through blocks of equal length, so a text with very many matches costs
+little more than its length.
 """
 
 from __future__ import annotations
@@ -52,6 +55,8 @@ HINTS = {
     "phone": lambda t: t.contains("+"),
 }
 WORD = r"\p{L}+"
+#: Code points of the blocks through which a text is cut.
+BLOCK = 4096
 SPAN = "struct<kind:string,rank:int,start:bigint,end:bigint,value:string>"
 
 
@@ -81,22 +86,46 @@ VALID = {
 }
 
 
+def let(value: Column, body) -> Column:
+    """``body(value)`` with the value computed once, however often the body names it."""
+    return F.transform(F.array(value), body)[0]
+
+
+def running(values: Column, merge) -> Column:
+    """The array of ``merge`` (of two columns, associative) over the values up to each place."""
+    def last(array: Column) -> Column:
+        return F.element_at(array, -1)
+
+    def grow(array: Column, x: Column) -> Column:
+        return F.concat(array, F.array(F.when(F.size(array) == 0, x).otherwise(merge(last(array), x))))
+
+    def folded(array: Column) -> Column:
+        return F.aggregate(array, F.array().cast("array<bigint>"), grow)
+
+    def over(xs: Column) -> Column:
+        side = F.ceil(F.sqrt(F.size(xs))).cast("int")
+        chunks = F.transform(F.sequence(F.lit(0), F.floor((F.size(xs) - 1) / side).cast("int")),
+                             lambda i: folded(F.slice(xs, i * side + 1, side)))
+        return let(chunks, lambda c: let(folded(F.transform(c, last)), lambda before: F.flatten(F.transform(
+            c, lambda chunk, i: F.when(i == 0, chunk).otherwise(
+                F.transform(chunk, lambda x: merge(F.get(before, i - 1), x)))))))
+
+    return let(values, lambda xs: F.when(F.size(xs) > 0, over(xs)).otherwise(F.array().cast("array<bigint>")))
+
+
 def located(text: Column, pattern: Column) -> Column:
     """Array of (start, end, value) of the matches of a pattern, in code points."""
-    gaps = F.split(text, pattern, -1)
-    values = F.regexp_extract_all(text, pattern, F.lit(0))
     empty = F.array().cast("array<struct<start:bigint,end:bigint,value:string>>")
-    pairs = F.arrays_zip(gaps.alias("gap"), values.alias("value"))
-    walk = F.aggregate(
-        F.filter(pairs, lambda p: p["value"].isNotNull()),
-        F.struct(F.lit(0).cast("bigint").alias("at"), empty.alias("found")),
-        lambda acc, p: F.struct(
-            (acc["at"] + F.length(p["gap"]) + F.length(p["value"])).cast("bigint").alias("at"),
-            F.concat(acc["found"], F.array(F.struct(
-                (acc["at"] + F.length(p["gap"])).cast("bigint").alias("start"),
-                (acc["at"] + F.length(p["gap"]) + F.length(p["value"])).cast("bigint").alias("end"),
-                p["value"].alias("value")))).alias("found")))
-    return F.when(F.size(values) > 0, walk["found"]).otherwise(empty)
+
+    def placed(values: Column) -> Column:
+        pairs = F.slice(F.arrays_zip(F.split(text, pattern, -1).alias("gap"), values.alias("value")), 1, F.size(values))
+        lengths = F.transform(pairs, lambda p: (F.length(p["gap"]) + F.length(p["value"])).cast("bigint"))
+        ends = running(lengths, lambda a, x: a + x)
+        return F.transform(F.arrays_zip(ends.alias("end"), values.alias("value")), lambda p: F.struct(
+            (p["end"] - F.length(p["value"])).alias("start"), p["end"].alias("end"), p["value"].alias("value")))
+
+    return let(F.regexp_extract_all(text, pattern, F.lit(0)),
+               lambda values: F.when(F.size(values) > 0, placed(values)).otherwise(empty))
 
 
 def pattern_spans(text: Column, kind: str) -> Column:
@@ -116,6 +145,27 @@ def ordered(spans: Column) -> Column:
         lambda s: s["span"])
 
 
+def cleaned(text: Column, spans: Column, actions: Column) -> Column:
+    """The text with its spans (by start) removed or generalised to ``<kind>``."""
+    def cut(blocks: Column, start: Column, end: Column) -> Column:
+        """The text from ``start`` to ``end`` (exclusive), read from the blocks that hold it."""
+        first, last = F.floor(start / BLOCK).cast("int"), F.floor((end - 1) / BLOCK).cast("int")
+        part = F.array_join(F.slice(blocks, first + 1, last - first + 1), "")
+        return F.when(end > start, F.substring(part, (start % BLOCK).cast("int") + 1, (end - start).cast("int"))).otherwise("")
+
+    def rest(blocks: Column, ends: Column) -> Column:
+        """What stands before each span, with its placeholder, and what stands behind the last."""
+        pieces = F.transform(F.arrays_zip(spans.alias("span"), actions.alias("action")), lambda p, i: F.concat(
+            cut(blocks, F.when(i == 0, F.lit(0).cast("bigint")).otherwise(F.get(ends, i - 1)), p["span"]["start"]),
+            F.when(p["action"] == "generalise", F.concat(F.lit("<"), p["span"]["kind"], F.lit(">"))).otherwise("")))
+        behind = cut(blocks, F.element_at(ends, -1), F.length(text).cast("bigint"))
+        return F.concat(F.array_join(pieces, ""), behind)
+
+    blocks = F.regexp_extract_all(text, F.lit("(?s).{1,%d}" % BLOCK), F.lit(0))
+    ends = running(F.transform(spans, lambda s: s["end"]), F.greatest)
+    return F.when(F.size(spans) > 0, let(blocks, lambda b: let(ends, lambda e: rest(b, e)))).otherwise(text)
+
+
 def entity(span: Column) -> Column:
     """What a span stands for: equal addresses and numbers however they are written."""
     return F.concat(span["kind"], F.lit(":"), F.when(span["kind"] == "email", F.lower(span["value"])).when(
@@ -126,9 +176,15 @@ def distinct_words(text: Column) -> Column:
     return F.array_distinct(F.regexp_extract_all(F.lower(text), F.lit(WORD), F.lit(0)))
 
 
-def base_spans(docs: DataFrame) -> DataFrame:
-    """doc_id, h (hash of the text) and the patterns' spans; of rows with spans also their distinct
-    entities, the distinct words outside the spans and those that occur only inside."""
+def removed(spans: Column) -> Column:
+    """The action ``remove`` for every span."""
+    return F.transform(spans, lambda s: F.lit("remove"))
+
+
+def base_spans(docs: DataFrame, keep=lambda text: text) -> DataFrame:
+    """doc_id, h (hash of the text), the patterns' spans and ``clean`` (``keep`` of the text without
+    them); of rows with spans also their distinct entities, the distinct words outside the spans and those
+    that occur only inside."""
     text = F.coalesce("text", F.lit(""))
     spans = F.concat(*[pattern_spans(F.col("text"), k) for k in PATTERNS])
     rows = docs.select("doc_id", text.alias("text")).select(
@@ -136,8 +192,9 @@ def base_spans(docs: DataFrame) -> DataFrame:
     blank = F.transform("spans", lambda s: s.withField("kind", F.lit("")))
     outside = cleaned(F.col("text"), blank, F.array_repeat(F.lit("generalise"), F.size("spans")))
     held = F.size("spans") > 0
-    rows = rows.select("doc_id", "text", "h", "spans", F.when(held, distinct_words(outside)).alias("words"))
-    return rows.select("doc_id", "h", "spans", F.array_distinct(F.transform("spans", entity)).alias("entities"), "words",
+    clean = cleaned(F.col("text"), F.col("spans"), removed(F.col("spans")))
+    rows = rows.select("doc_id", "text", "h", "spans", keep(clean).alias("clean"), F.when(held, distinct_words(outside)).alias("words"))
+    return rows.select("doc_id", "h", "spans", "clean", F.array_distinct(F.transform("spans", entity)).alias("entities"), "words",
                        F.when(held, F.array_except(distinct_words(F.col("text")), "words")).alias("inner"))
 
 
@@ -209,56 +266,62 @@ def disclosing_terms(docs: DataFrame, found: DataFrame, min_contexts: int = MIN_
             .groupBy("term").agg(F.max("disclosure").alias("disclosure")))
 
 
-def term_spans(docs: DataFrame, terms: DataFrame) -> DataFrame:
-    """(doc_id, h, term_spans, actions) of the distinct documents in which a disclosing term occurs."""
-    rows = docs.where("text IS NOT NULL").select("doc_id", "text", F.xxhash64("text").alias("h"))
-    words = F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(WORD), F.lit(0)))
-    hits = (rows.select("doc_id", "h", F.explode(words).alias("term")).join(terms, "term")
+def term_hits(docs: DataFrame, terms: DataFrame) -> DataFrame:
+    """(hit_id, hit_h, terms: term to disclosure) of the documents that hold a disclosing term."""
+    return (docs.where("text IS NOT NULL").select("doc_id", F.xxhash64("text").alias("h"),
+                                                  F.explode(distinct_words(F.col("text"))).alias("term")).join(terms, "term")
             .groupBy(F.col("doc_id").alias("hit_id"), F.col("h").alias("hit_h"))
             .agg(F.map_from_entries(F.collect_set(F.struct("term", "disclosure"))).alias("terms")))
-    once = (rows.join(hits, F.col("doc_id").eqNullSafe(F.col("hit_id")) & (F.col("h") == F.col("hit_h")))
-            .select("doc_id", "h", "text", "terms").dropDuplicates(["doc_id", "h"]))
+
+
+def same_text(left: str = "doc_id", right: str = "hit_id") -> Column:
+    return F.col(left).eqNullSafe(F.col(right)) & (F.col("h") == F.col("hit_h"))
+
+
+def free_terms(spans: Column) -> Column:
+    """Spans by start and kind without the terms that overlap another kind's span: the farthest end
+    before a term and the next start behind it decide."""
+    far = F.lit(1 << 62)
+    ends = running(F.transform(spans, lambda s: F.when(s["kind"] == "term", F.lit(-1)).otherwise(s["end"]).cast("bigint")), F.greatest)
+    starts = F.reverse(running(F.reverse(F.transform(
+        spans, lambda s: F.when(s["kind"] == "term", far).otherwise(s["start"]))), F.least))
+    zipped = F.arrays_zip(spans.alias("span"), ends.alias("before"), starts.alias("next"))
+    return F.transform(F.filter(zipped, lambda z: (z["span"]["kind"] != "term") | (
+        (z["before"] <= z["span"]["start"]) & (z["next"] >= z["span"]["end"]))), lambda z: z["span"])
+
+
+def term_spans(docs: DataFrame, found: DataFrame, hits: DataFrame, remove_at: float, keep) -> DataFrame:
+    """(hit_id, hit_h, all spans, their actions, clean) of the distinct documents with a disclosing term."""
+    rows = docs.where("text IS NOT NULL").select("doc_id", "text", F.xxhash64("text").alias("h"))
+    once = (rows.join(hits, same_text()).select("doc_id", "h", "text", "terms").dropDuplicates(["doc_id", "h"])
+            .withColumnsRenamed({"doc_id": "hit_id", "h": "hit_h"}))
+    base = found.select("doc_id", "h", "spans").join(hits.select("hit_id", "hit_h"), same_text(), "left_semi").dropDuplicates(["doc_id", "h"])
+    once = once.join(base, same_text()).select("hit_id", "hit_h", "text", "terms", "spans")
     pattern = F.concat(F.lit(r"(?iu)(?<!\p{L})(?:"), F.array_join(F.map_keys("terms"), "|"), F.lit(r")(?!\p{L})"))
-    found = once.select("doc_id", "h", "terms", located(F.col("text"), pattern).alias("found"))
-    return found.select("doc_id", "h", F.transform("found", lambda s: F.struct(
-        F.lit("term").alias("kind"), F.lit(4).alias("rank"), s["start"].alias("start"), s["end"].alias("end"),
-        s["value"].alias("value"))).alias("term_spans"), "terms")
+    placed = F.transform(located(F.col("text"), pattern), lambda s: F.struct(
+        F.lit("term").alias("kind"), F.lit(4).alias("rank"), s["start"].alias("start"), s["end"].alias("end"), s["value"].alias("value")))
+    once = once.withColumn("spans", let(ordered(F.concat("spans", placed)), free_terms))
+    action = F.transform("spans", lambda s: F.when(s["kind"] != "term", F.lit("remove")).when(
+        F.element_at("terms", F.lower(s["value"])) >= remove_at, F.lit("remove")).otherwise(F.lit("generalise")))
+    once = once.withColumn("actions", action)
+    return once.select("hit_id", "hit_h", F.col("spans").alias("all_spans"), "actions",
+                       keep(cleaned(F.col("text"), F.col("spans"), F.col("actions"))).alias("all_clean"))
 
 
 def sanitise(docs: DataFrame, min_contexts: int = MIN_CONTEXTS, generalise_at: float = GENERALISE_AT,
-             remove_at: float = REMOVE_AT) -> DataFrame:
-    """doc_id, ``spans`` (kind, rank, start, end, value; by start and kind) and ``action`` per span
-    of every row of ``docs``.
+             remove_at: float = REMOVE_AT, keep=lambda text: text) -> DataFrame:
+    """doc_id, ``spans`` (kind, rank, start, end, value; by start and kind), ``action`` per span and the
+    sanitised text ``clean`` (or what ``keep`` makes of that column before it is stored) of every row of ``docs``.
 
     Terms are letters only, compared in lower case; a term inside a pattern's span adds nothing.
-    NULL and empty texts have no spans; NULL doc_ids and repeated rows are carried as they are;
-    other columns are ignored; an empty table gives an empty result.
+    NULL and empty texts have no spans and an empty clean text; NULL doc_ids and repeated rows are
+    carried as they are; other columns are ignored; an empty table gives an empty result.
     """
-    found = written(base_spans(docs), "privacy-spans")
+    found = written(base_spans(docs, keep), "privacy-spans")
     terms = written(disclosing_terms(docs, found, min_contexts, generalise_at), "privacy-terms")
-    extra = term_spans(docs, terms).withColumnsRenamed({"doc_id": "hit_id", "h": "hit_h"})
-    base = found.select("doc_id", "h", "spans")
-    joined = base.join(extra, F.col("doc_id").eqNullSafe(F.col("hit_id")) & (F.col("h") == F.col("hit_h")), "left").select(
-        "doc_id", "h", "spans", "term_spans", "terms")
-    free = F.filter("term_spans", lambda t: ~F.exists(
-        "spans", lambda s: (t["start"] < s["end"]) & (s["start"] < t["end"])))
-    spans = ordered(F.concat("spans", F.coalesce(free, F.array().cast(f"array<{SPAN}>"))))
-    whole = joined.select("doc_id", "h", spans.alias("spans"), "terms")
-    action = F.transform("spans", lambda s: F.when(s["kind"] != "term", F.lit("remove")).when(
-        F.element_at("terms", F.lower(s["value"])) >= remove_at, F.lit("remove")).otherwise(F.lit("generalise")))
-    return whole.select("doc_id", "h", "spans", action.alias("actions"))
-
-
-def cleaned(text: Column, spans: Column, actions: Column) -> Column:
-    """The text with its spans removed or generalised to ``<kind>``."""
-    pairs = F.arrays_zip(spans.alias("span"), actions.alias("action"))
-    walk = F.aggregate(
-        pairs, F.struct(F.lit(0).cast("bigint").alias("at"), F.lit("").alias("out")),
-        lambda acc, p: F.struct(
-            F.greatest(acc["at"], p["span"]["end"]).alias("at"),
-            F.concat(acc["out"],
-                     F.when(p["span"]["start"] >= acc["at"], F.substring(
-                         text, acc["at"].cast("int") + 1, (p["span"]["start"] - acc["at"]).cast("int"))).otherwise(""),
-                     F.when(p["action"] == "generalise", F.concat(F.lit("<"), p["span"]["kind"], F.lit(">"))).otherwise("")
-                     ).alias("out")))
-    return F.concat(walk["out"], F.substring(text, walk["at"].cast("int") + 1, F.lit(2147483647)))
+    hits = written(term_hits(docs, terms), "privacy-hits")  # its size is known when texts are joined
+    extra = written(term_spans(docs, found, hits, remove_at, keep), "privacy-found")
+    return found.join(extra, same_text(), "left").select(
+        "doc_id", "h", F.coalesce("all_spans", "spans").alias("spans"),
+        F.when(F.col("hit_h").isNotNull(), F.col("actions")).otherwise(removed(F.col("spans"))).alias("actions"),
+        F.when(F.col("hit_h").isNotNull(), F.col("all_clean")).otherwise(F.col("clean")).alias("clean"))

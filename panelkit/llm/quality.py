@@ -140,6 +140,22 @@ def ablations(rows: DataFrame, policies: dict[str, int] | None = None) -> DataFr
                 F.sum(F.when(hit == F.col("bit"), n).otherwise(0)).alias("n_only")))
 
 
+def with_ablation(rows: DataFrame, version: str = CURRENT, name: str = "kept_without") -> DataFrame:
+    """The ledger with the number of documents that a policy would keep without the rules that the
+    row's document fails (for a document that fails none: those it keeps).
+
+    Counts per bit pattern are combined map side; there are at most 2**rules patterns, which are
+    compared with one another by bits and joined back by pattern.
+    """
+    patterns = rows.groupBy("failed").agg(F.count(F.lit(1)).alias("n"))
+    all_ = patterns.agg(F.collect_list(F.struct("failed", "n")).alias("all"))  # at most 2**rules entries
+    left = F.bitwise_not("failed").bitwiseAND(F.lit(POLICIES[version]))
+    kept = F.aggregate("all", F.lit(0).cast("long"), lambda a, p: a + F.when(
+        p["failed"].bitwiseAND(left) == 0, p["n"]).otherwise(0))
+    counted = patterns.crossJoin(F.broadcast(all_)).select("failed", kept.alias(name))
+    return rows.join(F.broadcast(counted), "failed")
+
+
 def profile(rows: DataFrame, *by: str) -> DataFrame:
     """Per group: the bits that some document fails (OR) and that all fail (AND)."""
     return rows.groupBy(*by).agg(F.count(F.lit(1)).alias("n_docs"), F.bit_or("failed").alias("any_failed"),

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import chat, decontam, mixing, phrases, privacy, quality, runs, secrets, sharding, simhash, tokens, topk, toxicity
-from .common import table
+from .common import table, written
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -29,24 +29,25 @@ def listed(spans: Column) -> Column:
         ":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
 
 
-def span_digests(rows: DataFrame, kinds: tuple[str, ...]) -> DataFrame:
-    """Counts of the base kinds, the digest of their spans, and all spans as text."""
+def span_digests(rows: DataFrame, kinds: tuple[str, ...], *more: Column) -> DataFrame:
+    """Counts of the base kinds, the digest of their spans, all spans as text, and further columns."""
     def count(kind: str) -> Column:
         return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
 
     base = F.filter("spans", lambda s: s["kind"].isin(*kinds))
     return rows.select("doc_id", *map(count, kinds), F.sha2(listed(base), 256).alias("base_sha256"),
-                       listed(F.col("spans")).alias("spans"))
+                       listed(F.col("spans")).alias("spans"), *more)
 
 
 @query
 def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Measurements, base verdict and the current policy's verdict of every document."""
-    rows = quality.ledger(table(spark, sf_dir, "documents", "doc_id", "text"))
-    rows = quality.apply_policy(rows)
+    """Measurements, base verdict and the current policy's verdict of every document, and how many
+    documents would stay without the rules that it fails."""
+    rows = written(quality.ledger(table(spark, sf_dir, "documents", "doc_id", "text")), "quality-ledger")
+    rows = quality.with_ablation(quality.apply_policy(rows))
     failed = F.col("failed").bitwiseAND(F.lit(quality.POLICIES["base"])) != 0
     return rows.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
-                       failed.alias("base_failed"), "kept", "failed")
+                       failed.alias("base_failed"), "kept", "failed", "kept_without")
 
 
 SQL["op1_quality"] = rf"""
@@ -77,7 +78,8 @@ f AS (
     + CASE WHEN word_chars > {quality.MAX_CHARS_PER_WORD} * n_words THEN 32 ELSE 0 END AS failed
   FROM m)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
-       (failed & 3) <> 0 AS base_failed, failed = 0 AS kept, failed::BIGINT AS failed
+       (failed & 3) <> 0 AS base_failed, failed = 0 AS kept, failed::BIGINT AS failed,
+       (SELECT count(*) FROM f AS o WHERE (o.failed & ~f.failed) = 0)::BIGINT AS kept_without
 FROM f
 """
 
@@ -105,9 +107,15 @@ def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op5_privacy(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Personal data of every document: the fixed patterns' spans and disclosing terms."""
-    return span_digests(privacy.sanitise(table(spark, sf_dir, "documents", "doc_id", "text")),
-                        ("email", "ip", "card", "phone"))
+    """Personal data of every document: the fixed patterns' spans, disclosing terms, how many spans are
+    generalised or removed, and the digest of the sanitised text."""
+    rows = privacy.sanitise(table(spark, sf_dir, "documents", "doc_id", "text"), keep=lambda text: F.sha2(text, 256))
+
+    def acted(action: str) -> Column:
+        return F.size(F.filter("actions", lambda a: a == action)).cast("long")
+
+    return span_digests(rows, ("email", "ip", "card", "phone"), acted("generalise").alias("n_generalised"),
+                        acted("remove").alias("n_removed"), F.col("clean").alias("clean_sha256"))
 
 
 @query
@@ -232,7 +240,8 @@ WITH d AS (
   SELECT coalesce(lang, 'und') AS lang,
          unnest(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
                                    '[.,;:!?
--]')) AS piece FROM documents),
+-
+]')) AS piece FROM documents),
 p AS (SELECT lang, regexp_extract_all(piece, '[^ 	]+') AS w FROM d),
 n AS (SELECT lang, sum(len(w))::HUGEINT AS n FROM p GROUP BY lang),
 g AS (SELECT lang, m, array_to_string(w[i:i + m - 1], ' ') AS phrase

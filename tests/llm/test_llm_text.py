@@ -37,6 +37,20 @@ def test_quality_measures_against_brute_force(spark):
         assert quality.measure(t)[:5] == brute(t)
 
 
+def test_ablations_of_the_query_against_brute_force(spark, tmp_path):
+    random.seed(5)
+    texts = [r[1] for r in ROWS] + [" ".join(random.choices(["ab", "#$", "XY", "x" * 90, "long"], k=random.randint(0, 40))) for _ in range(200)]
+    path = str(tmp_path / "documents.parquet")
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(path)
+    got = queries.op1_quality(spark, str(tmp_path)).collect()
+    mask = quality.POLICIES[quality.CURRENT]
+    assert len(got) == len(texts) and len({r.failed for r in got}) > 5
+    for r in got:
+        assert r.kept_without == sum(not o.failed & mask & ~r.failed for o in got)
+    empty = quality.with_ablation(quality.ledger(documents(spark).limit(0)))
+    assert empty.count() == 0
+
+
 def test_quality_on_edge_rows_and_empty(spark):
     docs = documents(spark)
     got = quality.apply_policy(quality.ledger(docs)).collect()
@@ -222,10 +236,55 @@ def test_disclosing_terms_are_found_and_copies_prove_nothing(spark):
     terms = {r.doc_id: [s.value for s in got[r.doc_id].spans if s.kind == "term"] for r in got.values()}
     assert all(terms[i] == ["Zorblat"] for i in range(5)) and terms[len(rows) - 1] == ["Zorblat"]
     assert not any(terms[i] for i in range(5, len(rows) - 1))
-    from pyspark.sql import functions as F
-    clean = privacy.sanitise(docs).join(docs, "doc_id").where("doc_id = 0").select(
-        privacy.cleaned(F.col("text"), F.col("spans"), F.col("actions"))).first()[0]
-    assert clean == "alpha alta <term> almma  alga"
+    assert got[0].clean == "alpha alta <term> almma  alga"
+
+
+def naive_clean(text, spans, actions):
+    at, out = 0, ""
+    for s, action in zip(spans, actions):
+        out += text[at:s.start] if s.start >= at else ""
+        out += f"<{s.kind}>" if action == "generalise" else ""
+        at = max(at, s.end)
+    return out + text[at:]
+
+
+def test_both_actions_reach_the_query_and_overlaps_are_whole(spark, tmp_path):
+    random.seed(23)
+    words = ["".join(p) for p in itertools.product("bdgklmn", "aeiou", "rstvz")]
+
+    def some(n):
+        return " ".join(random.sample(words, n))
+
+    rows = [f"{some(6)} Zorblat {some(6)} ann@x.org +14111 1111 1111 1111 {some(3)}" for _ in range(20)]  # phone over card
+    rows += [f"{some(6)} Quibble {some(6)} bob@x.org quibble.zorblat@x.org Zorblat" for _ in range(20)]
+    rows += [f"{some(6)} Quibble" for _ in range(4)] + [f"{some(8)}" for _ in range(400)] + [None, "", "é" * 5000 + " ann@x.org 😀 tail"]
+    docs = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")
+    got = {r.doc_id: r for r in privacy.sanitise(docs, generalise_at=0.5, remove_at=0.97).collect()}
+    assert len(got) == len(rows) and {a for r in got.values() for a in r.actions} == {"remove", "generalise"}
+    for r in got.values():
+        text = rows[r.doc_id] or ""
+        assert r.clean == naive_clean(text, r.spans, r.actions)
+        base = [(s.start, s.end) for s in r.spans if s.kind != "term"]
+        hidden = [m.span() for m in re.finditer(r"(?i)\b(?:zorblat|quibble)\b", text)]
+        free = [x for x in hidden if all(x[1] <= s or e <= x[0] for s, e in base)]
+        assert [(s.start, s.end) for s in r.spans if s.kind == "term" and s.value.lower() in ("zorblat", "quibble")] == free
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    for r in queries.op5_privacy(spark, str(tmp_path)).collect():
+        assert r.n_generalised + r.n_removed == len([x for x in r.spans.split(",") if x])
+
+
+def test_a_text_with_very_many_matches_takes_linear_time(spark):
+    import time
+
+    text = "".join(f"u{i}@ab.org, " for i in range(100_000))
+    docs = spark.createDataFrame([(1, text), (2, "one@ab.org")], "doc_id long, text string").repartition(1)
+    privacy.base_spans(docs.limit(0)).collect()
+    start = time.monotonic()
+    got = privacy.base_spans(docs).selectExpr("doc_id", "size(spans) n", "spans[size(spans) - 1].end e", "clean").collect()
+    took = time.monotonic() - start
+    assert {(r.doc_id, r.n, r.e) for r in got} == {(1, 100_000, len(text) - 2), (2, 1, 10)}
+    assert next(r.clean for r in got if r.doc_id == 1) == ", " * 100_000
+    assert took < 15, took
 
 
 def private_terms(spark, rows):
