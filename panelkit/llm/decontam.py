@@ -10,7 +10,8 @@ and end at a word boundary.  Scripts written without spaces have boundaries ever
 
 The benchmark is dealt into blocks of bounded size; each block's automaton is broadcast and
 meets all documents in one narrow pass, so documents are never shuffled and a larger benchmark
-means more passes, not a larger broadcast.
+means more passes, not a larger broadcast: with more blocks than one each pass is stored and its
+automaton released before the next.
 """
 
 from __future__ import annotations
@@ -26,10 +27,11 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import written
+
 #: Edits allowed per character of an item.
 ERROR_RATE = 0.05
-#: Items shorter than this after folding match only whole words of a document (``inside``) or only
-#: a document that is nothing else.
+#: Without ``inside``, items shorter than this after folding match only a document that is nothing else.
 MIN_CHARS = 32
 #: Characters of benchmark text in one automaton, about; a single longer item makes its own block.
 BLOCK_CHARS = 2_000_000
@@ -53,18 +55,16 @@ def pieces(item: str, k: int) -> list[tuple[int, str]]:
     return [(a, item[a:b]) for a, b in zip(at, at[1:])]
 
 
-def myers(pattern: str, text: str, anchored: bool = False) -> tuple[int, int]:
-    """Least edit distance of the pattern to any stretch of the text (``anchored``: to any
-    beginning of it), and the first end (exclusive) where it is reached."""
+def scores(pattern: str, text: str, anchored: bool = False) -> Iterator[int]:
+    """At every place of the text, the least edit distance of the pattern to a stretch that ends
+    behind it (``anchored``: to the text up to there), by Myers' bit-parallel steps."""
     m = len(pattern)
-    if not m:
-        return 0, 0
     peq: dict[str, int] = {}
     for i, c in enumerate(pattern):
         peq[c] = peq.get(c, 0) | 1 << i
     mask, top = (1 << m) - 1, 1 << (m - 1)
-    pv, mv, score, best, end = mask, 0, m, m, 0
-    for j, c in enumerate(text):
+    pv, mv, score = mask, 0, m
+    for c in text:
         eq = peq.get(c, 0)
         xv = eq | mv
         xh = (((eq & pv) + pv) ^ pv) | eq
@@ -78,8 +78,18 @@ def myers(pattern: str, text: str, anchored: bool = False) -> tuple[int, int]:
         ph = (ph << 1 | anchored) & mask
         pv = (mh << 1 | ~(xv | ph)) & mask
         mv = ph & xv
+        yield score
+
+
+def myers(pattern: str, text: str, anchored: bool = False) -> tuple[int, int]:
+    """Least edit distance of the pattern to any stretch of the text (``anchored``: to any
+    beginning of it), and the first end (exclusive) where it is reached."""
+    if not pattern:
+        return 0, 0
+    best, end = len(pattern), 0
+    for j, score in enumerate(scores(pattern, text, anchored), 1):
         if score < best:
-            best, end = score, j + 1
+            best, end = score, j
     return best, end
 
 
@@ -103,39 +113,30 @@ def boundary(text: str, at: int) -> bool:
 
 def best_words(pattern: str, text: str, low: int, high: int, k: int) -> tuple[int, int, int] | None:
     """(distance, start, end) of the nearest match within ``k`` that begins and ends at word
-    boundaries of the text between ``low`` and ``high``; the first of equal ones."""
-    best, m = None, len(pattern)
-    for a in range(low, high):
-        if boundary(text, a):
-            for b in range(max(a + 1, a + m - k), min(a + m + k, high) + 1):
-                if boundary(text, b):
-                    d = distance(pattern, text[a:b], k)
-                    if d <= k and (best is None or d < best[0]):
-                        best = (d, a, b)
-        if best and not best[0]:
+    boundaries of the text between ``low`` and ``high``; the first of equal ones.
+
+    One pass gives a lower bound at every end; from the ends at boundaries a pass backwards over
+    the item's length gives the distance from every start, the lowest bounds first."""
+    ends = sorted((score, low + j) for j, score in enumerate(scores(pattern, text[low:high]), 1)
+                  if score <= k and boundary(text, low + j))
+    best = None
+    for bound, end in ends:
+        if best and bound > best[0]:
             break
+        begin = max(low, end - len(pattern) - k)
+        for j, score in enumerate(scores(pattern[::-1], text[begin:end][::-1], anchored=True), 1):
+            if score <= k and boundary(text, end - j):
+                found = (score, end - j, end)
+                best = found if best is None or found < best else best
     return best
 
 
-def distance(a: str, b: str, k: int) -> int:
-    """Edit distance of two whole strings; exact up to ``k``."""
-    if a == b or k == 0:
-        return int(a != b)
-    row = list(range(len(b) + 1))
-    for i, c in enumerate(a, 1):
-        new = [i]
-        for j, d in enumerate(b, 1):
-            new.append(min(row[j] + 1, new[j - 1] + 1, row[j - 1] + (c != d)))
-        row = new
-    return row[-1]
-
-
 class Matcher:
     """The automaton over the pieces of one block of items."""
 
     def __init__(self, items: list[tuple[int | None, str]], rate: float = ERROR_RATE,
                  min_chars: int = MIN_CHARS, inside: bool = False):
-        self.min_chars = min_chars
+        self.inside = inside
         self.items, self.whole = [], {}
         owners: dict[str, list[tuple[int, int]]] = {}
         for item_id, text in items:
@@ -173,7 +174,7 @@ class Matcher:
             best = None
             for low, high in windows(sorted(set(begins)), len(pattern), k):
                 low, high = max(0, low), min(len(folded), high)
-                if len(pattern) < self.min_chars:
+                if self.inside:
                     match = best_words(pattern, folded, low, high, k)
                     best = match if match and (best is None or match[0] < best[0]) else best
                     continue
@@ -201,46 +202,57 @@ def windows(begins: list[int], m: int, k: int) -> Iterator[tuple[int, int]]:
         yield low, high
 
 
-def blocks(benchmark: DataFrame, block_chars: int = BLOCK_CHARS) -> Iterator[list[tuple[int | None, str]]]:
-    """The items in blocks whose text stays near ``block_chars``; equal items once."""
+def blocks(benchmark: DataFrame, block_chars: int = BLOCK_CHARS) -> tuple[int, Iterator[list[tuple[int | None, str]]]]:
+    """How many blocks of items, and the blocks, whose text stays near ``block_chars``; equal items once."""
     items = benchmark.where("text IS NOT NULL").select("item_id", "text").distinct()
     total = items.agg(F.sum(F.length("text"))).first()[0] or 0
     n = max(1, math.ceil(total / block_chars))
-    for i in range(n):
+
+    def block(i: int) -> list[tuple[int | None, str]]:
         part = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(n)) == i) if n > 1 else items
-        yield [(r.item_id, r.text) for r in part.orderBy("item_id", "text").collect()]
+        return [(r.item_id, r.text) for r in part.orderBy("item_id", "text").collect()]
+
+    return n, map(block, range(n))
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame, rate: float = ERROR_RATE,
           min_chars: int = MIN_CHARS, block_chars: int = BLOCK_CHARS, inside: bool = False) -> DataFrame:
-    """One row per document row and item found in it: distance, start and end in the folded text.
+    """One row per document row and item found in it, at its nearest place only: distance, start and
+    end in the folded text.
 
-    NULL and empty texts and items match nothing; an item shorter than ``min_chars`` matches
-    whole words within its budget if ``inside`` is set, else only texts that are nothing but the item; items with equal id and text count once; repeated
-    document rows give repeated result rows; empty tables give an empty result.
+    NULL and empty texts and items match nothing; with ``inside`` an item matches whole words within its
+    budget, else anywhere, but one shorter than ``min_chars`` only texts that are nothing but the item; items
+    with equal id and text count once; repeated document rows give repeated result rows; empty tables
+    give an empty result.
     """
-    found = []
-    for block in blocks(benchmark, block_chars):
-        hits = hit_column(docs, Matcher(block, rate, min_chars, inside))
-        found.append(docs.select("doc_id", F.explode(hits).alias("hit")).select(
-            "doc_id", *(F.col("hit")[i].alias(c) for i, c in enumerate(("item_id", "distance", "start", "end")))))
-    return reduce(DataFrame.unionAll, found)
+    def found(rows: DataFrame, hits: F.Column) -> DataFrame:
+        return rows.select("doc_id", F.explode(hits).alias("hit")).select(
+            "doc_id", *(F.col("hit")[i].alias(c) for i, c in enumerate(("item_id", "distance", "start", "end"))))
+
+    count, parts = blocks(benchmark, block_chars)
+    return reduce(DataFrame.unionAll, [passed(docs, Matcher(p, rate, min_chars, inside), found, count) for p in parts])
 
 
 def drop_leaks(docs: DataFrame, benchmark: DataFrame, rate: float = ERROR_RATE,
                min_chars: int = MIN_CHARS, block_chars: int = BLOCK_CHARS, inside: bool = False) -> DataFrame:
     """The rows of ``docs`` in which no item is found."""
-    for block in blocks(benchmark, block_chars):
-        docs = docs.where(F.size(hit_column(docs, Matcher(block, rate, min_chars, inside))) == 0)
+    count, parts = blocks(benchmark, block_chars)
+    for p in parts:
+        docs = passed(docs, Matcher(p, rate, min_chars, inside), lambda rows, hits: rows.where(F.size(hits) == 0), count)
     return docs
 
 
-def hit_column(docs: DataFrame, matcher: Matcher) -> F.Column:
-    """Hits of each text as arrays [item id, distance, start, end]."""
+def passed(docs: DataFrame, matcher: Matcher, use, count: int) -> DataFrame:
+    """``use(docs, hits)``, hits being arrays [item id, distance, start, end] of each text.  One of
+    several passes is stored, so its automaton can go from driver and executors."""
     shared = docs.sparkSession.sparkContext.broadcast(matcher)
 
     @F.pandas_udf("array<array<bigint>>")
     def hits(texts: pd.Series) -> pd.Series:
         return pd.Series([[list(hit) for hit in shared.value.search(t)] for t in texts], dtype=object)
 
-    return hits(F.col("text"))
+    out = use(docs, hits(F.col("text")))
+    if count > 1:
+        out = written(out, "decontam-pass")
+        shared.destroy()
+    return out

@@ -115,6 +115,17 @@ def nearest(pattern, text):
     return min(row)
 
 
+def edits(a: str, b: str) -> int:
+    """Edit distance of two whole strings."""
+    row = list(range(len(b) + 1))
+    for i, c in enumerate(a, 1):
+        new = [i]
+        for j, d in enumerate(b, 1):
+            new.append(min(row[j] + 1, new[j - 1] + 1, row[j - 1] + (c != d)))
+        row = new
+    return row[-1]
+
+
 def test_matcher_against_full_edit_distance():
     random.seed(10)
     for _ in range(150):
@@ -190,11 +201,29 @@ def test_short_items_against_full_edit_distance():
         doc = decontam.fold("".join(random.choices("ab ", k=20)) + random.choice([" ", "", "c"]) + "".join(x) + random.choice([" ", ""]) + "".join(
             random.choices("ab ", k=20)))
         k, ends = decontam.budget(item), [i for i in range(len(doc) + 1) if i in (0, len(doc)) or " " in doc[i - 1:i + 1]]
-        want = min((decontam.distance(item, doc[a:b], 99), a, b) for a in ends for b in ends if a < b)
+        want = min((edits(item, doc[a:b]), a, b) for a in ends for b in ends if a < b)
         got = decontam.Matcher([(1, item)], inside=True).search(doc)
         assert got == ([(1, *want)] if want[0] <= k else []), (item, doc)
 
 
+def test_one_rule_for_items_of_all_lengths():
+    random.seed(31)
+    for chars in (12, 20, 31, 32, 33, 60, 90):
+        for _ in range(25):
+            item = " ".join("".join(random.choices("abcd", k=random.randint(1, 7))) for _ in range(40))[:chars]
+            item = item.strip() + "a" * (chars - len(item.strip()))
+            x = list(item)
+            for _ in range(random.randint(0, decontam.budget(item) + 1)):
+                x[random.randrange(len(x))] = random.choice(["", "e", "a", " ", "bb"])
+            doc = decontam.fold("".join(random.choices("ab ", k=25)) + random.choice([" ", "", "c", "\n"]) + "".join(x)
+                                + random.choice([" ", "", "e", "."]) + "".join(random.choices("ab ", k=25)))
+            k, ends = decontam.budget(item), [i for i in range(len(doc) + 1) if i in (0, len(doc)) or " " in doc[i - 1:i + 1]]
+            near = [(a, b) for a in ends for b in ends if abs(b - a - len(item)) <= k]
+            want = min(((edits(item, doc[a:b]), a, b) for a, b in near), default=(99,))
+            got = decontam.Matcher([(1, item)], inside=True).search(doc)
+            assert got == ([(1, *want)] if want[0] <= k else []), (item, doc)
+
+
 # ---- mixing -------------------------------------------------------------------------
 
 def reshared(sizes, weights=(1, 2, 3), cap=3):
