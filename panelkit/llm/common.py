@@ -36,10 +36,13 @@ def shared_path(spark: SparkSession, name: str) -> str:
 
 def written(df: DataFrame, name: str) -> DataFrame:
     """``df`` as a Parquet table in the shared folder, read back: cuts the lineage, keeps
-    columns prunable and survives the loss of any executor."""
-    path = shared_path(df.sparkSession, name)
+    columns prunable and survives the loss of any executor.  The folder goes with the driver."""
+    spark = df.sparkSession
+    path = shared_path(spark, name)
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
     df.write.option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(folder)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 #: What a Python worker process keeps between its tasks: one object and its key.

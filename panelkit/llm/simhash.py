@@ -11,11 +11,16 @@ only how work is dealt, never what is found) and routes *every* distinct fingerp
 leaves.  Inside a leaf the same splitting goes on until blocks are small, and blocks are
 compared completely.  A leaf returns a spanning star per connected group, not its links:
 at most one edge per fingerprint and leaf, whatever the size of a group of near copies.
+
+A ball too dense to be split by distances may leave a leaf of any size.  Leaves over a bound are not
+sent to one task: their fingerprints meet at midpoints instead (``midpoint_stars``), small groups by
+construction, with the same links.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import combinations
 
 import numpy as np
 import pandas as pd
@@ -35,6 +40,8 @@ HASH_SEED = 42
 TREE_SAMPLE = 65_536
 #: Fingerprints that a leaf should hold.
 LEAF_TARGET = 8_192
+#: Fingerprints of a leaf that one task compares, at most; larger leaves are linked by midpoints.
+LEAF_MAX = 8 * LEAF_TARGET
 #: Blocks of a leaf are compared completely from this size down.
 BLOCK = 256
 
@@ -196,8 +203,25 @@ def leaf_stars(x: np.ndarray, bits: int = MAX_BITS, block: int = BLOCK) -> tuple
     return x[member], x[root[member]]
 
 
+def midpoint_stars(fps: DataFrame, bits: int = MAX_BITS) -> DataFrame:
+    """Stars (a > b) that connect exactly the distinct fingerprints ``fp`` that links connect.
+
+    Two fingerprints differ in at most ``bits`` bits if and only if some key lies within half of that
+    (rounded down) of one and half (rounded up) of the other.  So each is sent to the keys
+    within the larger half: 65 for 2 bits, which bounds the groups as well, however dense the table.
+    """
+    near, far = bits // 2, (bits + 1) // 2
+    flips = [(sum(1 << i for i in at), k) for k in range(far + 1) for at in combinations(range(64), k)]
+    masks = F.array(*[F.struct(F.lit(m - (m >> 63 << 64)).alias("mask"), F.lit(k).alias("d")) for m, k in flips])
+    keys = fps.select("fp", F.explode(masks).alias("flip")).select(
+        F.col("fp").bitwiseXOR(F.col("flip.mask")).alias("key"), "fp", "flip.d")
+    groups = keys.groupBy("key").agg(F.collect_list("fp").alias("fps"), F.min("d").alias("d")).where(
+        (F.size("fps") > 1) & (F.col("d") <= near))
+    return groups.select(F.explode("fps").alias("a"), F.array_min("fps").alias("b")).where("a > b").distinct()
+
+
 def link_stars(fps: DataFrame, bits: int = MAX_BITS, sample: int = TREE_SAMPLE,
-               leaf_target: int = LEAF_TARGET) -> DataFrame:
+               leaf_target: int = LEAF_TARGET, leaf_max: int = LEAF_MAX) -> DataFrame:
     """Stars (a > b) that connect exactly the distinct fingerprints ``fp`` that links of at
     most ``bits`` bits connect."""
     spark = fps.sparkSession
@@ -217,8 +241,12 @@ def link_stars(fps: DataFrame, bits: int = MAX_BITS, sample: int = TREE_SAMPLE,
         a, b = leaf_stars(pdf["fp"].to_numpy(np.int64), bits)
         return pd.DataFrame({"a": a, "b": b})
 
-    return (fps.mapInPandas(to_leaves, "leaf int, fp long").groupBy("leaf")
-            .applyInPandas(stars, "a long, b long").distinct())
+    routed = cut_lineage(fps.mapInPandas(to_leaves, "leaf int, fp long"))
+    sizes = routed.groupBy("leaf").agg(F.count(F.lit(1)).alias("size"))  # at most one row per sampled point
+    held = routed.join(F.broadcast(sizes), "leaf")
+    found = held.where(F.col("size") <= leaf_max).select("leaf", "fp").groupBy("leaf").applyInPandas(stars, "a long, b long")
+    dense = midpoint_stars(held.where(F.col("size") > leaf_max).select("fp").distinct(), bits)
+    return found.unionAll(dense).distinct()
 
 
 # ---- connected components -----------------------------------------------------------

@@ -77,6 +77,40 @@ def test_vantage_tree_finds_every_component(spark):
     assert stars.count() <= 4 * len(prints)
 
 
+@pytest.mark.parametrize("bits", [0, 1, 2, 3])
+def test_midpoints_give_the_links_of_dense_leaves(spark, bits):
+    prints = planted_prints(40, 12)
+    fps = spark.createDataFrame([(p,) for p in prints], "fp long").cache()
+    want = naive_components({p: p & (1 << 64) - 1 for p in prints}, bits)
+    for leaf_max in (0, 30):  # all leaves, and only some
+        stars = simhash.link_stars(fps, bits, sample=64, leaf_target=16, leaf_max=leaf_max)
+        got = {r.node: r.root for r in simhash.components(stars).collect()}
+        assert {p: got.get(p, p) for p in prints} == want
+
+
+def test_a_ball_of_50000_fingerprints_meets_in_no_task(spark, monkeypatch):
+    rng = np.random.default_rng(3)
+    ball = {0} | {1 << i for i in range(63)} | {1 << i | 1 << j for i in range(63) for j in range(i)}
+    ball |= {1 << i | 1 << j | 1 << k for i in range(63) for j in range(i) for k in range(j)}
+    ball |= {x ^ 1 << 10 for x in list(ball)[:20_000]}
+    apart = [int(x) for x in rng.integers(1 << 61, 1 << 62, 3_000)]
+    prints = sorted(ball | set(apart))
+    assert len(ball) > 41_000
+    leaf_stars = simhash.leaf_stars
+
+    def bounded(x, bits):
+        assert len(x) <= 5_000
+        return leaf_stars(x, bits)
+
+    monkeypatch.setattr(simhash, "leaf_stars", bounded)
+    fps = spark.createDataFrame([(p,) for p in prints], "fp long")
+    stars = simhash.link_stars(fps, 2, sample=4_096, leaf_target=500, leaf_max=5_000)
+    roots = {r.node: r.root for r in simhash.components(stars).collect()}
+    assert {roots.get(p, p) for p in ball} == {0}
+    near = {p for p in apart if p.bit_count() <= 6}
+    assert all(roots.get(p, p) != 0 for p in set(apart) - near)
+
+
 @pytest.mark.parametrize("block", [8, 64])
 def test_leaf_blocks_against_all_pairs(block):
     prints = planted_prints(60, block)
