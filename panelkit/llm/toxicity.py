@@ -140,10 +140,11 @@ def lattice(passage: str, spaced: bool) -> list[list[tuple[str, float]]]:
 
 
 def viterbi(steps: list[list[tuple[str, float]]], model: np.ndarray) -> str:
-    """The cheapest reading of a lattice under channel and trigram model, from boundary to boundary."""
-    states = {(0, 0): (0.0, "")}
+    """The cheapest reading of a lattice under channel and trigram model, from boundary to boundary; of
+    equal ones the first in the order of the readings.  Paths are back-pointers, shared as far as they agree."""
+    states: dict[tuple[int, int], tuple[float, tuple | None]] = {(0, 0): (0.0, None)}
     for readings in [*steps, [(" ", 0.0)]]:
-        new: dict[tuple[int, int], tuple[float, str]] = {}
+        new: dict[tuple[int, int], tuple[float, tuple | None]] = {}
         for (a, b), (cost, path) in states.items():
             for reading, channel in readings:
                 x, y, total = a, b, cost + channel
@@ -152,10 +153,14 @@ def viterbi(steps: list[list[tuple[str, float]]], model: np.ndarray) -> str:
                     total += float(model[x, y, s])
                     x, y = y, s
                 got = new.get((x, y))
-                if got is None or (total, path + reading) < got:
-                    new[x, y] = (total, path + reading)
+                if got is None or total < got[0]:
+                    new[x, y] = (total, (path, reading))
         states = new
-    return min(states.values())[1].strip()
+    path, out = min(states.values(), key=lambda state: state[0])[1], []
+    while path:
+        path, reading = path
+        out.append(reading)
+    return "".join(reversed(out)).strip()
 
 
 def unspaced(text: str, model: np.ndarray) -> str:

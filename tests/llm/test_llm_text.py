@@ -345,6 +345,20 @@ def test_restoration_of_mixed_and_wrapped_words(model, hidden, word):
     assert toxicity.restore(hidden, model) == word
 
 
+def test_long_spaced_passages_take_linear_time(model):
+    import time
+
+    def decoded(n):
+        letters = "".join(random.Random(n).choices("abcdeinorst", k=n))
+        start = time.process_time()
+        out = toxicity.viterbi(toxicity.lattice(" ".join(letters), True), model)
+        assert out.replace(" ", "") == letters
+        return time.process_time() - start
+
+    decoded(1_000)
+    assert decoded(160_000) < 8 * decoded(40_000) + 1
+
+
 def test_viterbi_against_enumeration(model):
     random.seed(8)
     for _ in range(60):
