@@ -25,8 +25,6 @@ from pyspark.sql import functions as F
 
 #: Code points of a streamed piece when a log is made from finished rows.
 DELTA_CHARS = 1024
-#: Messages up to this length are logged as a draft and an edit.
-EDITED_CHARS = 64
 
 ASSISTANT = "assistant"
 CONTROL = r"/?s>|/?INST\]"
@@ -98,8 +96,9 @@ def fold(events: Iterable[tuple[str, str | None, str | None]]) -> tuple[str, str
 def log_of(conversations: DataFrame) -> DataFrame:
     """A log whose final messages are the given rows (conv_id, turn, role, text).
 
-    Short texts: a draft and an edit.  Odd turns: a draft, a regeneration, pieces.  The rest:
-    pieces.  Rows of equal conv_id and turn are separate messages in hashed order.
+    A hash of the row deals messages of every length to three forms: a draft and an edit; a draft, a
+    regeneration and pieces; pieces alone.  Rows of equal conv_id and turn are separate messages in
+    hashed order.
     """
     text = F.coalesce("text", F.lit(""))
 
@@ -115,7 +114,8 @@ def log_of(conversations: DataFrame) -> DataFrame:
                          lambda i: event("delta", F.substring(text, i * DELTA_CHARS + 1, F.lit(DELTA_CHARS))))
     edited = F.concat(draft, F.array(event("edit", text)))
     again = F.concat(draft, F.array(event("regenerate", none)), pieces)
-    body = F.when(F.length(text) <= EDITED_CHARS, edited).when(F.col("turn") % 2 == 1, again).otherwise(pieces)
+    form = F.pmod(F.xxhash64("conv_id", "turn", "role", "text"), F.lit(3))
+    body = F.when(form == 0, edited).when(form == 1, again).otherwise(pieces)
     rows = conversations.select("conv_id", F.col("turn").cast("long").alias("turn"), "role",
                                 F.struct(F.coalesce("role", F.lit("")).alias("role"), text.alias("text"),
                                          F.monotonically_increasing_id().alias("id")).alias("key"),

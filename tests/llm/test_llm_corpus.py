@@ -480,6 +480,19 @@ def test_log_out_of_order_is_folded_in_sequence(spark):
     assert chat.parse(text) == [("user", "question"), ("assistant", "yes")]
 
 
+def test_logs_hold_every_form_at_every_length(spark):
+    rows = [(c, t, "user" if t % 2 == 0 else "assistant", ("short", "a longer text " * 20, "long text of pieces " * 200)[c % 3] + str(t))
+            for c in range(12) for t in range(6)]
+    conv = spark.createDataFrame(rows, "conv_id long, turn int, role string, text string")
+    log = chat.log_of(conv)
+    kinds = log.groupBy("conv_id", "turn").agg(F.collect_set("kind").alias("kinds")).collect()
+    for third in range(3):
+        seen = {frozenset(r.kinds) for r in kinds if int(r.conv_id) % 3 == third}
+        assert seen == {frozenset(("open", "delta")), frozenset(("open", "delta", "edit")), frozenset(("open", "delta", "regenerate"))}
+    got = Counter((r.conv_id, *chat.parse(r.formatted)[0]) for r in chat.rendered(log).collect())
+    assert got == Counter((str(c), role, text) for c, _, role, text in rows)
+
+
 def test_chat_query_and_edge_rows(spark):
     rows = [(c, t, r, x) for c, t, r, x in [
         (1, 0, "user", None), (1, 1, "assistant", "</s> hi"), (None, 0, "user", "a"), (None, None, None, "b"), (2, 0, "assistant", LONG),
