@@ -18,10 +18,11 @@ from pyspark.sql import functions as F
 from ..operators.aggregates import error_metrics
 from ..operators.arx import ORDERS, SEASON, arx_grid
 from ..operators.forecast import recursive_forecast
-from ..operators.joins import join_on_keys
+from ..operators.joins import attach_row, join_on_keys
 from ..operators.ridge import ALPHAS, eigen_solve, fit_ridge, model_name, moments, predict
 from ..operators.segments import MIN_ROWS_PER_MODEL, SEGMENT_KEYS
 from ..operators.windows import FEATURES
+from ..session import stored
 from .series import segment_features
 
 PRICE = "price_usd_per_l"
@@ -109,27 +110,39 @@ def ols_drivers(df: DataFrame, y: str, numeric: Sequence[str], categorical: Sequ
     """M5: least squares with an intercept and dummy terms (the alphabetically first level of
     each category is the base) and a coefficient table.
 
-    Rows are reduced to cells of equal regressors (n, sum of y, sum of y^2, combined map side)
-    and cells to partial cross-products by numpy in their tasks; (p+2)^2 sums per partition are
-    added up and one small row is solved in a task with the pseudo-inverse, so collinear dummies
-    (market within country) give the minimum-norm solution.  Only the categories' levels are
-    read when the plan is made.
+    Rows are reduced in one pass to the sums and cross-products of the numbers in each combination
+    of categories (combined map side), which are stored; numpy adds them to partial cross-products
+    in tasks, (p+2)^2 sums per partition are added up and one small row is solved in a task with the
+    pseudo-inverse, so collinear dummies (market within country) give the minimum-norm solution.
+    Only the categories' levels are read when the plan is made, from the stored sums.
     """
-    used = df.dropna(subset=[y, *numeric, *categorical])
-    levels = {c: sorted(r[0] for r in used.select(c).distinct().collect())[1:] for c in categorical}
+    k = len(numeric)
+    pairs = [(i, j) for i in range(k) for j in range(i, k)]
+    values = [F.col(c).cast("double") for c in [*numeric, y]]
+    used = df.dropna(subset=[y, *numeric, *categorical]).select(*categorical, *[v.alias(f"_{i}") for i, v in enumerate(values)])
+    sums = {"_n": F.count(F.lit(1))} | {f"_s{i}": F.sum(f"_{i}") for i in range(k + 1)}
+    products_of = [*pairs, *[(i, k) for i in range(k + 1)]]  # y is the last
+    sums |= {f"_p{i}_{j}": F.sum(F.col(f"_{i}") * F.col(f"_{j}")) for i, j in products_of}
+    cells = stored(used.groupBy(*categorical).agg(*[v.alias(c) for c, v in sums.items()]), "ols-cells")
+    levels = {c: sorted(r[0] for r in cells.select(c).distinct().collect())[1:] for c in categorical}
     terms = [*numeric, *[f"{c}_{v}" for c in categorical for v in levels[c]], "Intercept"]
     p = len(terms)
-    cells = used.groupBy(*numeric, *categorical).agg(
-        F.count(F.lit(1)).alias("n"), F.sum(y).alias("s"), F.sum(F.col(y) * F.col(y)).alias("ss"))
 
     def products(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         total = np.zeros((p + 1, p + 1))
         for pdf in batches:
             dummies = [(pdf[c] == v).to_numpy(float) for c in categorical for v in levels[c]]
-            x = np.column_stack([pdf[list(numeric)].to_numpy(float), *dummies, np.ones(len(pdf))])
-            total[:p, :p] += x.T @ (x * pdf["n"].to_numpy(float)[:, None])
-            total[:p, p] += x.T @ pdf["s"].to_numpy(float)
-            total[p, p] += pdf["ss"].sum()
+            d = np.column_stack([*dummies, np.ones(len(pdf))])
+            x = pdf[[f"_s{i}" for i in range(k)]].to_numpy(float)
+            for i, j in pairs:
+                total[i, j] += pdf[f"_p{i}_{j}"].sum()
+                total[j, i] = total[i, j]
+            total[:k, k:p] += x.T @ d
+            total[k:p, :k] = total[:k, k:p].T
+            total[k:p, k:p] += d.T @ (d * pdf["_n"].to_numpy(float)[:, None])
+            total[:k, p] += [pdf[f"_p{i}_{k}"].sum() for i in range(k)]
+            total[k:p, p] += d.T @ pdf[f"_s{k}"].to_numpy(float)
+            total[p, p] += pdf[f"_p{k}_{k}"].sum()
         i, j = np.indices(total.shape)
         yield pd.DataFrame({"i": i.ravel(), "j": j.ravel(), "v": total.ravel()})
 
@@ -157,6 +170,26 @@ def ols_drivers(df: DataFrame, y: str, numeric: Sequence[str], categorical: Sequ
     return gram.coalesce(1).mapInPandas(solve, OLS_SCHEMA)
 
 
+def ols_level_means(df: DataFrame, table: DataFrame, y: str, numeric: Sequence[str], categorical: Sequence[str]) -> DataFrame:
+    """term, level, n and mean residual of every level of the categories, for the model ``table`` of
+    ``ols_drivers`` (read twice: callers hand in a stored one).  A row's residual takes the numbers alone;
+    the dummies, equal for all rows of a combination of categories, come off the combinations' sums."""
+    numbers = {f"_b{i}": c for i, c in enumerate([*numeric, "Intercept"])}
+    slopes = table.agg(*[F.max(F.when(F.col("term") == c, F.col("coef"))).alias(b) for b, c in numbers.items()])  # one row
+    fitted = F.col(f"_b{len(numeric)}")
+    for i, c in enumerate(numeric):
+        fitted = fitted + F.col(f"_b{i}") * F.col(c)
+    rows = attach_row(df.dropna(subset=[y, *numeric, *categorical]), slopes)
+    cells = rows.groupBy(*categorical).agg(F.count(F.lit(1)).alias("_n"), F.sum(F.col(y) - fitted).alias("_e"))
+    coefs = table.agg(F.map_from_entries(F.collect_list(F.struct("term", "coef"))).alias("_b"))  # one row
+    for c in categorical:
+        dummy = F.coalesce(F.try_element_at("_b", F.concat(F.lit(f"{c}_"), F.col(c))), F.lit(0.0))
+        effect = dummy if c == categorical[0] else effect + dummy
+    pairs = F.array(*[F.struct(F.lit(c).alias("term"), F.col(c).alias("level")) for c in categorical])
+    return attach_row(cells, coefs).select("_n", (F.col("_e") - F.col("_n") * effect).alias("_e"), F.inline(pairs)).groupBy(
+        "term", "level").agg(F.sum("_n").alias("n"), (F.sum("_e") / F.sum("_n")).alias("mean_residual"))
+
+
 NAIVE, SEASONAL, DRIFT = "naive_last_week", "seasonal_naive_52", "drift"
 
 

@@ -17,10 +17,11 @@ from ..operators.segments import SEGMENT_KEYS, segment_gate
 from ..operators.windows import FEATURES
 from ..plans.features import impute, usable_rows
 from ..plans.forecast import forecast, monthly_forecast
-from ..plans.models import ols_drivers, quality_gate, segment_label, train
+from ..plans.models import ols_drivers, ols_level_means, quality_gate, segment_label, train
 from ..plans.monitoring import freshness, monitor_summary, retrain_candidates
 from ..plans.panel import join_tariffs
 from ..plans.standardize import normalize_tariffs, price_to_eur_per_l, standardize_prices
+from ..session import stored
 from ..sources import tables as T
 from .features_q import FEAT_SQL, features
 from .forecast_q import FIXED_COEF, FIXED_STEPS
@@ -229,18 +230,8 @@ def q_ridge_normal_equations(spark, sf_dir):
 def q_ols_residual_means(spark, sf_dir):
     """M5: a least-squares fit with dummies leaves a mean residual of zero in every level."""
     f = features(spark, sf_dir).where(F.col("base_usd_per_l") > 0)
-    table = ols_drivers(f, "base_usd_per_l", OLS_NUMERIC, OLS_CATEGORICAL)
-    coefs = table.agg(F.map_from_entries(F.collect_list(F.struct("term", "coef"))).alias("b"))  # one row
-    fitted = F.col("b")["Intercept"]
-    for c in OLS_NUMERIC:
-        fitted = fitted + F.col("b")[c] * F.col(c)
-    for c in OLS_CATEGORICAL:
-        fitted = fitted + F.coalesce(F.try_element_at("b", F.concat(F.lit(f"{c}_"), F.col(c))), F.lit(0.0))
-    rows = f.dropna(subset=[*OLS_NUMERIC, *OLS_CATEGORICAL]).crossJoin(F.broadcast(coefs)).select(
-        *OLS_CATEGORICAL, (F.col("base_usd_per_l") - fitted).alias("e"))
-    pairs = F.array(*[F.struct(F.lit(c).alias("term"), F.col(c).alias("level")) for c in OLS_CATEGORICAL])
-    return rows.select("e", F.inline(pairs)).groupBy("term", "level").agg(
-        F.count(F.lit(1)).alias("n"), F.avg("e").alias("mean_residual"))
+    table = stored(ols_drivers(f, "base_usd_per_l", OLS_NUMERIC, OLS_CATEGORICAL), "ols-terms")
+    return ols_level_means(f, table, "base_usd_per_l", OLS_NUMERIC, OLS_CATEGORICAL)
 
 
 # ---- encodings ----------------------------------------------------------------------

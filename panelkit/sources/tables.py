@@ -63,7 +63,8 @@ def price_observations(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = read_table(spark, sf_dir, "lineitem",
                     ["l_partkey", "l_suppkey", "l_quantity", "l_extendedprice",
                      "l_returnflag", "l_shipdate"])
-    part = read_table(spark, sf_dir, "part", ["p_partkey", "p_type", "p_brand"])
+    part = read_table(spark, sf_dir, "part", ["p_partkey", "p_type", "p_brand"]).select(
+        "p_partkey", pack_of("p_type").alias("pack"), brand_hs4("p_brand").alias("hs_prefix"))  # once a part, not a line
     supp = read_table(spark, sf_dir, "supplier", ["s_suppkey", "s_nationkey"])
     geo = nation_geo(spark, sf_dir)
     rows = (li.join(supp, li.l_suppkey == supp.s_suppkey)
@@ -73,8 +74,7 @@ def price_observations(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.col("l_returnflag").alias("grade"),
                     F.try_divide(F.col("l_extendedprice"), F.col("l_quantity"))
                     .alias("price_eur_per_l"),
-                    pack_of("p_type").alias("pack"),
-                    brand_hs4("p_brand").alias("hs_prefix")))
+                    "pack", "hs_prefix"))
 
 
 def price_sheet(spark: SparkSession, sf_dir: str) -> DataFrame:

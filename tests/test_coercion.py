@@ -13,11 +13,12 @@ from panelkit.functions import calendar as cal
 from panelkit.functions.coerce import nan_to_null, parse_date_text, to_double
 from panelkit.plans.features import usable_rows
 from panelkit.plans.insights import price_change
-from panelkit.plans.models import grid_search, ols_drivers
+from panelkit.plans.models import grid_search, ols_drivers, ols_level_means
 from panelkit.plans.panel import join_tariffs
 from panelkit.operators.aggregates import error_metrics
 from panelkit.sources import files as S
 from panelkit.sources.headers import require_columns
+from panelkit.sources.tables import price_observations
 
 DATES = {
     "2024-03-04": "2024-03-04", "03/04/2024": "2024-03-04", "3/4/2024": "2024-03-04", "03.04.2024": "2024-03-04",
@@ -118,6 +119,45 @@ def test_ols_against_least_squares(spark):
     assert abs(table["x"].r2 - (1 - rss[0] / ((pdf.y - pdf.y.mean()) ** 2).sum())) < 1e-9 and table["x"].p_value < 1e-9
 
 
+def test_ols_reads_its_rows_once(spark):
+    """One pass for levels and products, one for the residuals; level means as numpy has them."""
+    import numpy as np
+    rng = np.random.default_rng(5)
+    pdf = pd.DataFrame({"x": rng.normal(50, 9, 300), "z": rng.normal(size=300), "g": rng.choice(list("abc"), 300)})
+    pdf["h"] = pdf.g + rng.choice(["1", "2"], 300)  # levels of h lie within those of g
+    pdf["y"] = 2 + 3 * pdf.x - pdf.z + rng.normal(size=300)
+    pdf.loc[7, "x"], pdf.loc[9, "h"], pdf.loc[11, "y"] = np.nan, None, np.nan
+    read = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for b in batches:
+            read.add(len(b))
+            yield b
+
+    df = spark.createDataFrame(pdf).mapInPandas(counted, "x double, z double, g string, h string, y double")
+    table = spark.createDataFrame(ols_drivers(df, "y", ["x", "z"], ["g", "h"]).collect())
+    assert read.value == 300
+    used = pdf.dropna()
+    coef = {r.term: r.coef for r in table.collect()}
+    off = {"x": 0.0, "z": 0.5, "g_b": 0.25}  # a model that is not the fit leaves means of its own
+    other = spark.createDataFrame([(t, c + off.get(t, 0.0)) for t, c in coef.items()], "term string, coef double")
+    for model, slope in ((table, coef), (other, {t: c + off.get(t, 0.0) for t, c in coef.items()})):
+        e = used.y - slope["Intercept"] - slope["x"] * used.x - slope["z"] * used.z - used.g.map(
+            lambda v: slope.get(f"g_{v}", 0.0)) - used.h.map(lambda v: slope.get(f"h_{v}", 0.0))
+        want = {(c, v): (len(x), x.mean()) for c in "gh" for v, x in e.groupby(used[c])}
+        got = {(r.term, r.level): (r.n, r.mean_residual) for r in ols_level_means(df, model, "y", ["x", "z"], ["g", "h"]).collect()}
+        assert got.keys() == want.keys()
+        assert all(got[k][0] == want[k][0] and abs(got[k][1] - want[k][1]) < 1e-9 for k in want)
+    assert all(abs(r.mean_residual) < 1e-9 for r in ols_level_means(df, table, "y", ["x", "z"], ["g", "h"]).collect())
+
+
+def test_part_codes_are_made_below_the_join(spark):
+    """A part's HS code and pack are made once a part, not once a line item."""
+    plan = price_observations(spark, SF001)._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    joins = [i for i, x in enumerate(plan) if "Join" in x]
+    assert all(i > joins[0] for i, x in enumerate(plan) if "regexp_replace" in x or "STANDARD" in x)
+
+
 def test_grid_search_sees_no_held_out_price(spark):
     weeks = [dt.date(2020, 1, 5) + dt.timedelta(days=7 * i) for i in range(90)]
     rows = [("s", w, float(i), 1.0) for i, w in enumerate(weeks)]
