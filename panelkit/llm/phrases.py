@@ -3,27 +3,33 @@
 Counting is by direct-address tiling.  ``chunks`` turns texts into sequences of word numbers, a few
 million words at a time, each chunk with its own list of words.  A level then goes like this:
 
-1. The items of all chunks (words, later pairs) are added up per language; those found ``min_count``
-   times or more get ranks by falling frequency (``ranked``).
-2. Each chunk gets the ranks of its own items back and rewrites its sequence in them.  Two neighbours
+1. Every chunk sends its items (words, later pairs) with their counts, packed, to the parts that add
+   them up.  A part keeps the items found ``min_count`` times or more and answers each chunk with the
+   places of these in its list, so items travel once (``counted``).  The frequent ones get ranks by
+   falling frequency (``ranked``).
+2. The answers bring the ranks to the chunk, which rewrites its sequence in them.  Two neighbours
    make a pair; pairs fall into square tiles of ``SIDE`` x ``SIDE`` ranks.  A well filled tile, as the
    commonest ranks make, is counted by ``bincount`` over its cells; pairs of the other tiles are
    sorted and counted as coordinates (``tile_counts``).
 3. The chunk's sequence becomes one of pairs, and the frequent pairs are ranked in turn: two pairs that
    overlap make a phrase of three words, and so on.
 
-Only what one chunk holds is ever in one place: ranks reach a chunk by a join on its own items, and
-counts are added up in partial aggregates.  Nothing is broadcast that grows with the vocabulary.
+A chunk's items are sorted by a hash, so the items of one part are a slice of them whatever the number of
+parts, which follows from the number of items.  Only what one chunk or one part holds is ever in one
+place.  Nothing is broadcast that grows with the vocabulary.
 """
 
 from __future__ import annotations
 
+import struct
+import zlib
 from collections import defaultdict
 from collections.abc import Iterator
 from itertools import count
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
@@ -38,6 +44,10 @@ CHUNK_WORDS = 2_000_000
 SIDE_BITS, DENSE = 10, 1 / 16
 #: Tiles that are counted by address; with more, the tiles that occur are sorted out.
 TILES = 1 << 22
+#: Items that chunks send to one part, about: words, pairs.
+PART_WORDS, PART_PAIRS = 1 << 19, 1 << 21
+#: Odd, so that multiplying by it modulo a power of two can be undone; its high bits mix all bits of a code.
+MIX = 0x9E3779B97F4A7C15
 NO_LANG = "und"
 #: Bytes that end a piece.  Every one becomes a line break, which leaves the full stop free to mark it.
 ENDS = b".,;:!?\n\x0b\x0c\r"
@@ -59,8 +69,58 @@ def squeezed(ids: np.ndarray) -> np.ndarray:
     return ids[(ids >= 0) | np.concatenate([[False], ids[:-1] >= 0])] if len(ids) else ids
 
 
-WORDS = "chunk long, lang string, n long, ids binary, items array<string>, counts array<long>"
-PAIRS = "chunk long, lang string, ids binary, items array<long>, counts array<long>"
+#: Of a chunk: its sequence, its number of items, the items in the order of their hash and their counts.
+WORDS = "chunk long, lang string, n long, ids binary, size long, items binary, counts binary"
+PAIRS = "chunk long, lang string, ids binary, size long, items binary, counts binary"
+
+
+def packed(numbers: np.ndarray) -> bytes:
+    """Numbers from 0, compressed: all lowest bytes first, the next ones behind them, ..."""
+    top = int(numbers.max(initial=0))
+    width = next(w for w in (1, 2, 4, 8) if top < 1 << 8 * w)
+    planes = numbers.astype(f"<u{width}").view(np.uint8).reshape(-1, width).T.tobytes()
+    return struct.pack("<BQ", width, len(numbers)) + pa.compress(planes, codec="zstd", asbytes=True)
+
+
+def unpacked(raw: bytes) -> np.ndarray:
+    """What ``packed`` was given, as int64 (numbers of 64 bits keep these bits)."""
+    width, size = struct.unpack_from("<BQ", raw)
+    planes = pa.decompress(raw[9:], decompressed_size=width * size, codec="zstd", asbytes=True)
+    return np.frombuffer(planes, np.uint8).reshape(width, size).T.copy().view(f"<u{width}").ravel().astype(np.int64)
+
+
+def packed_words(words: list[bytes]) -> bytes:
+    """Words, which hold no line end, compressed."""
+    text = b"\n".join(words)
+    return struct.pack("<Q", len(text)) + pa.compress(text, codec="zstd", asbytes=True)
+
+
+def unpacked_words(raw: bytes) -> list[bytes]:
+    return pa.decompress(raw[8:], decompressed_size=struct.unpack_from("<Q", raw)[0], codec="zstd", asbytes=True).split(b"\n")
+
+
+def word_hashes(words: list[bytes]) -> np.ndarray:
+    return np.fromiter(map(zlib.crc32, words), np.int64, len(words))
+
+
+def mixed(codes: np.ndarray, bits: int) -> np.ndarray:
+    """Codes left << 32 | right of ranks below 2 ** bits, spread one to one over the numbers of 2 * bits bits."""
+    codes = codes.astype(np.uint64)
+    short = (codes >> np.uint64(32)) << np.uint64(bits) | codes & np.uint64((1 << 32) - 1)
+    return short * np.uint64(MIX) & np.uint64((1 << 2 * bits) - 1)
+
+
+def unmixed(hashes: np.ndarray, bits: int) -> np.ndarray:
+    """The codes that ``mixed`` spread."""
+    short = hashes.astype(np.uint64) * np.uint64(pow(MIX, -1, 1 << 64)) & np.uint64((1 << 2 * bits) - 1)
+    return ((short >> np.uint64(bits)) << np.uint64(32) | short & np.uint64((1 << bits) - 1)).astype(np.int64)
+
+
+def part_begins(hashes: np.ndarray, bits: int, parts: int) -> np.ndarray:
+    """Where each part begins in sorted hashes of ``bits`` bits, and the end."""
+    high = hashes.astype(np.uint64) >> np.uint64(max(0, bits - 32))  # up to 2 ** 32 parts
+    part = high * np.uint64(parts) >> np.uint64(min(bits, 32))
+    return np.searchsorted(part, np.arange(parts + 1, dtype=np.uint64))
 
 
 def chunks(docs: DataFrame) -> DataFrame:
@@ -81,10 +141,13 @@ def chunks(docs: DataFrame) -> DataFrame:
 
         def row(self, chunk: int, lang: str) -> pd.DataFrame:
             ids = np.concatenate(self.parts)
-            counts = np.bincount(ids[ids >= 0], minlength=len(self.number) - 1)
-            items = [w.decode("utf-8", "surrogatepass") for w in self.number if w != BREAK]
-            return pd.DataFrame({"chunk": [chunk], "lang": [lang], "n": [int(counts.sum())], "ids": [squeezed(ids).tobytes()],
-                                 "items": [items], "counts": [counts]})
+            words = [w for w in self.number if w != BREAK]
+            counts = np.bincount(ids[ids >= 0], minlength=len(words))
+            order = np.argsort(word_hashes(words), kind="stable")
+            place = np.full(len(words) + 1, -1, np.int32)  # the last place is that of -1
+            place[order] = np.arange(len(words))
+            return pd.DataFrame({"chunk": [chunk], "lang": [lang], "n": [int(counts.sum())], "ids": [packed(squeezed(place[ids]) + 1)],
+                                 "size": [len(words)], "items": [packed_words([words[i] for i in order])], "counts": [packed(counts[order])]})
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         numbers = count(TaskContext.get().partitionId() << 32)
@@ -113,13 +176,79 @@ def chunks(docs: DataFrame) -> DataFrame:
 # ---- one level ------------------------------------------------------------------------
 
 
-def ranked(state: DataFrame, min_count: int, level: int) -> DataFrame:
+MESSAGES = "part long, lang string, chunk long, begin long, items binary, counts binary"
+
+
+def counted(state: DataFrame, min_count: int, level: int, bits: int = 0) -> DataFrame:
+    """What the parts found: in rows without a chunk the items of at least ``min_count`` in all chunks and
+    their counts f; in rows with one, the places (locals) that the chunk gave such items, and of each its
+    place (index) in the part's row.  Items are words, or with ``bits`` pairs of ranks of so many bits."""
+    total = state.agg(F.sum("size")).first()[0] or 0
+    parts = max(1, -(-total // (PART_PAIRS if bits else PART_WORDS)))
+
+    def send(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            for chunk, lang, raw, times in zip(pdf["chunk"], pdf["lang"], pdf["items"], pdf["counts"]):
+                counts = unpacked(times)
+                if not len(counts):
+                    continue
+                if bits:
+                    items = np.cumsum(unpacked(raw).astype(np.uint64), dtype=np.uint64)
+                    ends = part_begins(items, 2 * bits, parts)
+                else:
+                    items = unpacked_words(raw)
+                    ends = part_begins(word_hashes(items), 32, parts)
+                out = []
+                for part in np.flatnonzero(np.diff(ends)).tolist():
+                    own = slice(ends[part], ends[part + 1])
+                    sent = packed(np.diff(items[own], prepend=np.uint64(0))) if bits else packed_words(items[own])
+                    out.append((part, lang, chunk, int(ends[part]), sent, packed(counts[own])))
+                yield pd.DataFrame(out, columns=["part", "lang", "chunk", "begin", "items", "counts"])
+
+    def add_up(key: tuple, sent: pd.DataFrame) -> pd.DataFrame:
+        sent = sent.sort_values("chunk")
+        counts = [unpacked(x) for x in sent["counts"]]
+        if bits:
+            found, which = np.unique(np.concatenate([np.cumsum(unpacked(x).astype(np.uint64), dtype=np.uint64) for x in sent["items"]]),
+                                     return_inverse=True)
+        else:
+            number: dict[bytes, int] = defaultdict(count().__next__)
+            which = np.concatenate([np.fromiter(map(number.__getitem__, w), np.int64, len(w)) for w in map(unpacked_words, sent["items"])])
+            found = list(number)
+        f = np.zeros(len(found), np.int64)
+        np.add.at(f, which, np.concatenate(counts))
+        good = np.flatnonzero(f >= min_count)
+        if not len(good):
+            return pd.DataFrame(columns=columns)
+        index = np.full(len(found), -1, np.int64)
+        index[good] = np.arange(len(good))
+        items = unmixed(found[good], bits) if bits else [found[i].decode("utf-8", "surrogatepass") for i in good]
+        out = [(key[0], key[1], None, None, None, items, f[good])]
+        at = 0
+        for chunk, begin, size in zip(sent["chunk"], sent["begin"], map(len, counts)):
+            own = index[which[at:at + size]]
+            at += size
+            hit = np.flatnonzero(own >= 0)
+            if len(hit):
+                out.append((key[0], key[1], chunk, packed(np.diff(begin + hit, prepend=0)), packed(own[hit]), None, None))
+        return pd.DataFrame(out, columns=columns).astype({"chunk": "Int64"})
+
+    columns = ["lang", "part", "chunk", "locals", "indexes", "items", "f"]
+    kind = "long" if bits else "string"
+    sent = state.select("chunk", "lang", "items", "counts").mapInPandas(send, MESSAGES)
+    return written(sent.groupBy("lang", "part").applyInPandas(
+        add_up, f"lang string, part long, chunk long, locals binary, indexes binary, items array<{kind}>, f array<long>"),
+        f"phrases-counts-{level}")
+
+
+def ranked(state: DataFrame, min_count: int, level: int, counts: DataFrame | None = None) -> DataFrame:
     """lang, item, f and rank (from 0 by falling f, per language) of the items of all chunks found at
-    least ``min_count`` times.  Rows are ordered over many tasks; what stands in the tasks before gives
-    the rank that a task begins with."""
-    items = state.select("lang", F.explode(F.arrays_zip("items", "counts")).alias("x"))
-    total = items.groupBy("lang", F.col("x.items").alias("item")).agg(F.sum("x.counts").alias("f"))
-    total = written(total.where(F.col("f") >= min_count), f"phrases-counts-{level}")
+    least ``min_count`` times, and where they stand in ``counts`` (part and index; ``counted`` of words, if
+    not given).  Rows are ordered over many tasks; what stands in the tasks before gives the rank that a
+    task begins with."""
+    counts = counted(state, min_count, level) if counts is None else counts
+    total = counts.where(F.col("chunk").isNull()).select("lang", F.col("part").alias("of"), F.posexplode(F.arrays_zip("items", "f")).alias("index", "x"))
+    total = total.select("lang", "of", "index", F.col("x.items").alias("item"), F.col("x.f").alias("f"))
     order = [F.desc("f"), F.asc("item")]
     dealt = written(total.repartitionByRange("lang", *order).withColumn("part", F.spark_partition_id()),
                     f"phrases-ranks-{level}")
@@ -128,7 +257,22 @@ def ranked(state: DataFrame, min_count: int, level: int) -> DataFrame:
     begins = sizes.select("lang", "part", F.coalesce(F.sum("size").over(earlier), F.lit(0)).alias("begin"))
     place = F.row_number().over(W.partitionBy("lang", "part").orderBy(*order))
     return dealt.withColumn("place", place).join(begins, ["lang", "part"]).select(
-        "lang", "item", "f", (F.col("begin") + F.col("place") - 1).alias("rank"))
+        "lang", "item", "f", (F.col("begin") + F.col("place") - 1).alias("rank"), F.col("of").alias("part"), "index")
+
+
+def answers(counts: DataFrame, ranks: DataFrame) -> DataFrame:
+    """chunk, locals and ranks: what the parts answer to each chunk, in ranks."""
+
+    def answer(replies: pd.DataFrame, table: pd.DataFrame) -> pd.DataFrame:
+        rank = np.zeros(len(table), np.int64)
+        rank[table["index"].to_numpy()] = table["rank"].to_numpy()
+        return pd.DataFrame({"chunk": replies["chunk"], "locals": replies["locals"],
+                             "ranks": [packed(rank[unpacked(x)]) for x in replies["indexes"]]})
+
+    replies = counts.where(F.col("chunk").isNotNull()).select("lang", "part", "chunk", "locals", "indexes")
+    table = ranks.select("lang", "part", "index", "rank")
+    return replies.groupBy("lang", "part").cogroup(table.groupBy("lang", "part")).applyInPandas(
+        answer, "chunk long, locals binary, ranks binary")
 
 
 def tile_counts(left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -163,27 +307,31 @@ def tile_counts(left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.nda
     return np.concatenate([*codes, coordinates]), np.concatenate([*counts, times]), place
 
 
-def paired(state: DataFrame, ranks: DataFrame) -> DataFrame:
-    """The chunks rewritten as sequences of pairs of neighbouring frequent items."""
-    own = state.select("chunk", "lang", F.posexplode("items").alias("local", "item"))
-    known = own.join(ranks, ["lang", "item"]).select("chunk", "local", "rank")
+def paired(state: DataFrame, known: DataFrame, bits: int) -> DataFrame:
+    """The chunks rewritten as sequences of pairs of neighbouring frequent items, whose ranks of
+    ``bits`` bits are in the ``answers`` to the chunks."""
 
     def pair(sequences: pd.DataFrame, table: pd.DataFrame) -> pd.DataFrame:
         out = []
-        for chunk, lang, raw in zip(sequences["of"], sequences["lang"], sequences["ids"]):
-            ids = np.frombuffer(raw, np.int32)
-            rank = np.full(int(ids.max(initial=-1)) + 2, -1, np.int64)  # the last place is that of -1
-            rank[table["local"].to_numpy()] = table["rank"].to_numpy()
-            ids = rank[ids]
+        for chunk, lang, size, raw in zip(sequences["of"], sequences["lang"], sequences["size"], sequences["ids"]):
+            rank = np.full(size + 1, -1, np.int64)  # the first place is that of a gap
+            for local, ranks in zip(table["locals"], table["ranks"]):
+                rank[np.cumsum(unpacked(local)) + 1] = unpacked(ranks)
+            ids = rank[unpacked(raw)]
             good = np.flatnonzero((ids[:-1] >= 0) & (ids[1:] >= 0))
             codes, counts, place = tile_counts(ids[good], ids[good + 1])
+            hashes = mixed(codes, bits)
+            order = np.argsort(hashes)
+            into = np.empty(len(codes), np.int32)
+            into[order] = np.arange(len(codes))
             pairs = np.full(len(ids), -1, np.int32)
-            pairs[good] = place
+            pairs[good] = into[place]
             if len(codes):
-                out.append((chunk, lang, squeezed(pairs).tobytes(), codes, counts))
-        return pd.DataFrame(out, columns=["chunk", "lang", "ids", "items", "counts"])
+                out.append((chunk, lang, packed(squeezed(pairs) + 1), len(codes),
+                            packed(np.diff(hashes[order], prepend=np.uint64(0))), packed(counts[order])))
+        return pd.DataFrame(out, columns=["chunk", "lang", "ids", "size", "items", "counts"])
 
-    sequences = state.select(F.col("chunk").alias("of"), "lang", "ids")
+    sequences = state.select(F.col("chunk").alias("of"), "lang", "size", "ids")
     return sequences.groupBy("of").cogroup(known.groupBy("chunk")).applyInPandas(pair, PAIRS)
 
 
@@ -196,13 +344,16 @@ def frequent_phrases(docs: DataFrame, max_words: int = MAX_WORDS, min_count: int
     and the ranks of its first and last words but one, left and right)."""
     state = written(chunks(docs), "phrases-words")
     total = state.groupBy("lang").agg(F.sum("n").alias("n"))
-    ranks = ranked(state, min_count, 1)
+    counts = counted(state, min_count, 1)
+    ranks = written(ranked(state, min_count, 1, counts), "phrases-level-1")
     none = F.lit(None).cast("long")
     levels = [ranks.select("lang", "rank", F.col("item").alias("phrase"), F.col("item").alias("last"), "f",
                            F.array("f").alias("firsts"), F.array("f").alias("lasts"), none.alias("left"), none.alias("right"))]
     for level in range(2, max_words + 1):
-        state = written(paired(state, ranks), f"phrases-pairs-{level}")
-        ranks = written(ranked(state, min_count, level), f"phrases-level-{level}")
+        bits = max(1, (ranks.agg(F.max("rank")).first()[0] or 0).bit_length())
+        state = written(paired(state, answers(counts, ranks), bits), f"phrases-pairs-{level}")
+        counts = counted(state, min_count, level, bits)
+        ranks = written(ranked(state, min_count, level, counts), f"phrases-level-{level}")
         low = F.lit((1 << 32) - 1)
         pairs = ranks.select("lang", "rank", "f", F.shiftright("item", 32).alias("left"), F.col("item").bitwiseAND(low).alias("right"))
         first = levels[-1].select("lang", F.col("rank").alias("left"), "phrase", "firsts")

@@ -97,3 +97,51 @@ def test_edge_rows(spark):
     got = phrases.collocations(docs, 5, 100, 100, 2000)
     assert sorted(tuple(r) for r in got.collect()) == plain(rows, 5, 100, 100, 2000)
     assert phrases.collocations(docs.limit(0)).collect() == []
+
+
+def test_numbers_keep_their_bits():
+    rng = np.random.default_rng(3)
+    for top in (1, 200, 1 << 12, 1 << 31, 1 << 40):
+        numbers = rng.integers(0, top, 1000)
+        assert (phrases.unpacked(phrases.packed(numbers)) == numbers).all()
+    assert len(phrases.unpacked(phrases.packed(np.zeros(0, np.int64)))) == 0
+    for bits in (1, 5, 17, 31, 32):
+        codes = np.unique(rng.integers(0, 1 << min(bits, 31), 500) << 32 | rng.integers(0, 1 << bits, 500))
+        hashes = phrases.mixed(codes, bits)
+        assert len(np.unique(hashes)) == len(codes)
+        sent = np.cumsum(phrases.unpacked(phrases.packed(np.diff(np.sort(hashes), prepend=np.uint64(0)))).astype(np.uint64), dtype=np.uint64)
+        assert sorted(phrases.unmixed(sent, bits).tolist()) == codes.tolist()
+        for parts in (1, 3, 1000):
+            ends = phrases.part_begins(np.sort(hashes), 2 * bits, parts)
+            assert ends[0] == 0 and ends[-1] == len(codes) and (np.diff(ends) >= 0).all()
+
+
+@pytest.mark.parametrize("chunk,part", [(2_000_000, 20), (500, 200)])
+def test_many_parts(spark, monkeypatch, chunk, part):
+    """Counts and ranks that come from many parts, for one chunk and for many."""
+    monkeypatch.setattr(phrases, "CHUNK_WORDS", chunk)
+    monkeypatch.setattr(phrases, "PART_WORDS", part)
+    monkeypatch.setattr(phrases, "PART_PAIRS", part)
+    rows = made_up(7, 150)
+    got = phrases.collocations(spark.createDataFrame(rows, "lang string, text string"), 4, 8, 100, 25)
+    assert sorted(tuple(r) for r in got.collect()) == plain(rows, 4, 8, 100, 25)
+
+
+def test_items_are_sent_once_and_packed(spark, monkeypatch):
+    """No step deals or joins all items of the chunks as rows, and an item with its count takes a few bytes."""
+    plans, tables, keep = [], {}, phrases.written
+
+    def written(df, name):
+        plans.append(df._jdf.queryExecution().toString())
+        tables[name] = keep(df, name)
+        return tables[name]
+
+    monkeypatch.setattr(phrases, "written", written)
+    rng = np.random.default_rng(5)
+    words = rng.zipf(1.2, 200_000) % 3000
+    rows = [("en", " ".join(map(str, words[i:i + 500]))) for i in range(0, len(words), 500)]
+    _, levels = phrases.frequent_phrases(spark.createDataFrame(rows, "lang string, text string").coalesce(1), 3, 20)
+    assert levels[2].count() > 0
+    assert plans and not any(re.search(r"explode\((arrays_zip\()?items#\d+(, counts#|\))", p) for p in plans)
+    pairs = tables["phrases-pairs-2"].selectExpr("size", "length(items) + length(counts) as bytes").collect()
+    assert all(p.bytes < 5 * p.size for p in pairs) and sum(p.size for p in pairs) > 10_000
